@@ -9,32 +9,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.functions.numbers import is_finite
-
 # A bucket spans 1/1024 of a factor of two, hence holds at most 8,192 distinct
 # single-precision values (2**23 per factor of two), or as many 24-bit integers.
 STEPS_PER_OCTAVE = 1024
 
 
-def order_bucket(value: Column) -> Column:
-    """Integer that never decreases as ``value`` grows."""
-    step = F.floor((F.log2(F.abs(value)) + 1100) * STEPS_PER_OCTAVE) + 1
-    return F.when(value == 0, F.lit(0)).when(value > 0, step).otherwise(-step).cast("long")
+def order_bucket(value: str) -> str:
+    """SQL for an integer that never decreases as the double ``value`` grows."""
+    step = f"cast(floor((log2(abs({value})) + 1100) * {STEPS_PER_OCTAVE}) + 1 AS bigint)"
+    return f"CASE WHEN {value} = 0 THEN 0 WHEN {value} > 0 THEN {step} ELSE -{step} END"
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """``(keys, value, n)`` for the finite values."""
     return (
-        df.select(*keys, F.col(value).cast("double").alias("value"))
-        .filter(is_finite(F.col("value")))
+        df.selectExpr(*keys, f"cast({value} AS double) AS value")
+        .filter("value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('infinity')")
         .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) AS n"))
     )
 
 
+def _over(keys: Sequence[str], order: str) -> str:
+    """Window over the rows that come strictly earlier."""
+    return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
 def running_totals(
     counts: DataFrame, keys: Sequence[str], weights: Sequence[str], descending: bool = False
 ) -> DataFrame:
@@ -43,31 +46,23 @@ def running_totals(
     ``counts`` has one row per ``(keys, value)``; keys must not be NULL.
     """
     keys = list(keys)
-    tagged = counts.withColumn("_bucket", order_bucket(F.col("value")))
-    direction = F.desc if descending else F.asc
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    way = "DESC" if descending else "ASC"
+    whole = f"OVER (PARTITION BY {', '.join(keys)})"
+    bucketed = [*keys, "_bucket"]
+    tagged = counts.selectExpr("*", f"{order_bucket('value')} AS _bucket")
     offsets = (
-        tagged.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-        .select(
-            *keys,
-            "_bucket",
-            *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_{w}_offset") for w in weights],
-            *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
+        tagged.groupBy(*bucketed)
+        .agg(*[F.expr(f"sum({w}) AS {w}") for w in weights])
+        .selectExpr(
+            *bucketed,
+            *[f"coalesce(sum({w}) {_over(keys, f'_bucket {way}')}, 0) AS _{w}_offset" for w in weights],
+            *[f"sum({w}) {whole} AS {w}_total" for w in weights],
         )
     )
-    inside = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(direction("value"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return tagged.join(offsets, [*keys, "_bucket"]).select(
+    inside = _over(bucketed, f"value {way}")
+    return tagged.join(offsets, bucketed).selectExpr(
         *counts.columns,
-        *[
-            (F.col(f"_{w}_offset") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before")
-            for w in weights
-        ],
+        *[f"_{w}_offset + coalesce(sum({w}) {inside}, 0) AS {w}_before" for w in weights],
         *[f"{w}_total" for w in weights],
     )
 
@@ -81,64 +76,47 @@ def percentiles_of_counts(
     wanted rank are ordered.
     """
     keys = list(keys)
-    tagged = counts.withColumn("_bucket", order_bucket(F.col("value")))
-    whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        tagged.groupBy(*keys, "_bucket")
-        .agg(F.sum("n").alias("_size"))
-        .select(
-            *keys,
-            "_bucket",
-            "_size",
-            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
-            F.sum("_size").over(whole).alias("_total"),
-        )
-    )
-
-    def rank(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
-
-    wanted = F.array_distinct(
-        F.array(*[side(rank(p)).cast("long") for p in probabilities for side in (F.floor, F.ceil)])
-    )
+    bucketed = [*keys, "_bucket"]
+    tagged = counts.selectExpr(*keys, "value", "n", f"{order_bucket('value')} AS _bucket")
+    ranks = [f"({float(p)!r}D * (_total - 1))" for p in probabilities]
+    wanted = ", ".join(f"cast({side}({r}) AS bigint)" for r in ranks for side in ("floor", "ceil"))
     targets = (
-        buckets.withColumn(
-            "_ranks",
-            F.filter(wanted, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_size"))),
+        tagged.groupBy(*bucketed)
+        .agg(F.expr("sum(n) AS _size"))
+        .selectExpr(
+            *bucketed,
+            "_size",
+            f"coalesce(sum(_size) {_over(keys, '_bucket')}, 0) AS _start",
+            f"sum(_size) OVER (PARTITION BY {', '.join(keys)}) AS _total",
         )
-        .filter(F.size("_ranks") > 0)
-        .select(*keys, "_bucket", "_start", "_total", "_ranks")
-    )
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    hits = (
-        tagged.join(targets, [*keys, "_bucket"])
-        .withColumn("_first", F.col("_start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .select(
-            *keys,
+        .selectExpr(
+            *bucketed,
+            "_start",
             "_total",
-            "value",
-            F.explode(
-                F.filter(
-                    "_ranks", lambda r: (r >= F.col("_first")) & (r < F.col("_first") + F.col("n"))
-                )
-            ).alias("_rank"),
+            f"filter(array_distinct(array({wanted})), r -> r >= _start AND r < _start + _size) AS _ranks",
         )
+        .filter("size(_ranks) > 0")
     )
     # At most two ranks per probability are left for each key.
-    per_key = hits.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "value"))).alias("_at"),
-        F.max("_total").alias("_total"),
+    per_key = (
+        tagged.join(targets, bucketed)
+        .selectExpr("*", f"_start + coalesce(sum(n) {_over(bucketed, 'value')}, 0) AS _first")
+        .selectExpr(
+            *keys, "_total", "value", "explode(filter(_ranks, r -> r >= _first AND r < _first + n)) AS _rank"
+        )
+        .groupBy(*keys)
+        .agg(
+            F.expr("map_from_entries(collect_list(struct(_rank, value))) AS _at"),
+            F.expr("max(_total) AS _total"),
+        )
     )
 
-    def interpolated(p: float) -> Column:
-        low = F.try_element_at("_at", F.floor(rank(p)).cast("long"))
-        high = F.try_element_at("_at", F.ceil(rank(p)).cast("long"))
-        return low + (high - low) * (rank(p) - F.floor(rank(p)))
+    def interpolated(rank: str) -> str:
+        low = f"try_element_at(_at, cast(floor({rank}) AS bigint))"
+        high = f"try_element_at(_at, cast(ceil({rank}) AS bigint))"
+        return f"{low} + ({high} - {low}) * ({rank} - floor({rank}))"
 
-    return per_key.select(*keys, *[interpolated(p).alias(n) for p, n in zip(probabilities, names)])
+    return per_key.selectExpr(*keys, *[f"{interpolated(r)} AS {n}" for r, n in zip(ranks, names)])
 
 
 def exact_percentiles(

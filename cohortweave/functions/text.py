@@ -20,7 +20,12 @@ def strip(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return F.regexp_replace(strip(text), f"[{WHITESPACE}]+", " ")
+    """Every run of whitespace inside the text becomes one space."""
+    return F.regexp_replace(F.translate(strip(text), WHITESPACE, " " * len(WHITESPACE)), " {2,}", " ")
+
+
+def has_whitespace(tokens: Iterable[str]) -> bool:
+    return any(ch in WHITESPACE for token in tokens for ch in token)
 
 
 def any_of(conditions: Iterable[Column]) -> Column:

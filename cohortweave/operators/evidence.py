@@ -2,9 +2,10 @@
 
 The three tables meet in one partial-aggregated group-by on the patient id. Raw
 rows cross the network only for the time comparison against the second-medication
-start, where the lookup join spreads heavy patients. Record lists (schedules,
-burden events) stay long tables keyed by patient: nothing collects one patient's
-rows into one place.
+start. No grouping on the patient id follows that join without an exchange of its
+own, so adaptive execution is free to split a heavy patient's partition. Record
+lists (schedules, burden events) stay long tables keyed by patient: nothing
+collects one patient's rows into one place.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from cohortweave.config import ColumnMap, EvidenceRules
 from cohortweave.functions import text as tx
-from cohortweave.functions.skew import lookup_join
 from cohortweave.functions.times import as_time
 from cohortweave.schemas import TIME
 
@@ -65,21 +65,19 @@ def medication_records(
 ) -> DataFrame:
     """Medication rows with their canonical name, NULL where no pattern matches."""
     name = _text(medications, columns.medication_name)
-    return (
-        _known_patients(medications, columns)
-        .select(
-            F.col(columns.patient_id).cast("string").alias("patient_id"),
-            name.alias("medication_name"),
-            tx.collapse_whitespace(F.lower(name)).alias("_plain"),
-            as_time(medications, columns.medication_start, columns.time_formats).alias("start_time"),
-            as_time(medications, columns.medication_end, columns.time_formats).alias("end_time"),
-            _text(medications, columns.medication_source).alias("source"),
-        )
-        .withColumn(
-            "normalized_medication_name",
-            tx.canonical_name(F.col("_plain"), rules.medication_patterns, rules.medication_aliases),
-        )
-        .drop("_plain")
+    plain = F.lower(name)
+    # Collapsing whitespace can only matter to tokens that contain some.
+    if tx.has_whitespace([*rules.medication_patterns, *(t for _, ts in rules.medication_aliases for t in ts)]):
+        plain = tx.collapse_whitespace(plain)
+    return _known_patients(medications, columns).select(
+        F.col(columns.patient_id).cast("string").alias("patient_id"),
+        name.alias("medication_name"),
+        tx.canonical_name(plain, rules.medication_patterns, rules.medication_aliases).alias(
+            "normalized_medication_name"
+        ),
+        as_time(medications, columns.medication_start, columns.time_formats).alias("start_time"),
+        as_time(medications, columns.medication_end, columns.time_formats).alias("end_time"),
+        _text(medications, columns.medication_source).alias("source"),
     )
 
 
@@ -123,33 +121,34 @@ def schedule_order() -> list[Column]:
 # --- second distinct medication --------------------------------------------------------------
 
 
-def medication_summary(
+def ranked_names(
     medications: DataFrame, columns: ColumnMap = DEFAULT_COLUMNS, rules: EvidenceRules = DEFAULT_RULES
 ) -> DataFrame:
-    """Per patient: row counts, distinct names and the second distinct name's first start.
+    """One row per patient and canonical name with its place in the order of first starts.
 
-    A patient keeps at most one row per canonical name after the first group-by,
-    so the list in the second one is bounded by the configured names.
+    Rows without a canonical name share one row that ranks last. The group-by leaves
+    at most one row per configured name, so the window never sees a long partition.
     """
     by_name = (
         medication_records(medications, columns, rules)
         .groupBy("patient_id", "normalized_medication_name")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("start_time").alias("start_time"))
+        .agg(F.expr("count(1) AS rows"), F.expr("min(start_time) AS start_time"))
     )
-    name = F.col("normalized_medication_name")
-    entry = F.struct(F.col("start_time").isNull().alias("no_start"), F.col("start_time"), name.alias("name"))
-    per_patient = by_name.groupBy("patient_id").agg(
-        F.sum("rows").alias("rx_rows"),
-        F.coalesce(F.sum(F.when(name.isNotNull(), F.col("rows"))), F.lit(0)).alias("schedule_count"),
-        F.count(name).alias("distinct_asm_count"),
-        F.sort_array(F.collect_list(F.when(name.isNotNull(), entry))).alias("first_starts"),
+    return by_name.selectExpr(
+        "*",
+        """row_number() OVER (
+             PARTITION BY patient_id
+             ORDER BY normalized_medication_name IS NULL, start_time ASC NULLS LAST, normalized_medication_name
+           ) AS place""",
     )
-    return per_patient.select(
-        "patient_id",
-        "rx_rows",
-        "schedule_count",
-        "distinct_asm_count",
-        F.try_element_at("first_starts", F.lit(2)).getField("start_time").alias("second_asm_start_time"),
+
+
+def medication_summary(
+    medications: DataFrame, columns: ColumnMap = DEFAULT_COLUMNS, rules: EvidenceRules = DEFAULT_RULES
+) -> DataFrame:
+    """Per patient: row counts, distinct names and the second distinct name's first start."""
+    return ranked_names(medications, columns, rules).groupBy("patient_id").agg(
+        *[F.expr(f"{_COMBINE[name]}({rule}) AS {name}") for name, rule in _NAME_FACTS.items()]
     )
 
 
@@ -157,10 +156,8 @@ def second_medication_anchor(
     medications: DataFrame, columns: ColumnMap = DEFAULT_COLUMNS, rules: EvidenceRules = DEFAULT_RULES
 ) -> DataFrame:
     """Patients with at least two distinct names and the (possibly NULL) anchor time."""
-    return (
-        medication_summary(medications, columns, rules)
-        .filter(F.col("distinct_asm_count") >= 2)
-        .select("patient_id", "distinct_asm_count", "second_asm_start_time")
+    return ranked_names(medications, columns, rules).filter(_IS_SECOND).selectExpr(
+        "patient_id", "normalized_medication_name AS second_medication", "start_time AS second_asm_start_time"
     )
 
 
@@ -204,18 +201,18 @@ def burden_events(
     if _usable(diagnoses, columns) and columns.diagnosis_code in diagnoses.columns:
         fallback = _fallback_records(diagnosis_records(diagnoses, columns, rules))
         if parts:
-            covered = recorded.groupBy("patient_id").agg(F.lit(True).alias("_covered"))
-            fallback = lookup_join(fallback, covered, ["patient_id"]).filter("_covered IS NULL").drop("_covered")
+            covered = recorded.select("patient_id").distinct()
+            fallback = fallback.join(covered, "patient_id", "left_anti")
         parts.append(fallback)
     if not parts:
         raise ValueError("burden_events needs an event table or a coded diagnosis table.")
     rows = reduce(DataFrame.unionByName, parts).withColumn("status", F.lit(OBSERVED))
     if not _usable(medications, columns):
         return rows.withColumn("is_post_second_asm", F.lit(False))
-    anchors = medication_summary(medications, columns, rules).select("patient_id", "second_asm_start_time")
+    anchors = second_medication_anchor(medications, columns, rules).drop("second_medication")
     after = F.col("event_time") >= F.col("second_asm_start_time")
     return (
-        lookup_join(rows, anchors, ["patient_id"])
+        rows.join(anchors, "patient_id", "left")
         .withColumn("is_post_second_asm", F.coalesce(after, F.lit(False)))
         .drop("second_asm_start_time")
     )
@@ -223,35 +220,56 @@ def burden_events(
 
 # --- one row per patient ---------------------------------------------------------------------
 
+_IS_SECOND = "place = 2 AND normalized_medication_name IS NOT NULL"
+
 # Column of the merged facts -> how rows of one patient combine.
 _COMBINE = {
-    "dx_rows": F.sum,
-    "epilepsy_rows": F.sum,
-    "seizure_rows": F.sum,
-    "dx_first": F.min,
-    "dx_last": F.max,
-    "ev_rows": F.sum,
-    "ev_first": F.min,
-    "ev_last": F.max,
-    "rx_rows": F.sum,
-    "schedule_count": F.sum,
-    "distinct_asm_count": F.sum,
-    "second_asm_start_time": F.max,
-    "post_ev": F.sum,
-    "post_dx": F.sum,
-    "post_ev_first": F.min,
-    "post_dx_first": F.min,
+    "dx_rows": "sum",
+    "epilepsy_rows": "sum",
+    "seizure_rows": "sum",
+    "dx_first": "min",
+    "dx_last": "max",
+    "ev_rows": "sum",
+    "ev_first": "min",
+    "ev_last": "max",
+    "rx_rows": "sum",
+    "schedule_count": "sum",
+    "distinct_asm_count": "sum",
+    "second_asm_start_time": "max",
+    "post_ev": "sum",
+    "post_dx": "sum",
+    "post_ev_first": "min",
+    "post_dx_first": "min",
+}
+# What one row of each kind contributes.
+_DIAGNOSIS_FACTS = {
+    "dx_rows": "1",
+    "epilepsy_rows": "cast(is_epilepsy AS int)",
+    "seizure_rows": "cast(is_seizure AS int)",
+    "dx_first": "CASE WHEN is_epilepsy OR is_seizure THEN least(diagnosis_time, encounter_time) END",
+    "dx_last": "CASE WHEN is_epilepsy OR is_seizure THEN greatest(diagnosis_time, encounter_time) END",
+}
+_EVENT_FACTS = {"ev_rows": "1", "ev_first": "event_time", "ev_last": "event_time"}
+_NAME_FACTS = {
+    "rx_rows": "rows",
+    "schedule_count": "CASE WHEN normalized_medication_name IS NOT NULL THEN rows END",
+    "distinct_asm_count": "cast(normalized_medication_name IS NOT NULL AS int)",
+    "second_asm_start_time": f"CASE WHEN {_IS_SECOND} THEN start_time END",
+}
+_POINT_FACTS = {
+    "post_ev": "cast(is_event AS int)",
+    "post_dx": "cast(NOT is_event AS int)",
+    "post_ev_first": "CASE WHEN is_event THEN time END",
+    "post_dx_first": "CASE WHEN NOT is_event THEN time END",
 }
-_TIMES = {"dx_first", "dx_last", "ev_first", "ev_last", "second_asm_start_time", "post_ev_first", "post_dx_first"}
 
 
-def _facts(df: DataFrame, **values: Column) -> DataFrame:
-    """Project to the merged layout; unnamed facts are NULL."""
-    columns = []
-    for name in _COMBINE:
-        dtype = TIME if name in _TIMES else "bigint"
-        columns.append(values.get(name, F.lit(None)).cast(dtype).alias(name))
-    return df.select("patient_id", *columns)
+def _facts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Project to the merged layout; facts without a rule are NULL."""
+    typed = {name: "bigint" if how == "sum" else TIME.simpleString() for name, how in _COMBINE.items()}
+    return df.selectExpr(
+        "patient_id", *[f"cast({rules.get(name, 'NULL')} AS {dtype}) AS {name}" for name, dtype in typed.items()]
+    )
 
 
 def patient_facts(
@@ -266,62 +284,34 @@ def patient_facts(
     points: list[DataFrame] = []
     if _usable(diagnoses, columns):
         dx = diagnosis_records(diagnoses, columns, rules)
-        matched = F.col("is_epilepsy") | F.col("is_seizure")
-        parts.append(
-            _facts(
-                dx,
-                dx_rows=F.lit(1),
-                epilepsy_rows=F.col("is_epilepsy").cast("int"),
-                seizure_rows=F.col("is_seizure").cast("int"),
-                dx_first=F.when(matched, F.least("diagnosis_time", "encounter_time")),
-                dx_last=F.when(matched, F.greatest("diagnosis_time", "encounter_time")),
-            )
-        )
+        parts.append(_facts(dx, _DIAGNOSIS_FACTS))
         points.append(
-            dx.filter("is_seizure").select(
-                "patient_id", F.coalesce("diagnosis_time", "encounter_time").alias("time"), F.lit(False).alias("is_event")
+            dx.filter("is_seizure").selectExpr(
+                "patient_id", "coalesce(diagnosis_time, encounter_time) AS time", "false AS is_event"
             )
         )
     if _usable(events, columns):
         ev = event_records(events, columns)
-        time = F.col("event_time")
-        parts.append(_facts(ev, ev_rows=F.lit(1), ev_first=time, ev_last=time))
-        points.append(ev.select("patient_id", time.alias("time"), F.lit(True).alias("is_event")))
+        parts.append(_facts(ev, _EVENT_FACTS))
+        points.append(ev.selectExpr("patient_id", "event_time AS time", "true AS is_event"))
     if _usable(medications, columns):
-        rx = medication_summary(medications, columns, rules)
-        names = ("rx_rows", "schedule_count", "distinct_asm_count", "second_asm_start_time")
-        parts.append(_facts(rx, **{n: F.col(n) for n in names}))
+        names = ranked_names(medications, columns, rules)
+        parts.append(_facts(names, _NAME_FACTS))
         if points:
-            after = _points_after_anchor(reduce(DataFrame.unionByName, points), rx)
-            is_event = F.col("is_event")
-            parts.append(
-                _facts(
-                    after,
-                    post_ev=F.when(is_event, F.col("n")),
-                    post_dx=F.when(~is_event, F.col("n")),
-                    post_ev_first=F.when(is_event, F.col("time")),
-                    post_dx_first=F.when(~is_event, F.col("time")),
-                )
+            # Reading the (never zero) row count keeps both uses of ``names`` the same
+            # plan, so its shuffle runs once.
+            anchors = names.filter(f"{_IS_SECOND} AND start_time IS NOT NULL AND rows > 0").selectExpr(
+                "patient_id", "start_time AS anchor"
             )
+            timed = reduce(DataFrame.union, points).filter("time IS NOT NULL")
+            parts.append(_facts(timed.join(anchors, "patient_id").filter("time >= anchor"), _POINT_FACTS))
     if not parts:
         raise ValueError("No table with a patient identifier column was provided.")
-    merged = reduce(DataFrame.unionByName, parts).groupBy("patient_id").agg(
-        *[combine(name).alias(name) for name, combine in _COMBINE.items()]
-    )
-    counts = [n for n in _COMBINE if n not in _TIMES]
-    return merged.fillna(0, subset=counts)
-
-
-def _points_after_anchor(points: DataFrame, summary: DataFrame) -> DataFrame:
-    anchors = summary.filter(F.col("second_asm_start_time").isNotNull()).select(
-        "patient_id", F.col("second_asm_start_time").alias("anchor")
-    )
-    distinct = (
-        points.filter(F.col("time").isNotNull())
-        .groupBy("patient_id", "time", "is_event")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return lookup_join(distinct, anchors, ["patient_id"], "inner").filter(F.col("time") >= F.col("anchor"))
+    merged = []
+    for name, how in _COMBINE.items():
+        total = f"{how}({name})"
+        merged.append(F.expr(f"coalesce({total}, 0) AS {name}" if how == "sum" else f"{total} AS {name}"))
+    return reduce(DataFrame.union, parts).groupBy("patient_id").agg(*merged)
 
 
 def patient_ids(
@@ -358,16 +348,23 @@ def matched_codes(
     )
 
 
-def _status(present: Column) -> Column:
-    return F.when(present, F.lit(OBSERVED)).otherwise(F.lit(MISSING))
+def _status(present: str) -> str:
+    return f"CASE WHEN {present} THEN '{OBSERVED}' ELSE '{MISSING}' END"
+
 
+def _listed(**items: str) -> str:
+    """Array of the names whose condition holds, in order."""
+    return _listed_texts([(condition, name) for name, condition in items.items()])
 
-def _notes(*items: Column) -> Column:
-    return F.nullif(tx.joined(items, "; "), F.lit(""))
 
+def _listed_texts(items: list[tuple[str, str]]) -> str:
+    cases = ", ".join(f"CASE WHEN {condition} THEN '{text}' END" for condition, text in items)
+    return f"array_compact(array({cases}))"
 
-def _note(condition: Column, message: str) -> Column:
-    return F.when(condition, F.lit(message))
+
+def _notes(*items: tuple[str, str]) -> str:
+    """Notes whose condition holds, joined; NULL for none. Conditions may be Python booleans."""
+    return f"nullif(array_join({_listed_texts(list(items))}, '; '), '')"
 
 
 def patient_evidence(
@@ -381,83 +378,68 @@ def patient_evidence(
     """One flat row per patient with all three evidence domains and completeness."""
     facts = patient_facts(diagnoses, medications, events, columns, rules) if facts is None else facts
     has_codes = diagnoses is not None and columns.diagnosis_code in diagnoses.columns
-    has_names = medications is None or columns.medication_name in medications.columns
+    no_code_note = "false" if diagnoses is None else ("dx_rows = 0" if has_codes else "true")
+    no_names = medications is not None and columns.medication_name not in medications.columns
+    no_match_note = "medication name column unavailable" if no_names else "no configured ASM medication patterns found"
 
-    dx_rows, ev_rows, rx_rows = F.col("dx_rows"), F.col("ev_rows"), F.col("rx_rows")
-    matched_dx = (F.col("epilepsy_rows") > 0) | (F.col("seizure_rows") > 0)
-    has_diagnosis = F.col("epilepsy_rows") > 0
-    recurrent = (ev_rows + F.col("seizure_rows")) >= rules.recurrent_threshold
-    has_events = ev_rows > 0
     # Diagnoses count as burden events only for patients without event rows.
-    fallback_rows = F.when(has_events, F.lit(0)).otherwise(F.col("seizure_rows"))
-    burden_rows = ev_rows + fallback_rows
-    post_count = F.when(has_events, F.col("post_ev")).otherwise(F.col("post_dx"))
-    post_first = F.when(has_events, F.col("post_ev_first")).otherwise(F.col("post_dx_first"))
-    persistent = (post_count >= 1) if rules.require_post_second else (burden_rows >= 1)
-    anchor = F.col("second_asm_start_time")
-    schedules, distinct = F.col("schedule_count"), F.col("distinct_asm_count")
-
-    code_note = F.lit(diagnoses is not None) & ((dx_rows == 0) if has_codes else F.lit(True))
-    anchor_note = F.lit(rules.require_post_second) & anchor.isNull()
-    if has_names:
-        rx_notes = (
-            _note(rx_rows == 0, "no usable medication source rows available"),
-            _note((rx_rows > 0) & (schedules == 0), "no configured ASM medication patterns found"),
-        )
-    else:
-        rx_notes = (
-            _note(rx_rows == 0, "no usable medication source rows available"),
-            _note(rx_rows > 0, "medication name column unavailable"),
-        )
-
-    domains = facts.select(
+    burden = facts.selectExpr(
+        "*",
+        "CASE WHEN ev_rows > 0 THEN 0 ELSE seizure_rows END AS fallback_rows",
+        "CASE WHEN ev_rows > 0 THEN ev_rows ELSE seizure_rows END AS burden_rows",
+        "CASE WHEN ev_rows > 0 THEN post_ev ELSE post_dx END AS post_count",
+        "CASE WHEN ev_rows > 0 THEN post_ev_first ELSE post_dx_first END AS post_first",
+    )
+    recurrent = f"ev_rows + seizure_rows >= {int(rules.recurrent_threshold)}"
+    domains = burden.selectExpr(
         "patient_id",
-        _status(has_diagnosis | recurrent).alias("epilepsy_evidence_status"),
-        has_diagnosis.alias("has_epilepsy_diagnosis"),
-        recurrent.alias("has_recurrent_seizure_care"),
-        F.least("dx_first", "ev_first").alias("first_evidence_time"),
-        F.greatest("dx_last", "ev_last").alias("last_evidence_time"),
-        F.array_compact(
-            F.array(F.when(matched_dx, F.lit("diagnoses")), F.when(has_events, F.lit("seizure_events")))
-        ).alias("epilepsy_sources"),
+        _status(f"epilepsy_rows > 0 OR {recurrent}") + " AS epilepsy_evidence_status",
+        "epilepsy_rows > 0 AS has_epilepsy_diagnosis",
+        f"{recurrent} AS has_recurrent_seizure_care",
+        "least(dx_first, ev_first) AS first_evidence_time",
+        "greatest(dx_last, ev_last) AS last_evidence_time",
+        _listed(diagnoses="epilepsy_rows > 0 OR seizure_rows > 0", seizure_events="ev_rows > 0")
+        + " AS epilepsy_sources",
+        _notes(
+            (no_code_note, "diagnosis code column unavailable"),
+            ("dx_rows = 0 AND ev_rows = 0", "no usable epilepsy or seizure care source rows available"),
+        )
+        + " AS epilepsy_notes",
+        _status("schedule_count > 0") + " AS asm_evidence_status",
+        "schedule_count",
+        "distinct_asm_count",
+        "distinct_asm_count >= 2 AS has_two_or_more_distinct_asms",
+        "second_asm_start_time",
+        _listed(medications="schedule_count > 0") + " AS asm_sources",
         _notes(
-            _note(code_note, "diagnosis code column unavailable"),
-            _note((dx_rows == 0) & (ev_rows == 0), "no usable epilepsy or seizure care source rows available"),
-        ).alias("epilepsy_notes"),
-        _status(schedules > 0).alias("asm_evidence_status"),
-        schedules.alias("schedule_count"),
-        distinct.alias("distinct_asm_count"),
-        (distinct >= 2).alias("has_two_or_more_distinct_asms"),
-        anchor.alias("second_asm_start_time"),
-        F.array_compact(F.array(F.when(schedules > 0, F.lit("medications")))).alias("asm_sources"),
-        _notes(*rx_notes).alias("asm_notes"),
-        _status(burden_rows > 0).alias("seizure_burden_status"),
-        burden_rows.alias("burden_event_count"),
-        persistent.alias("has_persistent_seizure_burden"),
-        post_count.alias("post_second_asm_event_count"),
-        post_first.alias("first_post_second_asm_event_time"),
-        F.array_compact(
-            F.array(F.when(fallback_rows > 0, F.lit("diagnoses")), F.when(has_events, F.lit("seizure_events")))
-        ).alias("burden_sources"),
+            ("rx_rows = 0", "no usable medication source rows available"),
+            ("rx_rows > 0 AND schedule_count = 0", no_match_note),
+        )
+        + " AS asm_notes",
+        _status("burden_rows > 0") + " AS seizure_burden_status",
+        "burden_rows AS burden_event_count",
+        ("post_count >= 1" if rules.require_post_second else "burden_rows >= 1")
+        + " AS has_persistent_seizure_burden",
+        "post_count AS post_second_asm_event_count",
+        "post_first AS first_post_second_asm_event_time",
+        _listed(diagnoses="fallback_rows > 0", seizure_events="ev_rows > 0") + " AS burden_sources",
         _notes(
-            _note(anchor_note, "second ASM temporal anchor unavailable"),
-            _note(burden_rows == 0, "no seizure burden event evidence found"),
-        ).alias("burden_notes"),
+            (
+                "second_asm_start_time IS NULL" if rules.require_post_second else "false",
+                "second ASM temporal anchor unavailable",
+            ),
+            ("burden_rows = 0", "no seizure burden event evidence found"),
+        )
+        + " AS burden_notes",
     )
-    absent = {
-        "epilepsy_evidence": F.col("epilepsy_evidence_status") == MISSING,
-        "asm_evidence": F.col("asm_evidence_status") == MISSING,
-        "seizure_burden": F.col("seizure_burden_status") == MISSING,
-    }
     # Names of the missing fields, in this order.
-    field_names = ("epilepsy_evidence", "asm_treatment_evidence", "seizure_burden_evidence")
-    present = sum(((~a).cast("int") for a in absent.values()), F.lit(0))
-    return domains.select(
-        "*",
-        (present / F.lit(3.0)).alias("evidence_completeness_score"),
-        F.array_compact(
-            F.array(*[F.when(a, F.lit(n)) for n, a in zip(field_names, absent.values())])
-        ).alias("missing_fields"),
+    missing_fields = _listed(
+        epilepsy_evidence=f"epilepsy_evidence_status = '{MISSING}'",
+        asm_treatment_evidence=f"asm_evidence_status = '{MISSING}'",
+        seizure_burden_evidence=f"seizure_burden_status = '{MISSING}'",
+    )
+    return domains.selectExpr("*", f"{missing_fields} AS missing_fields").selectExpr(
+        "*", "cast(3 - size(missing_fields) AS double) / 3 AS evidence_completeness_score"
     )
 
 
@@ -481,57 +463,39 @@ def patient_bundles(
     else:
         codes = no_codes
 
-    def renamed(**fields: str) -> list[Column]:
-        return [F.col(source).alias(name) for name, source in fields.items()]
-
     return evidence.select(
+        "*", codes.alias("codes")
+    ).selectExpr(
         "patient_id",
-        F.struct(
-            *renamed(
-                status="epilepsy_evidence_status",
-                has_epilepsy_diagnosis="has_epilepsy_diagnosis",
-                has_recurrent_seizure_care="has_recurrent_seizure_care",
-            ),
-            codes.alias("diagnosis_codes"),
-            *renamed(
-                evidence_sources="epilepsy_sources",
-                first_evidence_time="first_evidence_time",
-                last_evidence_time="last_evidence_time",
-                notes="epilepsy_notes",
-            ),
-        ).alias("epilepsy_evidence"),
-        F.struct(
-            *renamed(
-                status="asm_evidence_status",
-                schedule_count="schedule_count",
-                distinct_asm_count="distinct_asm_count",
-                has_two_or_more_distinct_asms="has_two_or_more_distinct_asms",
-                second_asm_start_time="second_asm_start_time",
-                evidence_sources="asm_sources",
-                notes="asm_notes",
-            )
-        ).alias("asm_treatment_evidence"),
-        F.struct(
-            *renamed(
-                status="seizure_burden_status",
-                event_count="burden_event_count",
-                has_persistent_seizure_burden="has_persistent_seizure_burden",
-                post_second_asm_event_count="post_second_asm_event_count",
-                first_post_second_asm_event_time="first_post_second_asm_event_time",
-                evidence_sources="burden_sources",
-                notes="burden_notes",
-            )
-        ).alias("seizure_burden_evidence"),
-        F.struct(
-            *renamed(
-                epilepsy_evidence_status="epilepsy_evidence_status",
-                asm_evidence_status="asm_evidence_status",
-                seizure_burden_status="seizure_burden_status",
-                missing_fields="missing_fields",
-                completeness_score="evidence_completeness_score",
-            ),
-            F.lit("Completeness is the proportion of evidence domains that are not missing.").alias("notes"),
-        ).alias("completeness"),
-        F.array(F.lit("ehr")).alias("modality_sources"),
-        F.lit("Evidence bundle built from EHR-like source tables.").alias("notes"),
+        """named_struct('status', epilepsy_evidence_status,
+                        'has_epilepsy_diagnosis', has_epilepsy_diagnosis,
+                        'has_recurrent_seizure_care', has_recurrent_seizure_care,
+                        'diagnosis_codes', codes,
+                        'evidence_sources', epilepsy_sources,
+                        'first_evidence_time', first_evidence_time,
+                        'last_evidence_time', last_evidence_time,
+                        'notes', epilepsy_notes) AS epilepsy_evidence""",
+        """named_struct('status', asm_evidence_status,
+                        'schedule_count', schedule_count,
+                        'distinct_asm_count', distinct_asm_count,
+                        'has_two_or_more_distinct_asms', has_two_or_more_distinct_asms,
+                        'second_asm_start_time', second_asm_start_time,
+                        'evidence_sources', asm_sources,
+                        'notes', asm_notes) AS asm_treatment_evidence""",
+        """named_struct('status', seizure_burden_status,
+                        'event_count', burden_event_count,
+                        'has_persistent_seizure_burden', has_persistent_seizure_burden,
+                        'post_second_asm_event_count', post_second_asm_event_count,
+                        'first_post_second_asm_event_time', first_post_second_asm_event_time,
+                        'evidence_sources', burden_sources,
+                        'notes', burden_notes) AS seizure_burden_evidence""",
+        """named_struct('epilepsy_evidence_status', epilepsy_evidence_status,
+                        'asm_evidence_status', asm_evidence_status,
+                        'seizure_burden_status', seizure_burden_status,
+                        'missing_fields', missing_fields,
+                        'completeness_score', evidence_completeness_score,
+                        'notes', 'Completeness is the proportion of evidence domains that are not missing.')
+           AS completeness""",
+        "array('ehr') AS modality_sources",
+        "'Evidence bundle built from EHR-like source tables.' AS notes",
     )

@@ -6,7 +6,7 @@ clinical diagnosis.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.config import ColumnMap, EvidenceRules, LabelOutput
@@ -36,27 +36,24 @@ NOTE = (
 
 def evaluate_rule(evidence: DataFrame, version: str = "v1") -> DataFrame:
     """Add the three conditions, the label, its reasons and the missing evidence."""
-    conditions = evidence.withColumns(
-        {
-            "epilepsy_condition": F.col("has_epilepsy_diagnosis") | F.col("has_recurrent_seizure_care"),
-            "asm_condition": F.col("has_two_or_more_distinct_asms") & (F.col("distinct_asm_count") >= 2),
-            "seizure_burden_condition": F.col("has_persistent_seizure_burden")
-            & (F.col("post_second_asm_event_count") >= 1),
-        }
-    )
-    gaps: list[Column] = [
-        F.when((F.col(status) == MISSING) | ~F.col(condition), F.lit(message)) for condition, status, message in GAPS
-    ]
-    gaps.append(F.when(F.col("second_asm_start_time").isNull(), F.lit(ANCHOR_GAP)))
-    return conditions.withColumns(
-        {
-            "likely_dre": F.col("epilepsy_condition") & F.col("asm_condition") & F.col("seizure_burden_condition"),
-            "definition_version": F.lit(version),
-            "reasons": F.array_compact(F.array(*[F.when(F.col(c), F.lit(m)) for c, m in REASONS])),
-            "missing_evidence": F.array_distinct(
-                F.concat(F.array_compact(F.array(*gaps)), F.col("missing_fields"))
-            ),
-        }
+
+    def texts(items: list[tuple[str, str]]) -> str:
+        cases = ", ".join(f"CASE WHEN {condition} THEN '{text}' END" for condition, text in items)
+        return f"array_compact(array({cases}))"
+
+    gaps = [(f"{status} = '{MISSING}' OR NOT {condition}", text) for condition, status, text in GAPS]
+    gaps.append(("second_asm_start_time IS NULL", ANCHOR_GAP))
+    return evidence.selectExpr(
+        "*",
+        "has_epilepsy_diagnosis OR has_recurrent_seizure_care AS epilepsy_condition",
+        "has_two_or_more_distinct_asms AND distinct_asm_count >= 2 AS asm_condition",
+        "has_persistent_seizure_burden AND post_second_asm_event_count >= 1 AS seizure_burden_condition",
+    ).selectExpr(
+        "*",
+        "epilepsy_condition AND asm_condition AND seizure_burden_condition AS likely_dre",
+        f"'{version}' AS definition_version",
+        f"{texts(list(REASONS))} AS reasons",
+        f"array_distinct(concat({texts(gaps)}, missing_fields)) AS missing_evidence",
     )
 
 

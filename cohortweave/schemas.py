@@ -32,7 +32,7 @@ SIGNAL_SAMPLES = _schema(
     ("sfreq", _D),
 )
 VOXELS = _schema(
-    ("subject_id", _S), ("x", T.IntegerType()), ("y", T.IntegerType()), ("z", T.IntegerType()), ("value", _D)
+    ("subject_id", _S), ("x", T.IntegerType()), ("y", T.IntegerType()), ("z", T.IntegerType()), ("value", T.FloatType())
 )
 VOLUME_HEADERS = _schema(("subject_id", _S), ("t1_path", _S), ("zoom_x", _D), ("zoom_y", _D), ("zoom_z", _D))
 
