@@ -67,19 +67,16 @@ def running_totals(
     )
 
 
-def percentiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], probabilities: Sequence[float], names: Sequence[str]
-) -> DataFrame:
-    """Exact, linearly interpolated percentiles of ``(keys, value, n)`` counts.
+def _at_ranks(counts: DataFrame, keys: Sequence[str], ranks: Sequence[str]) -> DataFrame:
+    """Per key a map ``_at`` from wanted rank to value, and the row total ``_total``.
 
-    One row per key with a column per name. Only values in the buckets that hold a
-    wanted rank are ordered.
+    ``ranks`` are SQL for zero-based ranks and may use ``_total``. Only values in the
+    buckets that hold a wanted rank are ordered.
     """
     keys = list(keys)
     bucketed = [*keys, "_bucket"]
     tagged = counts.selectExpr(*keys, "value", "n", f"{order_bucket('value')} AS _bucket")
-    ranks = [f"({float(p)!r}D * (_total - 1))" for p in probabilities]
-    wanted = ", ".join(f"cast({side}({r}) AS bigint)" for r in ranks for side in ("floor", "ceil"))
+    wanted = ", ".join(f"cast({r} AS bigint)" for r in ranks)
     targets = (
         tagged.groupBy(*bucketed)
         .agg(F.expr("sum(n) AS _size"))
@@ -97,8 +94,8 @@ def percentiles_of_counts(
         )
         .filter("size(_ranks) > 0")
     )
-    # At most two ranks per probability are left for each key.
-    per_key = (
+    # The lists below hold one entry per wanted rank.
+    return (
         tagged.join(targets, bucketed)
         .selectExpr("*", f"_start + coalesce(sum(n) {_over(bucketed, 'value')}, 0) AS _first")
         .selectExpr(
@@ -111,12 +108,31 @@ def percentiles_of_counts(
         )
     )
 
-    def interpolated(rank: str) -> str:
-        low = f"try_element_at(_at, cast(floor({rank}) AS bigint))"
-        high = f"try_element_at(_at, cast(ceil({rank}) AS bigint))"
-        return f"{low} + ({high} - {low}) * ({rank} - floor({rank}))"
 
-    return per_key.selectExpr(*keys, *[f"{interpolated(r)} AS {n}" for r, n in zip(ranks, names)])
+def values_at_ranks(
+    counts: DataFrame, keys: Sequence[str], ranks: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """The values at zero-based ranks (SQL, may use the keys), NULL beyond the last row."""
+    at = _at_ranks(counts, keys, ranks)
+    return at.selectExpr(*keys, *[f"try_element_at(_at, cast({r} AS bigint)) AS {n}" for r, n in zip(ranks, names)])
+
+
+def percentiles_of_counts(
+    counts: DataFrame, keys: Sequence[str], probabilities: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    """Exact, linearly interpolated percentiles of ``(keys, value, n)`` counts.
+
+    One row per key with a column per name.
+    """
+    places = [f"({float(p)!r}D * (_total - 1))" for p in probabilities]
+    at = _at_ranks(counts, keys, [f"{side}({p})" for p in places for side in ("floor", "ceil")])
+
+    def interpolated(place: str) -> str:
+        low = f"try_element_at(_at, cast(floor({place}) AS bigint))"
+        high = f"try_element_at(_at, cast(ceil({place}) AS bigint))"
+        return f"{low} + ({high} - {low}) * ({place} - floor({place}))"
+
+    return at.selectExpr(*keys, *[f"{interpolated(p)} AS {n}" for p, n in zip(places, names)])
 
 
 def exact_percentiles(

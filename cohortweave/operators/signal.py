@@ -19,55 +19,63 @@ from cohortweave.functions.ordering import exact_percentiles
 RECORDING = ["patient_id", "recording_id"]
 # Samples per window segment of the difference operator.
 SEGMENT = 65_536
-# Longest channel that one task transforms at once (512 MiB of doubles).
-MAX_TRANSFORM_SAMPLES = 1 << 26
 
 _FINITE = "(value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('infinity'))"
 
 
+def _channels(samples: DataFrame, config: SignalConfig) -> DataFrame:
+    return samples if config.channel_limit is None else samples.filter(f"channel < {int(config.channel_limit)}")
+
+
+def _in_time(config: SignalConfig) -> str:
+    if not config.max_seconds:
+        return "true"
+    return f"sample_idx < cast(floor({float(config.max_seconds)}D * sfreq) AS bigint)"
+
+
 def kept_samples(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
     """The first channels and seconds that the settings allow; 0 or None means no limit."""
-    if config.channel_limit is not None:
-        samples = samples.filter(f"channel < {int(config.channel_limit)}")
-    if config.max_seconds:
-        samples = samples.filter(f"sample_idx < cast(floor({float(config.max_seconds)}D * sfreq) AS bigint)")
-    return samples
+    return _channels(samples, config).filter(_in_time(config))
 
 
-def recording_shape(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
-    """Path, analysed duration, sampling rate and channel count per recording.
+def recording_moments(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
+    """Shape, moments and quality of each recording in one aggregation.
 
-    ``truncated`` tells that the recording was longer than the configured maximum.
+    Moments are over all finite kept samples (NULL when there are none); missing
+    samples stay in the denominator of the quality shares. ``truncated`` tells that
+    the recording was longer than the configured maximum.
     """
-    limited = samples if config.channel_limit is None else samples.filter(f"channel < {int(config.channel_limit)}")
-    shape = limited.groupBy(*RECORDING).agg(
-        F.expr("max(edf_path) AS edf_path"),
-        F.expr("max(sfreq) AS sampling_frequency_hz"),
-        F.expr("(max(sample_idx) + 1) / max(sfreq) AS duration"),
-        # Channels are numbered from zero without gaps.
-        F.expr("cast(max(channel) + 1 AS bigint) AS channel_count"),
-    )
     limit = f"{float(config.max_seconds)}D" if config.max_seconds else "duration"
-    return shape.selectExpr(
-        *RECORDING,
-        "edf_path",
-        f"least(duration, {limit}) AS recording_duration_seconds",
-        "sampling_frequency_hz",
-        "channel_count",
-        f"duration > {limit} AS truncated",
-    )
-
-
-def amplitude(kept: DataFrame) -> DataFrame:
-    """Moments over all finite samples of a recording; all NULL when there are none."""
     return (
-        kept.filter(_FINITE)
+        _channels(samples, config)
+        .selectExpr(
+            *RECORDING,
+            "edf_path",
+            "channel",
+            "sample_idx",
+            "sfreq",
+            f"{_in_time(config)} AS kept",
+            f"CASE WHEN {_in_time(config)} THEN value END AS value",
+        )
+        .selectExpr("*", f"CASE WHEN {_FINITE} THEN value END AS good")
         .groupBy(*RECORDING)
         .agg(
-            F.expr("avg(value) AS mean_signal_amplitude"),
-            F.expr("stddev_pop(value) AS std_signal_amplitude"),
-            F.expr("avg(abs(value)) AS signal_abs_mean"),
-            F.expr("sqrt(avg(value * value)) AS signal_rms"),
+            F.expr("max(edf_path) AS edf_path"),
+            F.expr("max(sfreq) AS sampling_frequency_hz"),
+            F.expr("coalesce((max(sample_idx) + 1) / nullif(max(sfreq), 0), 0.0D) AS duration"),
+            # Channels are numbered from zero without gaps.
+            F.expr("cast(max(channel) + 1 AS bigint) AS channel_count"),
+            F.expr("avg(good) AS mean_signal_amplitude"),
+            F.expr("stddev_pop(good) AS std_signal_amplitude"),
+            F.expr("avg(abs(good)) AS signal_abs_mean"),
+            F.expr("sqrt(avg(good * good)) AS signal_rms"),
+            F.expr("coalesce(count(good) / nullif(count_if(kept), 0), 0.0D) AS finite_sample_fraction"),
+            F.expr("coalesce(count_if(value = 0) / nullif(count_if(kept), 0), 0.0D) AS zero_sample_fraction"),
+        )
+        .selectExpr(
+            "*",
+            f"least(duration, {limit}) AS recording_duration_seconds",
+            f"duration > {limit} AS truncated",
         )
     )
 
@@ -106,14 +114,6 @@ def line_length(kept: DataFrame) -> DataFrame:
     )
 
 
-def quality(kept: DataFrame) -> DataFrame:
-    """Share of finite and of zero samples; missing samples stay in the denominator."""
-    return kept.groupBy(*RECORDING).agg(
-        F.expr(f"count_if({_FINITE}) / count(1) AS finite_sample_fraction"),
-        F.expr("count_if(value = 0) / count(1) AS zero_sample_fraction"),
-    )
-
-
 # --- spectrum --------------------------------------------------------------------------------
 
 _CHANNEL_POWER = T.StructType(
@@ -194,14 +194,13 @@ FREQUENCY_COLUMNS = ("spectral_power_mean", *(f"bandpower_{name}_mean" for name,
 def recording_features(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
     """One row per recording with the feature groups that are switched on."""
     kept = kept_samples(samples, config)
-    features = recording_shape(samples, config)
+    features = recording_moments(samples, config)
     columns = ["recording_duration_seconds", "sampling_frequency_hz", "channel_count"]
     if config.amplitude:
-        for part in (amplitude(kept), median_amplitude(kept), line_length(kept)):
-            features = features.join(part, RECORDING, "left")
+        features = features.join(median_amplitude(kept), RECORDING, "left")
+        features = features.join(line_length(kept), RECORDING, "left")
         columns += AMPLITUDE_COLUMNS
     if config.quality:
-        features = features.join(quality(kept), RECORDING, "left").fillna(0.0, list(QUALITY_COLUMNS))
         columns += QUALITY_COLUMNS
     if config.frequency:
         features = features.join(spectral_features(channel_power(kept)), RECORDING, "left")
@@ -211,7 +210,7 @@ def recording_features(samples: DataFrame, config: SignalConfig = SignalConfig()
 
 def truncation_notes(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
     """Recordings that were cut to the configured maximum."""
-    return recording_shape(samples, config).filter("truncated").selectExpr(
+    return recording_moments(samples, config).filter("truncated").selectExpr(
         *RECORDING, "edf_path", "'recording was truncated to configured max_seconds' AS note"
     )
 
