@@ -20,8 +20,13 @@ def strip(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    """Every run of whitespace inside the text becomes one space."""
-    return F.regexp_replace(F.translate(strip(text), WHITESPACE, " " * len(WHITESPACE)), " {2,}", " ")
+    """Trimmed text in which every run of whitespace is one space.
+
+    Pure ASCII text takes the cheaper way, without the character table.
+    """
+    plain = F.regexp_replace(text, r"[\s\x1c-\x1f]+", " ")
+    mapped = F.regexp_replace(F.translate(text, WHITESPACE, " " * len(WHITESPACE)), " {2,}", " ")
+    return F.trim(F.when(F.octet_length(text) == F.char_length(text), plain).otherwise(mapped))
 
 
 def has_whitespace(tokens: Iterable[str]) -> bool:

@@ -49,15 +49,22 @@ def diagnosis_records(
 ) -> DataFrame:
     """Diagnosis rows with both code tests evaluated once and both times parsed."""
     code = _text(diagnoses, columns.diagnosis_code)
-    key = tx.code_key(code)
-    return _known_patients(diagnoses, columns).select(
+    # The key has its own projection, so that it is computed once for all prefixes.
+    keyed = _known_patients(diagnoses, columns).select(
         F.col(columns.patient_id).cast("string").alias("patient_id"),
         code.alias("diagnosis_code"),
-        tx.has_code_prefix(key, rules.epilepsy_prefixes).alias("is_epilepsy"),
-        tx.has_code_prefix(key, rules.seizure_prefixes).alias("is_seizure"),
+        tx.code_key(code).alias("_key"),
         as_time(diagnoses, columns.diagnosis_time, columns.time_formats).alias("diagnosis_time"),
         as_time(diagnoses, columns.encounter_time, columns.time_formats).alias("encounter_time"),
     )
+    return keyed.select(
+        "patient_id",
+        "diagnosis_code",
+        tx.has_code_prefix(F.col("_key"), rules.epilepsy_prefixes).alias("is_epilepsy"),
+        tx.has_code_prefix(F.col("_key"), rules.seizure_prefixes).alias("is_seizure"),
+        "diagnosis_time",
+        "encounter_time",
+    )
 
 
 def medication_records(
@@ -69,16 +76,24 @@ def medication_records(
     # Collapsing whitespace can only matter to tokens that contain some.
     if tx.has_whitespace([*rules.medication_patterns, *(t for _, ts in rules.medication_aliases for t in ts)]):
         plain = tx.collapse_whitespace(plain)
-    return _known_patients(medications, columns).select(
+    # The plain text has its own projection, so that it is computed once for all tokens.
+    texts = _known_patients(medications, columns).select(
         F.col(columns.patient_id).cast("string").alias("patient_id"),
         name.alias("medication_name"),
-        tx.canonical_name(plain, rules.medication_patterns, rules.medication_aliases).alias(
-            "normalized_medication_name"
-        ),
+        plain.alias("_plain"),
         as_time(medications, columns.medication_start, columns.time_formats).alias("start_time"),
         as_time(medications, columns.medication_end, columns.time_formats).alias("end_time"),
         _text(medications, columns.medication_source).alias("source"),
     )
+    canonical = tx.canonical_name(F.col("_plain"), rules.medication_patterns, rules.medication_aliases)
+    return texts.select(
+        "patient_id",
+        "medication_name",
+        canonical.alias("normalized_medication_name"),
+        "start_time",
+        "end_time",
+        "source",
+    )
 
 
 def event_records(events: DataFrame, columns: ColumnMap = DEFAULT_COLUMNS) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,17 +189,17 @@ def folder_validation(spark: SparkSession, d: str) -> DataFrame:
 _LINE = T.StructType([T.StructField("line_no", T.LongType()), T.StructField("n_chars", T.LongType())])
 
 
-def _decode_lines(content: bytes) -> Iterator[pd.DataFrame]:
+def _decode_lines(content: bytes) -> Iterator[dict[str, list]]:
     """Line lengths of a text; one without a line break is refused."""
     lines = content.decode("utf-8").split("\n")
     if len(lines) < 2:
         raise ValueError("text has a single line")
-    yield pd.DataFrame({"line_no": range(len(lines)), "n_chars": [len(line) for line in lines]})
+    yield {"line_no": list(range(len(lines))), "n_chars": [len(line) for line in lines]}
 
 
 def decoded_documents(spark: SparkSession, d: str) -> DataFrame:
     texts = v.table(spark, d, "documents").selectExpr("doc_id", "encode(text, 'utf-8') AS content")
-    return decode.decode(texts, ["doc_id"], _decode_lines, _LINE)
+    return decode.decode_to(texts, ["doc_id"], _decode_lines, _LINE, fresh_path(spark, "decoded"))
 
 
 @register(

@@ -1,21 +1,24 @@
 """Decode many binary files into long rows; a bad file becomes an error row.
 
-A decoder is a function ``(content: bytes) -> iterator of pandas frames`` whose
-columns are the data columns. It yields in pieces, so a worker holds one piece at a
-time, and its failure never ends the job.
+A decoder is a function ``(content: bytes) -> iterator of column dictionaries``:
+each dictionary maps the data columns to equally long arrays. It yields in pieces,
+so a worker holds a bounded number of rows, and its failure never ends the job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-Decoder = Callable[[bytes], Iterator[pd.DataFrame]]
+Decoder = Callable[[bytes], Iterator[Mapping[str, Sequence]]]
 ERROR_FIELDS = [T.StructField("error_type", T.StringType()), T.StructField("error_message", T.StringType())]
+# Decoded rows per Arrow batch handed back to Spark.
+BATCH_ROWS = 65_536
 
 
 def read_contents(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -37,20 +40,49 @@ def decode(files: DataFrame, keys: Sequence[str], decoder: Decoder, data: T.Stru
     """
     keys = list(keys)
     schema = T.StructType([files.schema[k] for k in keys] + list(data.fields) + ERROR_FIELDS)
-    names = [f.name for f in schema]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(schema)
+    data_names = [f.name for f in data]
+
+    def table(record: dict, columns: Mapping[str, Sequence], rows: int, error: Exception | None = None) -> pa.Table:
+        fixed = {**record, "error_type": error and type(error).__name__, "error_message": error and str(error)}
+        arrays = []
+        for f in arrow:
+            if f.name in columns:
+                arrays.append(pa.array(columns[f.name], type=f.type))
+            else:
+                arrays.append(pa.repeat(pa.scalar(fixed.get(f.name), type=f.type), rows))
+        return pa.Table.from_arrays(arrays, schema=arrow)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
-            for record in batch.to_dict("records"):
-                content = record.pop("content")
+            for i in range(batch.num_rows):
+                record = {k: batch.column(k)[i].as_py() for k in keys}
                 try:
-                    for piece in decoder(bytes(content)):
-                        yield piece.assign(**record, error_type=None, error_message=None)[names]
+                    for columns in decoder(batch.column("content")[i].as_py()):
+                        yield table(record, columns, len(columns[data_names[0]]))
                 except Exception as error:  # any decoder failure belongs to the error table
-                    failed = {**record, "error_type": type(error).__name__, "error_message": str(error)}
-                    yield pd.DataFrame([failed]).reindex(columns=names)
-
-    return files.select(*keys, "content").mapInPandas(run, schema)
+                    yield table(record, {}, 1, error)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = 0
+        for piece in pieces(batches):
+            held.append(piece)
+            rows += piece.num_rows
+            if rows >= BATCH_ROWS:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    return files.select(*keys, "content").mapInArrow(run, schema)
+
+
+def decode_to(files: DataFrame, keys: Sequence[str], decoder: Decoder, data: T.StructType, path: str) -> DataFrame:
+    """Decode once into Parquet at ``path`` and return the stored rows."""
+    decoded = decode(files, keys, decoder, data)
+    decoded.write.mode("overwrite").parquet(path)
+    return files.sparkSession.read.schema(decoded.schema).parquet(path)
 
 
 def decoded_rows(decoded: DataFrame, keys: Sequence[str]) -> DataFrame:
