@@ -2,10 +2,9 @@
 
 The three tables meet in one partial-aggregated group-by on the patient id. Raw
 rows cross the network only for the time comparison against the second-medication
-start. No grouping on the patient id follows that join without an exchange of its
-own, so adaptive execution is free to split a heavy patient's partition. Record
-lists (schedules, burden events) stay long tables keyed by patient: nothing
-collects one patient's rows into one place.
+start, where the lookup join spreads heavy patients. Record lists (schedules,
+burden events) stay long tables keyed by patient: nothing collects one patient's
+rows into one place.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.config import ColumnMap, EvidenceRules
 from cohortweave.functions import text as tx
+from cohortweave.functions.skew import lookup_join
 from cohortweave.functions.times import as_time
 from cohortweave.schemas import TIME
 
@@ -217,7 +217,7 @@ def burden_events(
         fallback = _fallback_records(diagnosis_records(diagnoses, columns, rules))
         if parts:
             covered = recorded.select("patient_id").distinct()
-            fallback = fallback.join(covered, "patient_id", "left_anti")
+            fallback = lookup_join(fallback, covered, ["patient_id"], "left_anti")
         parts.append(fallback)
     if not parts:
         raise ValueError("burden_events needs an event table or a coded diagnosis table.")
@@ -227,7 +227,7 @@ def burden_events(
     anchors = second_medication_anchor(medications, columns, rules).drop("second_medication")
     after = F.col("event_time") >= F.col("second_asm_start_time")
     return (
-        rows.join(anchors, "patient_id", "left")
+        lookup_join(rows, anchors, ["patient_id"])
         .withColumn("is_post_second_asm", F.coalesce(after, F.lit(False)))
         .drop("second_asm_start_time")
     )
@@ -319,7 +319,8 @@ def patient_facts(
                 "patient_id", "start_time AS anchor"
             )
             timed = reduce(DataFrame.union, points).filter("time IS NOT NULL")
-            parts.append(_facts(timed.join(anchors, "patient_id").filter("time >= anchor"), _POINT_FACTS))
+            after = lookup_join(timed, anchors, ["patient_id"], "inner").filter("time >= anchor")
+            parts.append(_facts(after, _POINT_FACTS))
     if not parts:
         raise ValueError("No table with a patient identifier column was provided.")
     merged = []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.config import LinkageConfig
 from cohortweave.functions import text as tx
+from cohortweave.functions.skew import lookup_join
 
 MATCHED, UNMATCHED, AMBIGUOUS = "matched", "unmatched", "ambiguous"
 _STATUS, _KEY, _METHOD, _NOTE = "_match_status", "_source_key", "_match_method", "_match_note"
@@ -50,10 +51,8 @@ def _check_source(df: DataFrame, config: LinkageConfig) -> None:
 def link_with_mapping(df: DataFrame, config: LinkageConfig, mapping: DataFrame | Mapping[str, str]) -> DataFrame:
     """``df`` with match columns, by an explicit mapping.
 
-    The join is an ordinary equi-join on the normalised key: Spark broadcasts the
-    mapping when its measured size allows and otherwise shuffles both sides, where
-    adaptive execution splits a heavy key. Rows without an identifier never match,
-    so they carry a spread-out stand-in key instead of meeting in one partition.
+    Heavy source ids are spread by the lookup join. Rows without an identifier never
+    match, so they carry a spread-out stand-in key instead of meeting in one partition.
     """
     _check_source(df, config)
     keys = normalized_mapping(mapping_frame(df, mapping), config.mode)
@@ -61,9 +60,9 @@ def link_with_mapping(df: DataFrame, config: LinkageConfig, mapping: DataFrame |
     plain = [f"`{c}`" for c in df.columns if c != config.output_id or c == config.source_id]
     # A normalised key has no whitespace at its ends, so this stand-in cannot collide.
     spread = f"coalesce({_KEY}, concat(' ', xxhash64({', '.join(f'`{c}`' for c in df.columns)})))"
+    facts = keyed.withColumn("_join_key", F.expr(spread))
     return (
-        keyed.withColumn("_join_key", F.expr(spread))
-        .join(keys.withColumnRenamed(_KEY, "_join_key"), "_join_key", "left")
+        lookup_join(facts, keys.withColumnRenamed(_KEY, "_join_key"), ["_join_key"])
         .selectExpr(
             *plain,
             f"CASE WHEN NOT _conflicting THEN _canonical END AS `{_OUT}`",

@@ -123,28 +123,19 @@ def cooccurrence(voxels: DataFrame, slices: DataFrame, config: VolumeConfig = Vo
     """Directed co-occurrence counts ``(subject_id, z, i, j, n)`` of neighbours along y.
 
     Both neighbours must be foreground. The window runs over one image row. Levels
-    are computed in single precision, the precision of the volumes.
+    are computed in single precision, the precision of the volumes. The few slice rows
+    are repeated per salt of x, so that one large slice is spread over many tasks.
     """
     scaled = "cast((cast(value AS float) - cast(low AS float)) / cast(high - low AS float) AS float)"
     level = f"least(greatest({scaled}, float(0)), float(1)) * float({int(config.levels) - 1})"
+    row = "OVER (PARTITION BY subject_id, z, _salt, x ORDER BY y)"
     return (
-        voxels.join(slices, ["subject_id", "z"])
-        .filter(f"{_FINITE} AND value > threshold")
-        .selectExpr(
-            "subject_id",
-            "z",
-            "x",
-            "y",
-            f"cast(floor({level}) AS int) AS i",
-        )
-        .selectExpr(
-            "subject_id",
-            "z",
-            "y",
-            "i",
-            "lead(y) OVER (PARTITION BY subject_id, z, x ORDER BY y) AS next_y",
-            "lead(i) OVER (PARTITION BY subject_id, z, x ORDER BY y) AS j",
-        )
+        voxels.filter(_FINITE)
+        .selectExpr("subject_id", "x", "y", "z", "value", f"pmod(x, {SALTS}) AS _salt")
+        .join(slices.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS _salt"), ["subject_id", "z", "_salt"])
+        .filter("value > threshold")
+        .selectExpr("subject_id", "z", "_salt", "x", "y", f"cast(floor({level}) AS int) AS i")
+        .selectExpr("subject_id", "z", "y", "i", f"lead(y) {row} AS next_y", f"lead(i) {row} AS j")
         .filter("next_y = y + 1")
         .groupBy("subject_id", "z", "i", "j")
         .agg(F.expr("count(1) AS n"))

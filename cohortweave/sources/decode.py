@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from cohortweave.functions.skew import lookup_join
+
 Decoder = Callable[[bytes], Iterator[Mapping[str, Sequence]]]
 ERROR_FIELDS = [T.StructField("error_type", T.StringType()), T.StructField("error_message", T.StringType())]
 # Decoded rows per Arrow batch handed back to Spark.
@@ -89,7 +91,7 @@ def decoded_rows(decoded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Data rows of files that decoded to the end; a file that failed half-way is left out."""
     rows = decoded.filter("error_type IS NULL").drop("error_type", "error_message")
     failed = decoded.filter("error_type IS NOT NULL").select(*keys).distinct()
-    return rows.join(failed, list(keys), "left_anti")
+    return lookup_join(rows, failed, keys, "left_anti")
 
 
 def decode_errors(decoded: DataFrame, keys: Sequence[str]) -> DataFrame:

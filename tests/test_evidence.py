@@ -249,3 +249,25 @@ def test_same_result_as_brute_force(spark):
         assert row.second_asm_start_time == anchor
         assert row.post_second_asm_event_count == len(after)
         assert row.first_post_second_asm_event_time == (min(after) if after else None)
+
+
+def test_heavy_keys_are_spread_without_changing_results(spark, monkeypatch):
+    from cohortweave.functions import skew
+
+    facts = spark.range(900).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id % 50) END AS k", "id % 7 AS v"
+    )
+    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, w int")
+
+    def rows(how):
+        return sorted(map(str, skew.lookup_join(facts, lookup, ["k"], how).collect()))
+
+    plain = {how: rows(how) for how in ("left", "inner", "left_anti")}
+    monkeypatch.setattr(skew, "HEAVY_MIN_ROWS", 50)
+    assert {r["_heavy_k"] for r in skew.heavy_keys(facts, ["k"]).collect()} == {"hot", None}
+    for how in plain:
+        expected = sorted(map(str, facts.join(lookup, "k", how).collect()))
+        assert rows(how) == plain[how] == expected
+    # The heavy key's rows really meet the lookup in several groups.
+    joined = skew.lookup_join(facts.withColumn("u", skew.F.expr("uuid()")), lookup, ["k"], "inner")
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
