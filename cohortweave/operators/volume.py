@@ -58,7 +58,7 @@ def foreground_counts(voxels: DataFrame, config: VolumeConfig = VolumeConfig())
         counts, ["subject_id"], [config.foreground_percentile / 100.0], ["threshold"]
     )
     above = (
-        counts.selectExpr("*", f"pmod(xxhash64(value), {SALTS}) AS _salt")
+        counts.selectExpr("*", f"coalesce(pmod(xxhash64(value), {SALTS}), 0) AS _salt")
         .join(thresholds.selectExpr("*", f"explode(sequence(0L, {SALTS - 1}L)) AS _salt"), ["subject_id", "_salt"])
         .filter("value > threshold")
         .drop("_salt")
@@ -91,6 +91,15 @@ def intensity_summary(foreground: DataFrame) -> DataFrame:
     )
 
 
+def texture_limits(thresholds: DataFrame, intensities: DataFrame) -> DataFrame:
+    """``(subject_id, threshold, low, high)`` per subject with any foreground."""
+    # Reading the count keeps every use of the value counts the same plan.
+    bounds = intensities.filter("foreground_voxel_count > 0").selectExpr(
+        "subject_id", "t1_intensity_min AS low", "t1_intensity_max AS high"
+    )
+    return thresholds.join(bounds, "subject_id")
+
+
 def texture_slices(voxels: DataFrame, limits: DataFrame, config: VolumeConfig = VolumeConfig()) -> DataFrame:
     """The slices used for texture: the middle ones among slices with any foreground.
 
@@ -131,7 +140,7 @@ def cooccurrence(voxels: DataFrame, slices: DataFrame, config: VolumeConfig = Vo
     row = "OVER (PARTITION BY subject_id, z, _salt, x ORDER BY y)"
     return (
         voxels.filter(_FINITE)
-        .selectExpr("subject_id", "x", "y", "z", "value", f"pmod(x, {SALTS}) AS _salt")
+        .selectExpr("subject_id", "x", "y", "z", "value", f"coalesce(pmod(x, {SALTS}), 0) AS _salt")
         .join(slices.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS _salt"), ["subject_id", "z", "_salt"])
         .filter("value > threshold")
         .selectExpr("subject_id", "z", "_salt", "x", "y", f"cast(floor({level}) AS int) AS i")
@@ -205,9 +214,7 @@ def volume_features(
     shapes = geometry(voxels, headers)
     foreground, thresholds = foreground_counts(voxels, config)
     intensities = intensity_summary(foreground)
-    limits = thresholds.join(
-        intensities.selectExpr("subject_id", "t1_intensity_min AS low", "t1_intensity_max AS high"), "subject_id"
-    )
+    limits = texture_limits(thresholds, intensities)
     features = (
         shapes.join(intensities, "subject_id", "left")
         .join(texture(voxels, limits, config), "subject_id", "left")

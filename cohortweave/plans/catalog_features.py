@@ -272,10 +272,7 @@ def volume_intensity(spark: SparkSession, d: str) -> DataFrame:
 
 def _limits(spark: SparkSession, d: str) -> DataFrame:
     foreground, thresholds = volume.foreground_counts(v.voxels(spark, d), _VOLUME)
-    bounds = volume.intensity_summary(foreground).selectExpr(
-        "subject_id", "t1_intensity_min AS low", "t1_intensity_max AS high"
-    )
-    return thresholds.join(bounds, "subject_id")
+    return volume.texture_limits(thresholds, volume.intensity_summary(foreground))
 
 
 @register("volume_slices", _volume_sql("SELECT subject_id, z FROM slices"))
