@@ -15,10 +15,14 @@ from pyspark.sql import types as T
 
 from cohortweave.config import BANDS, SignalConfig
 from cohortweave.functions.ordering import exact_percentiles
+from cohortweave.functions.skew import lookup_join
 
 RECORDING = ["patient_id", "recording_id"]
 # Samples per window segment of the difference operator.
 SEGMENT = 65_536
+# Without a time limit, longer channels are transformed in two distributed passes.
+LONG_CHANNEL = 1 << 22
+MIN_FACTOR = 64
 
 _FINITE = "(value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('infinity'))"
 
@@ -140,8 +144,17 @@ _ARROW_POWER = pa.schema(
 )
 
 
+def _band_sums(key: tuple, power: np.ndarray, hertz: np.ndarray) -> pa.Table:
+    """One output row: power sums and bin counts of a channel's bins, total and per band."""
+    row = [*key, float(power.sum()), power.size]
+    for _, low, high in BANDS:
+        inside = (hertz >= low) & (hertz < high)
+        row += [float(power[inside].sum()), int(inside.sum())]
+    return pa.table({name: [cell] for name, cell in zip(_CHANNEL_POWER.names, row)}, schema=_ARROW_POWER)
+
+
 def _channel_power(key: tuple, samples: pa.Table) -> pa.Table:
-    """Sums of squared spectrum and bin counts of one channel, total and per band."""
+    """Whole transform of one channel."""
     index = samples["sample_idx"].to_numpy()
     values = samples["value"].to_numpy()
     rate = float(samples["sfreq"][0].as_py())
@@ -151,24 +164,93 @@ def _channel_power(key: tuple, samples: pa.Table) -> pa.Table:
     if rate > 0:
         power = np.abs(np.fft.rfft(signal)) ** 2
         hertz = np.fft.rfftfreq(signal.size, d=1.0 / rate)
-    row = [part.as_py() for part in key] + [float(power.sum()), power.size]
-    for _, low, high in BANDS:
-        inside = (hertz >= low) & (hertz < high)
-        row += [float(power[inside].sum()), int(inside.sum())]
-    return pa.table({name: [cell] for name, cell in zip(_CHANNEL_POWER.names, row)}, schema=_ARROW_POWER)
+    return _band_sums(tuple(part.as_py() for part in key), power, hertz)
 
 
-def channel_power(kept: DataFrame) -> DataFrame:
+def channel_power(kept: DataFrame, bounded: bool = True) -> DataFrame:
     """Spectral sums per channel.
 
-    This is the one step that needs Python: a whole kept channel is transformed in
-    one task and leaves one row. ``max_seconds`` bounds the channel length.
+    This is the one step that needs Python: a kept channel is transformed in one task
+    and leaves one row. ``bounded`` states that ``max_seconds`` limits the channels;
+    without a limit, channels longer than ``LONG_CHANNEL`` samples are transformed in
+    two distributed passes instead.
+    """
+    needed = kept.select(*RECORDING, "channel", "sample_idx", "value", "sfreq")
+    if bounded:
+        return needed.groupBy(*RECORDING, "channel").applyInArrow(_channel_power, _CHANNEL_POWER)
+    channel = [*RECORDING, "channel"]
+    long = long_channels(needed)
+    short = lookup_join(needed, long.select(*channel), channel, "left_anti")
+    return channel_power(short).unionByName(_long_channel_power(lookup_join(needed, long, channel, "inner")))
+
+
+def long_channels(kept: DataFrame) -> DataFrame:
+    """Channels to transform in two passes, with their length as ``rows`` x ``columns``.
+
+    A length without a factor of at least ``MIN_FACTOR`` cannot be laid out as a table
+    and stays with the whole transform.
     """
     return (
-        kept.select(*RECORDING, "channel", "sample_idx", "value", "sfreq")
-        .groupBy(*RECORDING, "channel")
-        .applyInArrow(_channel_power, _CHANNEL_POWER)
+        kept.groupBy(*RECORDING, "channel")
+        .agg(F.expr("max(sample_idx) + 1 AS length"))
+        .filter(f"length > {LONG_CHANNEL}")
+        .selectExpr(
+            *RECORDING,
+            "channel",
+            "length",
+            "array_max(filter(sequence(1L, cast(sqrt(length) AS bigint)), d -> length % d = 0)) AS rows",
+        )
+        .filter(f"rows >= {MIN_FACTOR}")
+        .withColumn("columns", F.expr("length div rows"))
+    )
+
+
+_PARTIAL = """patient_id string, recording_id string, channel int, length bigint, rows bigint, columns bigint,
+              sfreq double, place bigint, bin bigint, re double, im double"""
+
+
+def _column_transform(key: tuple, samples: pa.Table) -> pa.Table:
+    """Transform one column of the sample table and turn it by its place."""
+    patient, recording, channel, place = (part.as_py() for part in key)
+    length, rows, columns = (samples[n][0].as_py() for n in ("length", "rows", "columns"))
+    values = samples["value"].to_numpy()
+    column = np.zeros(rows)
+    column[samples["line"].to_numpy()] = np.where(np.isfinite(values), values, 0.0)
+    bins = np.arange(rows)
+    turned = np.fft.fft(column) * np.exp(-2j * np.pi * ((place * bins) % length) / length)
+    fixed = (patient, recording, channel, length, rows, columns, samples["sfreq"][0].as_py(), place)
+    names = ("patient_id", "recording_id", "channel", "length", "rows", "columns", "sfreq", "place")
+    types = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+    table = {n: pa.repeat(pa.scalar(v, type=t), rows) for n, v, t in zip(names, fixed, types)}
+    return pa.table({**table, "bin": bins, "re": turned.real, "im": turned.imag})
+
+
+def _row_power(key: tuple, partial: pa.Table) -> pa.Table:
+    """Transform one row of partial bins: every ``rows``-th frequency of the channel."""
+    patient, recording, channel, first = (part.as_py() for part in key)
+    length, rows, columns = (partial[n][0].as_py() for n in ("length", "rows", "columns"))
+    line = np.zeros(columns, dtype=complex)
+    line[partial["place"].to_numpy()] = partial["re"].to_numpy() + 1j * partial["im"].to_numpy()
+    frequency = first + rows * np.arange(columns)
+    kept = frequency <= length // 2
+    power = np.abs(np.fft.fft(line)[kept]) ** 2
+    return _band_sums((patient, recording, channel), power, frequency[kept] * (partial["sfreq"][0].as_py() / length))
+
+
+def _long_channel_power(samples: DataFrame) -> DataFrame:
+    """Exact transform of long channels with groups of about the root of their length.
+
+    The samples of a channel are laid out row by row in a table. One pass transforms
+    each column, the next each row of the turned results; each row leaves the sums of
+    its own frequencies.
+    """
+    partial = (
+        samples.filter("sfreq > 0")
+        .selectExpr("*", "sample_idx % columns AS place", "sample_idx div columns AS line")
+        .groupBy(*RECORDING, "channel", "place")
+        .applyInArrow(_column_transform, _PARTIAL)
     )
+    return partial.groupBy(*RECORDING, "channel", "bin").applyInArrow(_row_power, _CHANNEL_POWER)
 
 
 def spectral_features(power: DataFrame) -> DataFrame:
@@ -203,7 +285,7 @@ def recording_features(samples: DataFrame, config: SignalConfig = SignalConfig()
     if config.quality:
         columns += QUALITY_COLUMNS
     if config.frequency:
-        features = features.join(spectral_features(channel_power(kept)), RECORDING, "left")
+        features = features.join(spectral_features(channel_power(kept, bool(config.max_seconds))), RECORDING, "left")
         columns += FREQUENCY_COLUMNS
     return features.select("patient_id", "edf_path", *columns)
 

@@ -260,3 +260,28 @@ def test_running_totals(spark):
             total += w
         for r in ordering.running_totals(df, ["key"], ["n"], descending).collect():
             assert r.n_before == before[r.value] and r.n_total == total
+
+
+def test_long_channels_in_two_passes(spark, monkeypatch):
+    """Without a time limit, long channels give the same spectrum as one transform."""
+    rng = np.random.default_rng(9)
+    recordings = {
+        ("p", "long"): rng.normal(size=(2, 600)),
+        ("p", "odd"): rng.normal(size=(1, 15 * 21)),
+        ("p", "prime"): rng.normal(size=(1, 211)),
+        ("p", "short"): rng.normal(size=(1, 40)),
+    }
+    recordings[("p", "long")][0, 7] = np.nan
+    monkeypatch.setattr(signal, "LONG_CHANNEL", 100)
+    monkeypatch.setattr(signal, "MIN_FACTOR", 4)
+    samples = sample_frame(spark, recordings, 200.0)
+    long = {(r.recording_id, r.rows, r["columns"]) for r in signal.long_channels(samples).collect()}
+    assert long == {("long", 24, 25), ("odd", 15, 21)}
+    config = SignalConfig(max_seconds=None, amplitude=False, quality=False)
+    rows = signal.recording_features(samples, config).collect()
+    assert len(rows) == 4
+    for row in rows:
+        expected = expected_signal(recordings[("p", row.edf_path.split("/")[-1].removesuffix(".edf"))], 200.0)
+        for name in signal.FREQUENCY_COLUMNS:
+            value = expected[name]
+            assert row[name] == (None if value is None else pytest.approx(value, rel=1e-9)), name
