@@ -172,8 +172,29 @@ def load_metadata(df: DataFrame, info: LoadInfo) -> DataFrame:
     )
 
 
+def numeric_where_possible(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Turn text columns whose values are all numbers into numbers; one scan decides.
+
+    Columns in ``keep`` (identifiers) stay text, and so do columns without any value.
+    """
+    chosen = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in keep]
+    if not chosen:
+        return df
+    tests = [
+        F.expr(f"count(`{c}`) > 0 AND count(`{c}`) = count(try_cast(`{c}` AS {kind})) AS `{kind}_{i}`")
+        for i, c in enumerate(chosen)
+        for kind in ("bigint", "double")
+    ]
+    found = df.agg(*tests).first()
+    for i, c in enumerate(chosen):
+        kind = "bigint" if found[f"bigint_{i}"] else "double" if found[f"double_{i}"] else None
+        if kind:
+            df = df.withColumn(c, F.col(f"`{c}`").cast(kind))
+    return df
+
+
 def load_participants(spark: SparkSession, path: str, required: bool = False) -> DataFrame | None:
-    """Tab-separated participant table, or None when it may be absent."""
+    """Tab-separated participant table with numeric columns, or None when it may be absent."""
     try:
         df = _csv_options(spark.read, "\t").csv(path)
     except AnalysisException as error:
@@ -182,7 +203,8 @@ def load_participants(spark: SparkSession, path: str, required: bool = False) ->
         if required:
             raise FileNotFoundError(f"Missing participants file: {path}") from error
         return None
-    return df.select(*[null_if_na(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in df.columns])
+    texts = df.select(*[null_if_na(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in df.columns])
+    return numeric_where_possible(texts, keep=("participant_id", "subject_id"))
 
 
 # --- hospital extracts -----------------------------------------------------------------------
@@ -198,9 +220,12 @@ PRESCRIPTION_EXTRACT = {
 
 
 def rename_extract(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Select and rename; a source column that is absent becomes an empty text."""
+    """Select and rename as text; an absent column or value becomes an empty text."""
     return df.select(
-        *[(F.col(f"`{old}`") if old in df.columns else F.lit("")).alias(new) for old, new in names.items()]
+        *[
+            (F.coalesce(F.col(f"`{old}`").cast("string"), F.lit("")) if old in df.columns else F.lit("")).alias(new)
+            for old, new in names.items()
+        ]
     )
 
 

@@ -98,13 +98,13 @@ def test_image_inventory(spark, tmp_path):
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(b"x")
-    (tmp_path / "participants.tsv").write_text("participant_id\tage\nsub-01\t30\nsub-03\tn/a\n")
+    (tmp_path / "participants.tsv").write_text("participant_id\tage\tsite\nsub-01\t30\ta\nsub-03\tn/a\t1\n")
     people = tables.load_participants(spark, str(tmp_path / "participants.tsv"))
     rows = {r.subject_id: r for r in files.scan_images(spark, str(tmp_path), people).collect()}
     assert set(rows) == {"sub-01", "sub-02", "sub-03"}
     assert rows["sub-01"].t1_path == str(tmp_path / "sub-01/anat/a_T1w.nii.gz")
     assert not rows["sub-02"].has_t1 and not rows["sub-03"].has_t1
-    assert {r.age for r in people.collect()} == {"30", None}
+    assert {(r.age, r.site) for r in people.collect()} == {(30, "a"), (None, "1")}
     check = files.check_images(files.scan_images(spark, str(tmp_path)), "images", "/p", True).first()
     assert check.detail == "subjects=2, t1_files=1, participants_tsv=True"
     assert tables.load_participants(spark, "/nowhere/participants.tsv") is None
@@ -230,7 +230,7 @@ def test_image_job(spark, raw_data, tmp_path):
     given = jobs.ImageInput("mri", f"{root}/mri", codecs.nifti, config=VolumeConfig(levels=8))
     result = jobs.image_job(spark, given, RUN, str(tmp_path))
     rows = {r.subject_id: r for r in result.table.collect()}
-    assert set(rows) == set(volumes) and rows["sub-01"].age == "30"
+    assert set(rows) == set(volumes) and rows["sub-01"].age == 30
     for subject, raw in volumes.items():
         data = raw.astype(np.float32) * 2 + 1
         inside = data[data > np.percentile(data, 20)]
