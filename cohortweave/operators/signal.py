@@ -7,8 +7,11 @@ NULL or NaN.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,41 +147,80 @@ _ARROW_POWER = pa.schema(
 )
 
 
-def _band_sums(key: tuple, power: np.ndarray, hertz: np.ndarray) -> pa.Table:
-    """One output row: power sums and bin counts of a channel's bins, total and per band."""
+def _band_row(key: tuple, power: np.ndarray, hertz: np.ndarray) -> list:
+    """Power sums and bin counts of a channel's bins, total and per band."""
     row = [*key, float(power.sum()), power.size]
     for _, low, high in BANDS:
         inside = (hertz >= low) & (hertz < high)
         row += [float(power[inside].sum()), int(inside.sum())]
-    return pa.table({name: [cell] for name, cell in zip(_CHANNEL_POWER.names, row)}, schema=_ARROW_POWER)
+    return row
 
 
-def _channel_power(key: tuple, samples: pa.Table) -> pa.Table:
-    """Whole transform of one channel."""
-    index = samples["sample_idx"].to_numpy()
-    values = samples["value"].to_numpy()
-    rate = float(samples["sfreq"][0].as_py())
+def _band_batch(rows: list[list]) -> pa.RecordBatch:
+    columns = [pa.array(cells, type=f.type) for cells, f in zip(zip(*rows), _ARROW_POWER)]
+    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_POWER)
+
+
+def _whole_transform(key: tuple, index: np.ndarray, values: np.ndarray, rate: float) -> list:
     signal = np.zeros(int(index.max()) + 1)
     signal[index] = np.where(np.isfinite(values), values, 0.0)
     power, hertz = np.zeros(0), np.zeros(0)
     if rate > 0:
         power = np.abs(np.fft.rfft(signal)) ** 2
         hertz = np.fft.rfftfreq(signal.size, d=1.0 / rate)
-    return _band_sums(tuple(part.as_py() for part in key), power, hertz)
+    return _band_row(key, power, hertz)
+
+
+def _transform_channels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Transform the channels of one partition, which come one after the other.
+
+    Only the parts of the channel at hand are kept between batches.
+    """
+    key, parts = None, []
+
+    def finished() -> list:
+        index, values = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        return _whole_transform(key, index, values, parts[0][2])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = [batch.column(c) for c in (*RECORDING, "channel")]
+        index = batch.column("sample_idx").to_numpy()
+        values = batch.column("value").to_numpy(zero_copy_only=False)
+        rates = batch.column("sfreq").to_numpy(zero_copy_only=False)
+        differs = np.zeros(batch.num_rows - 1, dtype=bool)
+        for column in names:
+            differs |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(differs) + 1).tolist(), batch.num_rows]
+        done = []
+        for start, stop in zip(edges, edges[1:]):
+            current = tuple(column[start].as_py() for column in names)
+            if parts and current != key:
+                done.append(finished())
+                parts = []
+            key = current
+            parts.append((index[start:stop], values[start:stop], float(rates[start])))
+        if done:
+            yield _band_batch(done)
+    if parts:
+        yield _band_batch([finished()])
 
 
 def channel_power(kept: DataFrame, bounded: bool = True) -> DataFrame:
     """Spectral sums per channel.
 
     This is the one step that needs Python: a kept channel is transformed in one task
-    and leaves one row. ``bounded`` states that ``max_seconds`` limits the channels;
-    without a limit, channels longer than ``LONG_CHANNEL`` samples are transformed in
-    two distributed passes instead.
+    and leaves one row. Channels reach Python sorted one after the other, so a call
+    handles many short ones. ``bounded`` states that ``max_seconds`` limits the
+    channels; without a limit, channels longer than ``LONG_CHANNEL`` samples are
+    transformed in two distributed passes instead.
     """
-    needed = kept.select(*RECORDING, "channel", "sample_idx", "value", "sfreq")
-    if bounded:
-        return needed.groupBy(*RECORDING, "channel").applyInArrow(_channel_power, _CHANNEL_POWER)
     channel = [*RECORDING, "channel"]
+    needed = kept.select(*channel, "sample_idx", "value", "sfreq").dropna(subset=channel)
+    if bounded:
+        together = needed.repartition(*channel).sortWithinPartitions(*channel)
+        return together.mapInArrow(_transform_channels, _CHANNEL_POWER)
     long = long_channels(needed)
     short = lookup_join(needed, long.select(*channel), channel, "left_anti")
     return channel_power(short).unionByName(_long_channel_power(lookup_join(needed, long, channel, "inner")))
@@ -234,7 +276,8 @@ def _row_power(key: tuple, partial: pa.Table) -> pa.Table:
     frequency = first + rows * np.arange(columns)
     kept = frequency <= length // 2
     power = np.abs(np.fft.fft(line)[kept]) ** 2
-    return _band_sums((patient, recording, channel), power, frequency[kept] * (partial["sfreq"][0].as_py() / length))
+    hertz = frequency[kept] * (partial["sfreq"][0].as_py() / length)
+    return pa.Table.from_batches([_band_batch([_band_row((patient, recording, channel), power, hertz)])])
 
 
 def _long_channel_power(samples: DataFrame) -> DataFrame:

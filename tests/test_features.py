@@ -285,3 +285,20 @@ def test_long_channels_in_two_passes(spark, monkeypatch):
         for name in signal.FREQUENCY_COLUMNS:
             value = expected[name]
             assert row[name] == (None if value is None else pytest.approx(value, rel=1e-9)), name
+
+
+def test_channels_split_over_batches(spark):
+    """A channel that spans several Arrow batches is put together again."""
+    rng = np.random.default_rng(13)
+    recordings = {(f"p{i % 2}", f"r{i}"): rng.normal(size=(2, 37 + i)) for i in range(5)}
+    samples = sample_frame(spark, recordings, 100.0)
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = signal.channel_power(samples).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+    assert len(rows) == 10
+    for row in rows:
+        power = np.abs(np.fft.rfft(recordings[(row.patient_id, row.recording_id)][row.channel])) ** 2
+        assert row.total_power == pytest.approx(power.sum()) and row.total_bins == power.size
