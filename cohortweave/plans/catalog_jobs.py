@@ -9,6 +9,7 @@ from cohortweave.plans import jobs
 from cohortweave.plans import catalog_evidence as _first  # noqa: F401  (its SQL is reused)
 from cohortweave.plans import views as v
 from cohortweave.plans.registry import ORACLES, register
+from cohortweave.plans.sql_views import EVIDENCE, with_blocks
 from cohortweave.session import fresh_path
 
 RUN = RunContext("run-001", "cohortweave", "jobs", "2025-01-01T00:00:00")
@@ -53,7 +54,21 @@ def signal_job(spark: SparkSession, d: str) -> DataFrame:
     return jobs.signal_job(spark, signal_input(spark, d), RUN, fresh_path(spark, "signal-job")).counts
 
 
-@register("multimodal_job")
+@register(
+    "multimodal_job",
+    with_blocks(
+        (*EVIDENCE, "volume_headers"),
+        """, sides AS (SELECT patient_id AS id, 1 AS ehr, 0 AS rest FROM ids
+                       UNION ALL SELECT subject_id, 0, 1 FROM volume_headers),
+             fused AS (SELECT id, max(ehr) AS ehr, max(rest) AS rest FROM sides GROUP BY id)
+           SELECT count(*) AS row_count, count(*) AS patient_count,
+                  CAST(sum(ehr) AS BIGINT) AS ehr_row_count, CAST(sum(rest) AS BIGINT) AS mri_row_count,
+                  CAST(sum(rest) AS BIGINT) AS eeg_row_count, CAST(sum(ehr) AS BIGINT) AS patients_with_ehr,
+                  CAST(sum(rest) AS BIGINT) AS patients_with_mri, CAST(sum(rest) AS BIGINT) AS patients_with_eeg,
+                  CAST(sum(ehr * rest) AS BIGINT) AS patients_with_all_modalities
+           FROM fused""",
+    ),
+)
 def multimodal_job(spark: SparkSession, d: str) -> DataFrame:
     given = jobs.MultimodalInput(
         "everything", record_input(spark, d), image_input(spark, d), signal_input(spark, d)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.config import ModelConfig
-from cohortweave.operators import metrics, modeling, splits
+from cohortweave.operators import label, leakage, metrics, modeling, report, splits
 from cohortweave.plans import views as v
 from cohortweave.plans.registry import presented, register
-from cohortweave.plans.sql_views import r6
+from cohortweave.plans.sql_views import EVIDENCE, r6, with_blocks
 
 # --- patient table with a target -------------------------------------------------------------
 
@@ -162,21 +162,47 @@ def evaluate_splits(spark: SparkSession, d: str) -> DataFrame:
     return presented(metrics.evaluate(scored_lines(spark, d), names=("F", "O", "none")))
 
 
+_DECISIONS = (
+    ("patient_id", "identifier", "count(*)"),
+    ("likely_dre", "leakage", "count(*)"),
+    ("definition_version", "leakage", "count(*)"),
+    ("evidence_completeness_score", "kept", "count(*)"),
+    ("epilepsy_evidence_status", "leakage", "count(*)"),
+    ("asm_evidence_status", "leakage", "count(*)"),
+    ("seizure_burden_status", "leakage", "count(*)"),
+    ("has_epilepsy_diagnosis", "leakage", "count(*)"),
+    ("has_recurrent_seizure_care", "leakage", "count(*)"),
+    ("distinct_asm_count", "leakage", "count(*)"),
+    ("has_two_or_more_distinct_asms", "leakage", "count(*)"),
+    ("second_asm_start_time", "leakage", "count(anchor)"),
+    ("post_second_asm_event_count", "leakage", "count(*)"),
+    ("has_persistent_seizure_burden", "leakage", "count(*)"),
+    ("reasons", "leakage", "count(*)"),
+    ("missing_evidence", "leakage", "count(*)"),
+    ("modality_sources", "leakage", "count(*)"),
+)
+
+
 @register(
     "leakage_screen",
+    with_blocks(
+        EVIDENCE,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{decision}' AS decision, {count} AS non_null_rows FROM ruled"
+            for c, decision, count in _DECISIONS
+        ),
+    ),
 )
 def leakage_screen(spark: SparkSession, d: str) -> DataFrame:
-    """Decision per column of the label table."""
-    from cohortweave.operators import label, leakage
-
+    """Decision per column of the label table, with its filled rows."""
     patients = label.patient_table(
         v.diagnoses(spark, d), v.medications(spark, d), v.seizure_events(spark, d), v.COLUMNS, v.RULES
     )
     decided = leakage.screen(patients).table(patients)
-    missing = patients.agg(
+    filled = patients.agg(
         *[F.count_if(F.col(c).isNotNull()).alias(c) for c in patients.columns]
     ).unpivot([], patients.columns, "column_name", "non_null_rows")
-    return decided.join(missing, "column_name")
+    return decided.join(filled, "column_name")
 
 
 @register("baseline_model")
@@ -184,3 +210,19 @@ def baseline_model(spark: SparkSession, d: str) -> DataFrame:
     """Training metrics per split."""
     result = modeling.train_baseline(modeling_table(spark, d), ModelConfig(target="target"))
     return presented(result.metrics)
+
+
+@register("model_summary")
+def model_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Test metrics, sizes and exclusions of a training run."""
+    result = modeling.train_baseline(modeling_table(spark, d), ModelConfig(target="target"))
+    summary = report.model_summary(result).select(
+        "model_type",
+        "train_row_count",
+        "val_row_count",
+        "test_row_count",
+        "feature_cols_used",
+        "key_metrics.*",
+        "leakage_excluded_cols",
+    )
+    return presented(summary)

@@ -12,7 +12,7 @@ from cohortweave.operators import volume
 from cohortweave.plans import views as v
 from cohortweave.plans.registry import presented, register
 from cohortweave.session import fresh_path
-from cohortweave.sources import decode, files, tables
+from cohortweave.sources import decode, files, sinks, tables
 from cohortweave.streaming.incremental import load_increment
 
 # --- text cleaning ---------------------------------------------------------------------------
@@ -65,6 +65,45 @@ def load_metadata(spark: SparkSession, d: str) -> DataFrame:
     return presented(tables.load_metadata(df, info).drop("path", "column_names"))
 
 
+@register(
+    "csv_round_trip",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, '0' || o_custkey AS code, o_totalprice + 0.0 AS price,
+              strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS seen_at,
+              CASE WHEN o_orderstatus <> 'P' THEN 'say "' || o_orderpriority || '", twice' END AS note
+       FROM orders""",
+)
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Written as gzip CSV and loaded again: quotes, zero-led codes, types, dates and gaps survive."""
+    out = v.table(spark, d, "orders").selectExpr(
+        "o_orderkey AS id",
+        "concat('0', o_custkey) AS code",
+        "o_totalprice AS price",
+        "o_orderdate AS seen_at",
+        """CASE WHEN o_orderstatus <> 'P' THEN concat('say "', o_orderpriority, '", twice') ELSE 'NaN' END AS note""",
+    )
+    path = sinks.write_table(out, fresh_path(spark, "orders") + ".csv.gz", "csv.gz")
+    request = tables.TableRequest(path, types={"price": "double"}, dates=["seen_at"], required=["id", "code"])
+    return presented(tables.load_table(spark, request)[0])
+
+
+@register(
+    "participants_file",
+    """SELECT 'sub-' || c_custkey AS participant_id, c_mktsegment AS segment, c_acctbal + 0.0 AS balance,
+              CASE WHEN c_acctbal > 0 THEN c_nationkey::DOUBLE END AS nation FROM customer""",
+)
+def participants_file(spark: SparkSession, d: str) -> DataFrame:
+    """A tab-separated participant file with numeric columns found by value."""
+    path = fresh_path(spark, "participants") + ".tsv"
+    v.table(spark, d, "customer").selectExpr(
+        "concat('sub-', c_custkey) AS participant_id",
+        "c_mktsegment AS segment",
+        "c_acctbal AS balance",
+        "CASE WHEN c_acctbal > 0 THEN cast(c_nationkey AS string) ELSE 'n/a' END AS nation",
+    ).write.options(header=True, sep="\t").csv(path)
+    loaded = tables.load_participants(spark, path, required=True)
+    return presented(loaded.withColumn("nation", F.col("nation").cast("double")))
+
+
 @register(
     "normalised_diagnoses",
     "SELECT CAST(o_custkey AS VARCHAR) AS patient_id, o_orderpriority AS diagnosis_code FROM orders",

@@ -403,3 +403,39 @@ def run_manifest(spark: SparkSession, d: str) -> DataFrame:
         "array_join(transform(artifacts, r -> concat(r.artifact_name, ':', r.artifact_type)), '|') AS artifacts",
         "array_join(notes, '|') AS notes",
     )
+
+
+@register(
+    "pipeline_summary",
+    """SELECT 'run-001' AS run_id, 'cohortweave' AS project_name, 'evidence' AS stage_name, 'orders' AS dataset_name,
+              count(*) AS row_count, count(DISTINCT o_custkey) AS patient_count, '/out/orders' AS orders_path,
+              'one|two' AS notes FROM orders""",
+)
+def pipeline_summary(spark: SparkSession, d: str) -> DataFrame:
+    counts = v.table(spark, d, "orders").agg(
+        F.expr("count(1) AS row_count"), F.expr("count(DISTINCT o_custkey) AS patient_count")
+    )
+    paths = {"orders": "/out/orders", "absent": None}
+    summary = report.pipeline_summary(RUN, counts, "orders", paths, ["one", "two", "one"])
+    return presented(summary.withColumn("orders_path", F.expr("artifact_paths['orders']")).drop("artifact_paths"))
+
+
+@register(
+    "reporting_bundle",
+    f"""{_PROFILED} SELECT count(*) AS summary_rows, count(*) AS profile_rows, count(DISTINCT patient_id) AS patients,
+            count(*) FILTER (NOT high) AS low_count, true AS no_model, 'bundled' AS notes FROM t""",
+)
+def reporting_bundle(spark: SparkSession, d: str) -> DataFrame:
+    df = profiled_table(spark, d)
+    summary = report.pipeline_summary(RUN, df.agg(F.expr("count(1) AS row_count")), "orders", {}, [])
+    bundle = report.reporting_bundle(
+        summary, None, profile.profile(df, "orders", "patient_id", "high"), ["bundled", "bundled"]
+    )
+    return bundle.selectExpr(
+        "pipeline_summary.row_count AS summary_rows",
+        "dataset_profile_summary.row_count AS profile_rows",
+        "dataset_profile_summary.patient_count AS patients",
+        "dataset_profile_summary.class_balance['False'] AS low_count",
+        "model_summary IS NULL AS no_model",
+        "array_join(notes, '|') AS notes",
+    )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortweave.sources.tables import infer_format, normalize_format
+from cohortweave.sources.tables import normalize_format
 
 
 def write_table(
@@ -27,7 +27,9 @@ def write_table(
     if name == "parquet":
         writer.parquet(path)
     else:
-        writer.option("header", True).option("compression", "gzip" if name == "csv.gz" else "none").csv(path)
+        # Quotes inside a text are doubled, as the readers expect.
+        compression = "gzip" if name == "csv.gz" else "none"
+        writer.options(header=True, escape='"', compression=compression).csv(path)
     return path
 
 
@@ -50,7 +52,7 @@ def reload(spark: SparkSession, path: str | None, label: str, notes: list[str])
         return None
     text = path.lower().endswith((".csv", ".csv.gz"))
     if text:
-        df = spark.read.options(header=True, inferSchema=infer_format(path) != "parquet").csv(path)
+        df = spark.read.options(header=True, inferSchema=True, escape='"').csv(path)
     else:
         df = spark.read.parquet(path)
     if df.isEmpty():
