@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
