@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, wavelet
+from cohortweave.llm import bpe, rules, wavelet
+from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +46,54 @@ def bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register("op7_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base verdict and learned verdict of all documents."""
+    rows = rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@register(
+    "op9_chat",
+    """
+    WITH rows AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+      UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+      CAST(sum(24 + length(role) + length(regexp_replace(text, '<(\\\\*)\\|', '<\\1\\\\|', 'g'))) AS BIGINT) AS formatted_chars
+    FROM rows GROUP BY conv_id
+    """,
+)
+def chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back.
+
+    A conversation without reply links is a tree of one branch: each row answers the one before.
+    """
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql(f"SELECT -1L AS conv_id, t AS turn, r AS role, '{CONTROL}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
+    numbered = rows.unionByName(extra).selectExpr(
+        "conv_id AS tree", "row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS node", "role", "text"
+    )
+    nodes = numbered.selectExpr("tree", "node", "nullif(node - 1, 0) AS parent", "role", "text", "0D AS score")
+    told = chat_trees.read_back(chat_trees.conversations(nodes))
+    turns = "array_join(transform(turns, x -> concat(x.role, '\\n', x.text, '\\n')), '')"
+    return told.selectExpr(
+        "tree AS conv_id",
+        "cast(size(turns) AS bigint) AS n_turns",
+        f"sha2(cast({turns} AS binary), 256) AS turns_sha256",
+        "cast(length(loss_text) AS bigint) AS loss_chars",
+        "sha2(cast(loss_text AS binary), 256) AS loss_sha256",
+        "cast(length(formatted) AS bigint) AS formatted_chars",
+    )
