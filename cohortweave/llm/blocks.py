@@ -20,6 +20,7 @@ from cohortweave.session import fresh_path
 
 BATCH_BYTES = 8 << 20  # Arrow bytes handed to a Python worker at once; one row may be larger
 BLOCK_BYTES = 8 << 20  # text bytes per block; one document may be larger
+ROW_BITS = 20  # a block holds fewer rows, and a partition fewer blocks, than 2**ROW_BITS
 
 BLOCK_SCHEMA = "block long, keys array<string>, ends binary, data binary"
 
@@ -88,7 +89,7 @@ def write_blocks(docs: DataFrame, key: str, text: str, label: str, extra: Callab
     bounded_batches(spark)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId() << 32
+        part = TaskContext.get().partitionId() << ROW_BITS
         for seq, piece in enumerate(byte_pieces(batches, "text", BLOCK_BYTES)):
             ends = np.cumsum(binary_lengths(piece.column("text")))
             data = b"".join(x or b"" for x in piece.column("text").cast(pa.binary()).to_pylist())

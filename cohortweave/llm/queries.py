@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, rules, wavelet
+from cohortweave.llm import bpe, contamination, near, rules, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,75 @@ def chat(spark: SparkSession, folder: str) -> DataFrame:
         "sha2(cast(loss_text AS binary), 256) AS loss_sha256",
         "cast(length(formatted) AS bigint) AS formatted_chars",
     )
+
+
+@register(
+    "op8_decontamination",
+    r"""
+    WITH doc AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents
+    ), item AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ), win AS (
+      SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+        SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (
+          SELECT item_id, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0))
+    ), place AS (
+      SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n
+    ), found AS (
+      SELECT p.r, p.i, p.n, win.item_id FROM place p JOIN win ON win.n = p.n AND win.s = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')
+    ), hit AS (
+      SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM found) GROUP BY r
+    ), items AS (
+      SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+    """,
+)
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    found = contamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.selectExpr(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "cast(size(items) AS bigint) AS n_items",
+        "sha2(cast(array_join(items, ',') AS binary), 256) AS items_sha256",
+        "n_hit > 0 AS contaminated",
+    )
+
+
+@register(
+    "op4_near_duplicates",
+    r"""
+    WITH RECURSIVE doc AS (
+      SELECT doc_id, row_number() OVER () AS r,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), sets AS (
+      SELECT doc_id, r, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM doc
+    ), grams AS (
+      SELECT r, len(s) AS n, unnest(s) AS g FROM sets
+    ), pairs AS (
+      SELECT a.r AS x, b.r AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS shared
+      FROM grams a JOIN grams b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r
+    ), links AS (
+      SELECT x, y FROM pairs WHERE 100 * shared >= 75 * (n + m - shared)
+    ), edges AS (
+      SELECT x, y FROM links UNION SELECT y, x FROM links
+    ), reach AS (
+      SELECT r AS x, r AS y FROM sets UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x
+    ), least AS (
+      SELECT x, min(sets.doc_id) AS component_id FROM reach JOIN sets ON sets.r = reach.y GROUP BY x
+    )
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least ON least.x = sets.r
+    """,
+)
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near copies among all documents."""
+    return near.link_classes(table(spark, folder, "documents"))
