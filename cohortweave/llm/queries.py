@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, contamination, near, rules, wavelet
+from cohortweave.llm import bpe, contamination, near, rules, suffix, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,15 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near copies among all documents."""
     return near.link_classes(table(spark, folder, "documents"))
+
+
+@register("op1_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the byte strings that occur more than once."""
+    return suffix.remove_repeats(table(spark, folder, "documents")).selectExpr(
+        "doc_id",
+        "n_bytes",
+        "n_bytes - length(kept) AS n_removed",
+        "cast(size(spans) AS bigint) AS n_spans",
+        "sha2(kept, 256) AS kept_sha256",
+    )
