@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohortweave.llm.blocks import bounded_batches, byte_pieces, expand, ragged, squeeze
 from cohortweave.llm.merge_automaton import WordCoder
 
-CACHED_WORDS = 200_000  # words remembered per worker; a cache only, never a limit on the input
+CACHED_WORDS = 150_000  # words remembered per worker; a cache only, never a limit on the input
 
 
 def tokenizer_text(path: str | None = None) -> str:
@@ -27,40 +27,54 @@ def tokenizer_text(path: str | None = None) -> str:
         return file.read()
 
 
+Coded = tuple[np.ndarray, np.ndarray]  # ids of all words in order, and how many each word has
+
+
 class WordTable:
     """Token ids of a batch of texts, found once per distinct word of the batch.
 
-    ``encode_words`` maps a list of texts without ASCII white space to lists of ids. Tokens
-    never span white space, so the ids of a text are those of its words in order.
+    ``encode_words`` maps a list of texts without ASCII white space to their ids. Tokens never span
+    white space, nor the place between a letter and a full stop or comma, and A-Z are lower-cased
+    anyway, so the ids of a text are those of its words in order.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode_words: Callable[[list[str]], Coded]):
         self.encode_words = encode_words
         self.known: dict[str, np.ndarray] = {}
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch (uint32) and where each text ends."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        plain = pc.ascii_lower(pc.replace_substring_regex(texts, r"(\pL)([.,])", r"\1 \2"))
+        # Strings of special tokens are told apart by case, so such texts stay as they are.
+        words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
         bounds = words.offsets.to_numpy().astype(np.int64)
         coded = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds -= bounds[0]
         code = coded.indices.to_numpy()
+        if not len(code):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         distinct = coded.dictionary.to_pylist()
-        fresh = [w for w in distinct if w not in self.known]
-        batch = {w: np.array(x, np.uint32) for w, x in zip(fresh, self.encode_words(fresh))}
-        per_word = [batch[w] if w in batch else self.known[w] for w in distinct]
-        for w, x in batch.items():
-            if len(w) <= 32:
+        held = [self.known.get(w) for w in distinct]
+        fresh = np.array([i for i, x in enumerate(held) if x is None], np.int64)
+        old = [x for x in held if x is not None]
+        flat, sizes = self.encode_words([distinct[i] for i in fresh])
+        lengths, offsets = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        lengths[fresh] = sizes
+        offsets[fresh] = np.cumsum(sizes) - sizes
+        again = np.array([i for i, x in enumerate(held) if x is not None], np.int64)
+        lengths[again] = [len(x) for x in old]
+        offsets[again] = len(flat) + np.cumsum(lengths[again]) - lengths[again]
+        flat = np.concatenate([flat.astype(np.uint32), *old])
+        often = np.bincount(code, minlength=len(distinct)) > 1
+        for i in fresh[often[fresh]].tolist():
+            if len(distinct[i]) <= 32:
                 if len(self.known) >= CACHED_WORDS:
                     self.known.clear()
-                self.known[w] = x
-        lengths = np.array([len(x) for x in per_word], np.int64)
-        flat = np.concatenate(per_word) if per_word else np.zeros(0, np.uint32)
-        offsets = np.cumsum(lengths) - lengths
-        of_word = lengths[code] if len(code) else np.zeros(0, np.int64)
-        tokens = flat[ragged(offsets[code], of_word)] if len(code) else flat[:0]
-        ends = np.append(0, np.cumsum(of_word))[bounds[1:]]
-        return tokens, ends
+                self.known[distinct[i]] = flat[offsets[i] : offsets[i] + lengths[i]].copy()
+        of_word = lengths[code]
+        tokens = flat[ragged(offsets[code], of_word)]
+        return tokens, np.append(0, np.cumsum(of_word))[bounds[1:]]
 
 
 _CODERS: dict[bytes, tuple[WordCoder, WordTable, pa.Array]] = {}
@@ -71,8 +85,13 @@ def coder_of(squeezed: bytes) -> tuple[WordCoder, WordTable, pa.Array]:
     if squeezed not in _CODERS:
         _CODERS.clear()
         coder = WordCoder(expand(squeezed).decode())
-        table = WordTable(lambda words: [coder.encode_chunk(w) for w in words])
-        _CODERS[squeezed] = coder, table, pa.array(coder.names, pa.string())
+
+        def encode_words(words: list[str]) -> Coded:
+            each = [coder.encode_chunk(w) for w in words]
+            flat = np.fromiter((i for ids in each for i in ids), np.uint32)
+            return flat, np.array([len(ids) for ids in each], np.int64)
+
+        _CODERS[squeezed] = coder, WordTable(encode_words), pa.array(coder.names, pa.string())
     return _CODERS[squeezed]
 
 

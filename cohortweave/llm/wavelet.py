@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.llm.blocks import bounded_batches, byte_pieces, expand, squeeze
-from cohortweave.llm.bpe import WordTable, tokenizer_text
+from cohortweave.llm.bpe import Coded, WordTable, tokenizer_text
 from cohortweave.session import fresh_path
 
 SHARD_TEXT_BYTES = 8 << 20
@@ -152,8 +152,11 @@ def _library_table(squeezed: bytes) -> WordTable:
         library.no_padding()
         library.no_truncation()
 
-        def encode_words(words: list[str]) -> list[list[int]]:
-            return [x.ids for i in range(0, len(words), 4096) for x in library.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
+        def encode_words(words: list[str]) -> Coded:
+            if not words:
+                return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+            found = library.encode(words, is_pretokenized=True, add_special_tokens=False)
+            return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
 
         _TABLES.clear()
         _TABLES[squeezed] = WordTable(encode_words)
