@@ -48,6 +48,7 @@ LENGTH = 200
 GRAM = 64
 FREQUENT_PER_BLOCK = 8
 BUCKET_BYTES = 48 << 20
+SLICE_BYTES = 1 << 20
 
 
 def rolled(data: bytes, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
@@ -87,8 +88,34 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def anchors(data: bytes, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def slices(ends: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Byte ranges of whole documents of about ``limit`` bytes, with the ends inside: work arrays stay small."""
+    ends = ends[ends > 0]
+    at = begin = 0
+    while at < len(ends):
+        stop = max(int(np.searchsorted(ends, begin + limit, "right")), at + 1)
+        yield begin, int(ends[stop - 1]), ends[at:stop] - begin
+        at, begin = stop, int(ends[stop - 1])
+
+
+def anchors(data: bytes, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Anchor position, gram hash, least and greatest distance back to the strings it stands for."""
+    found = [(pos + a, *rest) for a, b, inside in slices(ends) for pos, *rest in [_slice_anchors(data[a:b], inside, length, gram)]]
+    empty = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (empty, empty.view(np.uint64), empty, empty)
+
+
+def string_hashes(data: bytes, ends: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` bytes at each of ``starts``."""
+    out = np.zeros(len(starts), np.uint64)
+    for a, b, _ in slices(ends):
+        own = np.flatnonzero((starts >= a) & (starts < b))
+        if len(own):
+            out[own] = rolled(data[a:b], (length,))[length][starts[own] - a]
+    return out
+
+
+def _slice_anchors(data: bytes, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     empty = np.zeros(0, np.int64)
     if len(data) < length:
         return empty, empty.view(np.uint64), empty, empty
@@ -314,14 +341,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 yield batch_of(list(value_rows(row["block"], values, counts, buckets)), VALUE_SCHEMA)
 
     again = stored(per_block(shared_totals(blocks.select("block", "hashes").mapInArrow(anchor_values, VALUE_ROWS), buckets)), "suffix-anchors")
-    known = blocks.select("block", "data", "pos", "hashes", "low", "high").join(again, "block")
+    known = blocks.select("block", "ends", "data", "pos", "hashes", "low", "high").join(again, "block")
 
     def string_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             pos, _, low, high, often = _block_anchors(row, "parts", frequent)
             if often.any():
                 starts = ragged(pos[often] - high[often], high[often] - low[often] + 1)
-                values, counts = np.unique(rolled(expand(row["data"]), (length,))[length][starts], return_counts=True)
+                values, counts = np.unique(string_hashes(expand(row["data"]), np.frombuffer(row["ends"], np.int64), starts, length), return_counts=True)
                 yield batch_of(list(value_rows(row["block"], values, counts, buckets)), VALUE_SCHEMA)
 
     strings = stored(per_block(shared_totals(known.mapInArrow(string_values, VALUE_ROWS), buckets)), "suffix-strings")
@@ -335,7 +362,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             if often.any():
                 values, _ = gathered(row["strings"], ("values", "totals"), (np.uint64, np.int64))
                 starts = ragged(pos[often] - high[often], high[often] - low[often] + 1)
-                own = rolled(data, (length,))[length][starts]
+                own = string_hashes(data, np.frombuffer(row["ends"], np.int64), starts, length)
                 hit = values[np.minimum(np.searchsorted(values, own), len(values) - 1)] == own if len(values) else np.zeros(len(own), bool)
                 none = np.zeros(int(hit.sum()), np.int64)
                 pos, hashes = np.append(pos[~often], starts[hit]), np.append(hashes[~often], own[hit])
