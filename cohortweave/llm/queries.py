@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, contamination, near, rules, suffix, wavelet
+from cohortweave.llm import bpe, compress, contamination, html_text, near, rules, suffix, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,17 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "cast(size(spans) AS bigint) AS n_spans",
         "sha2(kept, 256) AS kept_sha256",
     )
+
+
+@register("op2_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of all documents, learned from two thirds of the labels."""
+    held_out = "crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1"
+    scored = compress.classify(table(spark, folder, "documents"), table(spark, folder, "labels"), learn=f"NOT ({held_out})")
+    return scored.selectExpr("doc_id", f"{held_out} AS held_out", "score", "predicted")
+
+
+@register("op5_html_text")
+def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
