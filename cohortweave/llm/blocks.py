@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cohortweave.session import fresh_path
 
 BATCH_BYTES = 8 << 20  # Arrow bytes handed to a Python worker at once; one row may be larger
-BLOCK_BYTES = 8 << 20  # text bytes per block; one document may be larger
+BLOCK_BYTES = 4 << 20  # text bytes per block; one document may be larger
 ROW_BITS = 20  # a block holds fewer rows, and a partition fewer blocks, than 2**ROW_BITS
 
 BLOCK_SCHEMA = "block long, keys array<string>, ends binary, data binary"

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.blocks import bounded_batches, bucket_pieces, by_bucket, pack, stored
+from cohortweave.llm.blocks import bounded_batches, bucket_pieces, by_bucket, expand, pack, per_block, squeeze, stored
 
 VALUE_ROWS = "bucket int, block long, values binary, counts binary"
 
@@ -27,44 +27,51 @@ def batch_of(rows: list[dict], schema: pa.Schema | None = None) -> pa.RecordBatc
 
 
 VALUE_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("values", pa.binary()), ("counts", pa.binary())])
-TOTAL_SCHEMA = pa.schema([("block", pa.int64()), ("values", pa.binary()), ("totals", pa.binary())])
+TOTAL_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("totals", pa.binary())])
 
 
-def shared_totals(rows: DataFrame, buckets: int, least: int = 2) -> DataFrame:
-    """For ``VALUE_ROWS``: per block and bucket the values whose total over all blocks is at least ``least``.
+def value_totals(rows: DataFrame, buckets: int) -> DataFrame:
+    """For ``VALUE_ROWS``: per block the totals of its values over all blocks, as ``parts`` for ``totals_of``.
 
-    A block sends each of its distinct values once, so a value of any frequency takes at most
-    one entry per block in its bucket.
+    A block sends each of its distinct values once, so a value of any frequency takes at most one entry per
+    block in its bucket. Totals return in the order in which the values were sent; most are 1 and squeeze well.
     """
     bounded_batches(rows.sparkSession)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, values, counts = [], [], []
+        sent, values, counts = [], [], []
         for batch in batches:
-            for b, v, c in zip(*(batch.column(k).to_pylist() for k in ("block", "values", "counts"))):
-                blocks.append(b)
+            for bucket, block, v, c in zip(*(batch.column(k).to_pylist() for k in VALUE_SCHEMA.names)):
+                sent.append((bucket, block, len(v) // 8))
                 values.append(np.frombuffer(v, np.uint64))
                 counts.append(np.frombuffer(c, np.int32))
-        if not blocks:
+        if not sent:
             return
         every, inverse = np.unique(np.concatenate(values), return_inverse=True)
         sums = np.bincount(inverse, np.concatenate(counts), len(every)).astype(np.int64)
+        del every, values, counts
         at = 0
-        for b, v in zip(blocks, values):
-            t = sums[inverse[at : at + len(v)]]
-            at += len(v)
-            keep = t >= least
-            if keep.any():
-                yield batch_of([{"block": b, "values": pack(v[keep]), "totals": pack(t[keep])}], TOTAL_SCHEMA)
+        for bucket, block, n in sent:
+            totals = np.minimum(sums[inverse[at : at + n]], np.iinfo(np.int32).max).astype(np.int32)
+            at += n
+            yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze(pack(totals), 1)}], TOTAL_SCHEMA)
 
-    return by_bucket(rows, buckets).mapInArrow(total, "block long, values binary, totals binary")
+    return per_block(by_bucket(rows, buckets).mapInArrow(total, "bucket int, block long, totals binary"))
+
+
+def totals_of(values: np.ndarray, parts: list[dict] | None, buckets: int) -> np.ndarray:
+    """Totals of a block's distinct ``values``, the same array that was sent."""
+    order, found, bounds = bucket_pieces((values % np.uint64(buckets)).astype(np.int64))
+    by_number = {p["bucket"]: p["totals"] for p in parts or ()}
+    out = np.zeros(len(values), np.int64)
+    for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
+        out[order[lo:hi]] = np.frombuffer(expand(by_number[b]), np.int32)
+    return out
 
 
 def gathered(parts: list[dict], fields: tuple[str, ...], kinds: tuple) -> tuple[np.ndarray, ...]:
-    """Arrays joined over the parts of a block, ordered by the first field."""
-    arrays = [np.concatenate([np.frombuffer(p[f], k) for p in parts or ()] or [np.zeros(0, k)]) for f, k in zip(fields, kinds)]
-    order = np.argsort(arrays[0], kind="stable")
-    return tuple(a[order] for a in arrays)
+    """Arrays joined over the parts of a block."""
+    return tuple(np.concatenate([np.frombuffer(p[f], k) for p in parts or ()] or [np.zeros(0, k)]) for f, k in zip(fields, kinds))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -28,17 +28,17 @@ from cohortweave.llm.blocks import (
     expand,
     mix64,
     pack,
-    per_block,
     squeeze,
     stored,
     write_blocks,
 )
-from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, components, gathered, shared_totals, value_rows
+from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, components, totals_of, value_rows, value_totals
 
 WORDS = 5
 SHARE = 75  # percent of the union that two linked sets have in common
 MATCHES = (1, 2, 3, 4)
 LEADERS = 2
+FIRST_PART = 10  # the first filter demands a tenth of a set's elements
 PAIRS_PER_SALT = 500
 BUCKET_BYTES = 64 << 20
 
@@ -115,55 +115,75 @@ def _set_rows(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFra
     return blocks, rows
 
 
-def _first_filter(blocks: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
-    """Per block the elements of its hash-ordered prefixes that occur in other documents as well.
+def _first_prefix(s: np.ndarray, share: int) -> tuple[np.ndarray, int]:
+    """Prefix in the order of hashes, and how many of its elements a linked set has in its own prefix."""
+    need = int(needed(len(s), share))
+    k = min(need, len(s) // FIRST_PART + 1)
+    return s[: len(s) - need + k], k
 
-    Any fixed order gives a valid prefix; the order of hashes needs no counts, so a quarter of all elements
-    tells which documents can link at all. Equal sets of a block count once.
+
+def _first_values(row: dict, words: int, share: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Sets of a block, and the distinct elements of their first prefixes with counts; equal sets count once."""
+    sets = shingle_sets(expand(row["data"]), np.frombuffer(row["ends"], np.int64), words)
+    seen: set[bytes] = set()
+    heads = [np.zeros(0, np.uint64)]
+    for i, s in enumerate(sets):
+        sig = row["sigs"][16 * i : 16 * i + 16]
+        if len(s) and sig not in seen:
+            seen.add(sig)
+            heads.append(_first_prefix(s, share)[0])
+    return sets, *np.unique(np.concatenate(heads), return_counts=True)
+
+
+def _surviving_texts(blocks: DataFrame, firsts: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
+    """Texts of documents that may link, one row per block; of equal sets only the first document's.
+
+    Any fixed order gives valid prefixes. In the order of hashes, which needs no counts, a third of all elements
+    tells which documents can link at all.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            data, ends = expand(row["data"]), np.frombuffer(row["ends"], np.int64)
-            seen, heads = set(), []
-            for i, s in enumerate(shingle_sets(data, ends, words)):
-                sig = row["sigs"][16 * i : 16 * i + 16]
-                if len(s) and sig not in seen:
-                    seen.add(sig)
-                    heads.append(s[: len(s) - int(needed(len(s), share)) + 1])
-            if heads:
-                values, counts = np.unique(np.concatenate(heads), return_counts=True)
-                yield batch_of(list(value_rows(row["block"], values, counts, buckets)), VALUE_SCHEMA)
-
-    return shared_totals(blocks.select("block", "ends", "data", "sigs").mapInArrow(run, VALUE_ROWS), buckets)
-
-
-def _surviving_sets(blocks: DataFrame, shared: DataFrame, firsts: DataFrame, words: int, share: int) -> DataFrame:
-    """Sets of documents that may link, one packed row per block; of equal sets only the first document's."""
+            _, found, counts = _first_values(row, words, share)
+            if len(found):
+                yield batch_of(list(value_rows(row["block"], found, counts, buckets)), VALUE_SCHEMA)
+
+    content = blocks.select("block", "ends", "data", "sigs")
+    totals = stored(value_totals(content.mapInArrow(values, VALUE_ROWS), buckets), "near-first-totals")
     chosen = firsts.selectExpr(f"shiftright(rid, {ROW_BITS}) AS block", f"cast(rid & {(1 << ROW_BITS) - 1} AS int) AS i").groupBy("block").agg(F.collect_list("i").alias("chosen"))
-    joined = blocks.select("block", "ends", "data").join(per_block(shared), "block").join(chosen, "block")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            values, _ = gathered(row["parts"], ("values", "totals"), (np.uint64, np.int64))
-            sets = shingle_sets(expand(row["data"]), np.frombuffer(row["ends"], np.int64), words)
-            kept, rids = [], []
+            sets, found, _ = _first_values(row, words, share)
+            shared = found[totals_of(found, row["parts"], buckets) >= 2]
+            data, ends = expand(row["data"]), np.append(0, np.frombuffer(row["ends"], np.int64))
+            kept = []
             for i in sorted(row["chosen"]):
-                s = sets[i]
-                head = s[: len(s) - int(needed(len(s), share)) + 1]
-                at = np.searchsorted(values, head)
-                if len(s) and (values[np.minimum(at, len(values) - 1)] == head).any():
-                    kept.append(s)
-                    rids.append((row["block"] << ROW_BITS) + i)
+                head, k = _first_prefix(sets[i], share)
+                if len(shared) and (shared[np.minimum(np.searchsorted(shared, head), len(shared) - 1)] == head).sum() >= k:
+                    kept.append(i)
             if kept:
+                texts = [data[ends[i] : ends[i + 1]] for i in kept]
                 yield batch_of(
-                    [{"block": row["block"], "rids": pack(np.array(rids, np.int64)), "sizes": pack(np.array([len(s) for s in kept], np.int64)), "sets": pack(np.concatenate(kept))}]
+                    [
+                        {
+                            "block": row["block"],
+                            "rids": pack(np.array(kept, np.int64) + (row["block"] << ROW_BITS)),
+                            "ends": pack(np.cumsum([len(t) for t in texts])),
+                            "data": squeeze(b"".join(texts)),
+                        }
+                    ]
                 )
 
-    return stored(joined.mapInArrow(run, "block long, rids binary, sizes binary, sets binary"), "near-sets")
+    joined = content.join(totals, "block").join(chosen, "block")
+    return stored(joined.mapInArrow(keep, "block long, rids binary, ends binary, data binary"), "near-texts")
+
+
+def _sets_of(row: dict, words: int) -> tuple[list[int], list[np.ndarray]]:
+    return np.frombuffer(row["rids"], np.int64).tolist(), shingle_sets(expand(row["data"]), np.frombuffer(row["ends"], np.int64), words)
 
 
-def _prefix_rows(sets: DataFrame, share: int, buckets: int) -> DataFrame:
+def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
     """Rows (token, rid, n, pos, k) of the adaptive prefixes, rarest elements first.
 
     Elements of one set only are not sent, but hold their place in the prefix.
@@ -171,20 +191,20 @@ def _prefix_rows(sets: DataFrame, share: int, buckets: int) -> DataFrame:
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            found, counts = np.unique(np.frombuffer(row["sets"], np.uint64), return_counts=True)
+            found, counts = np.unique(np.concatenate(_sets_of(row, words)[1]), return_counts=True)
             yield batch_of(list(value_rows(row["block"], found, counts, buckets)), VALUE_SCHEMA)
 
-    totals = per_block(shared_totals(sets.mapInArrow(values, VALUE_ROWS), buckets))
+    totals = value_totals(texts.mapInArrow(values, VALUE_ROWS), buckets)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            tokens, df = gathered(row["parts"], ("values", "totals"), (np.uint64, np.int64))
-            flat = np.frombuffer(row["sets"], np.uint64)
-            at = np.minimum(np.searchsorted(tokens, flat), max(len(tokens) - 1, 0))
-            often = np.where(tokens[at] == flat, df[at], 1) if len(tokens) else np.ones(len(flat), np.int64)
+            rids, sets = _sets_of(row, words)
+            tokens, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            often = totals_of(tokens, row["parts"], buckets)[inverse]
             start, out = 0, []
-            for rid, n in zip(np.frombuffer(row["rids"], np.int64).tolist(), np.frombuffer(row["sizes"], np.int64).tolist()):
-                s, f = flat[start : start + n], often[start : start + n]
+            for rid, s in zip(rids, sets):
+                n = len(s)
+                f = often[start : start + n]
                 start += n
                 order = np.lexsort((s, f))
                 s, f = s[order], f[order]
@@ -205,7 +225,7 @@ def _prefix_rows(sets: DataFrame, share: int, buckets: int) -> DataFrame:
                         names=["token", "rid", "n", "pos", "k"],
                     )
 
-    joined = sets.join(totals, "block", "left")
+    joined = texts.join(totals, "block")
     return stored(joined.mapInArrow(prefixes, "token long, rid long, n int, pos int, k int"), "near-prefixes")
 
 
@@ -225,7 +245,7 @@ def _candidates(pairs: DataFrame, share: int) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: int, buckets: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets overlap enough.
 
     Sets meet in the bucket of ``b``: that of ``b`` comes once, that of each ``a`` once per pair. The pairs of a
@@ -243,9 +263,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int, buckets: int) -> Da
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            sizes = np.frombuffer(row["sizes"], np.int64)
-            place = {r: i for i, r in enumerate(np.frombuffer(row["rids"], np.int64).tolist())}
-            flat, starts = np.frombuffer(row["sets"], np.uint64), np.append(0, np.cumsum(sizes))
+            rids, sets = _sets_of(row, words)
+            of = dict(zip(rids, sets))
             listed = sorted(row["sends"], key=lambda x: (x["rid"], x["bucket"], x["other"]))
             for c in range(0, len(listed), 512):
                 part = listed[c : c + 512]
@@ -254,7 +273,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int, buckets: int) -> Da
                         "bucket": pa.array([x["bucket"] for x in part], pa.int32()),
                         "rid": [x["rid"] for x in part],
                         "other": [x["other"] for x in part],
-                        "s": [pack(flat[starts[place[x["rid"]]] : starts[place[x["rid"]] + 1]]) for x in part],
+                        "s": [pack(of[x["rid"]]) for x in part],
                     }
                 )
 
@@ -272,7 +291,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int, buckets: int) -> Da
                 if 100 * both >= share * (len(own) + len(with_it) - both):
                     yield pa.RecordBatch.from_pydict({"a": [rid], "b": [other]})
 
-    sent = sets.join(wanted, "block").select("rids", "sizes", "sets", "sends").mapInArrow(send, "bucket int, rid long, other long, s binary")
+    sent = texts.join(wanted, "block").select("rids", "ends", "data", "sends").mapInArrow(send, "bucket int, rid long, other long, s binary")
     dealt = by_bucket(sent, buckets).sortWithinPartitions("other")
     return stored(dealt.mapInArrow(verify, "a long, b long"), "near-links")
 
@@ -296,22 +315,21 @@ def link_classes(
     buckets = buckets_for(spark, 2 * total, BUCKET_BYTES)
     reps = rows.filter("n > 0").groupBy("sig").agg(F.min("rid").alias("rep"), F.min("key").alias("low"))
     reps = stored(reps, "near-firsts")
-    shared = _first_filter(blocks, words, share, buckets)
-    sets = _surviving_sets(blocks, shared, reps.selectExpr("rep AS rid"), words, share)
-    prefixes = _prefix_rows(sets, share, buckets)
+    texts = _surviving_texts(blocks, reps.selectExpr("rep AS rid"), words, share, buckets)
+    prefixes = _prefix_rows(texts, words, share, buckets)
     links = classes = None
     for turn in range(LEADERS):
         left = prefixes.withColumn("class", F.col("rid")) if classes is None else _split_tokens(prefixes, classes)
         leader = left.groupBy("token").agg(F.expr(f"min_by(struct(rid, n, pos, k, class), xxhash64(rid, {turn}))").alias("l"))
         met = left.join(leader, "token").filter("class <> l.class")
         sides = [f"{x}{c} AS {n}" for x, s in (("", "a"), ("l.", "b")) for c, n in (("rid", s), *((c, f"{c}_{s}") for c in ("n", "pos", "k")))]
-        found = _verified(_candidates(met.selectExpr(*sides), share), sets, share, buckets)
+        found = _verified(_candidates(met.selectExpr(*sides), share), texts, words, share, buckets)
         links = found if links is None else links.unionAll(found)
         classes = stored(components(links), "near-classes")
     left = stored(_split_tokens(prefixes, classes), "near-open")
     a, b = (left.select(*[F.col(c).alias(f"{c}_{s}" if c != "token" else c) for c in left.columns]) for s in "ab")
     crossing = a.join(b, "token").filter("class_a < class_b").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "pos_a", "pos_b", "k_a", "k_b")
-    links = links.unionAll(_verified(_candidates(crossing, share), sets, share, buckets))
+    links = links.unionAll(_verified(_candidates(crossing, share), texts, words, share, buckets))
     classes = components(links)
     # Classes of first documents, then the least key of each class, then every document.
     rooted = reps.join(classes, F.expr("rep = node"), "left").selectExpr("sig", "low", "coalesce(root, rep) AS root")

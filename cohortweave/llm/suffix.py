@@ -42,7 +42,7 @@ from cohortweave.llm.blocks import (
     stored,
     write_blocks,
 )
-from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, gathered, shared_totals, value_rows
+from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, gathered, totals_of, value_rows, value_totals
 
 LENGTH = 200
 GRAM = 64
@@ -302,14 +302,14 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
 
-def _block_anchors(row: dict, parts: str, frequent: int) -> tuple[np.ndarray, ...]:
+def _block_anchors(row: dict, buckets: int, frequent: int) -> tuple[np.ndarray, ...]:
     """Anchors of a block that occur again, and which of them are frequent."""
-    values, totals = gathered(row[parts], ("values", "totals"), (np.uint64, np.int64))
     hashes = np.frombuffer(row["hashes"], np.uint64)
-    at = np.minimum(np.searchsorted(values, hashes), max(len(values) - 1, 0))
-    again = values[at] == hashes if len(values) else np.zeros(len(hashes), bool)
+    values, inverse = np.unique(hashes, return_inverse=True)
+    totals = totals_of(values, row["parts"], buckets)[inverse]
+    again = totals >= 2
     pos, low, high = (np.frombuffer(row[c], np.int64 if c == "pos" else np.int16).astype(np.int64)[again] for c in ("pos", "low", "high"))
-    return pos, hashes[again], low, high, totals[at[again]] >= frequent if len(values) else again[again]
+    return pos, hashes[again], low, high, totals[again] >= frequent
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -340,30 +340,30 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             if len(values):
                 yield batch_of(list(value_rows(row["block"], values, counts, buckets)), VALUE_SCHEMA)
 
-    again = stored(per_block(shared_totals(blocks.select("block", "hashes").mapInArrow(anchor_values, VALUE_ROWS), buckets)), "suffix-anchors")
+    again = stored(value_totals(blocks.select("block", "hashes").mapInArrow(anchor_values, VALUE_ROWS), buckets), "suffix-anchors")
     known = blocks.select("block", "ends", "data", "pos", "hashes", "low", "high").join(again, "block")
 
     def string_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            pos, _, low, high, often = _block_anchors(row, "parts", frequent)
+            pos, _, low, high, often = _block_anchors(row, buckets, frequent)
             if often.any():
                 starts = ragged(pos[often] - high[often], high[often] - low[often] + 1)
                 values, counts = np.unique(string_hashes(expand(row["data"]), np.frombuffer(row["ends"], np.int64), starts, length), return_counts=True)
                 yield batch_of(list(value_rows(row["block"], values, counts, buckets)), VALUE_SCHEMA)
 
-    strings = stored(per_block(shared_totals(known.mapInArrow(string_values, VALUE_ROWS), buckets)), "suffix-strings")
+    strings = stored(value_totals(known.mapInArrow(string_values, VALUE_ROWS), buckets), "suffix-strings")
     ready = known.join(strings.withColumnRenamed("parts", "strings"), "block", "left")
     run_fields = "bucket int, block long, " + ", ".join(f"{c} binary" for c in Run.FIELDS)
 
     def sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
             data = expand(row["data"])
-            pos, hashes, low, high, often = _block_anchors(row, "parts", frequent)
+            pos, hashes, low, high, often = _block_anchors(row, buckets, frequent)
             if often.any():
-                values, _ = gathered(row["strings"], ("values", "totals"), (np.uint64, np.int64))
                 starts = ragged(pos[often] - high[often], high[often] - low[often] + 1)
                 own = string_hashes(data, np.frombuffer(row["ends"], np.int64), starts, length)
-                hit = values[np.minimum(np.searchsorted(values, own), len(values) - 1)] == own if len(values) else np.zeros(len(own), bool)
+                values, inverse = np.unique(own, return_inverse=True)
+                hit = (totals_of(values, row["strings"], buckets) >= 2)[inverse]
                 none = np.zeros(int(hit.sum()), np.int64)
                 pos, hashes = np.append(pos[~often], starts[hit]), np.append(hashes[~often], own[hit])
                 low, high = np.append(low[~often], none), np.append(high[~often], none)
