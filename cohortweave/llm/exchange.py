@@ -27,14 +27,17 @@ def batch_of(rows: list[dict], schema: pa.Schema | None = None) -> pa.RecordBatc
 
 
 VALUE_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("values", pa.binary()), ("counts", pa.binary())])
-TOTAL_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("totals", pa.binary())])
+TOTAL_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("totals", pa.binary()), ("ranks", pa.binary())])
+SUMMARY = -1  # block number of the row that sums up a bucket
 
 
-def value_totals(rows: DataFrame, buckets: int) -> DataFrame:
+def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFrame:
     """For ``VALUE_ROWS``: per block the totals of its values over all blocks, as ``parts`` for ``totals_of``.
 
     A block sends each of its distinct values once, so a value of any frequency takes at most one entry per
     block in its bucket. Totals return in the order in which the values were sent; most are 1 and squeeze well.
+    ``ranked`` adds the rank of each value in its bucket, and a row for block ``SUMMARY`` whose totals are the
+    sum, and the number of values of any total above 0, of each bucket.
     """
     bounded_batches(rows.sparkSession)
 
@@ -54,9 +57,12 @@ def value_totals(rows: DataFrame, buckets: int) -> DataFrame:
         for bucket, block, n in sent:
             totals = np.minimum(sums[inverse[at : at + n]], np.iinfo(np.int32).max).astype(np.int32)
             at += n
-            yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze(pack(totals), 1)}], TOTAL_SCHEMA)
+            ranks = squeeze(pack(inverse[at - n : at].astype(np.int64)), 1) if ranked else None
+            yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze(pack(totals), 1), "ranks": ranks}], TOTAL_SCHEMA)
+        if ranked:
+            yield batch_of([{"bucket": sent[0][0], "block": SUMMARY, "totals": pack(np.array([sums.sum(), (sums > 0).sum()])), "ranks": None}], TOTAL_SCHEMA)
 
-    return per_block(by_bucket(rows, buckets).mapInArrow(total, "bucket int, block long, totals binary"))
+    return per_block(by_bucket(rows, buckets).mapInArrow(total, "bucket int, block long, totals binary, ranks binary"))
 
 
 def totals_of(values: np.ndarray, parts: list[dict] | None, buckets: int) -> np.ndarray:
@@ -69,6 +75,16 @@ def totals_of(values: np.ndarray, parts: list[dict] | None, buckets: int) -> np.
     return out
 
 
+def ids_of(values: np.ndarray, parts: list[dict], buckets: int) -> np.ndarray:
+    """Whole numbers that tell the block's ``values`` apart in all blocks: rank in the bucket, then bucket."""
+    order, found, bounds = bucket_pieces((values % np.uint64(buckets)).astype(np.int64))
+    by_number = {p["bucket"]: p["ranks"] for p in parts}
+    out = np.zeros(len(values), np.int64)
+    for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
+        out[order[lo:hi]] = np.frombuffer(expand(by_number[b]), np.int64) * buckets + b
+    return out
+
+
 def gathered(parts: list[dict], fields: tuple[str, ...], kinds: tuple) -> tuple[np.ndarray, ...]:
     """Arrays joined over the parts of a block."""
     return tuple(np.concatenate([np.frombuffer(p[f], k) for p in parts or ()] or [np.zeros(0, k)]) for f, k in zip(fields, kinds))

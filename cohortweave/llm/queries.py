@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, compress, contamination, html_text, near, rules, suffix, wavelet
+from cohortweave.llm import bpe, compress, contamination, html_text, lm, near, rules, suffix, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +196,9 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html_text.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@register("op3_language_model")
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents; those with a crc32 of 2 modulo 7 are not learned from."""
+    return lm.score(table(spark, folder, "documents"), lambda key: key is not None and zlib.crc32(key.encode()) % 7 == 2)
