@@ -312,9 +312,11 @@ def _block_anchors(row: dict, buckets: int, frequent: int) -> tuple[np.ndarray,
     return pos, hashes[again], low, high, totals[again] >= frequent
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, decoded: bool = False) -> DataFrame:
     """Per row of ``docs``: ``key``, ``n_bytes``, ``spans`` (removed byte ranges) and ``kept`` (remaining bytes).
 
+    With ``decoded``, ``kept`` is text; characters of which a part was removed are left out.
+
     Removed is each byte inside a string of ``length`` bytes that starts anywhere else too, in the same or
     another row; strings never cross rows and all are judged on the input. A NULL text is empty; a text
     shorter than ``length`` stays whole. Repeated rows of enough bytes remove each other.
@@ -408,11 +410,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 for i in range(a, min(a + 1024, len(ends))):
                     z = slice(of_doc[i], of_doc[i + 1])
                     out["spans"].append([{"start": int(x - begin[i]), "end": int(y - begin[i])} for x, y in zip(firsts[z], lasts[z])])
-                    out["kept"].append(left[left_ends[begin[i]] : left_ends[ends[i]]])
+                    rest = left[left_ends[begin[i]] : left_ends[ends[i]]]
+                    out["kept"].append(rest.decode("utf-8", "ignore") if decoded else rest)
                 yield pa.RecordBatch.from_pydict(out, cut_schema)
 
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-    cut_schema = pa.schema([("key", pa.string()), ("n_bytes", pa.int64()), ("spans", pa.list_(span)), ("kept", pa.binary())])
+    cut_schema = pa.schema([("key", pa.string()), ("n_bytes", pa.int64()), ("spans", pa.list_(span)), ("kept", pa.string() if decoded else pa.binary())])
     finished = blocks.select("block", "keys", "ends", "data").join(ranges, "block", "left")
-    rows = finished.mapInArrow(cut, "key string, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+    rows = finished.mapInArrow(cut, f"key string, n_bytes long, spans array<struct<start:int,end:int>>, kept {'string' if decoded else 'binary'}")
     return rows.select(F.col("key").cast(kind).alias(key), "n_bytes", "spans", "kept")
