@@ -39,6 +39,7 @@ APART_NAME = re.compile(
     re.I,
 )
 SPACE = re.compile(r"\s+")
+CUT_TAG = re.compile(r"<(?:[/!?]?[a-zA-Z][^>]*|[/!?])")  # markup that ends with the page
 
 
 class _Lines(HTMLParser):
@@ -112,6 +113,9 @@ class _Lines(HTMLParser):
 def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """Lines of a page in order; unclosed elements end with the page."""
     parser = _Lines()
+    last = page.rfind("<")
+    if last >= 0 and CUT_TAG.fullmatch(page, last):
+        page = page[:last]
     parser.feed(page)
     parser.close()
     parser._flush()
