@@ -45,23 +45,15 @@ def leaf_paths(nodes: DataFrame) -> DataFrame:
     known = base.join(there, F.expr("tree <=> _t AND parent = _n"), "left")
     # path: the newest ancestors and the node; next: the ancestor above them, NULL once the root is reached.
     state = stored(known.selectExpr("tree", "node", "_n AS next", "array(node) AS path", "score AS total"), "chat-paths")
-    while True:
-        open_rows = state.filter("next IS NOT NULL").count()
-        if open_rows == 0:
-            break
+    while not state.filter("next IS NOT NULL").isEmpty():
         above = state.selectExpr("tree AS _t", "node AS _n", "next AS _next", "path AS _path", "total AS _total")
-        longer = state.join(above, F.expr("tree <=> _t AND next = _n"), "left").selectExpr(
-            "tree",
-            "node",
-            "_next AS next",
-            "CASE WHEN _path IS NULL THEN path ELSE concat(_path, path) END AS path",
-            "total + coalesce(_total, 0D) AS total",
-            "next IS NOT NULL AND array_contains(_path, node) AS _cycle",
+        longer = (
+            state.filter("next IS NOT NULL")
+            .join(above, F.expr("tree <=> _t AND next = _n"))  # an ancestor that was left out takes its descendants along
+            .filter("NOT array_contains(_path, node)")  # a node above itself is on a cycle
+            .selectExpr("tree", "node", "_next AS next", "concat(_path, path) AS path", "total + _total AS total")
         )
-        # A node that meets itself above is on a cycle; it and what hangs below never reach a root.
-        state = stored(longer.filter("NOT coalesce(_cycle, false)").drop("_cycle"), "chat-paths")
-        rest = state.selectExpr("tree AS _t", "node AS _n")
-        state = state.join(rest, F.expr("tree <=> _t AND next = _n"), "left").filter("next IS NULL OR _n IS NOT NULL").drop("_t", "_n")
+        state = stored(state.filter("next IS NULL").unionAll(longer), "chat-paths")
     parents = base.filter("parent IS NOT NULL").selectExpr("tree AS _t", "parent AS _p").distinct()
     return state.join(parents, F.expr("tree <=> _t AND node = _p"), "left_anti").selectExpr("tree", "node AS leaf", "path", "total")
 
