@@ -1,8 +1,9 @@
 """Exact order statistics and running totals without a window over a whole group.
 
-Both work on distinct values with their counts, split into order-preserving
-buckets. Totals per bucket are summed first, so a window only ever sees either
-the buckets of one group or the distinct values inside one bucket.
+Both work on distinct values with their counts. A value is an order-preserving 63-bit
+integer with sign, taken apart into three digits of 21 bits. Totals per leading digit, then per
+two leading digits, are summed first, so a window only ever orders the at most 2**21
+(with both signs 2**22) successors of one prefix, however close the values lie.
 """
 
 from __future__ import annotations
@@ -12,16 +13,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A bucket spans 1/1024 of a factor of two, hence holds at most 8,192 distinct
-# single-precision values (2**23 per factor of two), or as many 24-bit integers.
-STEPS_PER_OCTAVE = 1024
+DIGIT_BITS = 21
 
 
-def order_bucket(value: str) -> str:
-    """SQL for an integer that never decreases as the double ``value`` grows."""
-    step = f"cast(floor((log2(abs({value})) + 1100) * {STEPS_PER_OCTAVE}) + 1 AS bigint)"
+def order_code(value: str) -> str:
+    """SQL for a bigint that orders like the finite double ``value``, and is as distinct.
+
+    It is the exponent and the 52 bits of the fraction, with the sign in front. Powers of two are
+    exact, so only the estimate of the exponent needs a correction by one.
+    """
+    size = f"abs({value})"
+    estimate = f"greatest(floor(log2({size})), -1022)"
+    corrected = (
+        f"CASE WHEN pow(2D, {estimate}) > {size} THEN greatest({estimate} - 1, -1022) "
+        f"WHEN {estimate} < 1023 AND pow(2D, {estimate} + 1) <= {size} THEN {estimate} + 1 ELSE {estimate} END"
+    )
+    code = (
+        f"transform(array({corrected}), e -> CASE WHEN {size} < pow(2D, -1022) "
+        f"THEN cast({size} * pow(2D, 537) * pow(2D, 537) AS bigint) "
+        f"ELSE shiftleft(cast(e + 1023 AS bigint), 52) + cast(({size} / pow(2D, e) - 1) * pow(2D, 52) AS bigint) END)[0]"
+    )
     # Never NULL, so that no extra filter keeps Spark from sharing the counts' shuffle.
-    return f"coalesce(CASE WHEN {value} = 0 THEN 0 WHEN {value} > 0 THEN {step} ELSE -{step} END, 0)"
+    return f"coalesce(CASE WHEN {value} = 0 THEN 0L WHEN {value} > 0 THEN {code} ELSE -{code} END, 0L)"
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -40,6 +53,12 @@ def _over(keys: Sequence[str], order: str) -> str:
     return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
+def _coded(counts: DataFrame) -> DataFrame:
+    """Add the prefixes of one and of two digits, ``_p1`` and ``_p2``."""
+    coded = counts.selectExpr("*", f"{order_code('value')} AS _code")
+    return coded.selectExpr("*", f"shiftright(_code, {2 * DIGIT_BITS}) AS _p1", f"shiftright(_code, {DIGIT_BITS}) AS _p2").drop("_code")
+
+
 def running_totals(
     counts: DataFrame, keys: Sequence[str], weights: Sequence[str], descending: bool = False
 ) -> DataFrame:
@@ -49,22 +68,27 @@ def running_totals(
     """
     keys = list(keys)
     way = "DESC" if descending else "ASC"
+    coded = _coded(counts)
+    sums = [F.expr(f"sum({w}) AS {w}") for w in weights]
+    second = coded.groupBy(*keys, "_p1", "_p2").agg(*sums)
+    first = second.groupBy(*keys, "_p1").agg(*sums)
     whole = f"OVER (PARTITION BY {', '.join(keys)})"
-    bucketed = [*keys, "_bucket"]
-    tagged = counts.selectExpr("*", f"{order_bucket('value')} AS _bucket")
-    offsets = (
-        tagged.groupBy(*bucketed)
-        .agg(*[F.expr(f"sum({w}) AS {w}") for w in weights])
-        .selectExpr(
-            *bucketed,
-            *[f"coalesce(sum({w}) {_over(keys, f'_bucket {way}')}, 0) AS _{w}_offset" for w in weights],
-            *[f"sum({w}) {whole} AS {w}_total" for w in weights],
-        )
+    starts = first.selectExpr(
+        *keys,
+        "_p1",
+        *[f"coalesce(sum({w}) {_over(keys, f'_p1 {way}')}, 0) AS _{w}_1" for w in weights],
+        *[f"sum({w}) {whole} AS {w}_total" for w in weights],
+    )
+    inner = second.join(starts, [*keys, "_p1"]).selectExpr(
+        *keys,
+        "_p2",
+        *[f"_{w}_1 + coalesce(sum({w}) {_over([*keys, '_p1'], f'_p2 {way}')}, 0) AS _{w}_2" for w in weights],
+        *[f"{w}_total" for w in weights],
     )
-    inside = _over(bucketed, f"value {way}")
-    return tagged.join(offsets, bucketed).selectExpr(
+    inside = _over([*keys, "_p2"], f"value {way}")
+    return coded.join(inner, [*keys, "_p2"]).selectExpr(
         *counts.columns,
-        *[f"_{w}_offset + coalesce(sum({w}) {inside}, 0) AS {w}_before" for w in weights],
+        *[f"_{w}_2 + coalesce(sum({w}) {inside}, 0) AS {w}_before" for w in weights],
         *[f"{w}_total" for w in weights],
     )
 
@@ -72,34 +96,37 @@ def running_totals(
 def _at_ranks(counts: DataFrame, keys: Sequence[str], ranks: Sequence[str]) -> DataFrame:
     """Per key a map ``_at`` from wanted rank to value, and the row total ``_total``.
 
-    ``ranks`` are SQL for zero-based ranks and may use ``_total``. Only values in the
-    buckets that hold a wanted rank are ordered.
+    ``ranks`` are SQL for zero-based ranks and may use ``_total``. Each step orders only the
+    successors of prefixes that hold a wanted rank.
     """
     keys = list(keys)
-    bucketed = [*keys, "_bucket"]
-    tagged = counts.selectExpr(*keys, "value", "n", f"{order_bucket('value')} AS _bucket")
+    coded = _coded(counts.selectExpr(*keys, "value", "n"))
     wanted = ", ".join(f"cast({r} AS bigint)" for r in ranks)
-    targets = (
-        tagged.groupBy(*bucketed)
-        .agg(F.expr("sum(n) AS _size"))
+    second = coded.groupBy(*keys, "_p1", "_p2").agg(F.expr("sum(n) AS _size"))
+    # The lists below hold one entry per wanted rank.
+    inside = "filter({ranks}, r -> r >= _start AND r < _start + _size) AS _ranks"
+    first = (
+        second.groupBy(*keys, "_p1")
+        .agg(F.expr("sum(_size) AS _size"))
         .selectExpr(
-            *bucketed,
+            *keys,
+            "_p1",
             "_size",
-            f"coalesce(sum(_size) {_over(keys, '_bucket')}, 0) AS _start",
+            f"coalesce(sum(_size) {_over(keys, '_p1')}, 0) AS _start",
             f"sum(_size) OVER (PARTITION BY {', '.join(keys)}) AS _total",
         )
-        .selectExpr(
-            *bucketed,
-            "_start",
-            "_total",
-            f"filter(array_distinct(array({wanted})), r -> r >= _start AND r < _start + _size) AS _ranks",
-        )
+        .selectExpr(*keys, "_p1", "_start AS _outer", "_total", inside.format(ranks=f"array_distinct(array({wanted}))"))
+        .filter("size(_ranks) > 0")
+    )
+    targets = (
+        second.join(first, [*keys, "_p1"])
+        .selectExpr(*keys, "_p2", "_size", "_total", "_ranks", f"_outer + coalesce(sum(_size) {_over([*keys, '_p1'], '_p2')}, 0) AS _start")
+        .selectExpr(*keys, "_p2", "_start", "_total", inside.format(ranks="_ranks"))
         .filter("size(_ranks) > 0")
     )
-    # The lists below hold one entry per wanted rank.
     return (
-        tagged.join(targets, bucketed)
-        .selectExpr("*", f"_start + coalesce(sum(n) {_over(bucketed, 'value')}, 0) AS _first")
+        coded.join(targets, [*keys, "_p2"])
+        .selectExpr("*", f"_start + coalesce(sum(n) {_over([*keys, '_p2'], 'value')}, 0) AS _first")
         .selectExpr(
             *keys, "_total", "value", "explode(filter(_ranks, r -> r >= _first AND r < _first + n)) AS _rank"
         )

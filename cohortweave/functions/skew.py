@@ -1,8 +1,10 @@
 """Lookup joins that stay balanced when one key holds a large share of the rows.
 
-Adaptive execution splits a heavy partition only when both join inputs are plain
-shuffles. A lookup side that was just aggregated or ranked by the join key has no
-shuffle of its own, so here the heavy keys are spread explicitly.
+Adaptive execution splits a heavy partition of the facts as long as both join inputs are
+plain shuffles. A lookup side that was just aggregated or ranked by the join key has
+none of its own, because its rows already lie where they are needed; joining on an expression
+over the key makes Spark shuffle it once more. It has one row per key, so that is cheap, and
+no key has to be counted, listed or repeated beforehand.
 """
 
 from __future__ import annotations
@@ -12,45 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_KEYS = 1024
-HEAVY_MIN_ROWS = 200_000
-SALTS = 64
-
-
-def heavy_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The heaviest keys as ``_heavy_<key>``: at most ``HEAVY_KEYS`` rows, whatever the data size.
-
-    A key outside this list holds less than 1/HEAVY_KEYS of the rows. The order is
-    total, so every evaluation gives the same list.
-    """
-    return (
-        facts.groupBy(*keys)
-        .agg(F.expr("count(1) AS _rows"))
-        .filter(f"_rows >= {HEAVY_MIN_ROWS}")
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HEAVY_KEYS)
-        .selectExpr(*[f"`{k}` AS `_heavy_{k}`" for k in keys], "true AS _heavy")
-    )
-
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``facts`` to ``lookup`` (at most one row per key), ``how`` in left / inner / left_anti.
 
-    Rows of the heavy keys are spread over ``SALTS`` groups by a hash of their content
-    and the lookup rows of just those keys are repeated once per salt. Only the list
-    of heavy keys is broadcast, and its length is bounded.
+    NULL keys match nothing, as in any join by column.
     """
     if how not in ("left", "inner", "left_anti"):
         raise ValueError(f"Unsupported lookup join type: {how}")
     keys = list(keys)
-    heavy = F.broadcast(heavy_keys(facts, keys))
-    match = F.expr(" AND ".join(f"`{k}` <=> `_heavy_{k}`" for k in keys))
-    content = [f"`{c}`" for c in facts.columns]
-    spread = facts.join(heavy, match, "left").selectExpr(
-        *content, f"cast(CASE WHEN _heavy THEN pmod(xxhash64({', '.join(content)}), {SALTS}) ELSE 0 END AS int) AS _salt"
-    )
-    salts = f"CASE WHEN _heavy THEN sequence(0, {SALTS - 1}) ELSE array(0) END"
-    repeated = lookup.join(heavy, match, "left").selectExpr(
-        *[f"`{c}`" for c in lookup.columns], f"explode({salts}) AS _salt"
+    named = lookup.selectExpr(
+        *[f"concat(cast(`{k}` AS string), '') AS `_at_{k}`" for k in keys],
+        *[f"`{c}`" for c in lookup.columns if c not in keys and how != "left_anti"],
     )
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    match = F.expr(" AND ".join(f"concat(cast(`{k}` AS string), '') = `_at_{k}`" for k in keys))
+    joined = facts.join(named, match, how)
+    return joined if how == "left_anti" else joined.drop(*[f"_at_{k}" for k in keys])

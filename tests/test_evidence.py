@@ -251,23 +251,36 @@ def test_same_result_as_brute_force(spark):
         assert row.first_post_second_asm_event_time == (min(after) if after else None)
 
 
-def test_heavy_keys_are_spread_without_changing_results(spark, monkeypatch):
+def test_heavy_keys_are_split_without_changing_results(spark):
+    """One key with two thirds of the rows: same rows as a plain join, and its partition is split."""
     from cohortweave.functions import skew
 
-    facts = spark.range(900).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id % 50) END AS k", "id % 7 AS v"
+    facts = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 'hot' WHEN id % 30 = 2 THEN NULL ELSE concat('k', id % 50) END AS k", "id AS v"
     )
-    lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("unused", 3)], "k string, w int")
-
-    def rows(how):
-        return sorted(map(str, skew.lookup_join(facts, lookup, ["k"], how).collect()))
-
-    plain = {how: rows(how) for how in ("left", "inner", "left_anti")}
-    monkeypatch.setattr(skew, "HEAVY_MIN_ROWS", 50)
-    assert {r["_heavy_k"] for r in skew.heavy_keys(facts, ["k"]).collect()} == {"hot", None}
-    for how in plain:
-        expected = sorted(map(str, facts.join(lookup, "k", how).collect()))
-        assert rows(how) == plain[how] == expected
-    # The heavy key's rows really meet the lookup in several groups.
-    joined = skew.lookup_join(facts.withColumn("u", skew.F.expr("uuid()")), lookup, ["k"], "inner")
-    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    lookup = spark.range(200).selectExpr("concat('k', id) AS k", "id AS w").unionByName(
+        spark.sql("SELECT 'hot' AS k, 7L AS w")
+    ).groupBy("k").agg(skew.F.max("w").alias("w"))
+    for how in ("left", "inner", "left_anti"):
+        joined = skew.lookup_join(facts, lookup, ["k"], how)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, facts.join(lookup, "k", how).select(*joined.columns).collect()))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings if spark.conf.get(k, None) is not None}
+    try:
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        joined = skew.lookup_join(facts.repartition(8), lookup, ["k"], "left")
+        assert joined.count() == 60_000 and len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().toString()
+    finally:
+        for k in settings:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in plan

@@ -241,11 +241,27 @@ def test_percentiles_match_numpy(spark):
             assert row[n] == pytest.approx(np.percentile(groups[row.g], p * 100), rel=1e-12, abs=1e-15)
 
 
-def test_bucket_is_monotone(spark):
-    values = sorted({s * 2.0**e * m for s in (-1, 1) for e in range(-1074, 1023, 37) for m in (1.0, 1.3, 1.9999)} | {0.0})
+def test_order_code_is_the_order_of_doubles(spark):
+    edges = [2.0**e for e in (-1074, -1050, -1023, -1022, -1021, -1, 0, 1, 52, 1022, 1023)]
+    near = [float(np.nextafter(x, way)) for x in edges for way in (0.0, np.inf)]
+    wide = [2.0**e * m for e in range(-1074, 1023, 37) for m in (1.0, 1.3, 1.9999)]
+    close = [1e6 + k / 1024 for k in range(500)]
+    positive = {x for x in [*edges, *near, *wide, *close, float(np.finfo(float).max)] if 0 < x < np.inf}
+    values = sorted({s * x for s in (-1, 1) for x in positive} | {0.0})
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    buckets = [r[0] for r in df.coalesce(1).selectExpr(ordering.order_bucket("v")).collect()]
-    assert buckets == sorted(buckets)
+    codes = [r[0] for r in df.coalesce(1).selectExpr(ordering.order_code("v")).collect()]
+    bits = [int(np.array(abs(v)).view(np.int64)) * (-1 if v < 0 else 1) for v in values]
+    assert codes == bits
+
+
+def test_close_values_share_no_large_window(spark):
+    """Half a million values between 1,000,000 and 1,000,500: no prefix holds more than a small share."""
+    df = spark.range(500_000).selectExpr("'k' AS key", "1000000D + id / 1000D AS value", "1L AS n")
+    coded = ordering._coded(df)
+    largest = coded.groupBy("_p2").count().agg({"count": "max"}).first()[0]
+    assert largest < 5_000
+    (row,) = ordering.percentiles_of_counts(df, ["key"], [0.0, 0.5, 1.0], ["a", "b", "c"]).collect()
+    assert (row.a, row.c) == (1000000.0, 1000499.999) and row.b == pytest.approx(1000249.9995, rel=1e-12)
 
 
 def test_running_totals(spark):
