@@ -107,7 +107,7 @@ BANDS = (
 @dataclass(frozen=True)
 class SignalConfig:
     channel_limit: int | None = None
-    max_seconds: float | None = 300.0
+    max_seconds: float | None = None  # a limit drops later samples, so it is an explicit choice
     amplitude: bool = True
     quality: bool = True
     frequency: bool = True
@@ -138,6 +138,7 @@ class ModelConfig:
     max_iter: int = 1000
     # Settings that only matter for a fused table.
     fused: bool = False
+    record_prefix: str = "ehr"  # the fusion prefix of the record table
     include_flags: bool = True
     allow_single_modality: bool = True
     require_any_feature: bool = True

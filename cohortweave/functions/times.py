@@ -14,7 +14,8 @@ from cohortweave.schemas import TIME
 def as_time(df: DataFrame, name: str | None, formats: Sequence[str] = ()) -> Column:
     """Column ``name`` of ``df`` as a zone-free timestamp.
 
-    Unparsable text becomes NULL, and so does a column that is absent.
+    Unparsable text becomes NULL, and so does a column that is absent. Numbers count
+    nanoseconds since 1970, as they do in data frames written by pandas.
     """
     if not name or name not in df.columns:
         return F.lit(None).cast(TIME)
@@ -27,6 +28,9 @@ def as_time(df: DataFrame, name: str | None, formats: Sequence[str] = ()) -> Col
         attempts = [F.try_to_timestamp(column)]
         attempts += [F.try_to_timestamp(column, F.lit(fmt)) for fmt in formats]
         return F.coalesce(*attempts).cast(TIME)
+    if isinstance(dtype, T.NumericType):
+        seconds = F.expr(f"cast(try_cast(`{name}` AS decimal(28, 0)) / 1000000000 AS decimal(18, 6))")
+        return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
     return F.lit(None).cast(TIME)
 
 

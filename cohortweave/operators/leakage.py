@@ -29,10 +29,8 @@ RECORD_DENYLIST = (
 )
 # The fused table also drops any column holding one of these terms.
 FUSED_TERMS = ("likely_dre", "missing_evidence", "definition_version", "reasons", "reason")
-# In the fused table the deny-listed record columns carry the record prefix.
-FUSED_DENYLIST = tuple(f"ehr_{name}" for name in RECORD_DENYLIST if name != "modality_sources")
 # Nearly determined by the rule; dropped only on request.
-STRICT_DENYLIST = ("evidence_completeness_score", "ehr_evidence_completeness_score")
+STRICT_DENYLIST = ("evidence_completeness_score",)
 
 MODALITY_FLAGS = ("has_ehr", "has_mri", "has_eeg")
 
@@ -65,12 +63,15 @@ def is_numeric_or_bool(dtype: T.DataType) -> bool:
 def _leaks(column: str, config: ModelConfig) -> bool:
     if column == config.target:
         return True
-    if config.strict_leakage and column in STRICT_DENYLIST:
+    # In the fused table the record columns carry the record prefix.
+    prefix = f"{config.record_prefix}_" if config.fused else ""
+    if config.strict_leakage and column in (*STRICT_DENYLIST, *(prefix + name for name in STRICT_DENYLIST)):
         return True
     if not config.fused:
         return column in RECORD_DENYLIST
     lowered = column.lower()
-    return lowered in FUSED_DENYLIST or any(term in lowered for term in FUSED_TERMS)
+    denied = {(prefix + name).lower() for name in RECORD_DENYLIST if name != "modality_sources"}
+    return lowered in denied or any(term in lowered for term in FUSED_TERMS)
 
 
 def screen(df: DataFrame, config: ModelConfig = ModelConfig()) -> LeakageReport:

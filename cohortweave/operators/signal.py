@@ -23,7 +23,7 @@ from cohortweave.functions.skew import lookup_join
 RECORDING = ["patient_id", "recording_id"]
 # Samples per window segment of the difference operator.
 SEGMENT = 65_536
-# Without a time limit, longer channels are transformed in two distributed passes.
+# Longer channels are transformed in two distributed passes.
 LONG_CHANNEL = 1 << 22
 MIN_FACTOR = 64
 
@@ -207,23 +207,20 @@ def _transform_channels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield _band_batch([finished()])
 
 
-def channel_power(kept: DataFrame, bounded: bool = True) -> DataFrame:
+def channel_power(kept: DataFrame) -> DataFrame:
     """Spectral sums per channel.
 
     This is the one step that needs Python: a kept channel is transformed in one task
     and leaves one row. Channels reach Python sorted one after the other, so a call
-    handles many short ones. ``bounded`` states that ``max_seconds`` limits the
-    channels; without a limit, channels longer than ``LONG_CHANNEL`` samples are
-    transformed in two distributed passes instead.
+    handles many short ones. Channels of more than ``LONG_CHANNEL`` samples, as counted in
+    the table, are transformed in two distributed passes instead.
     """
     channel = [*RECORDING, "channel"]
     needed = kept.select(*channel, "sample_idx", "value", "sfreq").dropna(subset=channel)
-    if bounded:
-        together = needed.repartition(*channel).sortWithinPartitions(*channel)
-        return together.mapInArrow(_transform_channels, _CHANNEL_POWER)
     long = long_channels(needed)
     short = lookup_join(needed, long.select(*channel), channel, "left_anti")
-    return channel_power(short).unionByName(_long_channel_power(lookup_join(needed, long, channel, "inner")))
+    together = short.repartition(*channel).sortWithinPartitions(*channel)
+    return together.mapInArrow(_transform_channels, _CHANNEL_POWER).unionByName(_long_channel_power(lookup_join(needed, long, channel, "inner")))
 
 
 def long_channels(kept: DataFrame) -> DataFrame:
@@ -328,7 +325,7 @@ def recording_features(samples: DataFrame, config: SignalConfig = SignalConfig()
     if config.quality:
         columns += QUALITY_COLUMNS
     if config.frequency:
-        features = features.join(spectral_features(channel_power(kept, bool(config.max_seconds))), RECORDING, "left")
+        features = features.join(spectral_features(channel_power(kept)), RECORDING, "left")
         columns += FREQUENCY_COLUMNS
     return features.select("patient_id", "edf_path", *columns)
 

@@ -61,7 +61,11 @@ def decode(files: DataFrame, keys: Sequence[str], decoder: Decoder, data: T.Stru
                 record = {k: batch.column(k)[i].as_py() for k in keys}
                 try:
                     for columns in decoder(batch.column("content")[i].as_py()):
-                        yield table(record, columns, len(columns[data_names[0]]))
+                        total = len(columns[data_names[0]])
+                        # Cut before the keys are repeated, so that no text column outgrows its offsets.
+                        for start in range(0, total, BATCH_ROWS):
+                            part = {k: v[start : start + BATCH_ROWS] for k, v in columns.items()}
+                            yield table(record, part, min(BATCH_ROWS, total - start))
                 except Exception as error:  # any decoder failure belongs to the error table
                     yield table(record, {}, 1, error)
 
@@ -72,10 +76,10 @@ def decode(files: DataFrame, keys: Sequence[str], decoder: Decoder, data: T.Stru
             held.append(piece)
             rows += piece.num_rows
             if rows >= BATCH_ROWS:
-                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                yield from pa.concat_tables(held).combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
                 held, rows = [], 0
         if held:
-            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            yield from pa.concat_tables(held).combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
 
     return files.select(*keys, "content").mapInArrow(run, schema)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cohortweave.sources.tables import normalize_format
 
@@ -33,26 +34,32 @@ def write_table(
     return path
 
 
-def hand_over(df: DataFrame, path: str, label: str, notes: list[str], sort_by: Sequence[str] = ()) -> DataFrame:
+def hand_over(df: DataFrame, path: str, label: str, notes: list[str]) -> DataFrame:
     """Write a stage's Parquet output and read it back with its types; note when empty.
 
     The next stage then starts from files, with no lineage to recompute.
     """
-    write_table(df, path, sort_by=sort_by)
+    write_table(df, path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     if stored.isEmpty():
         notes.append(f"{label} was empty")
     return stored
 
 
-def reload(spark: SparkSession, path: str | None, label: str, notes: list[str]) -> DataFrame | None:
-    """Output of an earlier run, or None with a note when none was produced."""
+def reload(
+    spark: SparkSession, path: str | None, label: str, notes: list[str], schema: StructType | str | None = None
+) -> DataFrame | None:
+    """Output of an earlier run, or None with a note when none was produced.
+
+    CSV text takes its types from ``schema``; without one every column stays text, so no id loses its zeros.
+    """
     if path is None:
         notes.append(f"{label} path was not produced")
         return None
     text = path.lower().endswith((".csv", ".csv.gz"))
     if text:
-        df = spark.read.options(header=True, inferSchema=True, escape='"').csv(path)
+        reader = spark.read.options(header=True, escape='"')
+        df = (reader.schema(schema) if schema is not None else reader).csv(path)
     else:
         df = spark.read.parquet(path)
     if df.isEmpty():

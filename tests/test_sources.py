@@ -66,7 +66,9 @@ def test_gzip_parquet_and_quotes(spark, tmp_path, events_csv):
     assert tables.peek_columns(spark, stored) == df.columns and tables.peek_columns(spark, events_csv) == df.columns
     assert tables.load_table(spark, tables.TableRequest(stored))[0].count() == 3
     text = sinks.write_table(df, str(tmp_path / "out.csv"), "csv")
-    assert sinks.reload(spark, text, "t", []).count() == 3
+    again = sinks.reload(spark, text, "t", [])
+    assert again.count() == 3 and {f.dataType.simpleString() for f in again.schema} == {"string"}
+    assert sinks.reload(spark, text, "t", [], df.schema).schema == df.schema
     notes = []
     assert sinks.reload(spark, None, "EHR table", notes) is None
     sinks.hand_over(df.limit(0), str(tmp_path / "none"), "EHR table", notes)
