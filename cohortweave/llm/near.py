@@ -37,7 +37,7 @@ from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, compone
 WORDS = 5
 SHARE = 75  # percent of the union that two linked sets have in common
 MATCHES = (1, 2, 3, 4)
-LEADERS = 2
+LEADERS = 3
 FIRST_PART = 10  # the first filter demands a tenth of a set's elements
 PAIRS_PER_SALT = 500
 BUCKET_BYTES = 64 << 20
@@ -184,7 +184,7 @@ def _sets_of(row: dict, words: int) -> tuple[list[int], list[np.ndarray]]:
 
 
 def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
-    """Rows (token, rid, n, pos, k) of the adaptive prefixes, rarest elements first.
+    """Rows (token, rid, n, k) of the adaptive prefixes, rarest elements first.
 
     Elements of one set only are not sent, but hold their place in the prefix.
     """
@@ -215,33 +215,42 @@ def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> Data
                 end = min(n, n - need + k)
                 pos = np.flatnonzero(f[:end] > 1)
                 if len(pos):
-                    out.append((s[pos], np.full(len(pos), rid), np.full(len(pos), n), pos, np.full(len(pos), k)))
+                    out.append((s[pos], np.full(len(pos), rid), np.full(len(pos), n), np.full(len(pos), k)))
             if out:
-                t, r, n, p, k = (np.concatenate(x) for x in zip(*out))
+                t, r, n, k = (np.concatenate(x) for x in zip(*out))
                 for a in range(0, len(t), 65536):
                     z = slice(a, a + 65536)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(t[z].view(np.int64)), pa.array(r[z], pa.int64()), pa.array(n[z], pa.int32()), pa.array(p[z], pa.int32()), pa.array(k[z], pa.int32())],
-                        names=["token", "rid", "n", "pos", "k"],
+                        [pa.array(t[z].view(np.int64)), pa.array(r[z], pa.int64()), pa.array(n[z], pa.int32()), pa.array(k[z], pa.int32())],
+                        names=["token", "rid", "n", "k"],
                     )
 
     joined = texts.join(totals, "block")
-    return stored(joined.mapInArrow(prefixes, "token long, rid long, n int, pos int, k int"), "near-prefixes")
+    return stored(joined.mapInArrow(prefixes, "token long, rid long, n int, k int"), "near-prefixes")
+
+
+def _groups(prefixes: DataFrame) -> DataFrame:
+    """Rows (token, rid, n, k, w) with one ``token`` for all ``w`` elements that lie in the same prefixes.
+
+    A passage gives many elements, all shared by the same documents; they meet once instead of once each. The
+    new token is a hash of the set of documents; sets that collide would only raise more candidates.
+    """
+    same = prefixes.groupBy("token").agg(F.expr("xxhash64(bit_xor(xxhash64(rid)), count(*)) AS _set"), F.count("*").alias("_c")).filter("_c > 1")
+    rows = prefixes.join(same, "token").groupBy(F.col("_set").alias("token"), "rid", "n", "k").agg(F.count("*").alias("w"))
+    return stored(rows, "near-groups")
 
 
 def _candidates(pairs: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) with as many shared prefix elements as the shorter of both prefixes demands.
+    """Pairs (a, b, m) whose ``m`` shared prefix elements are as many as the shorter of both prefixes demands.
 
-    ``pairs`` has a row per shared element: a, b and n, pos, k of both sides.
+    ``pairs`` has a row per shared token: a, b, n and k of both sides, and w.
     """
-    need = f"(({{n}} * {share} + 99) div 100)"
-    inside = " AND ".join(f"pos_{s} < n_{s} - {need.format(n=f'n_{s}')} + least(k_a, k_b)" for s in "ab")
     return (
-        pairs.filter(f"100 * least(n_a, n_b) >= {share} * greatest(n_a, n_b) AND {inside}")
+        pairs.filter(f"100 * least(n_a, n_b) >= {share} * greatest(n_a, n_b)")
         .groupBy("a", "b")
-        .agg(F.count("*").alias("_m"), F.expr("any_value(least(k_a, k_b)) AS _k"))
-        .filter("_m >= _k")
-        .select("a", "b")
+        .agg(F.sum("w").alias("m"), F.expr("any_value(least(k_a, k_b)) AS _k"))
+        .filter("m >= _k")
+        .select("a", "b", "m")
     )
 
 
@@ -251,7 +260,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, share: int, bucket
     Sets meet in the bucket of ``b``: that of ``b`` comes once, that of each ``a`` once per pair. The pairs of a
     ``b`` are spread by salts, one per ``PAIRS_PER_SALT`` pairs, so a leader of many pairs fills no single task.
     """
-    pairs = stored(pairs, "near-pairs")
+    pairs = stored(pairs.select("a", "b"), "near-pairs")
     salts = pairs.groupBy("b").agg(F.expr(f"count(*) div {PAIRS_PER_SALT} + 1").alias("salts"))
     pairs = stored(
         pairs.join(salts, "b").selectExpr("a", "b", f"cast(pmod(xxhash64(b, pmod(xxhash64(a), salts)), {buckets}) AS int) AS bucket"), "near-pairs"
@@ -316,19 +325,21 @@ def link_classes(
     reps = rows.filter("n > 0").groupBy("sig").agg(F.min("rid").alias("rep"), F.min("key").alias("low"))
     reps = stored(reps, "near-firsts")
     texts = _surviving_texts(blocks, reps.selectExpr("rep AS rid"), words, share, buckets)
-    prefixes = _prefix_rows(texts, words, share, buckets)
+    prefixes = _groups(_prefix_rows(texts, words, share, buckets))
     links = classes = None
     for turn in range(LEADERS):
         left = prefixes.withColumn("class", F.col("rid")) if classes is None else _split_tokens(prefixes, classes)
-        leader = left.groupBy("token").agg(F.expr(f"min_by(struct(rid, n, pos, k, class), xxhash64(rid, {turn}))").alias("l"))
+        leader = left.groupBy("token").agg(F.expr(f"min_by(struct(rid, n, k, class), xxhash64(rid, {turn}))").alias("l"))
         met = left.join(leader, "token").filter("class <> l.class")
-        sides = [f"{x}{c} AS {n}" for x, s in (("", "a"), ("l.", "b")) for c, n in (("rid", s), *((c, f"{c}_{s}") for c in ("n", "pos", "k")))]
-        found = _verified(_candidates(met.selectExpr(*sides), share), texts, words, share, buckets)
+        pairs = met.selectExpr("rid AS a", "l.rid AS b", "n AS n_a", "l.n AS n_b", "k AS k_a", "l.k AS k_b", "w")
+        # Of its leaders a document tries the one it shares most with; the others are left to the last step.
+        best = _candidates(pairs, share).groupBy("a").agg(F.expr("max_by(b, struct(m, b))").alias("b"))
+        found = _verified(best, texts, words, share, buckets)
         links = found if links is None else links.unionAll(found)
         classes = stored(components(links), "near-classes")
     left = stored(_split_tokens(prefixes, classes), "near-open")
-    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}" if c != "token" else c) for c in left.columns]) for s in "ab")
-    crossing = a.join(b, "token").filter("class_a < class_b").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "pos_a", "pos_b", "k_a", "k_b")
+    a, b = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rid", "n", "k", "class")], *(["w"] if s == "a" else [])) for s in "ab")
+    crossing = a.join(b, "token").filter("class_a < class_b").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "k_a", "k_b", "w")
     links = links.unionAll(_verified(_candidates(crossing, share), texts, words, share, buckets))
     classes = components(links)
     # Classes of first documents, then the least key of each class, then every document.
