@@ -139,6 +139,15 @@ def _slice_anchors(data: bytes, ends: np.ndarray, length: int, gram: int) -> tup
     return pos, hashes[pos], pos - s[last], pos - s[first]
 
 
+def short(positions: np.ndarray, size: int) -> np.ndarray:
+    """Positions in four bytes where the block is small enough, as all but single huge texts are."""
+    return positions.astype(np.int32 if size < 1 << 31 else np.int64)
+
+
+def width(packed: bytes, n: int) -> type:
+    return np.int64 if n and len(packed) == 8 * n else np.int32
+
+
 class Run:
     """A sorted run of distinct (right, left) byte strings, front-coded on the right side."""
 
@@ -162,8 +171,8 @@ class Run:
             "size": pack(np.array([len(r) for r in rest], np.int32)),
             "left": pack(np.array([len(x) for _, x in items], np.int32)),
             "times": pack(np.array([len(places[i]) for i in items], np.int32)),
-            "at": pack(np.array([p for i in items for p in places[i]], np.int64)),
-            "bytes": squeeze(b"".join(rest) + b"".join(x for _, x in items), 1),
+            "at": pack(short(np.array([p for i in items for p in places[i]], np.int64), len(data))),
+            "bytes": squeeze(b"".join(rest) + b"".join(x for _, x in items)),
         }
 
     def __init__(self, block: int, row: dict):
@@ -171,7 +180,7 @@ class Run:
         self.lcp = np.frombuffer(row["lcp"], np.int32).tolist()
         size, self.left_size = np.frombuffer(row["size"], np.int32), np.frombuffer(row["left"], np.int32)
         self.times = np.frombuffer(row["times"], np.int32)
-        self.at = np.frombuffer(row["at"], np.int64)
+        self.at = np.frombuffer(row["at"], width(row["at"], int(self.times.sum()))).astype(np.int64)
         body = expand(row["bytes"])
         ends = np.append(0, np.cumsum(np.concatenate([size, self.left_size]))).tolist()
         n = len(self.lcp)
@@ -308,7 +317,7 @@ def _block_anchors(row: dict, buckets: int, frequent: int) -> tuple[np.ndarray,
     values, inverse = np.unique(hashes, return_inverse=True)
     totals = totals_of(values, row["parts"], buckets)[inverse]
     again = totals >= 2
-    pos, low, high = (np.frombuffer(row[c], np.int64 if c == "pos" else np.int16).astype(np.int64)[again] for c in ("pos", "low", "high"))
+    pos, low, high = (np.frombuffer(row[c], c_type).astype(np.int64)[again] for c, c_type in (("pos", width(row["pos"], len(hashes))), ("low", np.int16), ("high", np.int16)))
     return pos, hashes[again], low, high, totals[again] >= frequent
 
 
@@ -329,7 +338,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     def find(data: bytes, ends: np.ndarray) -> dict:
         pos, hashes, low, high = anchors(data, ends, length, gram)
-        return {"pos": pack(pos), "hashes": pack(hashes), "low": pack(low.astype(np.int16)), "high": pack(high.astype(np.int16)), "n_bytes": len(data)}
+        return {"pos": pack(short(pos, len(data))), "hashes": pack(hashes), "low": pack(low.astype(np.int16)), "high": pack(high.astype(np.int16)), "n_bytes": len(data)}
 
     blocks = write_blocks(docs, key, text, "suffix-blocks", find, "pos binary, hashes binary, low binary, high binary, n_bytes long")
     size = blocks.agg(F.sum("n_bytes").alias("total"), F.count("*").alias("n")).first()
