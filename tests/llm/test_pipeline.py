@@ -5,7 +5,7 @@ import re
 import numpy as np
 
 import corpus_pipeline
-from tests.llm.test_operators import WORD, classes, corpus, hits, library, removed
+from .test_operators import WORD, classes, corpus, hits, library, removed
 
 
 def base_failed(text):
