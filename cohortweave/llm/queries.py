@@ -172,7 +172,34 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.link_classes(table(spark, folder, "documents"))
 
 
-@register("op1_suffix_dedup")
+@register(
+    "op1_suffix_dedup",
+    """
+    WITH doc AS (
+      SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), strings AS (
+      SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS s
+      FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM doc WHERE len(h) >= 400)
+    ), again AS (
+      SELECT s FROM strings GROUP BY s HAVING count(*) > 1
+    ), marked AS (
+      SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, true) AS fresh FROM strings SEMI JOIN again USING (s)
+    ), runs AS (
+      SELECT r, min(i) AS a, max(i) + 200 AS b
+      FROM (SELECT r, i, count_if(fresh) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS g FROM marked) GROUP BY r, g
+    ), gaps AS (
+      SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs
+    ), cut AS (
+      SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+        string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM gaps JOIN doc USING (r) GROUP BY r
+    )
+    SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+      CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+      sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+    FROM doc LEFT JOIN cut USING (r)
+    """,
+)
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the byte strings that occur more than once."""
     return suffix.remove_repeats(table(spark, folder, "documents")).selectExpr(
