@@ -226,3 +226,36 @@ def model_summary(spark: SparkSession, d: str) -> DataFrame:
         "leakage_excluded_cols",
     )
     return presented(summary)
+
+
+_SPLIT = "CASE WHEN {id} % 10 < 7 THEN 'train' WHEN {id} % 10 < 8 THEN 'val' ELSE 'test' END"
+
+
+@register(
+    "model_optimality",
+    f"""{_PATIENTS}, counts AS (SELECT count(*) AS train_rows, sum(target) AS positives FROM t
+            WHERE {_SPLIT.format(id="CAST(patient_id AS BIGINT)")} = 'train')
+        SELECT term, train_rows, CAST(positives AS BIGINT) AS positives, 0.0 AS slope
+        FROM counts, (SELECT unnest({list(("intercept", *FEATURES))!r}) AS term)""",
+)
+def model_optimality(spark: SparkSession, d: str) -> DataFrame:
+    """Slope of the training objective at the fitted weights: 0 for each feature and the intercept.
+
+    The objective is the class-weighted mean loss plus half the squared weights over the number of rows.
+    """
+    table = modeling_table(spark, d).withColumn("split", F.expr(_SPLIT.format(id="cast(patient_id AS bigint)")))
+    result = modeling.train_baseline(table, ModelConfig(target="target", split="split"))
+    weights = list(result.model.stages[-1].coefficients)
+    train = table.filter("split = 'train'").withColumn("label", F.col("target"))
+    sizes = train.agg(F.expr("count(1) AS n"), F.expr("sum(label) AS p")).first()
+    scored = modeling.score(result.model, train, "label", *[f"_feature_{i}" for i in range(len(weights))])
+    residual = f"(score - label) * CASE WHEN label = 1 THEN {sizes.n / (2 * sizes.p)!r}D ELSE {sizes.n / (2 * (sizes.n - sizes.p))!r}D END"
+    slopes = [f"struct('intercept' AS term, avg({residual}) AS slope)"] + [
+        f"struct('{name}' AS term, avg({residual} * _feature_{i}) + {float(w)!r}D / {sizes.n} AS slope)"
+        for i, (name, w) in enumerate(zip(result.features, weights))
+    ]
+    return (
+        scored.agg(F.expr("count(1) AS train_rows"), F.expr("sum(label) AS positives"), F.expr(f"array({', '.join(slopes)}) AS s"))
+        .selectExpr("train_rows", "positives", "inline(s)")
+        .selectExpr("term", "train_rows", "positives", "abs(round(slope, 4)) AS slope")
+    )
