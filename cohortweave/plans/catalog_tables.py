@@ -16,19 +16,20 @@ RUN = RunContext("run-001", "cohortweave", "evidence", "2025-01-01T00:00:00")
 # --- linkage ---------------------------------------------------------------------------------
 
 # Orders name their customer; some carry padding or nothing. The mapping lists
-# customers with a non-negative balance, and suppliers reuse some of their numbers.
+# all customers, without an id at a negative balance, and suppliers reuse some of their numbers.
 _SOURCES = """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 50000 THEN '  '
                             WHEN o_orderstatus = 'O' THEN ' C' || o_custkey || ' '
                             ELSE 'c' || o_custkey END AS source_id FROM orders"""
 _MAPPING = """
-    SELECT 'c' || c_custkey AS source_id, ' person-' || c_custkey AS canonical_patient_id
-    FROM customer WHERE c_acctbal >= 0
+    SELECT 'c' || c_custkey AS source_id, CASE WHEN c_acctbal >= 0 THEN ' person-' || c_custkey END AS canonical_patient_id
+    FROM customer
     UNION ALL SELECT 'C' || s_suppkey, 'supplier-' || s_suppkey FROM supplier"""
 _LINKED = f"""
     WITH src AS ({_SOURCES}), map AS ({_MAPPING}),
          keys AS (SELECT lower(trim(source_id)) AS k, max(trim(canonical_patient_id)) AS canonical,
-                         count(DISTINCT trim(canonical_patient_id)) > 1 AS conflicting FROM map GROUP BY 1),
+                         count(DISTINCT trim(canonical_patient_id)) > 1 AS conflicting FROM map
+                  WHERE canonical_patient_id IS NOT NULL GROUP BY 1),
          keyed AS (SELECT o_orderkey, nullif(lower(trim(source_id)), '') AS k FROM src),
          linked AS (
            SELECT o_orderkey, coalesce(keyed.k, '') AS source_id,
@@ -52,8 +53,9 @@ def _sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mapping(spark: SparkSession, d: str) -> DataFrame:
-    people = v.table(spark, d, "customer").filter("c_acctbal >= 0").selectExpr(
-        "concat('c', c_custkey) AS source_id", "concat(' person-', c_custkey) AS canonical_patient_id"
+    people = v.table(spark, d, "customer").selectExpr(
+        "concat('c', c_custkey) AS source_id",
+        "CASE WHEN c_acctbal >= 0 THEN concat(' person-', c_custkey) ELSE ' ' END AS canonical_patient_id",
     )
     suppliers = v.table(spark, d, "supplier").selectExpr("concat('C', s_suppkey)", "concat('supplier-', s_suppkey)")
     return people.union(suppliers)
