@@ -35,7 +35,7 @@ from cohortweave.llm.blocks import (
 from cohortweave.llm.exchange import SUMMARY, VALUE_ROWS, VALUE_SCHEMA, batch_of, ids_of, totals_of, value_rows, value_totals
 from cohortweave.llm.trie import TrieLevel, quantised, restored
 
-ORDER = 2
+ORDER = 3
 STRENGTH = 16.0
 BUCKET_BYTES = 48 << 20
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds white space

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cohortweave.llm import blocks, bpe, chat, compress, contamination, html_text, lm, near, rules, suffix, trie, wavelet
+from cohortweave.llm import blocks, bpe, chat, compress, contamination, html_text, lm, near, queries, rules, suffix, trie, wavelet
 from cohortweave.llm.merge_automaton import MergeAutomaton, WordCoder
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -383,6 +383,14 @@ def test_language_model_empty(none, docs):
     assert {r.train_tokens for r in lm.score(docs, lambda key: True).collect()} == {0}
 
 
+def test_language_model_query_looks_at_two_words(spark, tmp_path):
+    spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op3_language_model"](spark, str(tmp_path)).collect()
+    held = lambda key: key is not None and zlib.crc32(str(key).encode()) % 7 == 2
+    expected = list(word_model(ROWS, held, 3, lm.STRENGTH))
+    assert np.allclose(sorted(r.score / r.n_tokens for r in got), sorted(e[5] / e[1] for e in expected), atol=0.004, rtol=0)
+
+
 @pytest.mark.parametrize("n, top", [(0, 10), (1, 1), (50, 20), (3000, 1 << 40), (70000, 1 << 20)])
 def test_elias_fano(n, top):
     values = np.sort(np.random.default_rng(n).integers(0, top, n))
