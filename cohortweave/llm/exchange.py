@@ -35,7 +35,8 @@ def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFra
     """For ``VALUE_ROWS``: per block the totals of its values over all blocks, as ``parts`` for ``totals_of``.
 
     A block sends each of its distinct values once, so a value of any frequency takes at most one entry per
-    block in its bucket. Totals return in the order in which the values were sent; most are 1 and squeeze well.
+    block in its bucket. Totals return in the order in which the values were sent; most are 1 and squeeze well. They take four
+    bytes, or eight in a part that needs them.
     ``ranked`` adds the rank of each value in its bucket, and a row for block ``SUMMARY`` whose totals are the
     sum, and the number of values of any total above 0, of each bucket.
     """
@@ -55,7 +56,8 @@ def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFra
         del every, values, counts
         at = 0
         for bucket, block, n in sent:
-            totals = np.minimum(sums[inverse[at : at + n]], np.iinfo(np.int32).max).astype(np.int32)
+            totals = sums[inverse[at : at + n]]
+            totals = totals.astype(np.int64 if totals.max(initial=0) >> 31 else np.int32)
             at += n
             ranks = squeeze(pack(inverse[at - n : at].astype(np.int64)), 1) if ranked else None
             yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze(pack(totals), 1), "ranks": ranks}], TOTAL_SCHEMA)
@@ -71,7 +73,8 @@ def totals_of(values: np.ndarray, parts: list[dict] | None, buckets: int) -> np.
     by_number = {p["bucket"]: p["totals"] for p in parts or ()}
     out = np.zeros(len(values), np.int64)
     for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-        out[order[lo:hi]] = np.frombuffer(expand(by_number[b]), np.int32)
+        raw = expand(by_number[b])
+        out[order[lo:hi]] = np.frombuffer(raw, np.int64 if len(raw) == 8 * (hi - lo) else np.int32)
     return out
 
 

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cohortweave.llm import blocks, bpe, chat, compress, contamination, html_text, lm, near, queries, rules, suffix, trie, wavelet
+from cohortweave.llm import blocks, bpe, chat, compress, contamination, exchange, html_text, lm, near, queries, rules, suffix, trie, wavelet
 from cohortweave.llm.merge_automaton import MergeAutomaton, WordCoder
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -391,6 +391,15 @@ def test_language_model_query_looks_at_two_words(spark, tmp_path):
     assert np.allclose(sorted(r.score / r.n_tokens for r in got), sorted(e[5] / e[1] for e in expected), atol=0.004, rtol=0)
 
 
+def test_totals_above_four_bytes(spark):
+    values, many = np.array([7, 9], np.uint64), np.array([1_500_000_000, 1])
+    rows = [tuple(r.values()) for block in (0, 1) for r in exchange.value_rows(block, values, many, 1)]
+    sent = spark.createDataFrame([(b, k, bytearray(v), bytearray(c)) for b, k, v, c in rows], exchange.VALUE_ROWS)
+    for ranked in (False, True):
+        totals = [exchange.totals_of(values, r.parts, 1).tolist() for r in exchange.value_totals(sent, 1, ranked=ranked).collect() if r.block != exchange.SUMMARY]
+        assert totals == [[3_000_000_000, 2]] * 2
+
+
 @pytest.mark.parametrize("n, top", [(0, 10), (1, 1), (50, 20), (3000, 1 << 40), (70000, 1 << 20)])
 def test_elias_fano(n, top):
     values = np.sort(np.random.default_rng(n).integers(0, top, n))
