@@ -2,9 +2,10 @@
 
 Markup is stripped into lines, one per block element; the text lengths of a sliding window of lines give a
 distribution along the page. The text surges where a window reaches the page's own threshold and
-dives where the windows fall silent again; lines between the surge and the dive are kept. Parts whose markup
-states that they are no article (menus, footers, forms, notices, comments) count as silent lines, so
-they end a run as any gap does.
+dives where the windows fall silent again; lines between the surge and the dive are kept. Lines of an article or
+main element weigh more, and a run that reaches such an element holds all its lines. Lines that are mostly links
+weigh nothing outside, but stay where a run holds them. Parts whose markup states that they are no article (menus,
+footers, forms, notices, comments) count as silent lines, so they end a run as any gap does; they are never kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from cohortweave.llm.blocks import bounded_batches, byte_pieces
 
 WINDOW = 3  # lines in a window
-LINK_SHARE = 0.5  # a line with more of its text in links is silent
+LINK_SHARE = 0.5  # the text of a line with more of it in links has no weight
 
 # Elements of the HTML standard by their part in a page.
 UNSEEN = frozenset("script style noscript template svg math iframe object canvas head title select option datalist textarea button audio video map".split())
@@ -31,11 +32,11 @@ INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd la
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
 )
-# Words in class, id and role that name a part apart from the article.
+# Names in class, id and role of a part apart from the article: made of these words only, as in "site-footer" and "cookie_notice".
 APART_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|banner|breadcrumbs?|comment|comments|commentlist|consent|contentinfo|cookies?|copyright|disqus|"
+    r"(?:(?:site|global)[_-])?(?:(?:ad|ads|adv|advert|adverts|advertisement|banner|breadcrumbs?|comment|comments|commentlist|consent|contentinfo|cookies?|copyright|disqus|"
     r"footer|gdpr|header|legal|login|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|popup|promo|related|replies|respond|"
-    r"search|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget|complementary|hidden)s?(?:$|[\s_-])",
+    r"search|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget|complementary|hidden)s?(?:[_-](?!$)|$))+",
     re.I,
 )
 SPACE = re.compile(r"\s+")
@@ -75,7 +76,7 @@ class _Lines(HTMLParser):
         apart = tag in APART and not (inside and tag in ("header", "figure", "footer"))
         apart = apart or "hidden" in named or named.get("aria-hidden") == "true"
         if tag not in ("html", "body", *MAIN):
-            apart = apart or any(APART_NAME.search(named.get(k, "")) for k in ("class", "id", "role"))
+            apart = apart or any(APART_NAME.fullmatch(x) for k in ("class", "id", "role") for x in named.get(k, "").split())
         if inside and tag in ("header", "footer"):
             apart = tag == "footer" or apart
         self.stack.append((tag, apart, tag in UNSEEN))
@@ -125,29 +126,28 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """Lines between the surges and dives of the page's text, joined by newlines."""
     lines = page_lines(page or "")
-    weights = [0 if apart or 2 * min(linked, len(text)) > 2 * LINK_SHARE * len(text) else len(text) for text, linked, apart, _ in lines]
-    # A main element is a run of its own; without one, runs are told by length alone.
-    if any(m and w for (_, _, _, m), w in zip(lines, weights)):
-        weights = [w if m else 0 for (_, _, _, m), w in zip(lines, weights)]
-        threshold = 1
-    else:
-        n = len(weights)
-        sums = [sum(weights[max(0, i - window // 2) : i + window - window // 2]) for i in range(n)]
-        threshold = max(1, sum(sums) // (4 * max(1, n)))
+    weights = []
+    for text, linked, apart, main in lines:
+        spoken = 0 if min(linked, len(text)) > LINK_SHARE * len(text) else len(text)
+        weights.append(0 if apart else spoken + main * len(text))
     n = len(weights)
+    sums = [sum(weights[max(0, i - window // 2) : i + window - window // 2]) for i in range(n)]
+    threshold = max(1, sum(sums) // (4 * max(1, n)))
     blocks = [sum(weights[i : i + window]) for i in range(n)]
     keep = [False] * n
     i = 0
     while i < n:
         # Surge: a speaking line whose window reaches the threshold and is not alone below it.
         if weights[i] and blocks[i] >= threshold:
-            end = i
+            start = end = i
             silent = 0
+            while start and lines[start - 1][3]:  # short lines that open a main element
+                start -= 1
             while end < n and silent < window:  # dive: a whole window of silent lines
-                silent = 0 if weights[end] else silent + 1
+                silent = 0 if weights[end] or lines[end][3] else silent + 1
                 end += 1
-            for j in range(i, end):
-                keep[j] = weights[j] > 0
+            for j in range(start, end - silent):
+                keep[j] = not lines[j][2]
             i = end
         else:
             i += 1

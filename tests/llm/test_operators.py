@@ -427,6 +427,25 @@ def test_pages(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+BODY = "words of the body that run on " * 8
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        (f"<article><p>teaser</article><div><p>{BODY}<p>{BODY}</div>", ["teaser", BODY.strip(), BODY.strip()]),
+        (f"<div><p>{BODY}<p>{BODY}</div><nav><p>a<p>b<p>c</nav><article><p>x</article>", [BODY.strip()] * 2),
+        (f"<article><p>{BODY}</article><nav><p>a<p>b<p>c</nav><div>stray</div>", [BODY.strip()]),
+        (f"<article><p>{BODY}<p><a href=x>a source</a><p>{BODY}<p><a href=y>another</a></article>", [BODY.strip(), "a source", BODY.strip(), "another"]),
+        (f"<div><p>{BODY}<p><a href=x>a source</a><p>{BODY}<p><a href=y>next page</a></div>", [BODY.strip(), "a source", BODY.strip()]),
+        (f"<article><h1>T</h1><p>s<p>s<p>s<p>{BODY}<div class=related><p>a<p>b<p>c<p>d</div><p>end</article>", ["T", "s", "s", "s", BODY.strip(), "end"]),
+        (f"<div class='content has-sidebar'><p>{BODY}<div class='box sidebar'>s</div></div><div class=cookie_notice>c</div>", [BODY.strip()]),
+    ],
+)
+def test_surges_decide_on_pages_with_an_article(page, kept):
+    assert html_text.main_text(page).split("\n") == kept
+
+
 def test_extract(spark):
     rows = [(i, f"u{i}", p) for i, p in enumerate(PAGES)] + [(99, None, None), (99, None, None), (None, "z", "<p>" * 5000 + "deep")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS key", "3 AS c0")
