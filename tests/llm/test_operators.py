@@ -497,6 +497,41 @@ def test_long_chain_of_replies(spark):
     assert [x.text for x in row.turns] == [str(i) for i in range(1, 301)]
 
 
+def test_branches_store_no_paths(spark, monkeypatch):
+    """Random forests by brute force; a chain of n nodes stores far less than n * n / 2 ids."""
+    rnd = random.Random(6)
+    nodes = []
+    for tree in range(12):
+        for node in range(1, 40):
+            parent = None if node == 1 else rnd.randint(max(1, node - rnd.choice([2, 30])), node - 1)
+            nodes.append((tree, node, parent, "assistant" if node % 2 else "user", f"é{node}<|", float(rnd.randint(0, 3))))
+        nodes += [(tree, 50, 52, "user", "c", 9.0), (tree, 51, 50, "user", "c", 9.0), (tree, 52, 51, "user", "c", 9.0), (tree, 53, 51, "user", "c", 9.0)]
+    expected = []
+    for tree in range(12):
+        own = {n: (p, s) for t, n, p, _, _, s in nodes if t == tree and n < 50}
+        paths = []
+        for leaf in set(own) - {p for p, _ in own.values()}:
+            path = [leaf]
+            while own[path[0]][0]:
+                path.insert(0, own[path[0]][0])
+            paths.append((-sum(own[x][1] for x in path) / len(path), leaf, path))
+        expected += [(tree, i + 1, leaf, [f"é{x}<|" for x in path], "".join(f"é{x}<|" for x in path if x % 2)) for i, (_, leaf, path) in enumerate(sorted(paths)[:3])]
+    fields = "tree long, node long, parent long, role string, text string, score double"
+    told = chat.read_back(chat.conversations(spark.createDataFrame(nodes, fields), branches=3)).collect()
+    assert sorted((r.tree, r.branch, r.leaf, [x.text for x in r.turns], r.loss_text) for r in told) == expected
+    cells, keep = [], chat.stored
+
+    def counted(df, label):
+        out = keep(df, label)
+        cells.extend(len(v) if isinstance(v, list) else 1 for row in out.collect() for v in row)
+        return out
+
+    monkeypatch.setattr(chat, "stored", counted)
+    chain = [(1, i, i - 1 or None, "user", "", 0.0) for i in range(1, 601)]
+    assert chat.conversations(spark.createDataFrame(chain, fields)).first().n_turns == 600
+    assert sum(cells) < 600 * 600 / 4
+
+
 # --- Helpers
 
 
