@@ -315,6 +315,17 @@ def link_classes(
     texts have no shingle and link with nothing. Repeated rows link like any others. A NULL key
     stays NULL and is never a class id unless it is alone.
     """
+    return classes_and_links(docs, key, text, words, share)[0]
+
+
+def classes_and_links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, share: int = SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``link_classes``, and the verified links between different texts that join them.
+
+    A link (``rep_a``, ``rep_b``, ``a``, ``b``) names the first row of both texts by number and by key, each pair once. The links
+    span every class; further pairs inside a class that would link are not all verified, so they give no counts.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
@@ -346,7 +357,10 @@ def link_classes(
     rooted = reps.join(classes, F.expr("rep = node"), "left").selectExpr("sig", "low", "coalesce(root, rep) AS root")
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stored(rooted.join(least, "root").select("sig", "component_id"), "near-named")
-    return rows.join(named, "sig", "left").selectExpr(f"key AS `{key}`", "n AS n_shingles", "coalesce(component_id, key) AS component_id")
+    members = rows.join(named, "sig", "left").selectExpr(f"key AS `{key}`", "n AS n_shingles", "coalesce(component_id, key) AS component_id")
+    pairs = links.selectExpr("least(a, b) AS rep_a", "greatest(a, b) AS rep_b").distinct()
+    a, b = (rows.selectExpr(f"rid AS rep_{s}", f"key AS {s}") for s in "ab")
+    return members, pairs.join(a, "rep_a").join(b, "rep_b").select("rep_a", "rep_b", "a", "b")
 
 
 def _split_tokens(prefixes: DataFrame, classes: DataFrame) -> DataFrame:

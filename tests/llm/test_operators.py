@@ -247,6 +247,29 @@ def test_near_duplicate_chains(spark):
     assert got == classes(rows, 2, 40)
 
 
+def test_near_duplicate_links(spark):
+    """Each link is a pair above the threshold, given once, and the links alone give the classes of different texts."""
+    rows = []
+    for g in range(4):
+        words = [f"g{g}x{i}" for i in range(80)]
+        for step in range(6):
+            words[13 * step] = f"e{g}y{step}"
+            rows.append((len(rows), " ".join(words)))
+    table = spark.createDataFrame([*rows, (99, rows[0][1]), (100, "alone")], "doc_id long, text string").repartition(3)
+    members, links = near.classes_and_links(table)
+    pairs = [tuple(sorted((r.a, r.b))) for r in links.collect()]
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(76)} for k, t in [*rows, (99, rows[0][1])]}
+    assert len(pairs) == len(set(pairs))
+    assert all(100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for a, b in pairs)
+    of = {k: c for k, _, c in rows_of(members)}
+    root = {k: k for k in of}
+    for _ in pairs:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    named = {of[k]: {root[j] for j in of if of[j] == of[k] and j not in (0, 99)} for k in range(1, 24)}
+    assert all(len(x) == 1 for x in named.values()) and len(named) == 4 and of[99] == of[0] == of[1]
+
+
 # --- Decontamination
 
 
