@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import bpe, compress, contamination, html_text, lm, near, rules, suffix, wavelet
+from cohortweave.llm import archive, bpe, compress, contamination, html_text, lm, near, rules, suffix, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +229,29 @@ def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
 def language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log probabilities of all documents; those with a crc32 of 2 modulo 7 are not learned from."""
     return lm.score(table(spark, folder, "documents"), lambda key: key is not None and zlib.crc32(key.encode()) % 7 == 2)
+
+
+@register(
+    "op11_web_archive",
+    """
+    WITH content AS (
+      SELECT page_id, coalesce(html, '') AS h FROM pages
+    ), firsts AS (
+      SELECT h, min(page_id) AS first_id, sha1(h) AS digest FROM content GROUP BY h
+    ), chars AS (
+      SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST(((CAST('0x' || substr(digest, 5 * i + 1, 5) AS BIGINT) >> (15 - 5 * j)) & 31) + 1 AS BIGINT), 1), '' ORDER BY i, j) AS digest
+      FROM firsts, range(8) AS a(i), range(4) AS b(j) GROUP BY h
+    )
+    SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, chars.digest AS payload_digest,
+      CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM content JOIN firsts USING (h) JOIN chars USING (h)
+    """,
+)
+def web_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written into a content-addressed archive and read back."""
+    told = archive.archived(table(spark, folder, "pages"))
+    return told.selectExpr(
+        "cast(key AS bigint) AS page_id", "payload_bytes", "payload_digest", "record_type", "cast(refers_to AS bigint) AS refers_to"
+    )
