@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import archive, bpe, compress, contamination, html_text, lm, near, rules, suffix, wavelet
+from cohortweave.llm import archive, bpe, compress, contamination, html_text, lm, near, repair, rules, suffix, wavelet
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,3 +255,28 @@ def web_archive(spark: SparkSession, folder: str) -> DataFrame:
     return told.selectExpr(
         "cast(key AS bigint) AS page_id", "payload_bytes", "payload_digest", "record_type", "cast(refers_to AS bigint) AS refers_to"
     )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the checksum of conversation and turn; NULLs are one space."""
+    key = "crc32(encode(concat(coalesce(cast(conv_id AS string), ' '), ':', coalesce(cast(turn AS string), ' ')), 'UTF-8')) % 20"
+    told = rows.selectExpr("conv_id", "turn", "coalesce(role, ' ') AS role", "coalesce(text, ' ') AS text", f"{key} AS _k").filter("_k <> 0")
+    return told.selectExpr(
+        "conv_id",
+        "turn",
+        "if(_k = 4, 'user', role) AS role",
+        "CASE _k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text",
+        "explode(if(_k = 3, array(1, 2), array(1))) AS _copy",
+    ).drop("_copy")
+
+
+@register("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations, their faults and cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    told = repair.repair(damaged(rows))
+    ids = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_rows")).selectExpr("conv_id", f"{repair.conv_key('conv_id')} AS conv")
+    counts = [f"coalesce({c}, 0) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.join(told, "conv", "left").selectExpr(
+        "conv_id", *counts, "coalesce(audit, '') AS audit", "coalesce(repaired_sha256, sha2(cast('' AS binary), 256)) AS repaired_sha256"
+    )
