@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import archive, bpe, compress, contamination, html_text, lm, near, repair, rules, suffix, wavelet
+from cohortweave.llm import archive, bpe, compress, contamination, html_text, lm, near, repair, rules, suffix, wavelet, whitening
 from cohortweave.llm import chat as chat_trees
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,3 +280,10 @@ def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return ids.join(told, "conv", "left").selectExpr(
         "conv_id", *counts, "coalesce(audit, '') AS audit", "coalesce(repaired_sha256, sha2(cast('' AS binary), 256)) AS repaired_sha256"
     )
+
+
+@register("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on their eight leading components; a deviation that is no long is NULL."""
+    told = whitening.whiten(table(spark, folder, "embeddings"))
+    return told.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
