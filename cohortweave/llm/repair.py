@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,20 +79,44 @@ def with_inserts(costs: Sequence[int]) -> list[int]:
 END = with_inserts([0, NEVER, NEVER, 0])  # costs after the last row
 
 
-def before(row: int, after: Sequence[int]) -> list[int]:
-    """Costs from each state before a row, given those after it."""
+def _plain_before(row: int, after: Sequence[int]) -> list[int]:
     return with_inserts([min(cost + after[to] for _, cost, to in CHOICES[row][q]) for q in range(STATES)])
 
 
-STEPS = np.array([[before(row, [0 if t == to else NEVER for t in range(STATES)]) for to in range(STATES)] for row in range(12)]).transpose(0, 2, 1)
+# STEPS[row][state][next]: least cost of a row between two states.
+STEPS = [[[_plain_before(row, [0 if t == to else NEVER for t in range(STATES)])[q] for to in range(STATES)] for q in range(STATES)] for row in range(12)]
+
+
+# Relative to their least entry, cost vectors take few values, since inserts bound the differences: each step is computed once.
+@lru_cache(1 << 16)
+def _before(row: int, after: tuple[int, ...]) -> tuple[int, ...]:
+    return tuple(min(x, NEVER) for x in _plain_before(row, after))
+
+
+@lru_cache(1 << 16)
+def _behind(row: int, costs: tuple[int, ...]) -> tuple[int, ...]:
+    return tuple(min(NEVER, *(costs[q] + STEPS[row][q][to] for q in range(STATES))) for to in range(STATES))
+
+
+def _moved(step: Callable, row: int, vector: Sequence[int]) -> tuple[int, ...]:
+    least = min(vector)
+    return tuple([least + x for x in step(row, tuple([min(x - least, NEVER) for x in vector]))])
+
+
+def before(row: int, after: Sequence[int]) -> tuple[int, ...]:
+    """Costs from each state before a row, given those after it."""
+    return _moved(_before, row, after)
 
 
 def matrix(codes: bytes) -> np.ndarray:
     """Least cost from each state before the rows to each state after them."""
-    costs = np.where(np.eye(STATES, dtype=bool), 0, NEVER).astype(np.int64)
-    for row in codes:
-        costs = np.minimum((costs[:, :, None] + STEPS[row][None]).min(axis=1), NEVER)
-    return costs
+    lines = []
+    for state in range(STATES):
+        costs: Sequence[int] = [0 if q == state else NEVER for q in range(STATES)]
+        for row in codes:
+            costs = _moved(_behind, row, costs)
+        lines.append([min(x, NEVER) for x in costs])
+    return np.array(lines, dtype=np.int64)
 
 
 def walk(codes: bytes, end: Sequence[int], state: int) -> tuple[str, list[int]]:
