@@ -108,6 +108,7 @@ BANDS = (
 class SignalConfig:
     channel_limit: int | None = None
     max_seconds: float | None = None  # a limit drops later samples, so it is an explicit choice
+    task_samples: int = 1 << 22  # longer channels are transformed by several tasks
     amplitude: bool = True
     quality: bool = True
     frequency: bool = True

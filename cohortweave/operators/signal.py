@@ -1,296 +1,157 @@
-"""Amplitude, quality and spectral features of signals held as a long sample table.
+"""Amplitude, quality and spectral features of signals.
 
-Samples are ``(patient_id, recording_id, edf_path, channel, sample_idx, value,
-sfreq)`` with one row for each sample of each channel, also for samples that are
-NULL or NaN.
+A signal is held as segments ``(patient_id, recording_id, edf_path, channel, start, sfreq, values)``: one row
+per stretch of at most ``SEGMENT`` samples of a channel, ``start`` being the place of its first sample. Missing samples are
+NULL or NaN entries. Each channel has its own rate. ``segments_of`` makes segments of a long sample table ``(..., channel,
+sample_idx, value, sfreq)`` with one row for each sample; every operator takes either form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.config import BANDS, SignalConfig
-from cohortweave.functions.ordering import exact_percentiles
-from cohortweave.functions.skew import lookup_join
+from cohortweave.functions.ordering import percentiles_of_counts
+from cohortweave.operators import spectrum
 
 RECORDING = ["patient_id", "recording_id"]
-# Samples per window segment of the difference operator.
-SEGMENT = 65_536
-# Longer channels are transformed in two distributed passes.
-LONG_CHANNEL = 1 << 22
-MIN_FACTOR = 64
+SEGMENT = 65_536  # samples per segment made here
+
+
+def _finite(value: str) -> str:
+    return f"({value} IS NOT NULL AND NOT isnan({value}) AND abs({value}) < double('infinity'))"
+
 
-_FINITE = "(value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('infinity'))"
+def segments_of(samples: DataFrame) -> DataFrame:
+    """Segments of a long sample table; segments stay as they are.
+
+    Rows without a recording, channel or place belong to no segment. A place without a row ends a segment, and of
+    several rows of one place all stay, so their values count, and the line length skips between them.
+    """
+    if "values" in samples.columns:
+        return samples
+    place = f"sample_idx div {SEGMENT}"
+    runs = (
+        samples.dropna(subset=[*RECORDING, "channel", "sample_idx"])
+        .groupBy(*RECORDING, "channel", F.expr(place).alias("_piece"))
+        .agg(
+            F.expr("max(edf_path) AS edf_path"),
+            F.expr("max(sfreq) AS sfreq"),
+            F.expr("array_sort(collect_list(struct(sample_idx AS i, cast(value AS double) AS v))) AS cells"),
+        )
+    )
+    # Places where a new segment starts inside the piece: at its first sample and behind each gap.
+    starts = "filter(transform(cells, (c, k) -> if(k = 0 OR c.i <> cells[k - 1].i + 1, k, cast(null AS int))), k -> k IS NOT NULL) AS starts"
+    whole = runs.selectExpr("*", f"if(cells[size(cells) - 1].i - cells[0].i = size(cells) - 1, array(0), null) AS even").selectExpr(
+        "*", f"coalesce(even, {starts.removesuffix(' AS starts')}) AS starts"
+    )
+    cut = whole.selectExpr("*", "posexplode(starts) AS (n, first)").selectExpr(
+        *RECORDING,
+        "edf_path",
+        "channel",
+        "cells[first].i AS start",
+        "sfreq",
+        "transform(slice(cells, first + 1, coalesce(get(starts, n + 1), size(cells)) - first), c -> c.v) AS values",
+    )
+    return cut
 
 
-def _channels(samples: DataFrame, config: SignalConfig) -> DataFrame:
-    return samples if config.channel_limit is None else samples.filter(f"channel < {int(config.channel_limit)}")
+def _channels(segments: DataFrame, config: SignalConfig) -> DataFrame:
+    return segments if config.channel_limit is None else segments.filter(f"channel < {int(config.channel_limit)}")
 
 
-def _in_time(config: SignalConfig) -> str:
+def _cut(config: SignalConfig) -> str:
+    """SQL: the values inside the configured time."""
     if not config.max_seconds:
-        return "true"
-    return f"sample_idx < cast(floor({float(config.max_seconds)}D * sfreq) AS bigint)"
+        return "values"
+    room = f"cast(floor({float(config.max_seconds)}D * sfreq) AS bigint) - start"
+    return f"slice(values, 1, cast(greatest(0, least(size(values), {room})) AS int))"
 
 
 def kept_samples(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
-    """The first channels and seconds that the settings allow; 0 or None means no limit."""
-    return _channels(samples, config).filter(_in_time(config))
+    """The first channels and seconds that the settings allow, as segments; 0 or None means no limit."""
+    segments = _channels(segments_of(samples), config)
+    cut = segments.selectExpr(*[c if c != "values" else f"{_cut(config)} AS values" for c in segments.columns])
+    return cut.filter("size(values) > 0") if config.max_seconds else cut
 
 
-def recording_moments(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
+def recording_moments(samples: DataFrame, config: SignalConfig = SignalConfig(), steps: bool = False) -> DataFrame:
     """Shape, moments and quality of each recording in one aggregation.
 
-    Moments are over all finite kept samples (NULL when there are none); missing
-    samples stay in the denominator of the quality shares. ``truncated`` tells that
-    the recording was longer than the configured maximum.
+    Moments are over all finite kept samples (NULL when there are none); missing samples stay in the denominator of the
+    quality shares. ``truncated`` tells that the recording was longer than the configured maximum; its duration is
+    that of its longest channel, and its sampling frequency the highest.
+
+    Samples are read where their segments lie: only sums leave a task. With ``steps`` the line length is added, the mean
+    absolute first difference inside each channel; differences between neighbouring segments come from their edges.
     """
+    segments = _channels(segments_of(samples), config)
     limit = f"{float(config.max_seconds)}D" if config.max_seconds else "duration"
-    return (
-        _channels(samples, config)
-        .selectExpr(
-            *RECORDING,
-            "edf_path",
-            "channel",
-            "sample_idx",
-            "sfreq",
-            f"{_in_time(config)} AS kept",
-            f"CASE WHEN {_in_time(config)} THEN value END AS value",
-        )
-        .selectExpr("*", f"CASE WHEN {_FINITE} THEN value END AS good")
+    shape = [*RECORDING, "edf_path", "channel", "sfreq", "stop"]
+    cut = segments.selectExpr(*shape[:-1], "start", "start + size(values) AS stop", f"{_cut(config)} AS values")
+    # Each sample, beside its successor; the last one of a segment has none.
+    both = cut.selectExpr(*shape, "size(values) AS n", "values AS value", "slice(values, 2, size(values)) AS after")
+    cells = both.selectExpr(*shape, "n", f"inline_outer(arrays_zip(value{', after' if steps else ''}))")
+    good = f"CASE WHEN {_finite('value')} THEN value END"
+    step = f"CASE WHEN {_finite('value')} AND {_finite('after')} THEN abs(after - value) END" if steps else "0D"
+    found = (
+        cells.selectExpr("*", f"{good} AS good", f"{step} AS step")
         .groupBy(*RECORDING)
         .agg(
             F.expr("max(edf_path) AS edf_path"),
             F.expr("max(sfreq) AS sampling_frequency_hz"),
-            F.expr("coalesce((max(sample_idx) + 1) / nullif(max(sfreq), 0), 0.0D) AS duration"),
+            F.expr("coalesce(max(stop / nullif(sfreq, 0)), 0.0D) AS duration"),
             # Channels are numbered from zero without gaps.
             F.expr("cast(max(channel) + 1 AS bigint) AS channel_count"),
             F.expr("avg(good) AS mean_signal_amplitude"),
             F.expr("stddev_pop(good) AS std_signal_amplitude"),
             F.expr("avg(abs(good)) AS signal_abs_mean"),
             F.expr("sqrt(avg(good * good)) AS signal_rms"),
-            F.expr("coalesce(count(good) / nullif(count_if(kept), 0), 0.0D) AS finite_sample_fraction"),
-            F.expr("coalesce(count_if(value = 0) / nullif(count_if(kept), 0), 0.0D) AS zero_sample_fraction"),
-        )
-        .selectExpr(
-            "*",
-            f"least(duration, {limit}) AS recording_duration_seconds",
-            f"duration > {limit} AS truncated",
+            F.expr("coalesce(count(good) / nullif(count_if(n > 0), 0), 0.0D) AS finite_sample_fraction"),
+            F.expr("coalesce(count_if(value = 0) / nullif(count_if(n > 0), 0), 0.0D) AS zero_sample_fraction"),
+            *([F.expr("coalesce(sum(step), 0D) AS _steps"), F.expr("count(step) AS _n")] if steps else []),
         )
+        .selectExpr("*", f"least(duration, {limit}) AS recording_duration_seconds", f"duration > {limit} AS truncated")
     )
+    if not steps:
+        return found
+    mean = "(_steps + coalesce(_between, 0D)) / nullif(_n + coalesce(_edges, 0), 0) AS signal_line_length_mean"
+    own = [c for c in found.columns if c not in ("_steps", "_n")]
+    return found.join(_edge_steps(cut), RECORDING, "left").selectExpr(*own, mean)
 
 
-def median_amplitude(kept: DataFrame) -> DataFrame:
-    return exact_percentiles(kept, RECORDING, "value", [0.5], ["median_signal_amplitude"])
-
-
-def line_length(kept: DataFrame) -> DataFrame:
-    """Mean absolute first difference inside each channel.
-
-    Channels are cut into segments of fixed length. The last sample of a segment is
-    also sent to the next one, so no window is longer than a segment.
-    """
-    last = f"sample_idx % {SEGMENT} = {SEGMENT - 1}"
-    segment = f"sample_idx div {SEGMENT}"
-    steps = kept.selectExpr(
-        *RECORDING,
-        "channel",
-        "sample_idx",
-        f"CASE WHEN {_FINITE} THEN value END AS value",
-        f"explode(CASE WHEN {last} THEN array({segment}, {segment} + 1) ELSE array({segment}) END) AS segment",
+def _edge_steps(kept: DataFrame) -> DataFrame:
+    """Sum and number of the finite differences between neighbouring segments. One row per segment is ordered, not the samples."""
+    edges = kept.filter("size(values) > 0").selectExpr(
+        *RECORDING, "channel", "start", "start + size(values) AS stop", "values[0] AS first", "values[size(values) - 1] AS last"
     )
-    over = "OVER (PARTITION BY patient_id, recording_id, channel, segment ORDER BY sample_idx)"
+    over = "OVER (PARTITION BY patient_id, recording_id, channel ORDER BY start)"
     return (
-        steps.selectExpr(
-            *RECORDING,
-            "sample_idx",
-            "value",
-            f"lag(sample_idx) {over} AS before_idx",
-            f"lag(value) {over} AS before",
-        )
-        .filter("before_idx = sample_idx - 1")
+        edges.selectExpr(*RECORDING, "stop", "last", f"lead(start) {over} AS next", f"lead(first) {over} AS after")
+        .filter(f"next = stop AND {_finite('last')} AND {_finite('after')}")
         .groupBy(*RECORDING)
-        .agg(F.expr("avg(abs(value - before)) AS signal_line_length_mean"))
+        .agg(F.expr("sum(abs(after - last)) AS _between"), F.expr("count(1) AS _edges"))
     )
 
 
-# --- spectrum --------------------------------------------------------------------------------
-
-_CHANNEL_POWER = T.StructType(
-    [
-        T.StructField("patient_id", T.StringType()),
-        T.StructField("recording_id", T.StringType()),
-        T.StructField("channel", T.IntegerType()),
-        T.StructField("total_power", T.DoubleType()),
-        T.StructField("total_bins", T.LongType()),
-        *[
-            T.StructField(f"{name}_{part}", dtype)
-            for name, _, _ in BANDS
-            for part, dtype in (("power", T.DoubleType()), ("bins", T.LongType()))
-        ],
-    ]
-)
-_ARROW_POWER = pa.schema(
-    [
-        (f.name, {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "bigint": pa.int64()}[
-            f.dataType.simpleString()
-        ])
-        for f in _CHANNEL_POWER
-    ]
-)
-
-
-def _band_row(key: tuple, power: np.ndarray, hertz: np.ndarray) -> list:
-    """Power sums and bin counts of a channel's bins, total and per band."""
-    row = [*key, float(power.sum()), power.size]
-    for _, low, high in BANDS:
-        inside = (hertz >= low) & (hertz < high)
-        row += [float(power[inside].sum()), int(inside.sum())]
-    return row
-
-
-def _band_batch(rows: list[list]) -> pa.RecordBatch:
-    columns = [pa.array(cells, type=f.type) for cells, f in zip(zip(*rows), _ARROW_POWER)]
-    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_POWER)
-
-
-def _whole_transform(key: tuple, index: np.ndarray, values: np.ndarray, rate: float) -> list:
-    signal = np.zeros(int(index.max()) + 1)
-    signal[index] = np.where(np.isfinite(values), values, 0.0)
-    power, hertz = np.zeros(0), np.zeros(0)
-    if rate > 0:
-        power = np.abs(np.fft.rfft(signal)) ** 2
-        hertz = np.fft.rfftfreq(signal.size, d=1.0 / rate)
-    return _band_row(key, power, hertz)
-
-
-def _transform_channels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Transform the channels of one partition, which come one after the other.
-
-    Only the parts of the channel at hand are kept between batches.
-    """
-    key, parts = None, []
-
-    def finished() -> list:
-        index, values = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        return _whole_transform(key, index, values, parts[0][2])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = [batch.column(c) for c in (*RECORDING, "channel")]
-        index = batch.column("sample_idx").to_numpy()
-        values = batch.column("value").to_numpy(zero_copy_only=False)
-        rates = batch.column("sfreq").to_numpy(zero_copy_only=False)
-        differs = np.zeros(batch.num_rows - 1, dtype=bool)
-        for column in names:
-            differs |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
-        edges = [0, *(np.flatnonzero(differs) + 1).tolist(), batch.num_rows]
-        done = []
-        for start, stop in zip(edges, edges[1:]):
-            current = tuple(column[start].as_py() for column in names)
-            if parts and current != key:
-                done.append(finished())
-                parts = []
-            key = current
-            parts.append((index[start:stop], values[start:stop], float(rates[start])))
-        if done:
-            yield _band_batch(done)
-    if parts:
-        yield _band_batch([finished()])
-
-
-def channel_power(kept: DataFrame) -> DataFrame:
-    """Spectral sums per channel.
-
-    This is the one step that needs Python: a kept channel is transformed in one task
-    and leaves one row. Channels reach Python sorted one after the other, so a call
-    handles many short ones. Channels of more than ``LONG_CHANNEL`` samples, as counted in
-    the table, are transformed in two distributed passes instead.
-    """
-    channel = [*RECORDING, "channel"]
-    needed = kept.select(*channel, "sample_idx", "value", "sfreq").dropna(subset=channel)
-    long = long_channels(needed)
-    short = lookup_join(needed, long.select(*channel), channel, "left_anti")
-    together = short.repartition(*channel).sortWithinPartitions(*channel)
-    return together.mapInArrow(_transform_channels, _CHANNEL_POWER).unionByName(_long_channel_power(lookup_join(needed, long, channel, "inner")))
-
+def median_amplitude(kept: DataFrame) -> DataFrame:
+    """Exact median of the finite samples. Equal values meet before they leave a task."""
+    values = segments_of(kept).selectExpr(*RECORDING, "explode(values) AS value").filter(_finite("value"))
+    counts = values.groupBy(*RECORDING, "value").agg(F.expr("count(1) AS n"))
+    return percentiles_of_counts(counts, RECORDING, [0.5], ["median_signal_amplitude"])
 
-def long_channels(kept: DataFrame) -> DataFrame:
-    """Channels to transform in two passes, with their length as ``rows`` x ``columns``.
 
-    A length without a factor of at least ``MIN_FACTOR`` cannot be laid out as a table
-    and stays with the whole transform.
-    """
-    return (
-        kept.groupBy(*RECORDING, "channel")
-        .agg(F.expr("max(sample_idx) + 1 AS length"))
-        .filter(f"length > {LONG_CHANNEL}")
-        .selectExpr(
-            *RECORDING,
-            "channel",
-            "length",
-            "array_max(filter(sequence(1L, cast(sqrt(length) AS bigint)), d -> length % d = 0)) AS rows",
-        )
-        .filter(f"rows >= {MIN_FACTOR}")
-        .withColumn("columns", F.expr("length div rows"))
-    )
+def line_length(kept: DataFrame) -> DataFrame:
+    """Mean absolute first difference inside each channel, for recordings with any difference."""
+    moments = recording_moments(kept, steps=True).filter("signal_line_length_mean IS NOT NULL")
+    return moments.select(*RECORDING, "signal_line_length_mean")
 
 
-_PARTIAL = """patient_id string, recording_id string, channel int, length bigint, rows bigint, columns bigint,
-              sfreq double, place bigint, bin bigint, re double, im double"""
-
-
-def _column_transform(key: tuple, samples: pa.Table) -> pa.Table:
-    """Transform one column of the sample table and turn it by its place."""
-    patient, recording, channel, place = (part.as_py() for part in key)
-    length, rows, columns = (samples[n][0].as_py() for n in ("length", "rows", "columns"))
-    values = samples["value"].to_numpy()
-    column = np.zeros(rows)
-    column[samples["line"].to_numpy()] = np.where(np.isfinite(values), values, 0.0)
-    bins = np.arange(rows)
-    turned = np.fft.fft(column) * np.exp(-2j * np.pi * ((place * bins) % length) / length)
-    fixed = (patient, recording, channel, length, rows, columns, samples["sfreq"][0].as_py(), place)
-    names = ("patient_id", "recording_id", "channel", "length", "rows", "columns", "sfreq", "place")
-    types = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
-    table = {n: pa.repeat(pa.scalar(v, type=t), rows) for n, v, t in zip(names, fixed, types)}
-    return pa.table({**table, "bin": bins, "re": turned.real, "im": turned.imag})
-
-
-def _row_power(key: tuple, partial: pa.Table) -> pa.Table:
-    """Transform one row of partial bins: every ``rows``-th frequency of the channel."""
-    patient, recording, channel, first = (part.as_py() for part in key)
-    length, rows, columns = (partial[n][0].as_py() for n in ("length", "rows", "columns"))
-    line = np.zeros(columns, dtype=complex)
-    line[partial["place"].to_numpy()] = partial["re"].to_numpy() + 1j * partial["im"].to_numpy()
-    frequency = first + rows * np.arange(columns)
-    kept = frequency <= length // 2
-    power = np.abs(np.fft.fft(line)[kept]) ** 2
-    hertz = frequency[kept] * (partial["sfreq"][0].as_py() / length)
-    return pa.Table.from_batches([_band_batch([_band_row((patient, recording, channel), power, hertz)])])
-
-
-def _long_channel_power(samples: DataFrame) -> DataFrame:
-    """Exact transform of long channels with groups of about the root of their length.
-
-    The samples of a channel are laid out row by row in a table. One pass transforms
-    each column, the next each row of the turned results; each row leaves the sums of
-    its own frequencies.
-    """
-    partial = (
-        samples.filter("sfreq > 0")
-        .selectExpr("*", "sample_idx % columns AS place", "sample_idx div columns AS line")
-        .groupBy(*RECORDING, "channel", "place")
-        .applyInArrow(_column_transform, _PARTIAL)
-    )
-    return partial.groupBy(*RECORDING, "channel", "bin").applyInArrow(_row_power, _CHANNEL_POWER)
+def channel_power(kept: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
+    """Spectral sums per channel: ``total_power``, ``total_bins`` and the same per band."""
+    return spectrum.band_power(segments_of(kept), config.task_samples)
 
 
 def spectral_features(power: DataFrame) -> DataFrame:
@@ -315,17 +176,17 @@ FREQUENCY_COLUMNS = ("spectral_power_mean", *(f"bandpower_{name}_mean" for name,
 
 def recording_features(samples: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
     """One row per recording with the feature groups that are switched on."""
-    kept = kept_samples(samples, config)
-    features = recording_moments(samples, config)
+    segments = segments_of(samples)
+    kept = kept_samples(segments, config)
+    features = recording_moments(segments, config, steps=config.amplitude)
     columns = ["recording_duration_seconds", "sampling_frequency_hz", "channel_count"]
     if config.amplitude:
         features = features.join(median_amplitude(kept), RECORDING, "left")
-        features = features.join(line_length(kept), RECORDING, "left")
         columns += AMPLITUDE_COLUMNS
     if config.quality:
         columns += QUALITY_COLUMNS
     if config.frequency:
-        features = features.join(spectral_features(channel_power(kept)), RECORDING, "left")
+        features = features.join(spectral_features(channel_power(kept, config)), RECORDING, "left")
         columns += FREQUENCY_COLUMNS
     return features.select("patient_id", "edf_path", *columns)
 

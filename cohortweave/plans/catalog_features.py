@@ -27,8 +27,8 @@ _SIGNAL = ("positions", "samples")
     ),
 )
 def signal_amplitude(spark: SparkSession, d: str) -> DataFrame:
-    samples = v.samples(spark, d)
-    moments = signal.recording_moments(samples).join(signal.median_amplitude(samples), signal.RECORDING, "left")
+    segments = v.segments(spark, d)
+    moments = signal.recording_moments(segments).join(signal.median_amplitude(segments), signal.RECORDING, "left")
     return presented(
         moments.select(
             "patient_id",
@@ -58,7 +58,7 @@ _DIFFS = """
     ),
 )
 def signal_line_length(spark: SparkSession, d: str) -> DataFrame:
-    return presented(signal.line_length(v.samples(spark, d)))
+    return presented(signal.line_length(v.segments(spark, d)))
 
 
 @register(
@@ -74,7 +74,7 @@ def signal_line_length(spark: SparkSession, d: str) -> DataFrame:
 )
 def signal_quality(spark: SparkSession, d: str) -> DataFrame:
     return presented(
-        signal.recording_moments(v.samples(spark, d)).select(
+        signal.recording_moments(v.segments(spark, d)).select(
             "patient_id",
             "recording_id",
             "finite_sample_fraction",
@@ -103,7 +103,7 @@ _CUT = SignalConfig(channel_limit=1, max_seconds=0.25)
 )
 def signal_truncated(spark: SparkSession, d: str) -> DataFrame:
     return presented(
-        signal.recording_moments(v.samples(spark, d), _CUT).select(
+        signal.recording_moments(v.segments(spark, d), _CUT).select(
             "patient_id",
             "recording_id",
             "recording_duration_seconds",
@@ -138,7 +138,7 @@ _SPECTRUM = f"""
     ),
 )
 def signal_bands(spark: SparkSession, d: str) -> DataFrame:
-    return presented(signal.spectral_features(signal.channel_power(v.samples(spark, d))))
+    return presented(signal.spectral_features(signal.channel_power(v.segments(spark, d))))
 
 
 _RECORDINGS = f"""
@@ -171,7 +171,7 @@ _FEATURES = (
     ),
 )
 def recording_features(spark: SparkSession, d: str) -> DataFrame:
-    return presented(signal.recording_features(v.samples(spark, d)))
+    return presented(signal.recording_features(v.segments(spark, d)))
 
 
 @register(
@@ -184,7 +184,42 @@ def recording_features(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def patient_signal_mean(spark: SparkSession, d: str) -> DataFrame:
-    return presented(signal.patient_means(signal.recording_features(v.samples(spark, d))))
+    return presented(signal.patient_means(signal.recording_features(v.segments(spark, d))))
+
+
+# Lengths without a factor, at two rates per recording. So small a task makes every channel a long one, and the
+# chirp transform decides on all of them.
+_MIXED_POWER = """
+    SELECT patient_id, recording_id, channel, k, k * sfreq / n AS hertz,
+           pow(sum(coalesce(value, 0) * cos(2 * pi() * k * sample_idx / n)), 2)
+           + pow(sum(coalesce(value, 0) * sin(2 * pi() * k * sample_idx / n)), 2) AS power
+    FROM mixed, range(19) AS bins(k) WHERE k <= n // 2 GROUP BY ALL"""
+_MIXED_DIFFS = """
+    SELECT recording_id, avg(abs(step)) AS signal_line_length_mean
+    FROM (SELECT recording_id, value - lag(value) OVER (PARTITION BY recording_id, channel ORDER BY sample_idx) AS step FROM mixed)
+    GROUP BY ALL"""
+_MIXED = SignalConfig(task_samples=8)
+
+
+@register(
+    "signal_mixed_rates",
+    with_blocks(
+        ("positions", "mixed"),
+        f"""SELECT patient_id, edf_path, 0.5::DOUBLE AS recording_duration_seconds, 74.0::DOUBLE AS sampling_frequency_hz,
+                   2::BIGINT AS channel_count, {', '.join(f"{r6(c)} AS {c}" for c in _FEATURES[2:])}
+            FROM (SELECT patient_id, recording_id, max(edf_path) AS edf_path, avg(value) AS mean_signal_amplitude,
+                         stddev_pop(value) AS std_signal_amplitude, quantile_cont(value, 0.5) AS median_signal_amplitude,
+                         avg(abs(value)) AS signal_abs_mean, sqrt(avg(value * value)) AS signal_rms,
+                         count(value)::DOUBLE / count(*) AS finite_sample_fraction,
+                         count(*) FILTER (value = 0)::DOUBLE / count(*) AS zero_sample_fraction
+                  FROM mixed GROUP BY patient_id, recording_id)
+                 JOIN ({_MIXED_DIFFS}) USING (recording_id)
+                 JOIN (SELECT recording_id, avg(power) AS spectral_power_mean, {_BAND_MEANS}
+                       FROM ({_MIXED_POWER}) GROUP BY recording_id) USING (recording_id)""",
+    ),
+)
+def signal_mixed_rates(spark: SparkSession, d: str) -> DataFrame:
+    return presented(signal.recording_features(v.mixed_segments(spark, d), _MIXED))
 
 
 # --- volumes ---------------------------------------------------------------------------------

@@ -28,7 +28,7 @@ def image_input(spark: SparkSession, d: str) -> jobs.ImageInput:
 
 
 def signal_input(spark: SparkSession, d: str) -> jobs.SignalInput:
-    return jobs.SignalInput("signals", samples=v.samples(spark, d))
+    return jobs.SignalInput("signals", samples=v.segments(spark, d))
 
 
 @register("record_job", ORACLES["label_counts"])

@@ -86,23 +86,44 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector is a recording of two channels with 32 samples at 64 Hz."""
-    raw = F.col("raw").cast("double")
-    return _positions(spark, sf_dir).select(
-        F.concat(F.lit("p"), F.col("label").cast("string")).alias("patient_id"),
-        F.col("vec_id").cast("string").alias("recording_id"),
-        F.concat(F.lit("/signals/p"), "label", F.lit("/r"), "vec_id", F.lit(".edf")).alias("edf_path"),
-        (F.col("pos") >= 32).cast("int").alias("channel"),
-        F.when(F.col("pos") >= 32, F.col("pos") - 32).otherwise(F.col("pos")).cast("bigint").alias("sample_idx"),
-        F.when(F.abs(raw) < 0.005, F.lit(0.0))
-        .when(raw > 0.35, F.lit(float("nan")))
-        .otherwise(raw)
-        .alias("value"),
-        F.lit(64.0).alias("sfreq"),
+def _recorded(raw: str) -> str:
+    """SQL: small values are zero, large ones missing."""
+    return f"CASE WHEN abs({raw}) < 0.005D THEN 0D WHEN {raw} > 0.35D THEN double('NaN') ELSE {raw} END"
+
+
+def _segments(spark: SparkSession, sf_dir: str, channels: list[tuple[int, int, float]]) -> DataFrame:
+    """Each vector is a recording whose channels are stretches (first place, number, rate) of it."""
+    stretches = ", ".join(f"struct({k} AS channel, {a} AS place, {n} AS n, {rate}D AS sfreq)" for k, (a, n, rate) in enumerate(channels))
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "label", "embedding", f"inline(array({stretches}))"
+    ).selectExpr(
+        "concat('p', label) AS patient_id",
+        "cast(vec_id AS string) AS recording_id",
+        "concat('/signals/p', label, '/r', vec_id, '.edf') AS edf_path",
+        "channel",
+        "0L AS start",
+        "sfreq",
+        f"transform(slice(embedding, place + 1, n), x -> {_recorded('cast(x AS double)')}) AS values",
     )
 
 
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector is a recording of two channels with 32 samples at 64 Hz."""
+    return _segments(spark, sf_dir, [(0, 32, 64.0), (32, 32, 64.0)])
+
+
+def mixed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half a second at two rates: 31 samples at 62 Hz, and 37 at 74 Hz, which overlap in the vector."""
+    return _segments(spark, sf_dir, [(0, 31, 62.0), (27, 37, 74.0)])
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of ``segments`` as a long table."""
+    return segments(spark, sf_dir).selectExpr(
+        "patient_id", "recording_id", "edf_path", "channel", "posexplode(values) AS (sample_idx, value)", "sfreq"
+    ).selectExpr("patient_id", "recording_id", "edf_path", "channel", "cast(sample_idx AS bigint) AS sample_idx", "value", "sfreq")
+
+
 def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with one label make a volume: z from the id's last bits, y from the position."""
     raw = F.col("raw")
@@ -170,6 +191,12 @@ CTES = {
                CASE WHEN abs(raw) < 0.005 THEN 0.0 WHEN raw > 0.35 THEN NULL ELSE CAST(raw AS DOUBLE) END AS value,
                64.0 AS sfreq
         FROM positions""",
+    "mixed": """
+        SELECT 'p' || label AS patient_id, CAST(vec_id AS VARCHAR) AS recording_id,
+               '/signals/p' || label || '/r' || vec_id || '.edf' AS edf_path, channel, pos - low AS sample_idx,
+               CASE WHEN abs(raw) < 0.005 THEN 0.0 WHEN raw > 0.35 THEN NULL ELSE CAST(raw AS DOUBLE) END AS value,
+               n, 2.0::DOUBLE * n AS sfreq
+        FROM positions JOIN (VALUES (0, 0, 31), (1, 27, 37)) AS stretch(channel, low, n) ON pos >= low AND pos < low + n""",
     "voxels": """
         SELECT 'p' || label AS subject_id, vec_id // 8 AS x, pos AS y, vec_id % 8 AS z,
                CASE WHEN raw > 0.35 THEN NULL ELSE raw END AS value

@@ -5,7 +5,7 @@ import pytest
 
 from cohortweave.config import BANDS, SignalConfig, VolumeConfig
 from cohortweave.functions import ordering
-from cohortweave.operators import signal, volume
+from cohortweave.operators import signal, spectrum, volume
 
 SAMPLES = (
     "patient_id string, recording_id string, edf_path string, channel int, sample_idx bigint, value double, sfreq double"
@@ -278,24 +278,25 @@ def test_running_totals(spark):
             assert r.n_before == before[r.value] and r.n_total == total
 
 
-def test_long_channels_in_two_passes(spark, monkeypatch):
-    """Without a time limit, long channels give the same spectrum as one transform."""
+def test_long_channels_by_several_tasks(spark, monkeypatch):
+    """Any length gives the same spectrum as one transform: by factors where they are even, else by a chirp."""
+    monkeypatch.setattr(signal, "SEGMENT", 64)
     rng = np.random.default_rng(9)
     recordings = {
         ("p", "long"): rng.normal(size=(2, 600)),
         ("p", "odd"): rng.normal(size=(1, 15 * 21)),
         ("p", "prime"): rng.normal(size=(1, 211)),
+        ("p", "uneven"): rng.normal(size=(1, 2 * 151)),
         ("p", "short"): rng.normal(size=(1, 40)),
+        ("p", "two"): rng.normal(size=(1, 128)),
     }
     recordings[("p", "long")][0, 7] = np.nan
-    monkeypatch.setattr(signal, "LONG_CHANNEL", 100)
-    monkeypatch.setattr(signal, "MIN_FACTOR", 4)
-    samples = sample_frame(spark, recordings, 200.0)
-    long = {(r.recording_id, r.rows, r["columns"]) for r in signal.long_channels(samples).collect()}
-    assert long == {("long", 24, 25), ("odd", 15, 21)}
-    config = SignalConfig(max_seconds=None, amplitude=False, quality=False)
+    samples = signal.segments_of(sample_frame(spark, recordings, 200.0))
+    long = {(r.recording_id, r.rows, r["columns"], r.padded) for r in spectrum.long_channels(samples, 100).collect()}
+    assert long == {("long", 24, 25, False), ("odd", 15, 21, False), ("prime", 16, 32, True), ("uneven", 32, 32, True), ("two", 8, 16, False)}
+    config = SignalConfig(amplitude=False, quality=False, task_samples=100)
     rows = signal.recording_features(samples, config).collect()
-    assert len(rows) == 4
+    assert len(rows) == 6
     for row in rows:
         expected = expected_signal(recordings[("p", row.edf_path.split("/")[-1].removesuffix(".edf"))], 200.0)
         for name in signal.FREQUENCY_COLUMNS:
@@ -303,17 +304,89 @@ def test_long_channels_in_two_passes(spark, monkeypatch):
             assert row[name] == (None if value is None else pytest.approx(value, rel=1e-9)), name
 
 
+@pytest.mark.parametrize("length", [1, 2, 3, 7, 31, 37, 97, 128])
+def test_chirp_of_small_lengths(spark, length):
+    data = np.random.default_rng(length).normal(size=(1, length))
+    samples = sample_frame(spark, {("p", "r"): data}, 160.0)
+    (row,) = signal.spectral_features(signal.channel_power(samples, SignalConfig(task_samples=1))).collect()
+    expected = expected_signal(data, 160.0)
+    for name in signal.FREQUENCY_COLUMNS:
+        assert row[name] == (None if expected[name] is None else pytest.approx(expected[name], rel=1e-9)), name
+
+
+def test_a_prime_length_of_five_million(spark):
+    length, piece = 5_000_011, 65_536
+    assert all(length % d for d in range(2, 2237))
+    wave = "sin(0.37D * i) + 0.5D * cos(1e-3D * i) + cast(i % 7 AS double) / 7"
+    made = spark.range(-(-length // piece)).selectExpr(
+        "'p' AS patient_id", "'r' AS recording_id", "'/p/r.edf' AS edf_path", "0 AS channel", f"id * {piece} AS start", "250D AS sfreq",
+        f"transform(sequence(id * {piece}, least((id + 1) * {piece}, {length}) - 1), i -> {wave}) AS values",
+    )
+    (layout,) = spectrum.long_channels(made, SignalConfig().task_samples).collect()
+    assert layout.padded and layout.rows * layout["columns"] == 2**24
+    i = np.arange(length)
+    data = (np.sin(0.37 * i) + 0.5 * np.cos(1e-3 * i) + (i % 7) / 7)[None]
+    expected = expected_signal(data, 250.0)
+    (row,) = signal.spectral_features(signal.channel_power(made)).collect()
+    for name in signal.FREQUENCY_COLUMNS:
+        assert row[name] == pytest.approx(expected[name], rel=1e-7), name
+
+
+def test_channels_of_different_rates(spark):
+    rng = np.random.default_rng(4)
+    slow, fast = rng.normal(size=40), rng.normal(size=120)
+    rows = [("p", "r", "/p/r.edf", 0, 0, 20.0, slow.tolist()), ("p", "r", "/p/r.edf", 1, 0, 60.0, fast[:50].tolist()), ("p", "r", "/p/r.edf", 1, 50, 60.0, fast[50:].tolist())]
+    made = spark.createDataFrame(rows, "patient_id string, recording_id string, edf_path string, channel int, start bigint, sfreq double, values array<double>")
+    (row,) = signal.recording_features(made).collect()
+    assert (row.recording_duration_seconds, row.sampling_frequency_hz, row.channel_count) == (2.0, 60.0, 2)
+    steps = np.concatenate([np.abs(np.diff(slow)), np.abs(np.diff(fast))])
+    assert row.signal_line_length_mean == pytest.approx(steps.mean())
+    power = [np.abs(np.fft.rfft(x)) ** 2 for x in (slow, fast)]
+    hertz = np.concatenate([np.fft.rfftfreq(40, 1 / 20), np.fft.rfftfreq(120, 1 / 60)])
+    alpha = (hertz >= 8) & (hertz < 13)
+    assert row.bandpower_alpha_mean == pytest.approx(np.concatenate(power)[alpha].mean())
+    (cut,) = signal.recording_features(made, SignalConfig(max_seconds=1.0, frequency=False)).collect()
+    kept = np.concatenate([slow[:20], fast[:60]])
+    assert cut.recording_duration_seconds == 1.0 and cut.mean_signal_amplitude == pytest.approx(kept.mean())
+    kept_steps = np.concatenate([np.abs(np.diff(slow[:20])), np.abs(np.diff(fast[:60]))])
+    assert cut.signal_line_length_mean == pytest.approx(kept_steps.mean())
+    assert [r.recording_id for r in signal.truncation_notes(made, SignalConfig(max_seconds=1.0)).collect()] == ["r"]
+
+
+def test_segments_of_gaps_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(signal, "SEGMENT", 4)
+    rows = [("p", "r", "/r", 0, i, float(i * i), 10.0) for i in (0, 1, 2, 3, 4, 7, 8, 9, 9)] + [("p", "r", "/r", 0, None, 1.0, 10.0), ("p", None, "/r", 0, 1, 1.0, 10.0)]
+    made = signal.segments_of(spark.createDataFrame(rows, SAMPLES))
+    found = sorted((r.start, list(r["values"])) for r in made.collect())
+    assert found == [(0, [0.0, 1.0, 4.0, 9.0]), (4, [16.0]), (7, [49.0]), (8, [64.0, 81.0]), (9, [81.0])]
+    (row,) = signal.line_length(made).collect()
+    assert row.signal_line_length_mean == pytest.approx(np.mean([1, 3, 5, 7, 15, 17]))
+    assert signal.segments_of(made) is made
+
+
+def test_samples_are_not_shuffled(spark):
+    """Quality, moments and line length leave the samples where they lie: exchanges carry sums, and edges of segments."""
+    from cohortweave.plans.catalog import QUERIES
+
+    for name in ("signal_quality", "signal_line_length"):
+        lines = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("\n")
+        below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hash" in line]
+        assert below and all("partial_" in x or " AS last" in x for x in below), name
+
+
 def test_channels_split_over_batches(spark):
     """A channel that spans several Arrow batches is put together again."""
     rng = np.random.default_rng(13)
     recordings = {(f"p{i % 2}", f"r{i}"): rng.normal(size=(2, 37 + i)) for i in range(5)}
     samples = sample_frame(spark, recordings, 100.0)
-    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    default, segment = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), signal.SEGMENT
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    signal.SEGMENT = 10
     try:
         rows = signal.channel_power(samples).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+        signal.SEGMENT = segment
     assert len(rows) == 10
     for row in rows:
         power = np.abs(np.fft.rfft(recordings[(row.patient_id, row.recording_id)][row.channel])) ** 2

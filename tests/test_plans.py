@@ -38,7 +38,7 @@ def test_no_cross_join_anywhere(spark):
 
 
 def test_python_runs_only_in_the_spectral_kernel(spark):
-    with_python = {"signal_bands", "recording_features", "patient_signal_mean"}
+    with_python = {"signal_bands", "recording_features", "patient_signal_mean", "signal_mixed_rates"}
     for name in sorted(set(QUERIES) - EAGER):
         plan = physical(QUERIES[name](spark, FOLDER))
         assert ("InArrow" in plan or "InPandas" in plan or "EvalPython" in plan) == (name in with_python), name
