@@ -278,7 +278,8 @@ def band_power(segments: DataFrame, task_samples: int) -> DataFrame:
     """
     needed = segments.select(*CHANNEL, "start", "sfreq", "values").dropna(subset=CHANNEL)
     long = long_channels(needed, task_samples)
-    short = lookup_join(needed, long.select(*CHANNEL), CHANNEL, "left_anti")
-    together = short.repartition(*CHANNEL).sortWithinPartitions(*CHANNEL)
-    whole = together.mapInArrow(_whole_channels, POWER)
+    # What a long channel holds in its first places is transformed in vain; that bounds the task, and the samples
+    # of all others are sent once. Its row is taken back.
+    first = needed.filter(f"start < {int(task_samples)}").repartition(*CHANNEL).sortWithinPartitions(*CHANNEL)
+    whole = lookup_join(first.mapInArrow(_whole_channels, POWER), long.select(*CHANNEL), CHANNEL, "left_anti")
     return whole.unionByName(_long_power(lookup_join(needed, long.drop("sfreq"), CHANNEL, "inner")))
