@@ -91,7 +91,7 @@ class VolumeConfig:
     foreground_percentile: float = 20.0
     min_foreground_voxels: int = 5000
     levels: int = 64
-    max_slices: int = 3
+    max_slices: int | None = 3  # None: every slice with foreground
 
 
 # Band edges in Hz, lower edge inclusive, upper edge exclusive.

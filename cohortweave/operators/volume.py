@@ -1,9 +1,9 @@
-"""Intensity and texture features of image volumes held as a long voxel table.
+"""Intensity and texture features of image volumes held as image rows.
 
-Voxels are ``(subject_id, x, y, z, value)``, one row for each cell of the volume;
-headers are ``(subject_id, t1_path, zoom_x, zoom_y, zoom_z)``. Everything about
-intensities is computed from counts per distinct value. The voxels themselves are
-shuffled only for the few chosen texture slices, by image row.
+A volume is one row ``(subject_id, z, x, values)`` per line of voxels along y, ``values[y]`` being NULL or NaN where there is
+none. ``lines_of`` makes such rows of a long voxel table ``(subject_id, x, y, z, value)``; every operator takes either
+form. Headers are ``(subject_id, t1_path, zoom_x, zoom_y, zoom_z)``. Everything about intensities is computed from counts
+per distinct value, and neighbours meet inside their row.
 """
 
 from __future__ import annotations
@@ -15,21 +15,52 @@ from pyspark.sql import functions as F
 
 from cohortweave.config import VolumeConfig
 from cohortweave.functions.ordering import percentiles_of_counts, value_counts
+from cohortweave.functions.skew import lookup_join
 from cohortweave.schemas import SUBJECT_ERRORS
 
-_FINITE = "(value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('infinity'))"
-SALTS = 32
 TEXTURE_METRICS = ("contrast", "homogeneity", "energy", "correlation")
 
 
+def _finite(value: str) -> str:
+    return f"({value} IS NOT NULL AND NOT isnan({value}) AND abs({value}) < double('infinity'))"
+
+
+def lines_of(voxels: DataFrame) -> DataFrame:
+    """Image rows of a long voxel table; image rows stay as they are.
+
+    Voxels without a row are NULL, and so are the ends of shorter lines. Of several rows of one voxel the first in
+    order of value counts. Rows without a subject or a place belong to no line.
+    """
+    if "values" in voxels.columns:
+        return voxels
+    cells = (
+        voxels.dropna(subset=["subject_id", "x", "y", "z"])
+        .groupBy("subject_id", "z", "x")
+        .agg(F.expr("array_sort(collect_list(struct(y AS y, cast(value AS float) AS v))) AS cells"))
+    )
+    even = "cells[0].y = 0 AND cells[size(cells) - 1].y = size(cells) - 1 AND NOT exists(sequence(0, size(cells) - 1), k -> cells[k].y <> k)"
+    found = "map_from_entries(filter(transform(cells, (c, k) -> if(k = 0 OR cells[k - 1].y <> c.y, c, null)), c -> c IS NOT NULL))"
+    return cells.selectExpr("*", f"CASE WHEN NOT ({even}) THEN {found} END AS place").selectExpr(
+        "subject_id",
+        "z",
+        "x",
+        "if(place IS NULL, transform(cells, c -> c.v), transform(sequence(0, array_max(map_keys(place))), k -> try_element_at(place, k))) AS values",
+    )
+
+
 def geometry(voxels: DataFrame, headers: DataFrame) -> DataFrame:
-    """Shape, voxel sizes and the share of non-finite voxels per subject."""
-    shape = voxels.groupBy("subject_id").agg(
-        F.expr("max(x) + 1 AS shape_x"),
-        F.expr("max(y) + 1 AS shape_y"),
-        F.expr("max(z) + 1 AS shape_z"),
-        F.expr("count(1) AS voxel_count"),
-        F.expr(f"1 - count_if({_FINITE}) / count(1) AS image_nan_fraction"),
+    """Shape, voxel sizes and the share of non-finite voxels per subject. Voxels count up to the end of their line."""
+    shape = (
+        lines_of(voxels)
+        .selectExpr("subject_id", "x", "z", "size(values) AS n", f"size(filter(values, v -> {_finite('v')})) AS good")
+        .groupBy("subject_id")
+        .agg(
+            F.expr("max(x) + 1 AS shape_x"),
+            F.expr("max(n) AS shape_y"),
+            F.expr("max(z) + 1 AS shape_z"),
+            F.expr("sum(n) AS voxel_count"),
+            F.expr("1 - sum(good) / sum(n) AS image_nan_fraction"),
+        )
     )
     return headers.join(shape, "subject_id", "left").selectExpr(
         "subject_id",
@@ -49,21 +80,15 @@ def geometry(voxels: DataFrame, headers: DataFrame) -> DataFrame:
 def foreground_counts(voxels: DataFrame, config: VolumeConfig = VolumeConfig()) -> tuple[DataFrame, DataFrame]:
     """Counts of distinct foreground values, and the threshold of each subject.
 
-    Foreground means strictly above the configured percentile of finite values. The
-    one threshold row of a subject is repeated per salt, so a large subject is
-    compared in many tasks.
+    Foreground means strictly above the configured percentile of finite values. Equal values meet before they leave
+    a task.
     """
-    counts = value_counts(voxels, ["subject_id"], "value")
+    values = lines_of(voxels).selectExpr("subject_id", "explode(values) AS value")
+    counts = value_counts(values, ["subject_id"], "value")
     thresholds = percentiles_of_counts(
         counts, ["subject_id"], [config.foreground_percentile / 100.0], ["threshold"]
     )
-    above = (
-        counts.selectExpr("*", f"coalesce(pmod(xxhash64(value), {SALTS}), 0) AS _salt")
-        .join(thresholds.selectExpr("*", f"explode(sequence(0L, {SALTS - 1}L)) AS _salt"), ["subject_id", "_salt"])
-        .filter("value > threshold")
-        .drop("_salt")
-    )
-    return above, thresholds
+    return lookup_join(counts, thresholds, ["subject_id"], "inner").filter("value > threshold"), thresholds
 
 
 def intensity_summary(foreground: DataFrame) -> DataFrame:
@@ -101,54 +126,44 @@ def texture_limits(thresholds: DataFrame, intensities: DataFrame) -> DataFrame:
 
 
 def texture_slices(voxels: DataFrame, limits: DataFrame, config: VolumeConfig = VolumeConfig()) -> DataFrame:
-    """The slices used for texture: the middle ones among slices with any foreground.
+    """The slices used for texture: the middle ones among slices with any foreground, or all without a maximum.
 
     ``limits`` is ``(subject_id, threshold, low, high)``. A subject with one single
     foreground value has no texture.
     """
-    peaks = voxels.filter(_FINITE).groupBy("subject_id", "z").agg(F.expr("max(value) AS peak"))
-    half = max(config.max_slices // 2, 0)
-    # One row per slice, so a window over a subject sees its slice count only.
-    return (
-        peaks.join(limits.filter("low < high"), "subject_id")
-        .filter("peak > threshold")
-        .selectExpr(
-            "subject_id",
-            "z",
-            "threshold",
-            "low",
-            "high",
-            "row_number() OVER (PARTITION BY subject_id ORDER BY z) - 1 AS place",
-            "count(1) OVER (PARTITION BY subject_id) AS slices",
+    line = lines_of(voxels).selectExpr("subject_id", "z", f"array_max(filter(values, v -> {_finite('v')})) AS peak")
+    peaks = line.groupBy("subject_id", "z").agg(F.expr("max(peak) AS peak"))
+    found = peaks.join(limits.filter("low < high"), "subject_id").filter("peak > threshold")
+    chosen = found
+    if config.max_slices is not None:
+        half = max(config.max_slices // 2, 0)
+        # One row per slice, so a window over a subject sees its slice count only.
+        chosen = (
+            found.selectExpr(
+                "*",
+                "row_number() OVER (PARTITION BY subject_id ORDER BY z) - 1 AS place",
+                "count(1) OVER (PARTITION BY subject_id) AS slices",
+            )
+            .selectExpr("*", f"greatest(0, floor(slices / 2) - {half}) AS first_place")
+            .filter(f"place BETWEEN first_place AND floor(slices / 2) + {half}")
+            .filter(f"place < first_place + {int(config.max_slices)}")
         )
-        .selectExpr("*", f"greatest(0, floor(slices / 2) - {half}) AS first_place")
-        .filter(f"place BETWEEN first_place AND floor(slices / 2) + {half}")
-        .filter(f"place < first_place + {int(config.max_slices)}")
-        .select("subject_id", "z", "threshold", "low", "high")
-    )
+    return chosen.select("subject_id", "z", "threshold", "low", "high")
 
 
 def cooccurrence(voxels: DataFrame, slices: DataFrame, config: VolumeConfig = VolumeConfig()) -> DataFrame:
     """Directed co-occurrence counts ``(subject_id, z, i, j, n)`` of neighbours along y.
 
-    Both neighbours must be foreground. The window runs over one image row. Levels
-    are computed in single precision, the precision of the volumes. The few slice rows
-    are repeated per salt of x, so that one large slice is spread over many tasks.
+    Both neighbours must be foreground. Levels are computed in single precision, the precision of the volumes. A line's
+    pairs are formed in its row and counted before they leave the task.
     """
-    scaled = "cast((cast(value AS float) - cast(low AS float)) / cast(high - low AS float) AS float)"
-    level = f"least(greatest({scaled}, float(0)), float(1)) * float({int(config.levels) - 1})"
-    row = "OVER (PARTITION BY subject_id, z, _salt, x ORDER BY y)"
-    return (
-        voxels.filter(_FINITE)
-        .selectExpr("subject_id", "x", "y", "z", "value", f"coalesce(pmod(x, {SALTS}), 0) AS _salt")
-        .join(slices.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS _salt"), ["subject_id", "z", "_salt"])
-        .filter("value > threshold")
-        .selectExpr("subject_id", "z", "_salt", "x", "y", f"cast(floor({level}) AS int) AS i")
-        .selectExpr("subject_id", "z", "y", "i", f"lead(y) {row} AS next_y", f"lead(i) {row} AS j")
-        .filter("next_y = y + 1")
-        .groupBy("subject_id", "z", "i", "j")
-        .agg(F.expr("count(1) AS n"))
+    scaled = "cast((cast(v AS float) - cast(low AS float)) / cast(high - low AS float) AS float)"
+    level = f"cast(floor(least(greatest({scaled}, float(0)), float(1)) * float({int(config.levels) - 1})) AS int)"
+    graded = lookup_join(lines_of(voxels), slices, ["subject_id", "z"], "inner").selectExpr(
+        "subject_id", "z", f"transform(values, v -> CASE WHEN {_finite('v')} AND v > threshold THEN {level} END) AS i"
     )
+    pairs = graded.selectExpr("subject_id", "z", "i", "slice(i, 2, size(i)) AS j").selectExpr("subject_id", "z", "inline(arrays_zip(i, j))")
+    return pairs.filter("i IS NOT NULL AND j IS NOT NULL").groupBy("subject_id", "z", "i", "j").agg(F.expr("count(1) AS n"))
 
 
 def slice_texture(pairs: DataFrame) -> DataFrame:
@@ -211,6 +226,7 @@ def volume_features(
     participants: DataFrame | None = None,
 ) -> DataFrame:
     """One row per header with geometry, foreground, intensity and texture features."""
+    voxels = lines_of(voxels)
     shapes = geometry(voxels, headers)
     foreground, thresholds = foreground_counts(voxels, config)
     intensities = intensity_summary(foreground)

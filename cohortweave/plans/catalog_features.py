@@ -287,7 +287,7 @@ def _volume_sql(select: str) -> str:
     ),
 )
 def volume_geometry(spark: SparkSession, d: str) -> DataFrame:
-    return presented(volume.geometry(v.voxels(spark, d), v.volume_headers(spark, d)))
+    return presented(volume.geometry(v.lines(spark, d), v.volume_headers(spark, d)))
 
 
 _INTENSITY = [f"t1_intensity_{s}" for s in ("mean", "std", "p10", "p50", "p90", "min", "max")]
@@ -301,29 +301,41 @@ _INTENSITY = [f"t1_intensity_{s}" for s in ("mean", "std", "p10", "p50", "p90",
     ),
 )
 def volume_intensity(spark: SparkSession, d: str) -> DataFrame:
-    foreground, _ = volume.foreground_counts(v.voxels(spark, d), _VOLUME)
+    foreground, _ = volume.foreground_counts(v.lines(spark, d), _VOLUME)
     return presented(volume.intensity_summary(foreground))
 
 
 def _limits(spark: SparkSession, d: str) -> DataFrame:
-    foreground, thresholds = volume.foreground_counts(v.voxels(spark, d), _VOLUME)
+    foreground, thresholds = volume.foreground_counts(v.lines(spark, d), _VOLUME)
     return volume.texture_limits(thresholds, volume.intensity_summary(foreground))
 
 
 @register("volume_slices", _volume_sql("SELECT subject_id, z FROM slices"))
 def volume_slices(spark: SparkSession, d: str) -> DataFrame:
-    return volume.texture_slices(v.voxels(spark, d), _limits(spark, d), _VOLUME).select("subject_id", "z")
+    return volume.texture_slices(v.lines(spark, d), _limits(spark, d), _VOLUME).select("subject_id", "z")
 
 
 @register("volume_cooccurrence", _volume_sql("SELECT subject_id, z, i, j, n FROM pairs"))
 def volume_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
-    voxels = v.voxels(spark, d)
-    return volume.cooccurrence(voxels, volume.texture_slices(voxels, _limits(spark, d), _VOLUME), _VOLUME)
+    lines = v.lines(spark, d)
+    return volume.cooccurrence(lines, volume.texture_slices(lines, _limits(spark, d), _VOLUME), _VOLUME)
+
+
+_EVERY = VolumeConfig(max_slices=None)
+
+
+@register(
+    "volume_every_slice",
+    _volume_sql("SELECT subject_id, z, i, j, n FROM pairs").replace("WHERE place BETWEEN greatest(0, n // 2 - 1) AND n // 2 + 1", ""),
+)
+def volume_every_slice(spark: SparkSession, d: str) -> DataFrame:
+    lines = v.lines(spark, d)
+    return volume.cooccurrence(lines, volume.texture_slices(lines, _limits(spark, d), _EVERY), _EVERY)
 
 
 @register("volume_texture", _volume_sql(f"SELECT subject_id, {_TEXTURE} FROM metrics GROUP BY subject_id"))
 def volume_texture(spark: SparkSession, d: str) -> DataFrame:
-    return presented(volume.texture(v.voxels(spark, d), _limits(spark, d), _VOLUME))
+    return presented(volume.texture(v.lines(spark, d), _limits(spark, d), _VOLUME))
 
 
 _VOLUME_ROWS = f"""
@@ -346,7 +358,7 @@ _VOLUME_ROWS = f"""
 @register("volume_features", _volume_sql(_VOLUME_ROWS))
 def volume_features(spark: SparkSession, d: str) -> DataFrame:
     return presented(
-        volume.volume_features(v.voxels(spark, d), v.volume_headers(spark, d), _VOLUME, v.participants(spark, d))
+        volume.volume_features(v.lines(spark, d), v.volume_headers(spark, d), _VOLUME, v.participants(spark, d))
     )
 
 
@@ -371,5 +383,5 @@ def volume_participants(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def low_foreground(spark: SparkSession, d: str) -> DataFrame:
-    foreground, _ = volume.foreground_counts(v.voxels(spark, d), _VOLUME)
+    foreground, _ = volume.foreground_counts(v.lines(spark, d), _VOLUME)
     return volume.low_foreground_notes(volume.intensity_summary(foreground), _VOLUME)

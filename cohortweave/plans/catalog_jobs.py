@@ -23,7 +23,7 @@ def record_input(spark: SparkSession, d: str) -> jobs.RecordInput:
 
 def image_input(spark: SparkSession, d: str) -> jobs.ImageInput:
     return jobs.ImageInput(
-        "volumes", voxels=v.voxels(spark, d), headers=v.volume_headers(spark, d), participants=v.participants(spark, d)
+        "volumes", voxels=v.lines(spark, d), headers=v.volume_headers(spark, d), participants=v.participants(spark, d)
     )
 
 

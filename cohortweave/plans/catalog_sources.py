@@ -257,10 +257,31 @@ def decode_errors(spark: SparkSession, d: str) -> DataFrame:
        GROUP BY doc_id""",
 )
 def decoded_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = decode.decoded_rows(decoded_documents(spark, d), ["doc_id"])
+    rows = decode.decoded_rows(decoded_documents(spark, d))
     return rows.groupBy("doc_id").agg(F.expr("count(1) AS lines"), F.expr("sum(n_chars) AS chars"))
 
 
+def _count_lines(content: bytes) -> Iterator[dict[str, list]]:
+    """Lines of a text file, each ended by a line break."""
+    yield {"line_no": [content.count(b"\n")], "n_chars": [len(content.decode("utf-8").replace("\n", ""))]}
+
+
+@register(
+    "decoded_files",
+    """SELECT lang, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS lines,
+              CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS chars
+       FROM documents GROUP BY lang""",
+)
+def decoded_files(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as text files of each language, read back by tasks that open the files themselves."""
+    folder = fresh_path(spark, "text-files")
+    v.table(spark, d, "documents").select("lang", "text").write.partitionBy("lang").text(folder)
+    listed = files.list_files(spark, folder, "*.txt").selectExpr("path", "regexp_extract(path, 'lang=([^/]+)/', 1) AS lang")
+    decoded = decode.read_files(listed, "path", ["lang"], _count_lines, _LINE)
+    rows = decode.decoded_rows(decode.stored(decoded, fresh_path(spark, "decoded")))
+    return rows.groupBy("lang").agg(F.expr("sum(line_no) AS lines"), F.expr("sum(n_chars) AS chars"))
+
+
 # --- incremental load ------------------------------------------------------------------------
 
 

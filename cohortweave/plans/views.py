@@ -80,12 +80,6 @@ def seizure_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(
-        "vec_id", "label", F.posexplode("embedding").alias("pos", "raw")
-    )
-
-
 def _recorded(raw: str) -> str:
     """SQL: small values are zero, large ones missing."""
     return f"CASE WHEN abs({raw}) < 0.005D THEN 0D WHEN {raw} > 0.35D THEN double('NaN') ELSE {raw} END"
@@ -124,18 +118,22 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).selectExpr("patient_id", "recording_id", "edf_path", "channel", "cast(sample_idx AS bigint) AS sample_idx", "value", "sfreq")
 
 
-def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors with one label make a volume: z from the id's last bits, y from the position."""
-    raw = F.col("raw")
-    return _positions(spark, sf_dir).select(
-        F.concat(F.lit("p"), F.col("label").cast("string")).alias("subject_id"),
-        F.floor(F.col("vec_id") / 8).cast("int").alias("x"),
-        F.col("pos").cast("int").alias("y"),
-        (F.col("vec_id") % 8).cast("int").alias("z"),
-        F.when(raw > 0.35, F.lit(float("nan")).cast("float")).otherwise(raw).alias("value"),
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with one label make a volume, each an image row: z from the id's last bits, y from the position."""
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "concat('p', label) AS subject_id",
+        "cast(vec_id % 8 AS int) AS z",
+        "cast(floor(vec_id / 8) AS int) AS x",
+        "transform(embedding, v -> if(v > 0.35D, float('NaN'), v)) AS values",
     )
 
 
+def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The voxels of ``lines`` as a long table."""
+    cells = lines(spark, sf_dir).selectExpr("subject_id", "x", "z", "posexplode(values) AS (y, value)")
+    return cells.select("subject_id", "x", "y", "z", "value")
+
+
 def volume_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "embeddings")

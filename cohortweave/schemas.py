@@ -31,6 +31,18 @@ SIGNAL_SAMPLES = _schema(
     ("value", _D),
     ("sfreq", _D),
 )
+SIGNAL_SEGMENTS = _schema(
+    ("patient_id", _S),
+    ("recording_id", _S),
+    ("edf_path", _S),
+    ("channel", T.IntegerType()),
+    ("start", _L),
+    ("sfreq", _D),
+    ("values", T.ArrayType(_D)),
+)
+IMAGE_LINES = _schema(
+    ("subject_id", _S), ("x", T.IntegerType()), ("z", T.IntegerType()), ("values", T.ArrayType(T.FloatType()))
+)
 VOXELS = _schema(
     ("subject_id", _S), ("x", T.IntegerType()), ("y", T.IntegerType()), ("z", T.IntegerType()), ("value", T.FloatType())
 )

@@ -14,6 +14,7 @@ import numpy as np
 
 # Factor from a physical dimension to volts.
 VOLTS = {"V": 1.0, "mV": 1e-3, "uV": 1e-6, "µV": 1e-6, "nV": 1e-9}
+SEGMENT = 65_536  # samples per segment
 # NIfTI-1 data type code -> numpy type.
 NIFTI_TYPES = {
     2: "u1",
@@ -32,7 +33,7 @@ def _fields(raw: bytes, width: int) -> list[str]:
 
 
 def edf(max_seconds: float | None = None):
-    """Decoder of EDF recordings; potentials come out in volts.
+    """Decoder of EDF recordings into segments; potentials come out in volts, each channel at its own rate.
 
     With ``max_seconds`` (the limit of the signal settings) only the data records that
     hold these first seconds are converted, plus the very last sample without a value,
@@ -52,11 +53,7 @@ def edf(max_seconds: float | None = None):
         if records < 0:
             records = (len(content) - header_bytes) // (2 * per_record)
         kept = [k for k, name in enumerate(labels) if name != "EDF Annotations"]
-        if len({sizes[k] for k in kept}) != 1:
-            raise ValueError("channels with different sampling rates")
         data = np.frombuffer(content, "<i2", records * per_record, header_bytes).reshape(records, per_record)
-        rate = sizes[kept[0]] / seconds
-        total = records * sizes[kept[0]]
         used = records
         if max_seconds:
             used = min(records, int(np.ceil(max_seconds / seconds)))
@@ -65,21 +62,18 @@ def edf(max_seconds: float | None = None):
             gain = (highs[k] - lows[k]) / (digital_highs[k] - digital_lows[k])
             raw = data[:used, offsets[k] : offsets[k + 1]].reshape(-1)
             value = ((raw - digital_lows[k]) * gain + lows[k]) * VOLTS.get(dimensions[k], 1.0)
-            index = np.arange(value.size)
+            pieces = [(at, value[at : at + SEGMENT]) for at in range(0, value.size, SEGMENT)]
             if used < records:
-                index, value = np.append(index, total - 1), np.append(value, np.nan)
-            yield {
-                "channel": np.full(value.size, number, dtype=np.int32),
-                "sample_idx": index.astype(np.int64),
-                "value": value,
-                "sfreq": np.full(value.size, rate),
-            }
+                pieces.append((records * sizes[k] - 1, np.array([np.nan])))
+            for start, values in pieces:
+                yield {"channel": [number], "start": [start], "sfreq": [sizes[k] / seconds], "values": [values]}
 
+    run.validates_first = True  # sizes and numbers of the header are used before the first piece
     return run
 
 
 def nifti(content: bytes) -> Iterator[dict[str, np.ndarray]]:
-    """Decoder of NIfTI-1 volumes, one piece per slice, in single precision."""
+    """Decoder of NIfTI-1 volumes into image rows, one piece per slice, in single precision."""
     if content[:2] == b"\x1f\x8b":
         content = gzip.decompress(content)
     order = "<" if struct.unpack("<i", content[:4])[0] == 348 else ">"
@@ -98,12 +92,9 @@ def nifti(content: bytes) -> Iterator[dict[str, np.ndarray]]:
     volume = raw.reshape((nx, ny, nz), order="F").astype(np.float32)
     if np.isfinite(slope) and slope != 0 and (slope != 1 or intercept != 0):
         volume = volume * np.float32(slope) + np.float32(intercept)
-    x, y = (grid.reshape(-1).astype(np.int32) for grid in np.indices((nx, ny)))
+    sizes = {f"zoom_{axis}": np.full(nx, float(zoom)) for axis, zoom in zip("xyz", zooms)}
     for z in range(nz):
-        yield {
-            "x": x,
-            "y": y,
-            "z": np.full(x.size, z, dtype=np.int32),
-            "value": volume[:, :, z].reshape(-1),
-            **{f"zoom_{axis}": np.full(x.size, float(zoom)) for axis, zoom in zip("xyz", zooms)},
-        }
+        yield {"x": np.arange(nx, dtype=np.int32), "z": np.full(nx, z, dtype=np.int32), "values": list(volume[:, :, z]), **sizes}
+
+
+nifti.validates_first = True

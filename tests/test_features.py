@@ -189,6 +189,32 @@ def test_volume_features(spark, max_slices):
             assert row[f"glcm_{name}_std"] == pytest.approx(texture[:, k].std(), abs=1e-7)
 
 
+def test_lines_of_voxels(spark):
+    """Gaps and missing ends are NULL, of repeated voxels one counts, and lines need no particular order."""
+    nan = float("nan")
+    rows = [("s", 0, 2, 1, 5.0), ("s", 0, 0, 1, 1.0), ("s", 1, 0, 1, 2.0), ("s", 1, 1, 1, nan), ("s", 2, 1, 0, 7.0), ("s", 2, 1, 0, 6.0), ("s", None, 1, 0, 9.0)]
+    made = volume.lines_of(spark.createDataFrame(rows, VOXELS))
+    found = {(r.z, r.x): str(list(r["values"])) for r in made.collect()}
+    assert found == {(1, 0): "[1.0, None, 5.0]", (1, 1): "[2.0, nan]", (0, 2): "[None, 6.0]"}
+    assert volume.lines_of(made) is made
+
+
+def test_every_slice(spark):
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 30, size=(5, 6, 9)).astype(np.float32)
+    config = VolumeConfig(levels=8, max_slices=None)
+    (row,) = volume.volume_features(*voxel_frame(spark, {"a": data}), config).collect()
+    texture = numpy_texture(data, data > np.percentile(data, 20), 8, 99)
+    assert len(texture) == 9 and row.glcm_contrast_mean == pytest.approx(texture[:, 0].mean())
+
+
+def test_neighbours_meet_in_their_row(spark):
+    from cohortweave.plans.catalog import QUERIES
+
+    plan = QUERIES["volume_every_slice"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ORDER BY y" not in plan and "lead(" not in plan
+
+
 def test_bright_cube_and_empty_volume(spark):
     cube = np.ones((24, 24, 24), dtype=np.float32)
     cube[8:16, 8:16, 8:16] = 10

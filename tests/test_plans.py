@@ -12,6 +12,7 @@ EAGER = {
     "baseline_model",
     "csv_round_trip",
     "decode_errors",
+    "decoded_files",
     "decoded_rows",
     "fusion_result",
     "image_job",

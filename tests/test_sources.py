@@ -176,6 +176,20 @@ def edf_bytes(data, rate, seconds=1, dimension="uV"):
     return head + records.astype("<i2").tobytes()
 
 
+def mixed_edf_bytes(channels, seconds=1):
+    """EDF file whose channels have their own numbers of samples per record."""
+    records = 4
+    per = [len(data) // records for data in channels]
+    count = len(channels)
+    head = b"0".ljust(8) + b"x".ljust(80) * 2 + b"01.01.25" + b"00.00.00"
+    head += str(256 * (count + 1)).encode().ljust(8) + b" " * 44
+    head += str(records).encode().ljust(8) + str(seconds).encode().ljust(8) + str(count).encode().ljust(4)
+    for width, texts in ((16, ["EEG"]), (80, [""]), (8, ["uV"]), (8, ["-100"]), (8, ["100"]), (8, ["-32768"]), (8, ["32767"]), (80, [""]), (8, per), (32, [""])):
+        head += b"".join(str(x).encode().ljust(width) for x in (texts if len(texts) == count else texts * count))
+    body = b"".join(data.reshape(records, -1)[r].astype("<i2").tobytes() for r in range(records) for data in channels)
+    return head + body
+
+
 def nifti_bytes(volume, zooms=(1.0, 0.5, 2.0), slope=2.0, intercept=1.0):
     head = bytearray(352)
     struct.pack_into("<i", head, 0, 348)
@@ -227,6 +241,45 @@ def test_signal_job(spark, raw_data, tmp_path):
     assert spark.read.json(result.paths["run_manifest"]).first().run_id == "run-001"
 
 
+def test_recordings_of_several_rates(spark, tmp_path):
+    """Channels of different rates all count; no such file reaches the error table."""
+    rng = np.random.default_rng(6)
+    slow, fast = rng.integers(-3000, 3000, size=4 * 37), rng.integers(-3000, 3000, size=4 * 50)
+    (tmp_path / "eeg" / "chb07").mkdir(parents=True)
+    (tmp_path / "eeg" / "chb07" / "a.edf").write_bytes(mixed_edf_bytes([slow, fast]))
+    (tmp_path / "eeg" / "chb07" / "cut.edf").write_bytes(mixed_edf_bytes([slow, fast])[:-10])
+    for limit in (None, 2.0):
+        given = jobs.SignalInput("eeg", f"{tmp_path}/eeg", codecs.edf(limit), config=SignalConfig(max_seconds=limit))
+        result = jobs.signal_job(spark, given, RUN, f"{tmp_path}/out-{limit}")
+        (row,) = result.table.collect()
+        volts = [((x[: int(len(x) * (limit or 4) / 4)] + 32768.0) * (200.0 / 65535.0) - 100.0) * 1e-6 for x in (slow, fast)]
+        both = np.concatenate(volts)
+        assert row.mean_signal_amplitude == pytest.approx(both.mean()) and row.signal_rms == pytest.approx(np.sqrt((both**2).mean()))
+        assert (row.sampling_frequency_hz, row.channel_count, row.recording_duration_seconds) == (50.0, 2.0, limit or 4.0)
+        power = np.concatenate([np.abs(np.fft.rfft(x)) ** 2 for x in volts])
+        assert row.spectral_power_mean == pytest.approx(power.mean())
+        assert [e.edf_path.rsplit("/", 1)[1] for e in result.errors.collect()] == ["cut.edf"]
+
+
+def test_files_are_opened_by_tasks(spark, tmp_path):
+    for k in range(70):
+        (tmp_path / f"{k}.bin").write_bytes(b"late" if k == 5 else b"x" * k)
+    paths = [(k, f"{tmp_path}/{k}.bin") for k in range(71)] + [(99, None), (70, f"file://{tmp_path}/3.bin")]
+    inventory = spark.createDataFrame(paths, "k int, at string")
+
+    def decoder(content):
+        yield {"v": [len(content)] * 2}
+        if content == b"late":
+            raise OSError("cut off")
+
+    decoded = decode.stored(decode.read_files(inventory, "at", ["k"], decoder, spark.createDataFrame([], "v bigint").schema), f"{tmp_path}/out")
+    rows = sorted((r.k, r.v) for r in decode.decoded_rows(decoded).collect())
+    assert rows == sorted([(k, k) for k in range(70) if k != 5] * 2 + [(70, 3)] * 2)
+    assert sorted((r.k, r.error_type) for r in decode.decode_errors(decoded, ["k"]).collect()) == [(5, "OSError"), (70, "FileNotFoundError")]
+    none = decode.read_files(inventory.limit(0), "at", ["k"], decoder, spark.createDataFrame([], "v bigint").schema)
+    assert none.count() == 0 and none.columns == ["k", "v", "error_type", "error_message"]
+
+
 def test_image_job(spark, raw_data, tmp_path):
     root, _, volumes = raw_data
     given = jobs.ImageInput("mri", f"{root}/mri", codecs.nifti, config=VolumeConfig(levels=8))
@@ -252,7 +305,7 @@ def test_half_decoded_file_gives_no_rows(spark):
     schema = spark.createDataFrame([], "v bigint").schema
     source = spark.createDataFrame([("ok", bytearray(b"fine")), ("no", bytearray(b"late"))], "k string, content binary")
     decoded = decode.decode(source, ["k"], decoder, schema)
-    assert {(r.k, r.v) for r in decode.decoded_rows(decoded, ["k"]).collect()} == {("ok", 1), ("ok", 2)}
+    assert {(r.k, r.v) for r in decode.decoded_rows(decoded).collect()} == {("ok", 1), ("ok", 2)}
     assert [(r.k, r.error_type, r.error_message) for r in decode.decode_errors(decoded, ["k"]).collect()] == [
         ("no", "OSError", "cut off")
     ]
