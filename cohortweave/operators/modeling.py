@@ -229,3 +229,25 @@ def save_training(result: TrainingResult, folder: str) -> TrainingResult:
     result.model.write().overwrite().save(model_path)
     result.metrics.coalesce(1).write.mode("overwrite").json(metrics_path)
     return replace(result, model_path=model_path, metrics_path=metrics_path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """A pipeline that ``save_training`` wrote."""
+    return PipelineModel.load(path)
+
+
+def score_differences(first: PipelineModel, second: PipelineModel, df: DataFrame, config: ModelConfig = ModelConfig()) -> DataFrame:
+    """Rows scored by two models, and how many of them differ in score or prediction, as one row.
+
+    Scores of one row may differ by rounding where partitions differ, so both models score it in one pass.
+    """
+    rows = df.filter(F.col(config.target).isNotNull()).withColumn("label", F.col(config.target).cast("int"))
+    own = [c for c in rows.columns if c not in ("features", "probability", "prediction", "rawPrediction")]
+    scored = first.transform(rows).select(*own, F.struct("probability", "prediction").alias("_first"))
+    again = second.transform(scored).select("_first", F.struct("probability", "prediction").alias("_second"))
+    told = again.select(
+        vector_to_array("_first.probability")[1].alias("a"),
+        vector_to_array("_second.probability")[1].alias("b"),
+        F.expr("_first.prediction <> _second.prediction AS moved"),
+    )
+    return told.agg(F.expr("count(1) AS row_count"), F.expr("count_if(NOT (a <=> b)) AS scores_differ"), F.expr("count_if(moved) AS predictions_differ"))

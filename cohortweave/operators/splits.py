@@ -138,3 +138,33 @@ def _assign(df: DataFrame, config: ModelConfig, test: list[int], val: list[int],
                 branches.append(f"WHEN _class = {cut['_class']} AND _rank_hash <= {value!r}D THEN '{name}'")
     rule = f"CASE {' '.join(branches)} ELSE 'train' END" if branches else "'train'"
     return ranked.withColumn(SPLIT, F.expr(rule)).drop("_rank_hash", "_class")
+
+
+def split_audit(first: DataFrame, again: DataFrame, key: str, stratum: str) -> DataFrame:
+    """Per stratum and split: rows, rows whose key is in another split too, and whether a second run agrees.
+
+    A split's rows are summed into a fingerprint that does not depend on their order: the sum of hashes of
+    their keys. Two runs agree where the fingerprints do. ``stratum_fingerprint`` is that of all splits of the stratum.
+    """
+
+    def prints(df: DataFrame, name: str) -> DataFrame:
+        value = f"cast(conv(substr(md5(cast(cast(`{key}` AS string) AS binary)), 1, 8), 16, 10) AS bigint)"
+        return df.groupBy(F.col(stratum).alias("stratum"), F.col(SPLIT).alias("split")).agg(
+            F.expr(f"count(1) AS {name}_rows"), F.expr(f"sum({value}) AS {name}")
+        )
+
+    places = first.groupBy(F.col(key).alias("_key")).agg(F.expr(f"min({SPLIT}) AS a"), F.expr(f"max({SPLIT}) AS b"))
+    shared = places.filter("a <> b").select("_key")
+    both = first.join(shared, F.col(key) == F.col("_key"), "left_semi").groupBy(F.col(stratum).alias("stratum"), F.col(SPLIT).alias("split"))
+    found = prints(first, "row_count").withColumnsRenamed({"row_count": "fingerprint", "row_count_rows": "row_count"})
+    joined = found.join(prints(again, "other"), ["stratum", "split"], "full").join(
+        both.agg(F.expr("count(1) AS shared_rows")), ["stratum", "split"], "left"
+    )
+    return joined.selectExpr(
+        "stratum",
+        "split",
+        "coalesce(row_count, 0) AS row_count",
+        "coalesce(shared_rows, 0) AS shared_rows",
+        "fingerprint <=> other AND row_count <=> other_rows AS repeatable",
+        "sum(fingerprint) OVER (PARTITION BY stratum) AS stratum_fingerprint",
+    )

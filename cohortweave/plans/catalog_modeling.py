@@ -10,6 +10,7 @@ from cohortweave.operators import label, leakage, metrics, modeling, report, spl
 from cohortweave.plans import views as v
 from cohortweave.plans.registry import presented, register
 from cohortweave.plans.sql_views import EVIDENCE, r6, with_blocks
+from cohortweave.session import fresh_path
 
 # --- patient table with a target -------------------------------------------------------------
 
@@ -84,6 +85,39 @@ def random_split(spark: SparkSession, d: str) -> DataFrame:
     return assigned.groupBy(F.col(splits.SPLIT).alias("split")).agg(F.expr("count(1) AS row_count"))
 
 
+def _kept(total: str, kept: str) -> tuple[str, str]:
+    """SQL of the rows that each of two classes keeps: in proportion, the remainder to the larger fraction."""
+    a, b = (f"(c{k} * {kept} // {total})" for k in (0, 1))
+    part = [f"(c{k} * {kept} % {total})" for k in (0, 1)]
+    rest = f"({kept} - {a} - {b})"
+    return f"{a} + CASE WHEN {part[0]} >= {part[1]} THEN {rest} ELSE 0 END", f"{b} + CASE WHEN {part[0]} < {part[1]} THEN {rest} ELSE 0 END"
+
+
+_K0, _K1 = _kept("n", "kept")
+
+
+@register(
+    "split_audit",
+    f"""{_PATIENTS},
+        n AS (SELECT count(*) FILTER (target = 0) AS c0, count(*) FILTER (target = 1) AS c1, count(*) AS n,
+                     count(*) - CAST(ceil(0.2 * count(*)) AS BIGINT) AS kept FROM t),
+        rest AS (SELECT c0 AS all0, c1 AS all1, {_K0} AS c0, {_K1} AS c1, kept AS n, kept - CAST(ceil(0.125 * kept) AS BIGINT) AS kept FROM n),
+        sizes AS (SELECT *, {_K0} AS train0, {_K1} AS train1 FROM rest),
+        strata AS (SELECT 0 AS stratum, 'test' AS split, all0 - c0 AS row_count FROM sizes UNION ALL SELECT 1, 'test', all1 - c1 FROM sizes
+                   UNION ALL SELECT 0, 'val', c0 - train0 FROM sizes UNION ALL SELECT 1, 'val', c1 - train1 FROM sizes
+                   UNION ALL SELECT 0, 'train', train0 FROM sizes UNION ALL SELECT 1, 'train', train1 FROM sizes),
+        prints AS (SELECT target AS stratum, CAST(sum(CAST('0x' || substr(md5(patient_id), 1, 8) AS BIGINT)) AS BIGINT) AS stratum_fingerprint
+                   FROM t GROUP BY 1)
+        SELECT stratum, split, CAST(row_count AS BIGINT) AS row_count, 0::BIGINT AS shared_rows, true AS repeatable, stratum_fingerprint
+        FROM strata JOIN prints USING (stratum)""",
+)
+def split_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Strata, disjointness and repeatability of the random split, the second time from other partitions."""
+    config, rows = ModelConfig(target="target"), modeling_table(spark, d)
+    first, again = (splits.random_split(df, config)[0] for df in (rows, rows.repartition(7, "largest")))
+    return splits.split_audit(first, again, "patient_id", "target")
+
+
 @register(
     "existing_split",
     """SELECT CASE WHEN s = 'train' THEN 'train' WHEN s IN ('val', 'valid', 'validation') THEN 'val'
@@ -228,6 +262,17 @@ def model_summary(spark: SparkSession, d: str) -> DataFrame:
     return presented(summary)
 
 
+@register(
+    "reloaded_model",
+    f"{_PATIENTS} SELECT count(*) AS row_count, 0::BIGINT AS scores_differ, 0::BIGINT AS predictions_differ FROM t",
+)
+def reloaded_model(spark: SparkSession, d: str) -> DataFrame:
+    """A trained pipeline, saved and loaded again, scores every row as before."""
+    config, rows = ModelConfig(target="target"), modeling_table(spark, d)
+    result = modeling.save_training(modeling.train_baseline(rows, config), fresh_path(spark, "training"))
+    return modeling.score_differences(result.model, modeling.load_model(result.model_path), rows, config)
+
+
 _SPLIT = "CASE WHEN {id} % 10 < 7 THEN 'train' WHEN {id} % 10 < 8 THEN 'val' ELSE 'test' END"
 
 

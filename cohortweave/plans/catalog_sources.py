@@ -13,7 +13,7 @@ from cohortweave.plans import views as v
 from cohortweave.plans.registry import presented, register
 from cohortweave.session import fresh_path
 from cohortweave.sources import decode, files, sinks, tables
-from cohortweave.streaming.incremental import load_increment
+from cohortweave.streaming.incremental import load_increment, loaded_rows
 
 # --- text cleaning ---------------------------------------------------------------------------
 
@@ -52,6 +52,8 @@ def clean_table(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "load_metadata",
     """SELECT count(*) AS row_count, 'parquet' AS file_format, 'event_id|user_id|ts' AS loaded_columns,
+              'event_id=' || count(*) FILTER (event_id IS NULL) || '|user_id=' || count(*) FILTER (user_id IS NULL)
+                  || '|ts=' || count(*) FILTER (ts IS NULL) AS missing_values,
               '' AS missing_required_columns, false AS used_chunking,
               'file format inferred from path|requested selected column missing: absent|selected columns were used'
                   AS notes
@@ -62,7 +64,9 @@ def load_metadata(spark: SparkSession, d: str) -> DataFrame:
         f"{d}/events.parquet", columns=["event_id", "user_id", "ts", "absent"], required=["user_id"]
     )
     df, info = tables.load_table(spark, request)
-    return presented(tables.load_metadata(df, info).drop("path", "column_names"))
+    _, record = tables.store_with_metadata(df, info, fresh_path(spark, "loaded"))
+    missing = "array_join(transform(loaded_columns, c -> concat(c, '=', missing_counts[c])), '|') AS missing_values"
+    return presented(record.selectExpr("*", missing).drop("path", "column_names", "missing_counts"))
 
 
 @register(
@@ -305,3 +309,24 @@ def incremental_load(spark: SparkSession, d: str) -> DataFrame:
         f"{folder}/state",
     )
     return presented(log.select("batch_id", "row_count", "used_chunking", "loaded_columns", "notes"))
+
+
+@register(
+    "incremental_rows",
+    """SELECT event_id, user_id, event_type, value + 0.0 AS value,
+              CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN 1 ELSE 2 END AS increment
+       FROM events""",
+)
+def incremental_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of two increments of several CSV files each; the stream stops in between and takes up where it was."""
+    folder = fresh_path(spark, "increments")
+    events = v.table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    least = events.agg(F.expr("min(event_type)")).first()[0]  # one value
+    request = tables.TableRequest(f"{folder}/in", "csv", required=["event_id"], types={"value": "double"})
+    loaded = []
+    for arrived in (events.filter(F.col("event_type") == least), events.filter(F.col("event_type") != least)):
+        arrived.repartition(3, "event_id").write.mode("append").options(header=True, escape='"').csv(f"{folder}/in")
+        log = load_increment(spark, request, events.schema, 2, f"{folder}/rows", f"{folder}/log", f"{folder}/state")
+        loaded.append(log.agg(F.expr("max(batch_id)")).first()[0])  # one number
+    rows = loaded_rows(spark, f"{folder}/rows", events.schema)
+    return presented(rows.selectExpr("event_id", "user_id", "event_type", "value", f"if(batch_id <= {loaded[0]}, 1, 2) AS increment"))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,10 +160,14 @@ def load_table(spark: SparkSession, request: TableRequest) -> tuple[DataFrame, L
 
 def load_metadata(df: DataFrame, info: LoadInfo) -> DataFrame:
     """Load record with its row count, as one row."""
-    return df.agg(F.expr("count(1) AS row_count")).select(
+    return _load_record(df.agg(F.expr("count(1) AS row_count")), info)
+
+
+def _load_record(counts: DataFrame, info: LoadInfo) -> DataFrame:
+    return counts.select(
         F.lit(info.path).alias("path"),
         F.lit(info.file_format).alias("file_format"),
-        "row_count",
+        *counts.columns,
         F.array(*[F.lit(c) for c in info.column_names]).cast("array<string>").alias("column_names"),
         F.array(*[F.lit(c) for c in info.column_names]).cast("array<string>").alias("loaded_columns"),
         F.array(*[F.lit(c) for c in info.missing_required]).cast("array<string>").alias("missing_required_columns"),
@@ -172,6 +176,20 @@ def load_metadata(df: DataFrame, info: LoadInfo) -> DataFrame:
     )
 
 
+def store_with_metadata(df: DataFrame, info: LoadInfo, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write a loaded table as Parquet; rows and missing values are counted as they pass, without a second scan.
+
+    Returns the stored table and its load record, which adds ``missing_counts`` by column.
+    """
+    spark, passing = df.sparkSession, Observation("load")
+    sums = [F.expr("count(1) AS row_count"), *[F.expr(f"count_if(`{c}` IS NULL) AS missing_{i}") for i, c in enumerate(df.columns)]]
+    df.observe(passing, *sums).write.mode("overwrite").parquet(path)
+    found = passing.get
+    missing = {c: int(found[f"missing_{i}"]) for i, c in enumerate(df.columns)}
+    counts = spark.createDataFrame([(int(found["row_count"]), missing)], "row_count bigint, missing_counts map<string, bigint>")
+    return spark.read.schema(df.schema).parquet(path), _load_record(counts, info)
+
+
 def numeric_where_possible(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Turn text columns whose values are all numbers into numbers; one scan decides.
 

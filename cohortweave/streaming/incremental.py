@@ -74,3 +74,8 @@ def load_increment(
     )
     query.awaitTermination()
     return spark.read.parquet(log_path)
+
+
+def loaded_rows(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
+    """All rows loaded so far with their ``batch_id``. A batch has one folder, which it replaces when it runs again."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(table_path)

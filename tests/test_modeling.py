@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohortweave.config import ModelConfig, fused_model_config
 from cohortweave.operators import leakage, metrics, modeling, report, splits
 
@@ -198,3 +200,25 @@ def test_undefined_ratios_are_zero(spark):
 def test_class_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "likely_dre int")
     assert {r.label: r.weight for r in modeling.class_weights(df).collect()} == {1: 2.0, 0: pytest.approx(2 / 3)}
+
+
+def test_split_audit_sees_faults(spark):
+    first = spark.createDataFrame([("a", 0, "train"), ("b", 0, "test"), ("c", 1, "train"), ("c", 1, "test")], f"id string, y int, {splits.SPLIT} string")
+    again = first.withColumn(splits.SPLIT, F.expr(f"if(id = 'a', 'test', if(id = 'b', 'train', {splits.SPLIT}))"))
+    rows = {(r.stratum, r.split): r for r in splits.split_audit(first, again, "id", "y").collect()}
+    assert {k: (r.row_count, r.shared_rows, r.repeatable) for k, r in rows.items()} == {
+        (0, "train"): (1, 0, False), (0, "test"): (1, 0, False), (1, "train"): (1, 1, True), (1, "test"): (1, 1, True)
+    }
+    lost = splits.split_audit(first, first.filter("id <> 'b'"), "id", "y").filter("NOT repeatable").collect()
+    assert [(r.stratum, r.split) for r in lost] == [(0, "test")]
+
+
+def test_differences_between_models(spark, tmp_path):
+    rows = record_frame(spark)
+    one = modeling.save_training(modeling.train_baseline(rows), str(tmp_path))
+    two = modeling.train_baseline(rows, ModelConfig(balanced=False, max_iter=1))
+    loaded = modeling.load_model(one.model_path)
+    same = modeling.score_differences(one.model, loaded, rows).first()
+    assert (same.row_count, same.scores_differ, same.predictions_differ) == (rows.count(), 0, 0)
+    other = modeling.score_differences(one.model, two.model, rows).first()
+    assert other.scores_differ > 0

@@ -17,12 +17,16 @@ EAGER = {
     "fusion_result",
     "image_job",
     "incremental_load",
+    "incremental_rows",
+    "load_metadata",
     "model_summary",
     "multimodal_job",
     "participants_file",
     "random_split",
+    "reloaded_model",
     "record_job",
     "signal_job",
+    "split_audit",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")

@@ -9,7 +9,7 @@ import pytest
 from cohortweave.config import RunContext, SignalConfig, VolumeConfig, fused_model_config
 from cohortweave.plans import jobs
 from cohortweave.sources import codecs, decode, files, sinks, tables
-from cohortweave.streaming.incremental import load_increment
+from cohortweave.streaming.incremental import load_increment, loaded_rows
 
 RUN = RunContext("run-001", "project", "stage", "2025-01-01T00:00:00")
 EVENTS = "patient_id,event_time,value,source\np1,2025-01-01,1,a\np2,02/03/2025,2,NA\np3,never,x,\n"
@@ -46,6 +46,16 @@ def test_load_csv(spark, events_csv):
     assert meta.row_count == 3 and meta.column_names == ["patient_id", "event_time", "value", "source"]
 
 
+def test_counts_are_taken_while_writing(spark, events_csv, tmp_path):
+    df, info = tables.load_table(spark, tables.TableRequest(events_csv, types={"value": "bigint"}))
+    stored, record = tables.store_with_metadata(df, info, f"{tmp_path}/a")
+    (row,) = record.collect()
+    assert row.row_count == 3 and row.missing_counts == {c: df.filter(f"{c} IS NULL").count() for c in df.columns}
+    assert sorted(map(str, stored.collect())) == sorted(map(str, df.collect())) and stored.schema == df.schema
+    _, none = tables.store_with_metadata(df.filter("value > 1000"), info, f"{tmp_path}/b")
+    assert none.first().row_count == 0 and set(none.first().missing_counts.values()) == {0}
+
+
 def test_projection_and_required(spark, events_csv):
     df, info = tables.load_table(spark, tables.TableRequest(events_csv, columns=["value", "patient_id", "value", "zz"]))
     assert df.columns == ["value", "patient_id"]
@@ -154,6 +164,15 @@ def test_incremental_load(spark, tmp_path):
     loaded = spark.read.parquet(paths[0])
     assert loaded.count() == 8 and dict(loaded.dtypes)["value"] == "int"
     assert "chunking was used" in log.first().notes
+    # A batch that was written but not acknowledged runs again after a restart and replaces itself.
+    last = max(int(f.name) for f in (tmp_path / "state" / "commits").iterdir() if f.name.isdigit())
+    (tmp_path / "state" / "commits" / str(last)).unlink()
+    (tmp_path / "state" / "commits" / f".{last}.crc").unlink(missing_ok=True)
+    drop("d.csv", 3)
+    log = load_increment(spark, request, schema, 1, *paths)
+    assert sorted(r.row_count for r in log.collect()) == [1, 2, 3, 5]
+    found = loaded_rows(spark, paths[0], loaded.schema).groupBy("batch_id").count().collect()
+    assert sorted(r["count"] for r in found) == [1, 2, 3, 5]
     with pytest.raises(ValueError, match="positive integer"):
         load_increment(spark, request, schema, 0, *paths)
     with pytest.raises(tables.RequiredColumnsMissing):

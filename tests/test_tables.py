@@ -216,3 +216,24 @@ def test_bundle(spark, frame):
     bundle = report.reporting_bundle(pipeline, None, profile.profile(frame, "set"), ["x"]).first()
     assert bundle.pipeline_summary.patient_dataset_row_count == 10 and bundle.model_summary is None
     assert bundle.dataset_profile_summary.row_count == 4 and bundle.notes == ["x"]
+
+
+def test_a_profile_scans_its_input_twice(spark, frame, tmp_path):
+    """Once for the wide aggregate, once for the value counts; the sections read neither."""
+    frame.write.parquet(f"{tmp_path}/rows")
+    scans = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        scans.add(1)
+        yield from batches
+
+    counted = spark.read.parquet(f"{tmp_path}/rows").coalesce(1).mapInArrow(passed, frame.schema)
+    profiled = profile.profile(counted, "set", "patient_id", "label", "split", times=["event_time"])
+    assert scans.value == 2
+    plain = profile.profile(spark.read.parquet(f"{tmp_path}/rows").coalesce(1), "set", "patient_id", "label", "split", times=["event_time"])
+    for name, section in profiled.sections().items():
+        assert sorted(map(str, section.collect())) == sorted(map(str, plain.sections()[name].collect()))
+    assert scans.value == 2
+    assert profiled.overview.first().patient_count == 3
+    bare = profile.profile(spark.createDataFrame([], "a array<int>"), "none")
+    assert bare.overview.first().row_count == 0 and bare.numeric.count() == 0 and bare.categories.count() == 0
