@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,22 @@ def tokenizer_text(path: str | None = None) -> str:
         return file.read()
 
 
+@cache
+def parted_stops() -> str:
+    """Pattern of a letter before a full stop or comma.
+
+    Letters that normalisation and lower-casing turn into a letter and a combining mark are left out: the mark is no letter
+    and stays with the stop.
+    """
+    marked = []
+    for n in range(0x80, sys.maxunicode + 1):
+        c = chr(n)
+        if unicodedata.category(c)[0] == "L" and unicodedata.decomposition(c):
+            if unicodedata.category(unicodedata.normalize("NFC", c).lower()[-1])[0] != "L":
+                marked.append(f"\\x{{{n:X}}}")
+    return rf"([^\PL{''.join(marked)}])([.,])"
+
+
 Coded = tuple[np.ndarray, np.ndarray]  # ids of all words in order, and how many each word has
 
 
@@ -45,7 +64,7 @@ class WordTable:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch (uint32) and where each text ends."""
         texts = pc.fill_null(texts, "")
-        plain = pc.ascii_lower(pc.replace_substring_regex(texts, r"(\pL)([.,])", r"\1 \2"))
+        plain = pc.ascii_lower(pc.replace_substring_regex(texts, parted_stops(), r"\1 \2"))
         # Strings of special tokens are told apart by case, so such texts stay as they are.
         words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
         bounds = words.offsets.to_numpy().astype(np.int64)

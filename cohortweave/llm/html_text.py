@@ -11,6 +11,7 @@ footers, forms, notices, comments) count as silent lines, so they end a run as a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,27 +44,38 @@ SPACE = re.compile(r"\s+")
 CUT_TAG = re.compile(r"<(?:[/!?]?[a-zA-Z][^>]*|[/!?])")  # markup that ends with the page
 
 
+SUBSET = re.compile(r"\s*(?:<\?xml[^>]*>\s*)?<!doctype[^>\[]*\[[^\]]*\]\s*>", re.I)  # a doctype with declarations of its own
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: (text, characters inside links, silent, inside a main element)."""
+    """Lines of a page: (text, characters inside links, silent, inside a main element).
+
+    What a text's place depends on is counted as elements open and close, so that a page's nesting costs nothing.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, apart, unseen
+        self.stack: list[tuple[str, bool]] = []  # tag, apart
+        self.open: Counter[str] = Counter()
+        self.apart = self.unseen = self.main = self.linked = 0
+        self.spans_apart = 0  # inline elements apart, whose text is not part of the line around them
         self.text: list[str] = []
-        self.linked = 0
-        self.main = 0
-        self.links = 0
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # of no known kind: a comment up to the next ">"
+            return self.parse_bogus_comment(i)
 
     def _flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            apart = any(x[1] for x in self.stack)
-            self.lines.append((text, self.linked, apart, self.main > 0))
+            self.lines.append((text, self.linked, self.apart > 0, self.main > 0))
         self.text, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in CLOSES_P and any(x[0] == "p" for x in self.stack):
+        if tag in CLOSES_P and self.open["p"]:
             self._close("p")
         if tag == "li" and self.stack and self.stack[-1][0] == "li":
             self._close("li")
@@ -79,25 +91,32 @@ class _Lines(HTMLParser):
             apart = apart or any(APART_NAME.fullmatch(x) for k in ("class", "id", "role") for x in named.get(k, "").split())
         if inside and tag in ("header", "footer"):
             apart = tag == "footer" or apart
-        self.stack.append((tag, apart, tag in UNSEEN))
-        self.main += tag in MAIN
-        self.links += tag == "a"
+        self.stack.append((tag, apart))
+        self._count(tag, apart, 1)
+
+    def _count(self, tag: str, apart: bool, by: int) -> None:
+        self.open[tag] += by
+        self.apart += by * apart
+        self.spans_apart += by * (apart and tag in INLINE)
+        self.unseen += by * (tag in UNSEEN)
+        self.main += by * (tag in MAIN)
 
     def _close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if tag not in INLINE or any(x[0] not in INLINE for x in self.stack[i:]):
-                    self._flush()
-                for name, _, _ in self.stack[i:]:
-                    self.main -= name in MAIN
-                    self.links -= name == "a"
-                del self.stack[i:]
-                return
+        if not self.open[tag]:
+            return
+        i = len(self.stack) - 1
+        while self.stack[i][0] != tag:
+            i -= 1
+        if tag not in INLINE or any(x[0] not in INLINE for x in self.stack[i:]):
+            self._flush()
+        for name, apart in self.stack[i:]:
+            self._count(name, apart, -1)
+        del self.stack[i:]
 
     def handle_endtag(self, tag: str) -> None:
         # An inline end tag does not reach outside its block.
-        if tag in INLINE:
-            for name, _, _ in reversed(self.stack):
+        if tag in INLINE and self.open[tag]:
+            for name, _ in reversed(self.stack):
                 if name == tag:
                     break
                 if name not in INLINE:
@@ -105,19 +124,24 @@ class _Lines(HTMLParser):
         self._close(tag)
 
     def handle_data(self, data: str) -> None:
-        if not any(x[2] for x in self.stack):
-            self.text.append(data)
-            if self.links:
-                self.linked += len(data)
+        if self.unseen or self.spans_apart:
+            return
+        self.text.append(data)
+        if self.open["a"]:
+            self.linked += len(data)
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Lines of a page in order; unclosed elements end with the page."""
+    """Lines of a page in order; unclosed elements and comments end with the page."""
     parser = _Lines()
+    subset = SUBSET.match(page)
+    page = page[subset.end() :] if subset else page
     last = page.rfind("<")
     if last >= 0 and CUT_TAG.fullmatch(page, last):
         page = page[:last]
     parser.feed(page)
+    if parser.rawdata.startswith("<!--"):
+        parser.rawdata = ""
     parser.close()
     parser._flush()
     return parser.lines

@@ -15,9 +15,9 @@ each was applied at a known rank, so presence follows from two older arcs.
 from __future__ import annotations
 
 import json
-import unicodedata
 
 import regex
+import tokenizers
 
 START = -1
 
@@ -112,6 +112,9 @@ class WordCoder:
         # The split pattern and normalisation of this kind of vocabulary.
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        # Beyond ASCII the library's own tables decide what is a letter, a number or lower case.
+        self._normal = tokenizers.Tokenizer.from_str(text).normalizer
+        self._split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(pattern), "removed", invert=True)
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self._words: dict[bytes, tuple[int, ...]] = {}
 
@@ -171,10 +174,12 @@ class WordCoder:
     def _plain(self, text: str) -> list[int]:
         if not text:
             return []
-        text = text if text.isascii() else unicodedata.normalize("NFC", text)
-        text = text.lower() if text.isascii() else "".join(c.lower() for c in text)
+        if text.isascii():
+            pieces = self._pieces.findall(text.lower())
+        else:
+            pieces = [piece for piece, _ in self._split.pre_tokenize_str(self._normal.normalize_str(text))]
         out: list[int] = []
-        for piece in self._pieces.findall(text):
+        for piece in pieces:
             word = piece.encode()
             ids = self._words.get(word)
             if ids is None:
