@@ -115,6 +115,18 @@ def signal_truncated(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register(
+    "truncation_notes",
+    with_blocks(
+        ("positions", "samples"),
+        """SELECT patient_id, recording_id, edf_path, 'recording was truncated to configured max_seconds' AS note
+           FROM samples GROUP BY patient_id, recording_id, edf_path HAVING max((sample_idx + 1) / sfreq) > 0.25""",
+    ),
+)
+def truncation_notes(spark: SparkSession, d: str) -> DataFrame:
+    return signal.truncation_notes(v.segments(spark, d), _CUT)
+
+
 _POWER = """
     SELECT patient_id, recording_id, channel, k, k * 64.0::DOUBLE / 32 AS hertz,
            pow(sum(coalesce(value, 0) * cos(2 * pi() * k * sample_idx / 32)), 2)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortweave.config import RunContext
 from cohortweave.plans import jobs
@@ -75,3 +76,49 @@ def multimodal_job(spark: SparkSession, d: str) -> DataFrame:
     )
     result = jobs.multimodal_job(spark, given, RUN, fresh_path(spark, "multimodal-job"))
     return result.counts
+
+
+# --- patients with records, images and signals ----------------------------------------------------
+
+GROUPS = 20  # patients that the customers and users are gathered into; half of them have a volume and recordings
+
+
+def _gathered(df: DataFrame) -> DataFrame:
+    return df.withColumn("patient_id", F.expr(f"concat('p', cast(patient_id AS bigint) % {GROUPS})"))
+
+
+def _gathered_sql(select: str) -> str:
+    text = with_blocks((*EVIDENCE, "volume_headers", "positions", "voxels"), select)
+    for name in ("o_custkey", "user_id"):
+        text = text.replace(f"CAST({name} AS VARCHAR) AS patient_id", f"'p' || ({name} % {GROUPS}) AS patient_id")
+    return text
+
+
+@register(
+    "multimodal_patients",
+    _gathered_sql(
+        """SELECT ids.patient_id AS patient_id, ruled.likely_dre AS ehr_likely_dre, ruled.evidence_completeness_score AS completeness,
+                  CAST(r.n AS BIGINT) AS eeg_recordings, CAST(x.n AS BIGINT) AS mri_shape_x, true AS has_ehr,
+                  r.n IS NOT NULL AS has_mri, r.n IS NOT NULL AS has_eeg
+           FROM ids JOIN ruled USING (patient_id)
+                LEFT JOIN (SELECT 'p' || label AS patient_id, count(*) AS n FROM embeddings GROUP BY 1) AS r USING (patient_id)
+                LEFT JOIN (SELECT subject_id AS patient_id, max(x) + 1 AS n FROM voxels GROUP BY 1) AS x USING (patient_id)"""
+    ),
+)
+def multimodal_patients(spark: SparkSession, d: str) -> DataFrame:
+    """The fused table itself, with patients on all three sides; subject numbers are linked to patient numbers."""
+    records = jobs.RecordInput(
+        "labels", *[_gathered(t(spark, d)) for t in (v.diagnoses, v.medications, v.seizure_events)], v.COLUMNS, v.RULES
+    )
+    given = jobs.MultimodalInput("everything", records, image_input(spark, d), signal_input(spark, d), train_model=False)
+    fused = jobs.multimodal_job(spark, given, RUN, fresh_path(spark, "multimodal-job")).table
+    return fused.selectExpr(
+        "patient_id",
+        "ehr_likely_dre",
+        "ehr_evidence_completeness_score AS completeness",
+        "eeg_recording_count AS eeg_recordings",
+        "cast(mri_shape_x AS bigint) AS mri_shape_x",
+        "has_ehr",
+        "has_mri",
+        "has_eeg",
+    )

@@ -21,6 +21,7 @@ EAGER = {
     "load_metadata",
     "model_summary",
     "multimodal_job",
+    "multimodal_patients",
     "participants_file",
     "random_split",
     "reloaded_model",
