@@ -63,8 +63,7 @@ def load_metadata(spark: SparkSession, d: str) -> DataFrame:
     request = tables.TableRequest(
         f"{d}/events.parquet", columns=["event_id", "user_id", "ts", "absent"], required=["user_id"]
     )
-    df, info = tables.load_table(spark, request)
-    _, record = tables.store_with_metadata(df, info, fresh_path(spark, "loaded"))
+    _, record = tables.store_with_metadata(spark, request, fresh_path(spark, "loaded"))
     missing = "array_join(transform(loaded_columns, c -> concat(c, '=', missing_counts[c])), '|') AS missing_values"
     return presented(record.selectExpr("*", missing).drop("path", "column_names", "missing_counts"))
 

@@ -176,12 +176,14 @@ def _load_record(counts: DataFrame, info: LoadInfo) -> DataFrame:
     )
 
 
-def store_with_metadata(df: DataFrame, info: LoadInfo, path: str) -> tuple[DataFrame, DataFrame]:
-    """Write a loaded table as Parquet; rows and missing values are counted as they pass, without a second scan.
+def store_with_metadata(spark: SparkSession, request: TableRequest, path: str) -> tuple[DataFrame, DataFrame]:
+    """Load a table and write it as Parquet; rows and missing values are counted as they pass, without a second scan.
 
-    Returns the stored table and its load record, which adds ``missing_counts`` by column.
+    Returns the stored table and its load record, which adds ``missing_counts`` by column. The load runs in a session of its
+    own: once a session has observed anything, Spark 4.1 can no longer send a model that was fitted in it to a task.
     """
-    spark, passing = df.sparkSession, Observation("load")
+    df, info = load_table(spark.newSession(), request)
+    passing = Observation("load")
     sums = [F.expr("count(1) AS row_count"), *[F.expr(f"count_if(`{c}` IS NULL) AS missing_{i}") for i, c in enumerate(df.columns)]]
     df.observe(passing, *sums).write.mode("overwrite").parquet(path)
     found = passing.get

@@ -47,12 +47,14 @@ def test_load_csv(spark, events_csv):
 
 
 def test_counts_are_taken_while_writing(spark, events_csv, tmp_path):
-    df, info = tables.load_table(spark, tables.TableRequest(events_csv, types={"value": "bigint"}))
-    stored, record = tables.store_with_metadata(df, info, f"{tmp_path}/a")
+    request = tables.TableRequest(events_csv, types={"value": "bigint"})
+    df, _ = tables.load_table(spark, request)
+    stored, record = tables.store_with_metadata(spark, request, f"{tmp_path}/a")
     (row,) = record.collect()
     assert row.row_count == 3 and row.missing_counts == {c: df.filter(f"{c} IS NULL").count() for c in df.columns}
     assert sorted(map(str, stored.collect())) == sorted(map(str, df.collect())) and stored.schema == df.schema
-    _, none = tables.store_with_metadata(df.filter("value > 1000"), info, f"{tmp_path}/b")
+    df.limit(0).write.parquet(f"{tmp_path}/none")
+    _, none = tables.store_with_metadata(spark, tables.TableRequest(f"{tmp_path}/none", "parquet"), f"{tmp_path}/b")
     assert none.first().row_count == 0 and set(none.first().missing_counts.values()) == {0}
 
 
