@@ -6,7 +6,9 @@ raise (a sum of frequencies, over ``k``), so documents of frequent shingles take
 demand more shared elements before a pair is verified.
 
 Only classes of links are wanted, so pairs inside a class are not all formed: first each document
-meets one leader per prefix element, then only documents of different classes meet.
+meets one leader per prefix element, then only documents of different classes meet. These carry a parity
+sketch: bits that differ between two sketches are at most the elements in which the sets differ, so the join
+itself leaves out pairs that differ in too many of them.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ SHARE = 75  # percent of the union that two linked sets have in common
 MATCHES = (1, 2, 3, 4)
 LEADERS = 3
 FIRST_PART = 10  # the first filter demands a tenth of a set's elements
+SKETCH = 8  # 64-bit words of a parity sketch; its row size is fixed, longer sets only weaken the bound
+SKETCH_ROWS = 1024  # sets whose sketches are made at once
+EARLIER = 16  # leading tokens of a document that its rows carry, so that a pair is not met again at each shared token
 PAIRS_PER_SALT = 500
 BUCKET_BYTES = 64 << 20
 
@@ -183,11 +188,33 @@ def _sets_of(row: dict, words: int) -> tuple[list[int], list[np.ndarray]]:
     return np.frombuffer(row["rids"], np.int64).tolist(), shingle_sets(expand(row["data"]), np.frombuffer(row["ends"], np.int64), words)
 
 
-def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> DataFrame:
-    """Rows (token, rid, n, k) of the adaptive prefixes, rarest elements first.
+def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set ``SKETCH`` signed words; bit ``b`` is the parity of the number of elements that fall on ``b``."""
+    bits = 64 * SKETCH
+    out = np.zeros((len(sets), SKETCH), np.int64)
+    for a in range(0, len(sets), SKETCH_ROWS):
+        part = sets[a : a + SKETCH_ROWS]
+        owner = np.repeat(np.arange(len(part)), [len(s) for s in part])
+        at = (np.concatenate(part) >> np.uint64(17)) % np.uint64(bits)
+        odd = (np.bincount(owner * bits + at.astype(np.int64), minlength=len(part) * bits) & 1).astype(np.uint8)
+        out[a : a + len(part)] = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(part), SKETCH)
+    return out
+
+
+def _close(share: int) -> str:
+    """SQL of what linked sets ``a`` and ``b`` fulfil: their sketches differ in no more bits than the sets may in elements."""
+    apart = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(SKETCH))
+    return f"{100 + share} * ({apart}) <= {100 - share} * (n_a + n_b)"
+
+
+def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (token, rid, n, k) of the adaptive prefixes, rarest elements first, and (rid, s0, s1, ...) with the sketches.
 
     Elements of one set only are not sent, but hold their place in the prefix.
     """
+    words_of_sketch = [f"s{i}" for i in range(SKETCH)]
+    names = ["token", "rid", "n", "k", *words_of_sketch]
+    fields = pa.schema([("token", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), *((c, pa.int64()) for c in words_of_sketch)])
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
@@ -221,12 +248,23 @@ def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> Data
                 for a in range(0, len(t), 65536):
                     z = slice(a, a + 65536)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(t[z].view(np.int64)), pa.array(r[z], pa.int64()), pa.array(n[z], pa.int32()), pa.array(k[z], pa.int32())],
-                        names=["token", "rid", "n", "k"],
+                        [pa.array(t[z].view(np.int64)), pa.array(r[z], pa.int64()), pa.array(n[z], pa.int32()), pa.array(k[z], pa.int32())]
+                        + [pa.nulls(len(t[z]), pa.int64())] * SKETCH,
+                        names=names,
                     )
+                # Then one row without a token per set that has a prefix.
+                with_prefix = set(r.tolist())
+                own = [(rid, s) for rid, s in zip(rids, sets) if rid in with_prefix]
+                sketches = parity_sketches([s for _, s in own])
+                yield pa.RecordBatch.from_pydict(
+                    {"token": [None] * len(own), "rid": [rid for rid, _ in own], "n": [None] * len(own), "k": [None] * len(own)}
+                    | {c: sketches[:, i] for i, c in enumerate(words_of_sketch)},
+                    fields,
+                )
 
     joined = texts.join(totals, "block")
-    return stored(joined.mapInArrow(prefixes, "token long, rid long, n int, k int"), "near-prefixes")
+    both = stored(joined.mapInArrow(prefixes, "token long, rid long, n int, k int, " + ", ".join(f"{c} long" for c in words_of_sketch)), "near-prefixes")
+    return both.filter("token IS NOT NULL").select("token", "rid", "n", "k"), both.filter("token IS NULL").select("rid", *words_of_sketch)
 
 
 def _groups(prefixes: DataFrame) -> DataFrame:
@@ -336,7 +374,8 @@ def classes_and_links(
     reps = rows.filter("n > 0").groupBy("sig").agg(F.min("rid").alias("rep"), F.min("key").alias("low"))
     reps = stored(reps, "near-firsts")
     texts = _surviving_texts(blocks, reps.selectExpr("rep AS rid"), words, share, buckets)
-    prefixes = _groups(_prefix_rows(texts, words, share, buckets))
+    prefixes, sketches = _prefix_rows(texts, words, share, buckets)
+    prefixes = _groups(prefixes)
     links = classes = None
     for turn in range(LEADERS):
         left = prefixes.withColumn("class", F.col("rid")) if classes is None else _split_tokens(prefixes, classes)
@@ -348,9 +387,11 @@ def classes_and_links(
         found = _verified(best, texts, words, share, buckets)
         links = found if links is None else links.unionAll(found)
         classes = stored(components(links), "near-classes")
-    left = stored(_split_tokens(prefixes, classes), "near-open")
-    a, b = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("rid", "n", "k", "class")], *(["w"] if s == "a" else [])) for s in "ab")
-    crossing = a.join(b, "token").filter("class_a < class_b").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "k_a", "k_b", "w")
+    left = _with_earlier(stored(_split_tokens(prefixes, classes), "near-open"), sketches)
+    sides = ("rid", "n", "k", "class", "earlier", *(c for c in sketches.columns if c != "rid"))
+    a, b = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in sides], *(["w"] if s == "a" else [])) for s in "ab")
+    needed_yet = "size(array_intersect(earlier_a, earlier_b)) * w < least(k_a, k_b)"
+    crossing = a.join(b, "token").filter(f"class_a < class_b AND {_close(share)} AND {needed_yet}").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "k_a", "k_b", "w")
     links = links.unionAll(_verified(_candidates(crossing, share), texts, words, share, buckets))
     classes = components(links)
     # Classes of first documents, then the least key of each class, then every document.
@@ -363,6 +404,20 @@ def classes_and_links(
     return members, pairs.join(a, "rep_a").join(b, "rep_b").select("rep_a", "rep_b", "a", "b")
 
 
+def _with_earlier(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Add each document's sketch, and ``earlier``: those of its ``EARLIER`` leading tokens that come before the row's own.
+
+    Tokens are ordered by falling ``w``, which all documents of a token share. Earlier tokens that two documents share weigh at
+    least ``w`` each; once they weigh what the pair demands, later tokens need not join it. The shared tokens that are still
+    joined weigh enough whenever all of them do.
+    """
+    order = "struct(-w AS w, token AS token)"
+    leading = rows.groupBy("rid").agg(F.expr(f"slice(array_sort(collect_list({order})), 1, {EARLIER}) AS _leading"))
+    known = leading.join(sketches, "rid")
+    earlier = f"transform(filter(_leading, x -> x < {order}), x -> x.token) AS earlier"
+    return stored(rows.join(known, "rid").selectExpr(*rows.columns, *[c for c in sketches.columns if c != "rid"], earlier), "near-open")
+
+
 def _split_tokens(prefixes: DataFrame, classes: DataFrame) -> DataFrame:
     """Prefix rows with their ``class``, of elements whose documents lie in several classes."""
     known = prefixes.join(classes.withColumnRenamed("node", "rid"), "rid", "left").selectExpr(*prefixes.columns, "coalesce(root, rid) AS class")
