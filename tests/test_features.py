@@ -1,6 +1,7 @@
 """Signals and volumes against numpy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortweave.config import BANDS, SignalConfig, VolumeConfig
@@ -340,6 +341,42 @@ def test_chirp_of_small_lengths(spark, length):
         assert row[name] == (None if expected[name] is None else pytest.approx(expected[name], rel=1e-9)), name
 
 
+def test_long_channel_with_a_gap(spark):
+    """The chirp has all its tiles where the samples leave some of them empty."""
+    data = np.zeros((1, 1009))
+    data[0, :3], data[0, -2:] = [1.0, -2.0, 0.5], [3.0, 1.5]
+    rows = [("p", "r", "/p/r.edf", 0, at, 160.0, data[0, at:to].tolist()) for at, to in ((0, 3), (1007, 1009))]
+    samples = spark.createDataFrame(
+        rows, "patient_id string, recording_id string, edf_path string, channel int, start bigint, sfreq double, values array<double>"
+    )
+    (layout,) = spectrum.long_channels(samples, 100).collect()
+    assert layout.padded
+    (row,) = signal.spectral_features(signal.channel_power(samples, SignalConfig(task_samples=100))).collect()
+    expected = expected_signal(data, 160.0)
+    for name in signal.FREQUENCY_COLUMNS:
+        assert row[name] == (None if expected[name] is None else pytest.approx(expected[name], rel=1e-9)), name
+
+
+def test_short_channels_share_batches(spark):
+    """Channels that are long only by the setting are sent and transformed together, whatever their number."""
+    n = 3000
+    made = spark.range(n).selectExpr(
+        "'p' AS patient_id", "cast(id AS string) AS recording_id", "0 AS channel", "0L AS start", "62D AS sfreq",
+        "transform(sequence(0, 30), i -> sin(id + i * 0.7D)) AS values", "31L AS length", "8L AS rows", "8L AS columns", "true AS padded",
+    )
+    pieces = list(spectrum._cut_lines(iter(made.toArrow().combine_chunks().to_batches(max_chunksize=1000))))
+    assert sum(b.num_rows for b in pieces) == n and len(pieces) <= 3
+    calls = []
+
+    def count(base, layout, owner, table):
+        calls.append(base.num_rows)
+        return iter(())
+
+    ordered = pa.Table.from_batches(pieces).sort_by([("recording_id", "ascending")]).combine_chunks().to_batches(max_chunksize=700)
+    list(spectrum._stacked(count, "tile", lambda rows, columns, tile: rows * columns)(iter(ordered)))
+    assert sum(calls) == n and len(calls) <= 6
+
+
 def test_a_prime_length_of_five_million(spark):
     length, piece = 5_000_011, 65_536
     assert all(length % d for d in range(2, 2237))
