@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -264,9 +266,18 @@ def decoded_rows(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.expr("count(1) AS lines"), F.expr("sum(n_chars) AS chars"))
 
 
-def _count_lines(content: bytes) -> Iterator[dict[str, list]]:
-    """Lines of a text file, each ended by a line break."""
-    yield {"line_no": [content.count(b"\n")], "n_chars": [len(content.decode("utf-8").replace("\n", ""))]}
+def _count_lines(file: BinaryIO) -> Iterator[dict[str, list]]:
+    """Lines of a text file, each ended by a line break; read in pieces, whatever its size."""
+    decoder, lines, chars = codecs.getincrementaldecoder("utf-8")(), 0, 0
+    while piece := file.read(1 << 20):
+        text = decoder.decode(piece)
+        breaks = text.count("\n")
+        lines, chars = lines + breaks, chars + len(text) - breaks
+    decoder.decode(b"", final=True)
+    yield {"line_no": [lines], "n_chars": [chars]}
+
+
+_count_lines.reads_file = _count_lines.validates_first = True  # its only piece comes last
 
 
 @register(

@@ -5,6 +5,9 @@ equally long sequences. It yields in pieces, so a worker holds a bounded number
 
 A file gives all its rows or none: a decoder is run to its end before its first row is handed on, unless it says by
 ``validates_first = True`` that it never fails after its first piece.
+
+A decoder that says ``reads_file = True`` gets the open file in place of its bytes, so that a worker need not hold the whole
+of it; this holds for ``read_files``.
 """
 
 from __future__ import annotations
@@ -38,7 +41,15 @@ def open_bytes(path: str) -> bytes:
         return stream.read()
 
 
-def _tables(record: dict, content: Callable[[], bytes], decoder: Decoder, arrow: pa.Schema, first: str) -> Iterator[pa.Table]:
+def open_file(path: str):
+    """Like ``open_bytes``, the open file itself."""
+    if "://" not in path and not path.startswith("file:"):
+        return open(path, "rb")
+    store, inside = pa.fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def _tables(record: dict, content: Callable, decoder: Decoder, arrow: pa.Schema, first: str) -> Iterator[pa.Table]:
     """Rows of one file, or its error row."""
 
     def table(columns: Mapping[str, Sequence], rows: int, error: Exception | None = None) -> pa.Table:
@@ -51,7 +62,7 @@ def _tables(record: dict, content: Callable[[], bytes], decoder: Decoder, arrow:
                 arrays.append(pa.repeat(pa.scalar(fixed.get(f.name), type=f.type), rows))
         return pa.Table.from_arrays(arrays, schema=arrow)
 
-    def tables(data: bytes) -> Iterator[pa.Table]:
+    def tables(data) -> Iterator[pa.Table]:
         for columns in decoder(data):
             total = len(columns[first])
             # Cut before the keys are repeated, so that no text column outgrows its offsets.
@@ -67,6 +78,8 @@ def _tables(record: dict, content: Callable[[], bytes], decoder: Decoder, arrow:
             head = None
             for _ in tables(data):
                 pass
+            if getattr(decoder, "reads_file", False):
+                data.seek(0)
     except Exception as error:  # any failure of file or decoder belongs to the error table
         yield table({}, 1, error)
         return
@@ -144,10 +157,11 @@ def read_files(inventory: DataFrame, path: str, keys: Sequence[str], decoder: De
 
         def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
             arrow, first = to_arrow_schema(schema), data.fields[0].name
+            opened = open_file if getattr(decoder, "reads_file", False) else open_bytes
 
             def tables() -> Iterator[pa.Table]:
                 for record in partition.records:
-                    yield from _tables({k: record[k] for k in keys}, lambda at=record[path]: open_bytes(at), decoder, arrow, first)
+                    yield from _tables({k: record[k] for k in keys}, lambda at=record[path]: opened(at), decoder, arrow, first)
 
             yield from _batches(tables())
 

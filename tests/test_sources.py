@@ -394,3 +394,24 @@ def test_multimodal_job(spark, tmp_path):
         jobs.multimodal_job(spark, jobs.MultimodalInput("none"), RUN, str(tmp_path))
     with pytest.raises(ValueError, match="No usable patient-level"):
         jobs.multimodal_job(spark, jobs.MultimodalInput("e", jobs.RecordInput("none")), RUN, str(tmp_path / "e"))
+
+
+def test_large_file_is_read_in_pieces(spark, tmp_path):
+    """A decoder of open files never holds a whole file; a broken character at the end is still an error row."""
+    import tracemalloc
+
+    from cohortweave.plans.catalog_sources import _LINE, _count_lines
+
+    line = "zwölf Wörter 漢字 and more".encode() + b"\n"
+    (tmp_path / "good.txt").write_bytes(line * 800_000)
+    (tmp_path / "bad.txt").write_bytes(line + "ü".encode()[:1])
+    tracemalloc.start()
+    with open(tmp_path / "good.txt", "rb") as file:
+        (found,) = _count_lines(file)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == {"line_no": [800_000], "n_chars": [800_000 * (len(line.decode()) - 1)]} and peak < 12 << 20
+    listed = spark.createDataFrame([(n, str(tmp_path / n)) for n in ("good.txt", "bad.txt")], "name string, path string")
+    rows = {r.name: r for r in decode.read_files(listed, "path", ["name"], _count_lines, _LINE).collect()}
+    assert rows["good.txt"].line_no == 800_000 and rows["good.txt"].error_type is None
+    assert rows["bad.txt"].error_type == "UnicodeDecodeError" and rows["bad.txt"].line_no is None
