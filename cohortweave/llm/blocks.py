@@ -16,12 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.session import fresh_path
+from cohortweave.session import drop_path, fresh_path, recorded_paths
 
 BATCH_BYTES = 8 << 20  # Arrow bytes handed to a Python worker at once; one row may be larger
 BLOCK_BYTES = 4 << 20  # text bytes per block; one document may be larger
 ROW_BITS = 20  # a block holds fewer rows, and a partition fewer blocks, than 2**ROW_BITS
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 BLOCK_SCHEMA = "block long, keys array<string>, ends binary, data binary"
 
 
@@ -31,10 +33,29 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once below the shared folder and read back: cuts the lineage."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once below the shared folder and read back: cuts the lineage.
+
+    The shuffle files of the write go when it ends; otherwise they stay until the driver collects its garbage.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stored(build())``; what ``build`` stored on the way is deleted, so nothing else may read it."""
+    with recorded_paths() as made:
+        rows = build()
+    result = stored(rows, label)
+    for path in made:
+        drop_path(spark, path)
+    return result
 
 
 def byte_pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -79,6 +100,18 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def squeeze_planes(array: np.ndarray) -> bytes:
+    """Squeeze integers by their bytes: all lowest bytes first, so the empty high ones cost nothing."""
+    wide = np.ascontiguousarray(array)
+    return squeeze(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes(), 1)
+
+
+def from_planes(raw: bytes, kind: type) -> np.ndarray:
+    """The integers of ``squeeze_planes`` from its expanded bytes."""
+    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 def write_blocks(docs: DataFrame, key: str, text: str, label: str, extra: Callable | None = None, fields: str = "") -> DataFrame:
     """Store ``docs`` as blocks: row keys as text, end offsets and the joined UTF-8 bytes.
 

@@ -9,17 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.blocks import bounded_batches, bucket_pieces, by_bucket, expand, pack, per_block, squeeze, stored
+from cohortweave.llm.blocks import bounded_batches, bucket_pieces, by_bucket, expand, from_planes, pack, per_block, squeeze, squeeze_planes, stored
 
 VALUE_ROWS = "bucket int, block long, values binary, counts binary"
 
 
 def value_rows(block: int, values: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[dict]:
-    """Packed rows per bucket of a block's distinct uint64 ``values`` and their int64 ``counts``."""
+    """Packed rows per bucket of a block's distinct uint64 ``values``, as differences, and their int64 ``counts``."""
     order, found, bounds = bucket_pieces((values % np.uint64(buckets)).astype(np.int64))
     values, counts = values[order], counts[order]
     for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-        yield {"bucket": b, "block": block, "values": pack(values[lo:hi]), "counts": pack(counts[lo:hi].astype(np.int32))}
+        yield {"bucket": b, "block": block, "values": squeeze_planes(np.diff(values[lo:hi], prepend=np.uint64(0))), "counts": squeeze_planes(counts[lo:hi].astype(np.int32))}
 
 
 def batch_of(rows: list[dict], schema: pa.Schema | None = None) -> pa.RecordBatch:
@@ -38,7 +38,7 @@ def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFra
     block in its bucket. Totals return in the order in which the values were sent; most are 1 and squeeze well. They take four
     bytes, or eight in a part that needs them.
     ``ranked`` adds the rank of each value in its bucket, and a row for block ``SUMMARY`` whose totals are the
-    sum, and the number of values of any total above 0, of each bucket.
+    sum, the number of values of any total above 0, and the number of all values, of each bucket.
     """
     bounded_batches(rows.sparkSession)
 
@@ -46,9 +46,9 @@ def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFra
         sent, values, counts = [], [], []
         for batch in batches:
             for bucket, block, v, c in zip(*(batch.column(k).to_pylist() for k in VALUE_SCHEMA.names)):
-                sent.append((bucket, block, len(v) // 8))
-                values.append(np.frombuffer(v, np.uint64))
-                counts.append(np.frombuffer(c, np.int32))
+                values.append(np.cumsum(from_planes(expand(v), np.uint64)))
+                counts.append(from_planes(expand(c), np.int32))
+                sent.append((bucket, block, len(values[-1])))
         if not sent:
             return
         every, inverse = np.unique(np.concatenate(values), return_inverse=True)
@@ -59,10 +59,10 @@ def value_totals(rows: DataFrame, buckets: int, ranked: bool = False) -> DataFra
             totals = sums[inverse[at : at + n]]
             totals = totals.astype(np.int64 if totals.max(initial=0) >> 31 else np.int32)
             at += n
-            ranks = squeeze(pack(inverse[at - n : at].astype(np.int64)), 1) if ranked else None
-            yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze(pack(totals), 1), "ranks": ranks}], TOTAL_SCHEMA)
+            ranks = squeeze_planes(inverse[at - n : at].astype(np.int64)) if ranked else None
+            yield batch_of([{"bucket": bucket, "block": block, "totals": squeeze_planes(totals), "ranks": ranks}], TOTAL_SCHEMA)
         if ranked:
-            yield batch_of([{"bucket": sent[0][0], "block": SUMMARY, "totals": pack(np.array([sums.sum(), (sums > 0).sum()])), "ranks": None}], TOTAL_SCHEMA)
+            yield batch_of([{"bucket": sent[0][0], "block": SUMMARY, "totals": pack(np.array([sums.sum(), (sums > 0).sum(), len(sums)])), "ranks": None}], TOTAL_SCHEMA)
 
     return per_block(by_bucket(rows, buckets).mapInArrow(total, "bucket int, block long, totals binary, ranks binary"))
 
@@ -74,7 +74,7 @@ def totals_of(values: np.ndarray, parts: list[dict] | None, buckets: int) -> np.
     out = np.zeros(len(values), np.int64)
     for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
         raw = expand(by_number[b])
-        out[order[lo:hi]] = np.frombuffer(raw, np.int64 if len(raw) == 8 * (hi - lo) else np.int32)
+        out[order[lo:hi]] = from_planes(raw, np.int64 if len(raw) == 8 * (hi - lo) else np.int32)
     return out
 
 
@@ -84,7 +84,7 @@ def ids_of(values: np.ndarray, parts: list[dict], buckets: int) -> np.ndarray:
     by_number = {p["bucket"]: p["ranks"] for p in parts}
     out = np.zeros(len(values), np.int64)
     for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-        out[order[lo:hi]] = np.frombuffer(expand(by_number[b]), np.int64) * buckets + b
+        out[order[lo:hi]] = from_planes(expand(by_number[b]), np.int64) * buckets + b
     return out
 
 
@@ -112,3 +112,18 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             return edges.selectExpr("a AS node", "b AS root").unionAll(edges.selectExpr("b AS node", "b AS root").distinct())
         before = state
+
+
+def joined_classes(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``classes`` (node, root) after further ``links`` (a, b), as ``components`` of all links; stored.
+
+    Only links between classes are followed: those inside a class add nothing, and a class is one node.
+    """
+    if classes is None:
+        return stored(components(links), "classes")
+    roots = classes.selectExpr("node", "root AS _root")
+    for side in "ab":
+        links = links.join(roots, F.col(side) == F.col("node"), "left").withColumn(side, F.expr(f"coalesce(_root, {side})")).drop("node", "_root")
+    between = stored(components(links), "class-links")
+    moved = classes.join(between.selectExpr("node AS root", "root AS _to"), "root", "left").selectExpr("node", "coalesce(_to, root) AS root")
+    return stored(moved.unionAll(between.join(classes.select("node"), "node", "left_anti")), "classes")

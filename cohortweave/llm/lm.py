@@ -11,6 +11,7 @@ level adds one to every count and keeps one share for unseen words.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +26,18 @@ from cohortweave.llm.blocks import (
     buckets_for,
     by_bucket,
     expand,
+    from_planes,
     mix64,
     pack,
     per_block,
-    squeeze,
+    squeeze_planes,
     stored,
+    stored_alone,
     write_blocks,
 )
 from cohortweave.llm.exchange import SUMMARY, VALUE_ROWS, VALUE_SCHEMA, batch_of, ids_of, totals_of, value_rows, value_totals
 from cohortweave.llm.trie import TrieLevel, quantised, restored
+from cohortweave.session import drop_path, recorded_paths
 
 ORDER = 3
 STRENGTH = 16.0
@@ -48,9 +52,17 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 class BlockTokens:
-    """Tokens of a block, an end token after each document, as indices into distinct word hashes."""
+    """Tokens of a block, an end token after each document, as indices into its distinct words."""
 
-    def __init__(self, row: dict, held_out: Callable[[str | None], bool]):
+    def __init__(self, tokens: np.ndarray, ends: np.ndarray, end: int, held: np.ndarray):
+        self.tokens, self.ends, self.end, self.held = tokens, ends, end, held
+        sizes = np.diff(np.append(0, ends))
+        self.train = np.repeat(~held, sizes)
+        self.first = np.repeat(np.append(0, ends[:-1]), sizes)
+
+    @staticmethod
+    def of_text(row: dict, held: np.ndarray) -> tuple[np.ndarray, "BlockTokens"]:
+        """Hashes of the distinct words, and the tokens."""
         data, ends = expand(row["data"]).lower(), np.append(0, np.frombuffer(row["ends"], np.int64)).tolist()
         texts = pa.array([data[a:b] for a, b in zip(ends, ends[1:])], pa.binary()).cast(pa.string())
         lists = pc.ascii_split_whitespace(texts)
@@ -61,27 +73,25 @@ class BlockTokens:
         coded = flat.filter(pa.array(there)).dictionary_encode()
         names = coded.dictionary.cast(pa.binary()).to_pylist()
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names] + [END], np.uint64)
-        self.values, place = np.unique(hashes, return_inverse=True)
+        values, place = np.unique(hashes, return_inverse=True)
         words = place[:-1][coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
-        self.tokens = np.insert(words, bounds[1:], place[-1])
-        self.ends = bounds[1:] + np.arange(1, len(bounds))
-        self.held = np.array([held_out(k) for k in row["keys"]], bool)
-        sizes = np.diff(np.append(0, self.ends))
-        self.train = np.repeat(~self.held, sizes)
-        self.first = np.repeat(np.append(0, self.ends[:-1]), sizes)
-        self.end = int(place[-1])
+        tokens = np.insert(words, bounds[1:], place[-1])
+        return values, BlockTokens(tokens, bounds[1:] + np.arange(1, len(bounds)), int(place[-1]), held)
 
-    def counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.train], minlength=len(self.values))
+    def counts(self, n: int) -> np.ndarray:
+        return np.bincount(self.tokens[self.train], minlength=n)
 
 
 class Grams:
     """Distinct n-grams of a block as context keys and successor ids, sorted by both."""
 
     def __init__(self, key: np.ndarray, context_count: np.ndarray, successor: np.ndarray, train: np.ndarray):
-        order = np.lexsort((successor, key))
-        k, s = key[order], successor[order]
-        new = np.append(True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])) if len(k) else np.zeros(0, bool)
+        # Places among the distinct values make one number of both, which sorts faster than the pair.
+        (_, by_key), (distinct, by_successor) = (np.unique(x, return_inverse=True) for x in (key, successor))
+        code = by_key * len(distinct) + by_successor
+        order = np.argsort(code)
+        k, s, code = key[order], successor[order], code[order]
+        new = np.append(True, code[1:] != code[:-1]) if len(k) else np.zeros(0, bool)
         self.inverse = np.empty(len(k), np.int64)
         self.inverse[order] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
@@ -96,7 +106,11 @@ def _shard(grams: Grams, total: int, shards: int) -> np.ndarray:
     return (mix64(grams.key.astype(np.uint64) + mix64(salt)) % np.uint64(shards)).astype(np.int64)
 
 
-GRAM_ROWS = "bucket int, block long, content binary"
+GRAM_COLUMNS = ("keys", "context_counts", "sizes", "successors", "counts")
+GRAM_ROWS = "bucket int, block long, " + ", ".join(f"{c} binary" for c in GRAM_COLUMNS)
+GRAM_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in GRAM_COLUMNS)])
+CODED = ("tokens", "ends", "ids", "totals")
+PAIR_BITS = 31  # two word ids below this make an exact context key
 
 
 def _sent(grams: Grams, shard: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
@@ -107,37 +121,30 @@ def _sent(grams: Grams, shard: np.ndarray, block: int) -> Iterator[pa.RecordBatc
         new = np.append(True, key[1:] != key[:-1])
         first = np.flatnonzero(new)
         sizes = np.diff(np.append(first, len(z)))
-        content = b"".join(
-            (
-                np.array([len(first), len(z)], np.int64).tobytes(),
-                np.diff(key[first], prepend=key[:1] * 0).astype(np.int64).tobytes(),
-                grams.context_count[z][first].astype(np.int64).tobytes(),
-                sizes.astype(np.int32).tobytes(),
-                grams.successor[z].astype(np.int64).tobytes() if len(z) and grams.successor[z].max() >> 31 else b"",
-                grams.successor[z].astype(np.int32).tobytes() if not (len(z) and grams.successor[z].max() >> 31) else b"",
-                grams.count[z].astype(np.int32).tobytes(),
-            )
-        )
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "block": [block], "content": pa.array([squeeze(content, 1)], pa.binary())})
+        columns = (np.diff(key[first], prepend=key[:1] * 0), grams.context_count[z][first], sizes, grams.successor[z], grams.count[z])
+        content = {c: squeeze_planes(narrow(x)) for c, x in zip(GRAM_COLUMNS, columns)}
+        yield pa.RecordBatch.from_pylist([{"bucket": b, "block": block, **content}], GRAM_SCHEMA)
+
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers of 0 and more in four bytes, or in eight where one needs them."""
+    return values.astype(np.int64 if len(values) and int(values.max()) >> 31 else np.int32)
 
-def _received(content: bytes) -> tuple[np.ndarray, ...]:
-    raw = expand(content)
-    m, n = np.frombuffer(raw, np.int64, 2).tolist()
-    key = np.cumsum(np.frombuffer(raw, np.int64, m, 16))
-    context_count = np.frombuffer(raw, np.int64, m, 16 + 8 * m)
-    sizes = np.frombuffer(raw, np.int32, m, 16 + 16 * m)
-    at = 16 + 20 * m
-    wide = len(raw) - at == 12 * n
-    successor = np.frombuffer(raw, np.int64 if wide else np.int32, n, at).astype(np.int64)
-    return key, context_count, sizes, successor, np.frombuffer(raw, np.int32, n, at + (8 if wide else 4) * n)
 
+def _received(row: dict) -> tuple[np.ndarray, ...]:
+    """Context keys and counts, successors per context, and successors and counts per n-gram."""
+    raws = [expand(row[c]) for c in GRAM_COLUMNS]
+    sizes = from_planes(raws[2], np.int32)
+    m, n = len(sizes), int(sizes.sum())
+    delta, context_count, successor, count = (from_planes(raws[i], np.int64 if len(raws[i]) == 8 * k else np.int32).astype(np.int64) for i, k in ((0, m), (1, m), (3, n), (4, n)))
+    return np.cumsum(delta), context_count, sizes, successor, count
 
-def _answers(rows: DataFrame, shards: int, strength: float, label: str) -> tuple[DataFrame, DataFrame]:
-    """Trie levels (shard, trie) and per block the codes and totals of its n-grams, in sent order."""
+
+def _answers(rows: DataFrame, shards: int, strength: float, label: str, wanted: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Trie levels (shard, trie) and per block the codes and, if ``wanted``, the totals of its n-grams, in sent order."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = [(r["bucket"], r["block"], _received(r["content"])) for r in _each(batches)]
+        sent = [(r["bucket"], r["block"], _received(r)) for r in _each(batches)]
         if not sent:
             return
         key = np.concatenate([np.repeat(c[0], c[2]) for _, _, c in sent])
@@ -161,8 +168,8 @@ def _answers(rows: DataFrame, shards: int, strength: float, label: str) -> tuple
                 {
                     "bucket": pa.array([bucket], pa.int32()),
                     "block": [block],
-                    "codes": pa.array([squeeze(pack(found), 1)], pa.binary()),
-                    "totals": pa.array([squeeze(pack(totals[at : at + n]), 1)], pa.binary()),
+                    "codes": pa.array([squeeze_planes(found)], pa.binary()),
+                    "totals": pa.array([squeeze_planes(narrow(totals[at : at + n])) if wanted else None], pa.binary()),
                 }
             )
             at += n
@@ -190,31 +197,51 @@ def score(
     spark = docs.sparkSession
     bounded_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
-    blocks = write_blocks(docs, key, text, "lm-blocks", lambda data, ends: {"n_bytes": len(data)}, "n_bytes long")
-    size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = buckets_for(spark, 4 * size, BUCKET_BYTES)
-    content = blocks.select("block", "keys", "ends", "data")
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _each(batches):
-            block = BlockTokens(row, held_out)
-            yield batch_of(list(value_rows(row["block"], block.values, block.counts(), buckets)), VALUE_SCHEMA)
+    is_held = lambda row: np.array([held_out(k) for k in row["keys"]], bool)
+    known: list[tuple[int, int, int]] = []  # of each bucket: tokens, distinct words in training, distinct words
+    buckets = 0
+
+    def counted_words() -> DataFrame:
+        """Per block its keys, tokens, and ids and totals of its words; the text is not needed any more."""
+        nonlocal buckets
+        blocks = write_blocks(docs, key, text, "lm-blocks", lambda data, ends: {"n_bytes": len(data)}, "n_bytes long")
+        size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+        parts = buckets = buckets_for(spark, 4 * size, BUCKET_BYTES)
+
+        def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _each(batches):
+                values, block = BlockTokens.of_text(row, is_held(row))
+                yield batch_of(list(value_rows(row["block"], values, block.counts(len(values)), parts)), VALUE_SCHEMA)
 
-    counted = stored(value_totals(content.mapInArrow(words, VALUE_ROWS), buckets, ranked=True), "lm-words")
-    summary = counted.filter(f"block = {SUMMARY}").selectExpr("explode(parts.totals) AS t").collect()
-    known = np.array([np.frombuffer(r["t"], np.int64) for r in summary]).reshape(-1, 2).sum(0)
-    total, distinct = int(known[0]), int(known[1])
-    state = content.join(counted.withColumnRenamed("parts", "words"), "block")
-    levels = [f"level{m}" for m in range(2, order + 1)]
+        def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _each(batches):
+                values, block = BlockTokens.of_text(row, is_held(row))
+                columns = (block.tokens, block.ends, ids_of(values, row["words"], parts), totals_of(values, row["words"], parts))
+                yield pa.RecordBatch.from_pydict(
+                    {"block": [row["block"]], "keys": pa.array([row["keys"]], pa.list_(pa.string())), "last": [block.end]}
+                    | {c: pa.array([squeeze_planes(x.astype(np.int64))], pa.binary()) for c, x in zip(CODED, columns)}
+                )
+
+        content = blocks.select("block", "keys", "ends", "data")
+        counted = stored(value_totals(content.mapInArrow(words, VALUE_ROWS), parts, ranked=True), "lm-words")
+        summary = counted.filter(f"block = {SUMMARY}").selectExpr("explode(parts.totals) AS t").collect()
+        known.extend(tuple(np.frombuffer(r["t"], np.int64).tolist()) for r in summary)
+        joined = content.join(counted.withColumnRenamed("parts", "words"), "block")
+        return joined.mapInArrow(coded, "block long, keys array<string>, last long, " + ", ".join(f"{c} binary" for c in CODED))
+
+    with recorded_paths() as spent:
+        state = stored_alone(spark, "lm-tokens", counted_words)
+    total, distinct = sum(x[0] for x in known), sum(x[1] for x in known)
+    pairs_fit = max((x[2] for x in known), default=0) * buckets < 1 << PAIR_BITS
 
     def replay(row: dict, upto: int) -> tuple[BlockTokens, np.ndarray, np.ndarray, Grams | None]:
         """Tokens, word totals, log probability by the levels below ``upto``, and the n-grams of level ``upto``."""
-        block = BlockTokens(row, held_out)
-        totals, ids = totals_of(block.values, row["words"], buckets), ids_of(block.values, row["words"], buckets)
+        tokens, ends, ids, totals = (from_planes(expand(row[c]), np.int64) for c in CODED)
+        block = BlockTokens(tokens, ends, row["last"], is_held(row))
         place = np.arange(len(block.tokens))
         p = ((totals + 1) / (total + distinct + 1))[block.tokens]
         before = np.where(place > block.first, block.tokens[place - 1], block.end)
-        context, context_total = ids[before].astype(np.int64), totals[before]
+        context, context_total = ids[before], totals[before]
         grams = None
         for m in range(2, upto + 1):
             grams = Grams(context, context_total, ids[block.tokens], block.train)
@@ -224,9 +251,13 @@ def score(
             p = restored(codes)[grams.inverse] + strength * p / (context_total + strength)
             if m < order:
                 # The next context is this n-gram, one token earlier.
-                own = (mix64(mix64(context.astype(np.uint64) + np.uint64(m)) + ids[block.tokens].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+                if m == 2 and pairs_fit:
+                    own, none = (context << PAIR_BITS) + ids[block.tokens], 1 << (2 * PAIR_BITS)
+                else:
+                    own = (mix64(mix64(context.astype(np.uint64) + np.uint64(m)) + ids[block.tokens].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+                    none = m
                 earlier = place > block.first
-                context = np.where(earlier, own[place - 1], m)  # m: nothing stands before a first token
+                context = np.where(earlier, own[place - 1], none)  # none: nothing stands before a first token
                 context_total = np.where(earlier, sums[grams.inverse][place - 1], totals[block.end])
         return block, totals, p, grams
 
@@ -235,19 +266,30 @@ def score(
         by_number = {p["bucket"]: p for p in parts}
         codes, sums = np.zeros(len(grams.key), np.uint16), np.zeros(len(grams.key), np.int64)
         for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-            codes[order_[lo:hi]] = np.frombuffer(expand(by_number[b]["codes"]), np.uint16)
-            sums[order_[lo:hi]] = np.frombuffer(expand(by_number[b]["totals"]), np.int64)
+            codes[order_[lo:hi]] = from_planes(expand(by_number[b]["codes"]), np.uint16)
+            if by_number[b]["totals"] is not None:
+                raw = expand(by_number[b]["totals"])
+                sums[order_[lo:hi]] = from_planes(raw, np.int64 if len(raw) == 8 * (hi - lo) else np.int32)
         return codes, sums
 
-    for m, level in enumerate(levels, 2):
-
-        def grams_of(batches: Iterator[pa.RecordBatch], m: int = m) -> Iterator[pa.RecordBatch]:
+    def with_level(m: int, state: DataFrame) -> DataFrame:
+        def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _each(batches):
                 grams = replay(row, m)[3]
                 yield from _sent(grams, _shard(grams, total, buckets), row["block"])
 
-        _, answers = _answers(state.mapInArrow(grams_of, GRAM_ROWS), buckets, strength, f"lm-{level}")
-        state = state.join(answers.withColumnRenamed("parts", level), "block")
+        level = f"level{m}"
+        _, answers = _answers(state.mapInArrow(grams_of, GRAM_ROWS), buckets, strength, f"lm-{level}", m < order)
+        return state.join(answers.withColumnRenamed("parts", level), "block")
+
+    for m in range(2, order):
+        with recorded_paths() as made:
+            state = stored_alone(spark, f"lm-state{m}", partial(with_level, m, state))
+        for path in spent:
+            drop_path(spark, path)
+        spent = made
+    if order > 1:
+        state = with_level(order, state)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -46,4 +49,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """New path under the shared folder for a written intermediate or stream state."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def recorded_paths() -> Iterator[list[str]]:
+    """List of the fresh paths handed out inside the block; a block around it lists them too."""
+    made: list[str] = []
+    before = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(before)
+        if (outer := _made.get()) is not None:
+            outer.extend(made)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a fresh path whose content is not read any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

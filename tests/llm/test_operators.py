@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -570,3 +572,68 @@ def test_byte_pieces_keep_rows_and_bounds():
 
 def test_digest_helper():
     assert hashlib.sha256(blocks.expand(blocks.squeeze(b"abc"))).hexdigest() == hashlib.sha256(b"abc").hexdigest()
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    kept = blocks.stored(spark.range(1000).repartition(3, "id"), "kept")
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and kept.count() == 1000
+    assert spark.conf.get(blocks.SHUFFLE_CLEANUP, "false") == "false"
+
+
+def test_stored_alone_deletes_what_it_took(spark):
+    taken = []
+
+    def build():
+        taken.append(blocks.stored(spark.range(10), "taken"))
+        return taken[0].filter("id > 4")
+
+    kept = blocks.stored_alone(spark, "kept", build)
+    assert kept.count() == 5
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in taken[0].inputFiles()) and all(os.path.exists(f.removeprefix("file://")) for f in kept.inputFiles())
+
+
+@pytest.mark.parametrize("kind", [np.uint16, np.int32, np.int64, np.uint64])
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_planes(kind, n):
+    values = np.random.default_rng(n).integers(0, np.iinfo(kind).max, n, kind, endpoint=True)
+    assert (blocks.from_planes(blocks.expand(blocks.squeeze_planes(values)), kind) == values).all()
+
+
+def test_sent_grams_are_small():
+    rnd = np.random.default_rng(3)
+    words = rnd.integers(0, 1 << 18, 60_002)
+    grams = lm.Grams((words[:-2] << lm.PAIR_BITS) + words[1:-1], np.ones(60_000, np.int64), words[2:], np.ones(60_000, bool))
+    (sent,) = lm._sent(grams, np.zeros(len(grams.key), np.int64), 0)
+    (row,) = sent.to_pylist()
+    key, context_count, sizes, successor, count = lm._received(row)
+    assert (np.repeat(key, sizes) == grams.key).all() and (np.repeat(context_count, sizes) == grams.context_count).all()
+    assert (successor == grams.successor).all() and (count == grams.count).all()
+    assert sum(len(row[c]) for c in lm.GRAM_COLUMNS) < 8 * len(grams.key)
+
+
+def test_further_links_follow_classes_only(spark, monkeypatch):
+    def plain(links):
+        root = {x: x for link in links for x in link}
+        for _ in root:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return sorted(root.items())
+
+    first, then = [(1, 2), (2, 3), (7, 8), (20, 21)], [(3, 8), (9, 30), (2, 1), (30, 7)]
+    table = lambda links: spark.createDataFrame(links, "a long, b long")
+    classes_ = exchange.joined_classes(None, table(first))
+    seen, whole = [], exchange.components
+    monkeypatch.setattr(exchange, "components", lambda links: seen.append(links.filter("a <> b").count()) or whole(links))
+    got = exchange.joined_classes(classes_, table(then))
+    assert sorted(tuple(r) for r in got.select("node", "root").collect()) == plain(first + then)
+    assert seen == [3]
