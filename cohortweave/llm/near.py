@@ -34,7 +34,7 @@ from cohortweave.llm.blocks import (
     stored,
     write_blocks,
 )
-from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, components, totals_of, value_rows, value_totals
+from cohortweave.llm.exchange import VALUE_ROWS, VALUE_SCHEMA, batch_of, joined_classes, totals_of, value_rows, value_totals
 
 WORDS = 5
 SHARE = 75  # percent of the union that two linked sets have in common
@@ -42,8 +42,10 @@ MATCHES = (1, 2, 3, 4)
 LEADERS = 3
 FIRST_PART = 10  # the first filter demands a tenth of a set's elements
 SKETCH = 8  # 64-bit words of a parity sketch; its row size is fixed, longer sets only weaken the bound
+LONG_SKETCH = 32  # words of a second sketch, which only sets of LONG elements and more carry: the first one is full with these
+LONG = 640
 SKETCH_ROWS = 1024  # sets whose sketches are made at once
-EARLIER = 16  # leading tokens of a document that its rows carry, so that a pair is not met again at each shared token
+EARLIER = 32  # leading tokens of a document that its rows carry, so that a pair is not met again at each shared token
 PAIRS_PER_SALT = 500
 BUCKET_BYTES = 64 << 20
 
@@ -188,33 +190,36 @@ def _sets_of(row: dict, words: int) -> tuple[list[int], list[np.ndarray]]:
     return np.frombuffer(row["rids"], np.int64).tolist(), shingle_sets(expand(row["data"]), np.frombuffer(row["ends"], np.int64), words)
 
 
-def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Per set ``SKETCH`` signed words; bit ``b`` is the parity of the number of elements that fall on ``b``."""
-    bits = 64 * SKETCH
-    out = np.zeros((len(sets), SKETCH), np.int64)
+def parity_sketches(sets: list[np.ndarray], size: int = SKETCH) -> np.ndarray:
+    """Per set ``size`` signed words; bit ``b`` is the parity of the number of elements that fall on ``b``."""
+    bits = 64 * size
+    out = np.zeros((len(sets), size), np.int64)
     for a in range(0, len(sets), SKETCH_ROWS):
         part = sets[a : a + SKETCH_ROWS]
         owner = np.repeat(np.arange(len(part)), [len(s) for s in part])
         at = (np.concatenate(part) >> np.uint64(17)) % np.uint64(bits)
         odd = (np.bincount(owner * bits + at.astype(np.int64), minlength=len(part) * bits) & 1).astype(np.uint8)
-        out[a : a + len(part)] = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(part), SKETCH)
+        out[a : a + len(part)] = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(part), size)
     return out
 
 
 def _close(share: int) -> str:
     """SQL of what linked sets ``a`` and ``b`` fulfil: their sketches differ in no more bits than the sets may in elements."""
     apart = " + ".join(f"bit_count(s{i}_a ^ s{i}_b)" for i in range(SKETCH))
-    return f"{100 + share} * ({apart}) <= {100 - share} * (n_a + n_b)"
+    far = "aggregate(zip_with(more_a, more_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    short = f"{100 + share} * ({apart}) <= {100 - share} * (n_a + n_b)"
+    return f"{short} AND (more_a IS NULL OR more_b IS NULL OR {100 + share} * {far} <= {100 - share} * (n_a + n_b))"
 
 
 def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (token, rid, n, k) of the adaptive prefixes, rarest elements first, and (rid, s0, s1, ...) with the sketches.
+    """Rows (token, rid, n, k) of the adaptive prefixes, rarest elements first, and (rid, s0, s1, ..., more) with the sketches.
 
     Elements of one set only are not sent, but hold their place in the prefix.
     """
     words_of_sketch = [f"s{i}" for i in range(SKETCH)]
-    names = ["token", "rid", "n", "k", *words_of_sketch]
-    fields = pa.schema([("token", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), *((c, pa.int64()) for c in words_of_sketch)])
+    names = ["token", "rid", "n", "k", *words_of_sketch, "more"]
+    more = pa.list_(pa.int64())
+    fields = pa.schema([("token", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), *((c, pa.int64()) for c in words_of_sketch), ("more", more)])
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
@@ -249,22 +254,26 @@ def _prefix_rows(texts: DataFrame, words: int, share: int, buckets: int) -> tupl
                     z = slice(a, a + 65536)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(t[z].view(np.int64)), pa.array(r[z], pa.int64()), pa.array(n[z], pa.int32()), pa.array(k[z], pa.int32())]
-                        + [pa.nulls(len(t[z]), pa.int64())] * SKETCH,
+                        + [pa.nulls(len(t[z]), pa.int64())] * SKETCH
+                        + [pa.nulls(len(t[z]), more)],
                         names=names,
                     )
                 # Then one row without a token per set that has a prefix.
                 with_prefix = set(r.tolist())
                 own = [(rid, s) for rid, s in zip(rids, sets) if rid in with_prefix]
                 sketches = parity_sketches([s for _, s in own])
+                long = [i for i, (_, s) in enumerate(own) if len(s) >= LONG]
+                longer = dict(zip(long, parity_sketches([own[i][1] for i in long], LONG_SKETCH).tolist()))
                 yield pa.RecordBatch.from_pydict(
                     {"token": [None] * len(own), "rid": [rid for rid, _ in own], "n": [None] * len(own), "k": [None] * len(own)}
-                    | {c: sketches[:, i] for i, c in enumerate(words_of_sketch)},
+                    | {c: sketches[:, i] for i, c in enumerate(words_of_sketch)}
+                    | {"more": [longer.get(i) for i in range(len(own))]},
                     fields,
                 )
 
     joined = texts.join(totals, "block")
-    both = stored(joined.mapInArrow(prefixes, "token long, rid long, n int, k int, " + ", ".join(f"{c} long" for c in words_of_sketch)), "near-prefixes")
-    return both.filter("token IS NOT NULL").select("token", "rid", "n", "k"), both.filter("token IS NULL").select("rid", *words_of_sketch)
+    both = stored(joined.mapInArrow(prefixes, "token long, rid long, n int, k int, " + ", ".join(f"{c} long" for c in words_of_sketch) + ", more array<long>"), "near-prefixes")
+    return both.filter("token IS NOT NULL").select("token", "rid", "n", "k"), both.filter("token IS NULL").select("rid", *words_of_sketch, "more")
 
 
 def _groups(prefixes: DataFrame) -> DataFrame:
@@ -386,14 +395,15 @@ def classes_and_links(
         best = _candidates(pairs, share).groupBy("a").agg(F.expr("max_by(b, struct(m, b))").alias("b"))
         found = _verified(best, texts, words, share, buckets)
         links = found if links is None else links.unionAll(found)
-        classes = stored(components(links), "near-classes")
+        classes = joined_classes(classes, found)
     left = _with_earlier(stored(_split_tokens(prefixes, classes), "near-open"), sketches)
     sides = ("rid", "n", "k", "class", "earlier", *(c for c in sketches.columns if c != "rid"))
     a, b = (left.select("token", *[F.col(c).alias(f"{c}_{s}") for c in sides], *(["w"] if s == "a" else [])) for s in "ab")
     needed_yet = "size(array_intersect(earlier_a, earlier_b)) * w < least(k_a, k_b)"
     crossing = a.join(b, "token").filter(f"class_a < class_b AND {_close(share)} AND {needed_yet}").selectExpr("rid_a AS a", "rid_b AS b", "n_a", "n_b", "k_a", "k_b", "w")
-    links = links.unionAll(_verified(_candidates(crossing, share), texts, words, share, buckets))
-    classes = components(links)
+    found = _verified(_candidates(crossing, share), texts, words, share, buckets)
+    links = links.unionAll(found)
+    classes = joined_classes(classes, found)
     # Classes of first documents, then the least key of each class, then every document.
     rooted = reps.join(classes, F.expr("rep = node"), "left").selectExpr("sig", "low", "coalesce(root, rep) AS root")
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -637,3 +637,14 @@ def test_further_links_follow_classes_only(spark, monkeypatch):
     got = exchange.joined_classes(classes_, table(then))
     assert sorted(tuple(r) for r in got.select("node", "root").collect()) == plain(first + then)
     assert seen == [3]
+
+
+def test_sketches_part_long_sets(spark):
+    rnd = np.random.default_rng(1)
+    a, other = (rnd.integers(0, 1 << 63, 1000).astype(np.uint64) for _ in "ab")
+    linked = np.append(a[:860], other[:140])  # 860 of 1140
+    sets = [np.unique(x) for x in (a, linked, other)]
+    rows = [[*map(int, s), list(map(int, m)), len(x)] for s, m, x in zip(near.parity_sketches(sets), near.parity_sketches(sets, near.LONG_SKETCH), sets)]
+    names = [f"s{i}" for i in range(near.SKETCH)] + ["more", "n"]
+    sides = [spark.createDataFrame(x, ", ".join(f"{n}_{side} {'array<long>' if n == 'more' else 'long'}" for n in names)) for side, x in (("a", rows[:1]), ("b", rows[1:]))]
+    assert [[r.close for r in sides[0].crossJoin(sides[1].filter(f"more_b = array({', '.join(f'{x}L' for x in row[-2])})")).selectExpr(f"{near._close(75)} AS close").collect()] for row in rows[1:]] == [[True], [False]]
