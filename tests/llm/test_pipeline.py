@@ -1,5 +1,6 @@
 """The whole pipeline against brute force on small tables."""
 
+import os
 import re
 
 import numpy as np
@@ -56,3 +57,14 @@ def test_stages_keep_the_columns_and_empty_tables(spark, tmp_path):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert tuple(out.columns) == corpus_pipeline.COLUMNS, name
     assert [re.sub("_.*", "", n) for n, _ in corpus_pipeline.STAGES] == ["quality", "near", "suffix", "decontamination", "bpe"]
+
+
+def test_stages_delete_their_steps(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some words of text number {i} " * 3, "en", "s", 9) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, "no such item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.decontamination):
+        before = set(os.listdir(shared))
+        out = stage(spark, docs, str(tmp_path))
+        assert len(set(os.listdir(shared)) - before) == 1
+        assert out.count() == 20
