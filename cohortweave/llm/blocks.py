@@ -24,7 +24,8 @@ ROW_BITS = 20  # a block holds fewer rows, and a partition fewer blocks, than 2*
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-BLOCK_SCHEMA = "block long, keys array<string>, ends binary, data binary"
+KEY_SCHEMA = "block long, keys array<string>"
+BLOCK_SCHEMA = f"{KEY_SCHEMA}, ends binary, data binary"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -103,20 +104,24 @@ def expand(data: bytes) -> bytes:
 def squeeze_planes(array: np.ndarray) -> bytes:
     """Squeeze integers by their bytes: all lowest bytes first, so the empty high ones cost nothing."""
     wide = np.ascontiguousarray(array)
-    return squeeze(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes(), 1)
+    return squeeze(np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T).tobytes(), 1)
 
 
 def from_planes(raw: bytes, kind: type) -> np.ndarray:
     """The integers of ``squeeze_planes`` from its expanded bytes."""
     planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+    whole = np.empty(planes.shape[::-1], np.uint8)
+    for i, plane in enumerate(planes):
+        whole[:, i] = plane
+    return whole.reshape(-1).view(kind)
 
 
-def write_blocks(docs: DataFrame, key: str, text: str, label: str, extra: Callable | None = None, fields: str = "") -> DataFrame:
+def write_blocks(docs: DataFrame, key: str, text: str, label: str, extra: Callable | None = None, fields: str = "", texts: bool = True) -> DataFrame:
     """Store ``docs`` as blocks: row keys as text, end offsets and the joined UTF-8 bytes.
 
     A NULL text counts as empty and a NULL key stays NULL; repeated rows stay apart.
-    ``extra(data, ends)`` may add the columns declared in ``fields`` to each block.
+    ``extra(data, ends)`` may add the columns declared in ``fields`` to each block; without ``texts`` they replace
+    offsets and bytes.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -126,18 +131,15 @@ def write_blocks(docs: DataFrame, key: str, text: str, label: str, extra: Callab
         for seq, piece in enumerate(byte_pieces(batches, "text", BLOCK_BYTES)):
             ends = np.cumsum(binary_lengths(piece.column("text")))
             data = b"".join(x or b"" for x in piece.column("text").cast(pa.binary()).to_pylist())
-            row = {
-                "block": [part + seq],
-                "keys": [piece.column("key").to_pylist()],
-                "ends": [pack(ends)],
-                "data": [squeeze(data)],
-            }
+            row = {"block": [part + seq], "keys": [piece.column("key").to_pylist()]}
+            if texts:
+                row |= {"ends": [pack(ends)], "data": [squeeze(data)]}
             if extra:
                 row |= {k: [v] for k, v in extra(data, ends).items()}
             yield pa.RecordBatch.from_pydict(row)
 
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(build, BLOCK_SCHEMA + (", " + fields if fields else "")), label)
+    return stored(rows.mapInArrow(build, (BLOCK_SCHEMA if texts else KEY_SCHEMA) + (", " + fields if fields else "")), label)
 
 
 def buckets_for(spark: SparkSession, total_bytes: int, bucket_bytes: int) -> int:
@@ -158,9 +160,11 @@ def per_block(rows: DataFrame) -> DataFrame:
 
 def bucket_pieces(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stable order by bucket, the buckets that occur and their bounds in that order."""
-    order = np.argsort(bucket, kind="stable")
-    found, starts = np.unique(bucket[order], return_index=True)
-    return order, found, np.append(starts, len(bucket))
+    low = len(bucket) and int(bucket.min()) >= 0 and int(bucket.max()) < 1 << 16
+    order = np.argsort(bucket.astype(np.uint16) if low else bucket, kind="stable")  # two bytes are sorted by their digits
+    placed = bucket[order]
+    starts = np.flatnonzero(np.append(True, placed[1:] != placed[:-1])) if len(placed) else np.zeros(0, np.int64)
+    return order, placed[starts], np.append(starts, len(bucket))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 Words are counted over all training texts first. Then each level's n-grams of every block go to the shard of their
 context (a frequent context is split by its successors); a shard sums them up, stores its trie level and
-answers the same blocks with probability codes. Blocks add up the scores of their documents.
+answers the same blocks with probability codes and nodes, which are the contexts of the next level. An n-gram whose first
+or last words are not in the level below has no count either and is not sent. Blocks add up the scores of their documents.
 
 Smoothing: P(w | context) = (c(context w) + strength * P(w | shorter context)) / (c(context) + strength); the first
 level adds one to every count and keeps one share for unseen words.
@@ -28,7 +29,6 @@ from cohortweave.llm.blocks import (
     expand,
     from_planes,
     mix64,
-    pack,
     per_block,
     squeeze_planes,
     stored,
@@ -51,132 +51,209 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers of 0 and more, squeezed in as few bytes each as the largest needs; the first byte tells how many."""
+    top = int(values.max(initial=0))
+    width = next(k for k in (1, 2, 4, 8) if not top >> (8 * k))
+    return bytes([width]) + squeeze_planes(values.astype(f"u{width}"))
+
+
+def unpacked(data: bytes, wide: bool = True) -> np.ndarray:
+    """The numbers of ``packed``, in eight bytes each or as they were stored."""
+    values = from_planes(expand(memoryview(data)[1:]), f"u{data[0]}")
+    return values.astype(np.int64) if wide or data[0] == 8 else values
+
+
+def rising(values: np.ndarray) -> bytes:
+    """``packed`` differences of values that do not fall."""
+    return packed(np.diff(values, prepend=values[:1] * 0))
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct whole numbers of 0 and more, ascending, and the place of each value among them."""
+    n = len(values)
+    bits = n.bit_length()
+    if not n or int(values.max()) >> (63 - bits):
+        return np.unique(values, return_inverse=True)
+    both = values.astype(np.int64) << bits  # value and place in one number: no indirect sort
+    both |= np.arange(n)
+    both.sort()
+    found = both >> bits
+    both &= (1 << bits) - 1
+    new = np.append(True, found[1:] != found[:-1])
+    inverse = np.empty(n, np.int32 if bits < 32 else np.int64)
+    inverse[both] = np.cumsum(new, dtype=inverse.dtype) - 1
+    return found[new], inverse
+
+
+def starts_of(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def words_of(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words ascending, tokens as places among them with an end after each text, ends of the texts."""
+    data, cuts = data.lower(), np.append(0, ends).tolist()
+    texts = pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()).cast(pa.string())
+    lists = pc.ascii_split_whitespace(texts)
+    flat = lists.values
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    there = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    bounds = np.append(0, np.cumsum(there))[bounds]
+    coded = flat.filter(pa.array(there)).dictionary_encode()
+    names = coded.dictionary.cast(pa.large_binary())
+    held, cuts = names.buffers()[2], np.frombuffer(names.buffers()[1] or b"", np.int64)[: len(names) + 1].tolist()
+    raw = held.to_pybytes() if held else b""
+    hashes = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(cuts, cuts[1:])] + [END], np.uint64)
+    values, place = np.unique(hashes, return_inverse=True)
+    words = place[:-1][coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+    return values, np.insert(words, bounds[1:], place[-1]), bounds[1:] + np.arange(1, len(bounds))
+
+
+def commonest_first(totals: np.ndarray) -> np.ndarray:
+    """Places by falling totals: tokens numbered so are mostly small and squeeze well."""
+    return np.argsort(-totals, kind="stable")
+
+
 class BlockTokens:
     """Tokens of a block, an end token after each document, as indices into its distinct words."""
 
-    def __init__(self, tokens: np.ndarray, ends: np.ndarray, end: int, held: np.ndarray):
-        self.tokens, self.ends, self.end, self.held = tokens, ends, end, held
+    def __init__(self, tokens: np.ndarray, ends: np.ndarray, held: np.ndarray):
+        self.tokens, self.ends, self.held = tokens, ends, held
         sizes = np.diff(np.append(0, ends))
         self.train = np.repeat(~held, sizes)
-        self.first = np.repeat(np.append(0, ends[:-1]), sizes)
-
-    @staticmethod
-    def of_text(row: dict, held: np.ndarray) -> tuple[np.ndarray, "BlockTokens"]:
-        """Hashes of the distinct words, and the tokens."""
-        data, ends = expand(row["data"]).lower(), np.append(0, np.frombuffer(row["ends"], np.int64)).tolist()
-        texts = pa.array([data[a:b] for a, b in zip(ends, ends[1:])], pa.binary()).cast(pa.string())
-        lists = pc.ascii_split_whitespace(texts)
-        flat = lists.values
-        bounds = lists.offsets.to_numpy().astype(np.int64)
-        there = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-        bounds = np.append(0, np.cumsum(there))[bounds]
-        coded = flat.filter(pa.array(there)).dictionary_encode()
-        names = coded.dictionary.cast(pa.binary()).to_pylist()
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names] + [END], np.uint64)
-        values, place = np.unique(hashes, return_inverse=True)
-        words = place[:-1][coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
-        tokens = np.insert(words, bounds[1:], place[-1])
-        return values, BlockTokens(tokens, bounds[1:] + np.arange(1, len(bounds)), int(place[-1]), held)
+        self.starts = np.zeros(len(tokens), bool)
+        self.starts[np.append(0, ends[:-1])[sizes > 0]] = True
 
     def counts(self, n: int) -> np.ndarray:
         return np.bincount(self.tokens[self.train], minlength=n)
 
 
+class Shards:
+    """Which shard an n-gram goes to, and under which number it knows the context.
+
+    A context is ``shard * width + place``, as the level below numbers its n-grams from 1 on in every shard, and stays in that
+    shard under its place. One of more than a share of a shard is split by successor, alike in all blocks, and
+    goes under ``width`` + context, which no place reaches.
+    """
+
+    def __init__(self, shards: int, width: int, total: int):
+        self.shards, self.width, self.total = shards, width, total
+
+    def deal(self, context: np.ndarray, context_count: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        salts = context_count * 4 * self.shards // max(self.total, 1) + 1
+        shard = context // self.width
+        number = context - shard * self.width
+        z = np.flatnonzero(salts > 1)
+        salt = mix64(successor[z].astype(np.uint64)) % salts[z].astype(np.uint64)
+        shard[z] = mix64(context[z].astype(np.uint64) + mix64(salt)) % np.uint64(self.shards)
+        number[z] = self.width + context[z]
+        return shard, number
+
+
 class Grams:
-    """Distinct n-grams of a block as context keys and successor ids, sorted by both."""
-
-    def __init__(self, key: np.ndarray, context_count: np.ndarray, successor: np.ndarray, train: np.ndarray):
-        # Places among the distinct values make one number of both, which sorts faster than the pair.
-        (_, by_key), (distinct, by_successor) = (np.unique(x, return_inverse=True) for x in (key, successor))
-        code = by_key * len(distinct) + by_successor
-        order = np.argsort(code)
-        k, s, code = key[order], successor[order], code[order]
-        new = np.append(True, code[1:] != code[:-1]) if len(k) else np.zeros(0, bool)
-        self.inverse = np.empty(len(k), np.int64)
-        self.inverse[order] = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        self.key, self.successor, self.context_count = k[first], s[first], context_count[order][first]
-        self.count = np.bincount(self.inverse, train, len(first)).astype(np.int64)
-
-
-def _shard(grams: Grams, total: int, shards: int) -> np.ndarray:
-    """Shard of each n-gram; a context of more than a share of a shard is split by successor, alike in all blocks."""
-    salts = grams.context_count * 4 * shards // max(total, 1) + 1
-    salt = mix64(grams.successor.astype(np.uint64)) % salts.astype(np.uint64)
-    return (mix64(grams.key.astype(np.uint64) + mix64(salt)) % np.uint64(shards)).astype(np.int64)
-
-
-GRAM_COLUMNS = ("keys", "context_counts", "sizes", "successors", "counts")
+    """Distinct n-grams of a block in the order in which they are sent: by shard, number of the context, successor.
+
+    ``context`` and ``word`` are places of the tokens' contexts and words among ``keys`` and ``ids``, both ascending.
+    """
+
+    def __init__(self, context: np.ndarray, keys: np.ndarray, key_counts: np.ndarray, word: np.ndarray, ids: np.ndarray, train: np.ndarray, shards: Shards):
+        codes, inverse = distinct(context * len(ids) + word)
+        c = codes // max(len(ids), 1)
+        w = codes - c * len(ids)
+        shard, number = shards.deal(keys[c], key_counts[c], ids[w])
+        order, *_ = bucket_pieces(2 * shard + (number >= shards.width))  # numbers ascend within either kind of context
+        rank = np.empty(len(order), inverse.dtype)
+        rank[order] = np.arange(len(order))
+        self.inverse = rank[inverse]
+        self.shard, self.number, self.context_count, self.successor = shard[order], number[order], key_counts[c][order], ids[w][order]
+        self.count = np.bincount(self.inverse, train, len(order)).astype(np.int64)
+
+    def sent(self, block: int) -> Iterator[pa.RecordBatch]:
+        first = starts_of(self.shard)
+        for lo, hi in zip(first, np.append(first[1:], len(self.shard))):
+            begin = lo + starts_of(self.number[lo:hi])
+            columns = (self.context_count[begin], np.diff(np.append(begin, hi)), self.successor[lo:hi], self.count[lo:hi])
+            content = {"contexts": rising(self.number[begin])} | {c: packed(x) for c, x in zip(GRAM_COLUMNS[1:], columns)}
+            yield pa.RecordBatch.from_pylist([{"bucket": int(self.shard[lo]), "block": block, **content}], GRAM_SCHEMA)
+
+
+GRAM_COLUMNS = ("contexts", "context_counts", "sizes", "successors", "counts")
 GRAM_ROWS = "bucket int, block long, " + ", ".join(f"{c} binary" for c in GRAM_COLUMNS)
 GRAM_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in GRAM_COLUMNS)])
+ANSWER_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), *((c, pa.binary()) for c in ("codes", "totals", "nodes"))])
 CODED = ("tokens", "ends", "ids", "totals")
-PAIR_BITS = 31  # two word ids below this make an exact context key
-
-
-def _sent(grams: Grams, shard: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
-    order, found, bounds = bucket_pieces(shard)
-    for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-        z = order[lo:hi]
-        key = grams.key[z]
-        new = np.append(True, key[1:] != key[:-1])
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(z)))
-        columns = (np.diff(key[first], prepend=key[:1] * 0), grams.context_count[z][first], sizes, grams.successor[z], grams.count[z])
-        content = {c: squeeze_planes(narrow(x)) for c, x in zip(GRAM_COLUMNS, columns)}
-        yield pa.RecordBatch.from_pylist([{"bucket": b, "block": block, **content}], GRAM_SCHEMA)
-
-
-def narrow(values: np.ndarray) -> np.ndarray:
-    """Whole numbers of 0 and more in four bytes, or in eight where one needs them."""
-    return values.astype(np.int64 if len(values) and int(values.max()) >> 31 else np.int32)
-
-
-def _received(row: dict) -> tuple[np.ndarray, ...]:
-    """Context keys and counts, successors per context, and successors and counts per n-gram."""
-    raws = [expand(row[c]) for c in GRAM_COLUMNS]
-    sizes = from_planes(raws[2], np.int32)
-    m, n = len(sizes), int(sizes.sum())
-    delta, context_count, successor, count = (from_planes(raws[i], np.int64 if len(raws[i]) == 8 * k else np.int32).astype(np.int64) for i, k in ((0, m), (1, m), (3, n), (4, n)))
-    return np.cumsum(delta), context_count, sizes, successor, count
-
-
-def _answers(rows: DataFrame, shards: int, strength: float, label: str, wanted: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Trie levels (shard, trie) and per block the codes and, if ``wanted``, the totals of its n-grams, in sent order."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = [(r["bucket"], r["block"], _received(r)) for r in _each(batches)]
-        if not sent:
-            return
-        key = np.concatenate([np.repeat(c[0], c[2]) for _, _, c in sent])
-        context_count = np.concatenate([np.repeat(c[1], c[2]) for _, _, c in sent])
-        successor = np.concatenate([c[3] for _, _, c in sent])
-        count = np.concatenate([c[4] for _, _, c in sent])
-        grams = Grams(key, context_count, successor, count)
-        totals = grams.count[grams.inverse]
-        some = np.flatnonzero(grams.count > 0)
-        k = grams.key[some]
-        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
-        codes = quantised(grams.count[some] / (grams.context_count[some] + strength))
-        level = TrieLevel.build(k[first], np.diff(np.append(first, len(k))), grams.successor[some], codes).dump() if len(k) else b""
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array([sent[0][0]], pa.int32()), "block": [SUMMARY], "codes": pa.array([level], pa.binary()), "totals": pa.array([None], pa.binary())})
-        trie = TrieLevel.load(level) if level else None
-        at = 0
-        for bucket, block, c in sent:
-            n = len(c[3])
-            found = trie.lookup(c[0], c[2], c[3]) if trie else np.zeros(n, np.uint16)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "bucket": pa.array([bucket], pa.int32()),
-                    "block": [block],
-                    "codes": pa.array([squeeze_planes(found)], pa.binary()),
-                    "totals": pa.array([squeeze_planes(narrow(totals[at : at + n])) if wanted else None], pa.binary()),
-                }
-            )
-            at += n
 
-    answered = stored(by_bucket(rows, shards).mapInArrow(build, "bucket int, block long, codes binary, totals binary"), label)
-    tries = answered.filter(f"block = {SUMMARY}").selectExpr("bucket AS shard", "codes AS trie")
-    return tries, per_block(answered.filter(f"block <> {SUMMARY}"))
+
+def _trie_and_answers(batches: Iterator[pa.RecordBatch], strength: float, wanted: bool) -> Iterator[pa.RecordBatch]:
+    """The trie level of a shard, and answers to the blocks that sent it n-grams."""
+    whose, contexts, context_counts, sizes, successors, counts = [], [], [], [], [], []
+    for row in _each(batches):
+        whose.append((row["bucket"], row["block"]))
+        contexts.append(np.cumsum(unpacked(row["contexts"])))
+        for column, values in (("context_counts", context_counts), ("sizes", sizes), ("successors", successors), ("counts", counts)):
+            values.append(unpacked(row[column], wide=False))
+    if not whose:
+        return
+    lengths = [len(x) for x in counts]
+    context, by_context = distinct(np.concatenate(contexts))
+    context_count = np.empty(len(context), np.int64)
+    context_count[by_context] = np.concatenate(context_counts)
+    del contexts, context_counts
+    word, by_word = distinct(np.concatenate(successors))
+    del successors
+    code = np.repeat(by_context, np.concatenate(sizes)).astype(np.int64)
+    code *= len(word)
+    code += by_word
+    del sizes, by_context, by_word
+    code, inverse = distinct(code)
+    count = np.bincount(inverse, np.concatenate(counts), len(code)).astype(np.int64)
+    of = code // len(word)
+    code -= of * len(word)
+    successor = word[code]
+    del counts, code
+
+    some = np.flatnonzero(count > 0)
+    held = of[some]
+    first = starts_of(held)
+    codes = quantised(count[some] / (context_count[held] + strength))
+    level = TrieLevel.build(context[held[first]], np.diff(np.append(first, len(held))), successor[some], codes).dump() if len(some) else b""
+    yield batch_of([{"bucket": whose[0][0], "block": SUMMARY, "n": len(some), "codes": level, "totals": None, "nodes": None}], ANSWER_SCHEMA)
+
+    first = starts_of(of)
+    found, node = np.zeros(len(of), np.uint16), np.full(len(of), -1)
+    if level:
+        found, node = TrieLevel.load(level).lookup(context[of[first]], np.diff(np.append(first, len(of))), successor)
+    at = 0
+    for (bucket, block), n in zip(whose, lengths):
+        z = inverse[at : at + n]
+        at += n
+        answer = {"bucket": bucket, "block": block, "n": n, "codes": squeeze_planes(found[z]), "totals": None, "nodes": None}
+        if wanted:
+            totals = count[z]
+            answer |= {"totals": packed(totals), "nodes": rising(node[z][totals > 0] + 1)}
+        yield batch_of([answer], ANSWER_SCHEMA)
+
+
+def _answers(rows: DataFrame, shards: int, strength: float, label: str, wanted: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Trie levels (shard, trie); per block the codes and, if ``wanted``, totals and nodes of its n-grams, in sent order; most n-grams of a trie."""
+    build = partial(_trie_and_answers, strength=strength, wanted=wanted)
+    answered = stored(by_bucket(rows, shards).mapInArrow(build, "bucket int, block long, n long, codes binary, totals binary, nodes binary"), label)
+    tries = answered.filter(f"block = {SUMMARY}")
+    most = (tries.agg(F.max("n")).first()[0] or 0) if wanted else 0
+    return tries.selectExpr("bucket AS shard", "codes AS trie"), per_block(answered.filter(f"block <> {SUMMARY}").drop("n")), most
+
+
+def _of_parts(grams: Grams, parts: list[dict] | None, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, totals and, as contexts of the next level, nodes of a block's n-grams."""
+    parts = sorted(parts or (), key=lambda p: p["bucket"])  # the shards in the order of the n-grams
+    codes = np.concatenate([from_planes(expand(p["codes"]), np.uint16) for p in parts] or [np.zeros(0, np.uint16)])
+    totals, nodes = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+    if parts and parts[0]["totals"] is not None:
+        totals = np.concatenate([unpacked(p["totals"]) for p in parts])
+        z = np.flatnonzero(totals > 0)
+        nodes[z] = grams.shard[z] * width + np.concatenate([np.cumsum(unpacked(p["nodes"])) for p in parts])
+    return codes, totals, nodes
 
 
 def score(
@@ -199,88 +276,100 @@ def score(
     kind = docs.schema[key].dataType.simpleString()
     is_held = lambda row: np.array([held_out(k) for k in row["keys"]], bool)
     known: list[tuple[int, int, int]] = []  # of each bucket: tokens, distinct words in training, distinct words
+    widths: dict[int, int] = {}  # above the places of a level's n-grams in their shards
     buckets = 0
 
+    def tokens_of(data: bytes, ends: np.ndarray) -> dict:
+        values, tokens, ends = words_of(data, ends)
+        return {"n_bytes": len(data), "hashes": squeeze_planes(np.diff(values, prepend=np.uint64(0))), "tokens": packed(tokens), "ends": rising(ends)}
+
+    def hashed(row: dict) -> tuple[np.ndarray, BlockTokens]:
+        values = np.cumsum(from_planes(expand(row["hashes"]), np.uint64))
+        return values, BlockTokens(unpacked(row["tokens"]), np.cumsum(unpacked(row["ends"])), is_held(row))
+
     def counted_words() -> DataFrame:
-        """Per block its keys, tokens, and ids and totals of its words; the text is not needed any more."""
+        """Per block its keys, tokens as places by falling totals, and ids and totals of its words by ascending ids; no hashes any more."""
         nonlocal buckets
-        blocks = write_blocks(docs, key, text, "lm-blocks", lambda data, ends: {"n_bytes": len(data)}, "n_bytes long")
+        blocks = write_blocks(docs, key, text, "lm-blocks", tokens_of, "n_bytes long, hashes binary, tokens binary, ends binary", texts=False)
         size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
         parts = buckets = buckets_for(spark, 4 * size, BUCKET_BYTES)
 
         def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _each(batches):
-                values, block = BlockTokens.of_text(row, is_held(row))
+                values, block = hashed(row)
                 yield batch_of(list(value_rows(row["block"], values, block.counts(len(values)), parts)), VALUE_SCHEMA)
 
+        content = blocks.drop("n_bytes")
+        counted = stored(value_totals(content.mapInArrow(words, VALUE_ROWS), parts, ranked=True), "lm-words")
+        summary = counted.filter(f"block = {SUMMARY}").selectExpr("explode(parts.totals) AS t").collect()
+        known.extend(tuple(np.frombuffer(r["t"], np.int64).tolist()) for r in summary)
+        width = widths[1] = max((x[2] for x in known), default=0) + 1
+
         def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _each(batches):
-                values, block = BlockTokens.of_text(row, is_held(row))
-                columns = (block.tokens, block.ends, ids_of(values, row["words"], parts), totals_of(values, row["words"], parts))
+                values, block = hashed(row)
+                found = ids_of(values, row["words"], parts)
+                ids = found % parts * width + found // parts + 1
+                order_ = np.argsort(ids)
+                ids, totals = ids[order_], totals_of(values, row["words"], parts)[order_]
+                by_total = order_[commonest_first(totals)]
+                place = np.empty_like(order_)
+                place[by_total] = np.arange(len(order_))
+                last = place[np.searchsorted(values, np.uint64(END))]
+                columns = (packed(place[block.tokens]), row["ends"], rising(ids), packed(totals))
                 yield pa.RecordBatch.from_pydict(
-                    {"block": [row["block"]], "keys": pa.array([row["keys"]], pa.list_(pa.string())), "last": [block.end]}
-                    | {c: pa.array([squeeze_planes(x.astype(np.int64))], pa.binary()) for c, x in zip(CODED, columns)}
+                    {"block": [row["block"]], "keys": pa.array([row["keys"]], pa.list_(pa.string())), "last": pa.array([last], pa.int64())}
+                    | {c: pa.array([x], pa.binary()) for c, x in zip(CODED, columns)}
                 )
 
-        content = blocks.select("block", "keys", "ends", "data")
-        counted = stored(value_totals(content.mapInArrow(words, VALUE_ROWS), parts, ranked=True), "lm-words")
-        summary = counted.filter(f"block = {SUMMARY}").selectExpr("explode(parts.totals) AS t").collect()
-        known.extend(tuple(np.frombuffer(r["t"], np.int64).tolist()) for r in summary)
         joined = content.join(counted.withColumnRenamed("parts", "words"), "block")
         return joined.mapInArrow(coded, "block long, keys array<string>, last long, " + ", ".join(f"{c} binary" for c in CODED))
 
     with recorded_paths() as spent:
         state = stored_alone(spark, "lm-tokens", counted_words)
-    total, distinct = sum(x[0] for x in known), sum(x[1] for x in known)
-    pairs_fit = max((x[2] for x in known), default=0) * buckets < 1 << PAIR_BITS
+    total, distinct_words = sum(x[0] for x in known), sum(x[1] for x in known)
 
-    def replay(row: dict, upto: int) -> tuple[BlockTokens, np.ndarray, np.ndarray, Grams | None]:
+    def replay(row: dict, upto: int, width: dict[int, int]) -> tuple[BlockTokens, np.ndarray, np.ndarray, Grams | None]:
         """Tokens, word totals, log probability by the levels below ``upto``, and the n-grams of level ``upto``."""
-        tokens, ends, ids, totals = (from_planes(expand(row[c]), np.int64) for c in CODED)
-        block = BlockTokens(tokens, ends, row["last"], is_held(row))
-        place = np.arange(len(block.tokens))
-        p = ((totals + 1) / (total + distinct + 1))[block.tokens]
-        before = np.where(place > block.first, block.tokens[place - 1], block.end)
-        context, context_total = ids[before], totals[before]
+        places, ends, ids, totals = (unpacked(row[c]) for c in CODED)
+        by_total = commonest_first(totals)
+        ids, tokens, last = np.cumsum(ids), by_total[places], by_total[row["last"]]
+        block = BlockTokens(tokens, np.cumsum(ends), is_held(row))
+        p = ((totals + 1) / (total + distinct_words + 1))[tokens]
+        # Before a first token stands the end, and nothing before that.
+        before = np.append(last, tokens[:-1])
+        before[block.starts] = last
+        keys, key_counts, context, own_count = ids, totals, before, totals[tokens]
         grams = None
         for m in range(2, upto + 1):
-            grams = Grams(context, context_total, ids[block.tokens], block.train)
+            context_count = key_counts[context]
+            sent = np.flatnonzero((context_count > 0) & (own_count > 0))
+            grams = Grams(context[sent], keys, key_counts, tokens[sent], ids, block.train[sent], Shards(buckets, width[m - 1], total))
             if m == upto and f"level{m}" not in row:
                 break
-            codes, sums = _of_parts(grams, row[f"level{m}"])
-            p = restored(codes)[grams.inverse] + strength * p / (context_total + strength)
+            codes, sums, nodes = _of_parts(grams, row[f"level{m}"], width.get(m, 0))
+            code, own, own_count = np.zeros(len(tokens), np.uint16), np.ones(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+            code[sent] = codes[grams.inverse]
+            p = restored(code) + strength * p / (context_count + strength)
             if m < order:
-                # The next context is this n-gram, one token earlier.
-                if m == 2 and pairs_fit:
-                    own, none = (context << PAIR_BITS) + ids[block.tokens], 1 << (2 * PAIR_BITS)
-                else:
-                    own = (mix64(mix64(context.astype(np.uint64) + np.uint64(m)) + ids[block.tokens].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
-                    none = m
-                earlier = place > block.first
-                context = np.where(earlier, own[place - 1], none)  # none: nothing stands before a first token
-                context_total = np.where(earlier, sums[grams.inverse][place - 1], totals[block.end])
+                # The next context is this n-gram, one token earlier; place 0 is that of a first token, place 1 that of n-grams that are not there.
+                own[sent], own_count[sent] = grams.inverse + 2, sums[grams.inverse]
+                keys, key_counts = np.append([0, 0], nodes), np.append([totals[last], 0], sums)
+                context = np.append(0, own[:-1])
+                context[block.starts] = 0
         return block, totals, p, grams
 
-    def _of_parts(grams: Grams, parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        order_, found, bounds = bucket_pieces(_shard(grams, total, buckets))
-        by_number = {p["bucket"]: p for p in parts}
-        codes, sums = np.zeros(len(grams.key), np.uint16), np.zeros(len(grams.key), np.int64)
-        for b, lo, hi in zip(found.tolist(), bounds, bounds[1:]):
-            codes[order_[lo:hi]] = from_planes(expand(by_number[b]["codes"]), np.uint16)
-            if by_number[b]["totals"] is not None:
-                raw = expand(by_number[b]["totals"])
-                sums[order_[lo:hi]] = from_planes(raw, np.int64 if len(raw) == 8 * (hi - lo) else np.int32)
-        return codes, sums
-
     def with_level(m: int, state: DataFrame) -> DataFrame:
+        width = dict(widths)
+
         def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _each(batches):
-                grams = replay(row, m)[3]
-                yield from _sent(grams, _shard(grams, total, buckets), row["block"])
+                yield from replay(row, m, width)[3].sent(row["block"])
 
         level = f"level{m}"
-        _, answers = _answers(state.mapInArrow(grams_of, GRAM_ROWS), buckets, strength, f"lm-{level}", m < order)
-        return state.join(answers.withColumnRenamed("parts", level), "block")
+        _, answers, most = _answers(state.mapInArrow(grams_of, GRAM_ROWS), buckets, strength, f"lm-{level}", m < order)
+        widths[m] = most + 1
+        return state.join(answers.withColumnRenamed("parts", level), "block", "left")
 
     for m in range(2, order):
         with recorded_paths() as made:
@@ -293,9 +382,9 @@ def score(
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(batches):
-            block, totals, p, _ = replay(row, order)
+            block, totals, p, _ = replay(row, order, widths)
             seen = totals[block.tokens]
-            base = np.log10((seen + 1) / (total + distinct + 1))
+            base = np.log10((totals + 1) / (total + distinct_words + 1))[block.tokens]
             at = np.append(0, block.ends[:-1])
             n = len(block.ends)
             yield pa.RecordBatch.from_pydict(

@@ -7,6 +7,7 @@ import struct
 import numpy as np
 
 STEP = 64  # probability codes per factor of two
+PIECE = 1 << 16  # contexts looked up at once
 
 # Fixed values of the file format.
 HEAD = struct.Struct("<4sQQBQ")  # magic, values, universe, low bits, bytes of the low part
@@ -74,9 +75,10 @@ class EliasFano:
                 self._low = np.zeros(self.n, np.uint64)
         return self._starts, self._low
 
-    def values(self) -> np.ndarray:
+    def values(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The values, or those at the places ``at``."""
         _, low = self._open()
-        return (self._high.astype(np.uint64) << np.uint64(self.width)) | low
+        return (self._high[at].astype(np.uint64) << np.uint64(self.width)) | low[at]
 
     def next_geq(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value of at least ``x`` (``n`` where there is none), by successor search."""
@@ -86,16 +88,14 @@ class EliasFano:
         high = np.where(inside, x >> np.uint64(self.width), np.uint64(0)).astype(np.int64)
         rest = x & np.uint64((1 << self.width) - 1)
         a, b = starts[high], starts[high + 1]
-        end = b.copy()
-        while True:
-            open_ = a < b
-            if not open_.any():
-                break
-            mid = (a + b) // 2
-            less = open_ & (low[np.minimum(mid, max(self.n - 1, 0))] < rest)
-            a = np.where(less, mid + 1, a)
-            b = np.where(open_ & ~less, mid, b)
-        return np.where(inside, np.minimum(a, end), self.n)
+        open_ = np.flatnonzero(a < b)
+        while len(open_):
+            lo, hi = a[open_], b[open_]
+            mid = (lo + hi) // 2
+            less = low[mid] < rest[open_]
+            a[open_], b[open_] = lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+            open_ = open_[lo < hi]
+        return np.where(inside, a, self.n)
 
 
 def quantised(probability: np.ndarray) -> np.ndarray:
@@ -139,20 +139,22 @@ class TrieLevel:
             parts.append(part)
         return TrieLevel(*parts, np.frombuffer(buffer, "<u2", parts[3].n, at))
 
-    def lookup(self, contexts: np.ndarray, sizes: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Codes of n-grams given by distinct contexts and the successors of each; 0 where absent."""
-        if not self.successors.n or not len(successors):
-            return np.zeros(len(successors), np.uint16)
-        node = self.contexts.next_geq(contexts)
-        known = node < self.contexts.n
-        node = np.minimum(node, self.contexts.n - 1)
-        known &= self.contexts.values()[node] == contexts.astype(np.uint64)
-        bases = self.bases.values()
-        base = np.repeat(bases[node], sizes)
-        key = base + successors.astype(np.uint64)
-        inside = np.repeat(known, sizes) & (key < np.repeat(bases[node + 1], sizes))
-        at = self.successors.next_geq(key)
-        found = inside & (at < self.successors.n)
-        at = np.minimum(at, self.successors.n - 1)
-        found &= self.successors.values()[at] == key
-        return np.where(found, self.codes[at], 0).astype(np.uint16)
+    def lookup(self, contexts: np.ndarray, sizes: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and nodes of n-grams given by distinct contexts and the successors of each; 0 and -1 where absent."""
+        codes, nodes = np.zeros(len(successors), np.uint16), np.full(len(successors), -1)
+        ends = np.cumsum(sizes)
+        for a in range(0, len(contexts) if self.successors.n else 0, PIECE):
+            z = slice(a, a + PIECE)
+            node = self.contexts.next_geq(contexts[z])
+            known = node < self.contexts.n
+            node = np.minimum(node, self.contexts.n - 1)
+            known &= self.contexts.values(node) == contexts[z].astype(np.uint64)
+            rows = slice(ends[a] - sizes[a], ends[z][-1])
+            key = np.repeat(self.bases.values(node), sizes[z]) + successors[rows].astype(np.uint64)
+            inside = np.repeat(known, sizes[z]) & (key < np.repeat(self.bases.values(node + 1), sizes[z]))
+            at = self.successors.next_geq(key)
+            found = inside & (at < self.successors.n)
+            at = np.minimum(at, self.successors.n - 1)
+            found &= self.successors.values(at) == key
+            codes[rows], nodes[rows] = np.where(found, self.codes[at], 0), np.where(found, at, -1)
+        return codes, nodes

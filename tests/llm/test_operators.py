@@ -416,6 +416,77 @@ def test_language_model_query_looks_at_two_words(spark, tmp_path):
     assert np.allclose(sorted(r.score / r.n_tokens for r in got), sorted(e[5] / e[1] for e in expected), atol=0.004, rtol=0)
 
 
+def plain_scores(rows, held, order, strength):
+    """Like ``word_model`` for any order: a context that begins in front of the text has a count of its own once it holds a word."""
+    texts = [("",) * max(order - 2, 0) + ("\n",) + tuple(WORD.findall(lower(text)) + ["\n"]) for _, text in rows]
+    grams, first = collections.Counter(), max(order - 1, 1)
+    for (key, _), p in zip(rows, texts):
+        if not held(key):
+            grams.update(p[i - m + 1 : i + 1] for i in range(first, len(p)) for m in range(1, order + 1))
+    total, distinct = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+
+    def chance(gram):
+        if len(gram) == 1:
+            return (grams[gram] + 1) / (total + distinct + 1)
+        context = gram[:-1]
+        seen = grams[("\n",)] if set(context[:-1]) <= {""} and context[-1] == "\n" else grams[context]
+        return (grams[gram] + strength * chance(gram[1:])) / (seen + strength)
+
+    return [sum(math.log10(chance(p[i - order + 1 : i + 1])) for i in range(first, len(p))) / (len(p) - first) for p in texts]
+
+
+@pytest.mark.parametrize("order, parts", [(1, 2), (4, 2), (3, 7)])
+def test_language_model_of_other_orders_and_shards(spark, docs, order, parts):
+    held = lambda key: key is not None and zlib.crc32(str(key).encode()) % 7 == 2
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = lm.score(docs, held, order=order).select("n_tokens", "score").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert np.allclose(sorted(r.score / r.n_tokens for r in got), sorted(plain_scores(ROWS, held, order, lm.STRENGTH)), atol=0.004, rtol=0)
+
+
+def test_language_model_sends_no_ngrams_of_unseen_words(spark, monkeypatch):
+    table = spark.createDataFrame([(0, "a b a")] + [(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(1, 20)], "doc_id long, text string")
+    sent, deal = [], lm.by_bucket
+    monkeypatch.setattr(lm, "by_bucket", lambda rows, buckets: sent.append(rows) or deal(rows, buckets))
+    monkeypatch.setattr(lm, "drop_path", lambda spark, path: None)  # what was sent is read again
+    for held, most in ((lambda key: int(key) >= 1, 2000), (lambda key: True, 0)):
+        sent.clear()
+        assert lm.score(table, held).count() == 20 and len(sent) == 2
+        for rows in sent:
+            size = " + ".join(f"length({c})" for c, kind in rows.dtypes if kind == "binary")
+            assert rows.selectExpr(f"coalesce(sum({size}), 0) AS n").first().n <= most
+
+
+def test_language_model_keeps_little_per_ngram(spark, monkeypatch):
+    """A level costs few bytes per n-gram: sent contexts are numbers of the level below, and tries hold the same."""
+    rnd = random.Random(3)
+    table = spark.createDataFrame([(i, " ".join(f"w{min(rnd.randrange(30_000), rnd.randrange(30_000))}" for _ in range(4000))) for i in range(60)], "doc_id long, text string").repartition(2)
+    sizes, write = {}, lm.stored
+
+    def weighed(rows, label):
+        found = write(rows, label)
+        binary = [f"coalesce(length({c}), 0)" for c, kind in found.dtypes if kind == "binary"]
+        sizes[label] = found.selectExpr(f"sum({' + '.join(binary)}) AS n").first().n if binary else 0
+        return found
+
+    monkeypatch.setattr(lm, "stored", weighed)
+    assert lm.score(table, lambda key: False).count() == 60
+    assert sizes["lm-level3"] < 9 * 60 * 4000
+
+
+@pytest.mark.parametrize("values", [[], [0], [5, 5, 1], [1 << 62, 3, 1 << 62], list(range(70000, 0, -1))])
+def test_distinct_and_packed(values):
+    values = np.array(values, np.int64)
+    found, inverse = lm.distinct(values)
+    assert (found == np.unique(values)).all() and (found[inverse] == values).all()
+    assert (lm.unpacked(lm.packed(values)) == values).all() and (np.cumsum(lm.unpacked(lm.rising(np.sort(values)))) == np.sort(values)).all()
+    order, buckets, bounds = blocks.bucket_pieces(values)
+    assert (order == np.argsort(values, kind="stable")).all() and (buckets == found).all() and len(bounds) == len(found) + 1
+
+
 def test_totals_above_four_bytes(spark):
     values, many = np.array([7, 9], np.uint64), np.array([1_500_000_000, 1])
     rows = [tuple(r.values()) for block in (0, 1) for r in exchange.value_rows(block, values, many, 1)]
