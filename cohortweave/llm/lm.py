@@ -43,6 +43,8 @@ ORDER = 3
 STRENGTH = 16.0
 BUCKET_BYTES = 48 << 20
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds white space
+ANSWERS = 64  # rows handed on at once
+PAIR_BITS = 31  # two numbers below this make one of at most 62 bits
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -69,21 +71,32 @@ def rising(values: np.ndarray) -> bytes:
     return packed(np.diff(values, prepend=values[:1] * 0))
 
 
-def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct whole numbers of 0 and more, ascending, and the place of each value among them."""
-    n = len(values)
-    bits = n.bit_length()
-    if not n or int(values.max()) >> (63 - bits):
-        return np.unique(values, return_inverse=True)
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers of 0 and more, ascending, and where each stood; equal ones in their order."""
+    bits = len(values).bit_length()
+    if not len(values) or int(values.max()) >> (63 - bits):
+        order = np.argsort(values, kind="stable")
+        return values[order], order
     both = values.astype(np.int64) << bits  # value and place in one number: no indirect sort
-    both |= np.arange(n)
+    both |= np.arange(len(values))
     both.sort()
-    found = both >> bits
+    ascending = both >> bits
     both &= (1 << bits) - 1
-    new = np.append(True, found[1:] != found[:-1])
-    inverse = np.empty(n, np.int32 if bits < 32 else np.int64)
-    inverse[both] = np.cumsum(new, dtype=inverse.dtype) - 1
-    return found[new], inverse
+    return ascending, both
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct whole numbers of 0 and more, ascending, and the place of each value among them."""
+    ascending, order = in_order(values)
+    first = starts_of(ascending)
+    return ascending[first], _places(first, order)
+
+
+def _places(first: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The run of each value, for values that stood at ``order`` and runs that begin at ``first``."""
+    inverse = np.empty(len(order), np.int32 if len(order) < 1 << 31 else np.int64)
+    inverse[order] = np.repeat(np.arange(len(first), dtype=inverse.dtype), np.diff(np.append(first, len(order))))
+    return inverse
 
 
 def starts_of(values: np.ndarray) -> np.ndarray:
@@ -104,7 +117,7 @@ def words_of(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     names = coded.dictionary.cast(pa.large_binary())
     held, cuts = names.buffers()[2], np.frombuffer(names.buffers()[1] or b"", np.int64)[: len(names) + 1].tolist()
     raw = held.to_pybytes() if held else b""
-    hashes = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(cuts, cuts[1:])] + [END], np.uint64)
+    hashes = np.frombuffer(b"".join([xxhash.xxh3_64_digest(raw[a:b]) for a, b in zip(cuts, cuts[1:])] + [xxhash.xxh3_64_digest(b"\n")]), ">u8").astype(np.uint64)
     values, place = np.unique(hashes, return_inverse=True)
     words = place[:-1][coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
     return values, np.insert(words, bounds[1:], place[-1]), bounds[1:] + np.arange(1, len(bounds))
@@ -152,30 +165,38 @@ class Shards:
 
 
 class Grams:
-    """Distinct n-grams of a block in the order in which they are sent: by shard, number of the context, successor.
-
-    ``context`` and ``word`` are places of the tokens' contexts and words among ``keys`` and ``ids``, both ascending.
-    """
-
-    def __init__(self, context: np.ndarray, keys: np.ndarray, key_counts: np.ndarray, word: np.ndarray, ids: np.ndarray, train: np.ndarray, shards: Shards):
-        codes, inverse = distinct(context * len(ids) + word)
-        c = codes // max(len(ids), 1)
-        w = codes - c * len(ids)
-        shard, number = shards.deal(keys[c], key_counts[c], ids[w])
+    """Distinct n-grams of a block as context keys and successors, sorted by both."""
+
+    def __init__(self, key: np.ndarray, context_count: np.ndarray, successor: np.ndarray, train: np.ndarray):
+        ranked = max(int(key.max(initial=0)), int(successor.max(initial=0))) >> PAIR_BITS
+        (keys, key), (successors, successor) = (distinct(x) if ranked else (None, x) for x in (key, successor))
+        span = int(successor.max(initial=0)) + 1
+        code, order = in_order(key.astype(np.int64) * span + successor)
+        first = starts_of(code)
+        self.inverse = _places(first, order)
+        code = code[first]
+        self.key = code // span
+        self.successor = code - self.key * span
+        if ranked:
+            self.key, self.successor = keys[self.key], successors[self.successor]
+        self.context_count = context_count[order[first]]
+        learned = np.append(0, np.cumsum(train[order], dtype=np.int64))
+        self.count = np.diff(learned[np.append(first, len(order))]) if len(order) else np.zeros(0, np.int64)
+
+    def deal(self, keys: np.ndarray, ids: np.ndarray, shards: Shards, known: bool) -> None:
+        """The shard of each n-gram, and the order in which they are sent: by shard, number of the context, successor.
+
+        ``keys`` and ``ids``, both ascending, are the contexts and words at the places that ``key`` and ``successor`` hold so far. Unless
+        the answers are ``known``, these and the counts become what the shards get.
+        """
+        successor = ids[self.successor]
+        shard, number = shards.deal(keys[self.key], self.context_count, successor)
         order, *_ = bucket_pieces(2 * shard + (number >= shards.width))  # numbers ascend within either kind of context
-        rank = np.empty(len(order), inverse.dtype)
-        rank[order] = np.arange(len(order))
-        self.inverse = rank[inverse]
-        self.shard, self.number, self.context_count, self.successor = shard[order], number[order], key_counts[c][order], ids[w][order]
-        self.count = np.bincount(self.inverse, train, len(order)).astype(np.int64)
-
-    def sent(self, block: int) -> Iterator[pa.RecordBatch]:
-        first = starts_of(self.shard)
-        for lo, hi in zip(first, np.append(first[1:], len(self.shard))):
-            begin = lo + starts_of(self.number[lo:hi])
-            columns = (self.context_count[begin], np.diff(np.append(begin, hi)), self.successor[lo:hi], self.count[lo:hi])
-            content = {"contexts": rising(self.number[begin])} | {c: packed(x) for c, x in zip(GRAM_COLUMNS[1:], columns)}
-            yield pa.RecordBatch.from_pylist([{"bucket": int(self.shard[lo]), "block": block, **content}], GRAM_SCHEMA)
+        rank = np.empty(len(order), self.inverse.dtype)
+        rank[order] = np.arange(len(order), dtype=rank.dtype)
+        self.inverse, self.shard = rank[self.inverse], shard[order]
+        if not known:
+            self.key, self.successor, self.context_count, self.count = (x[order] for x in (number, successor, self.context_count, self.count))
 
 
 GRAM_COLUMNS = ("contexts", "context_counts", "sizes", "successors", "counts")
@@ -185,17 +206,41 @@ ANSWER_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n",
 CODED = ("tokens", "ends", "ids", "totals")
 
 
+def _sent(grams: Grams, shard: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard; the n-grams are in the order of their shards."""
+    rows, cuts = [], starts_of(shard).tolist()
+    for lo, hi in zip(cuts, [*cuts[1:], len(shard)]):
+        first = lo + starts_of(grams.key[lo:hi])
+        columns = (grams.context_count[first], np.diff(np.append(first, hi)), grams.successor[lo:hi], grams.count[lo:hi])
+        content = {"contexts": rising(grams.key[first])} | {c: packed(x) for c, x in zip(GRAM_COLUMNS[1:], columns)}
+        rows.append({"bucket": int(shard[lo]), "block": block, **content})
+    yield batch_of(rows, GRAM_SCHEMA)
+
+
+def _received(row: dict) -> tuple[np.ndarray, ...]:
+    """Context keys and counts, successors per context, and successors and counts per n-gram, in few bytes each."""
+    contexts, *rest = (unpacked(row[c], wide=False) for c in GRAM_COLUMNS)
+    return np.cumsum(contexts, dtype=np.int64), *rest
+
+
+def _level(context: np.ndarray, context_count: np.ndarray, of: np.ndarray, successor: np.ndarray, count: np.ndarray, strength: float) -> tuple[int, bytes]:
+    """Number of n-grams with a count, and the trie level of these; ``of`` has the place of each one's context."""
+    some = np.flatnonzero(count > 0)
+    held = of[some]
+    first = starts_of(held)
+    codes = quantised(count[some] / (context_count[held] + strength))
+    return len(some), TrieLevel.build(context[held[first]], np.diff(np.append(first, len(held))), successor[some], codes).dump() if len(some) else b""
+
+
 def _trie_and_answers(batches: Iterator[pa.RecordBatch], strength: float, wanted: bool) -> Iterator[pa.RecordBatch]:
     """The trie level of a shard, and answers to the blocks that sent it n-grams."""
-    whose, contexts, context_counts, sizes, successors, counts = [], [], [], [], [], []
-    for row in _each(batches):
-        whose.append((row["bucket"], row["block"]))
-        contexts.append(np.cumsum(unpacked(row["contexts"])))
-        for column, values in (("context_counts", context_counts), ("sizes", sizes), ("successors", successors), ("counts", counts)):
-            values.append(unpacked(row[column], wide=False))
-    if not whose:
+    sent = [((row["bucket"], row["block"]), _received(row)) for row in _each(batches)]
+    if not sent:
         return
+    whose, columns = zip(*sent)
+    contexts, context_counts, sizes, successors, counts = zip(*columns)
     lengths = [len(x) for x in counts]
+    del sent, columns
     context, by_context = distinct(np.concatenate(contexts))
     context_count = np.empty(len(context), np.int64)
     context_count[by_context] = np.concatenate(context_counts)
@@ -213,35 +258,40 @@ def _trie_and_answers(batches: Iterator[pa.RecordBatch], strength: float, wanted
     successor = word[code]
     del counts, code
 
-    some = np.flatnonzero(count > 0)
-    held = of[some]
-    first = starts_of(held)
-    codes = quantised(count[some] / (context_count[held] + strength))
-    level = TrieLevel.build(context[held[first]], np.diff(np.append(first, len(held))), successor[some], codes).dump() if len(some) else b""
-    yield batch_of([{"bucket": whose[0][0], "block": SUMMARY, "n": len(some), "codes": level, "totals": None, "nodes": None}], ANSWER_SCHEMA)
+    n, level = _level(context, context_count, of, successor, count, strength)
+    yield batch_of([{"bucket": whose[0][0], "block": SUMMARY, "n": n, "codes": level, "totals": None, "nodes": None}], ANSWER_SCHEMA)
 
     first = starts_of(of)
     found, node = np.zeros(len(of), np.uint16), np.full(len(of), -1)
     if level:
         found, node = TrieLevel.load(level).lookup(context[of[first]], np.diff(np.append(first, len(of))), successor)
-    at = 0
+    at, answers = 0, []
     for (bucket, block), n in zip(whose, lengths):
         z = inverse[at : at + n]
         at += n
-        answer = {"bucket": bucket, "block": block, "n": n, "codes": squeeze_planes(found[z]), "totals": None, "nodes": None}
+        answers.append({"bucket": bucket, "block": block, "n": n, "codes": squeeze_planes(found[z]), "totals": None, "nodes": None})
         if wanted:
             totals = count[z]
-            answer |= {"totals": packed(totals), "nodes": rising(node[z][totals > 0] + 1)}
-        yield batch_of([answer], ANSWER_SCHEMA)
+            answers[-1] |= {"totals": packed(totals), "nodes": rising(node[z][totals > 0] + 1)}
+        if len(answers) == ANSWERS or at == len(inverse):
+            yield batch_of(answers, ANSWER_SCHEMA)
+            answers = []
+
+
+def _joined(rows: DataFrame, parts: DataFrame, name: str, n: int) -> DataFrame:
+    """``rows`` with the ``parts`` of their block as ``name``, in ``n`` partitions: that number grows with the data, the session's does not."""
+    parts = parts.repartition(n, "block")
+    parts = parts if "parts" in parts.columns else per_block(parts)
+    return rows.repartition(n, "block").join(parts.withColumnRenamed("parts", name), "block", "left")
 
 
 def _answers(rows: DataFrame, shards: int, strength: float, label: str, wanted: bool) -> tuple[DataFrame, DataFrame, int]:
-    """Trie levels (shard, trie); per block the codes and, if ``wanted``, totals and nodes of its n-grams, in sent order; most n-grams of a trie."""
+    """Trie levels (shard, trie); per block and shard the codes and, if ``wanted``, totals and nodes of its n-grams, in sent order; most n-grams of a trie."""
     build = partial(_trie_and_answers, strength=strength, wanted=wanted)
     answered = stored(by_bucket(rows, shards).mapInArrow(build, "bucket int, block long, n long, codes binary, totals binary, nodes binary"), label)
     tries = answered.filter(f"block = {SUMMARY}")
     most = (tries.agg(F.max("n")).first()[0] or 0) if wanted else 0
-    return tries.selectExpr("bucket AS shard", "codes AS trie"), per_block(answered.filter(f"block <> {SUMMARY}").drop("n")), most
+    return tries.selectExpr("bucket AS shard", "codes AS trie"), answered.filter(f"block <> {SUMMARY}").drop("n"), most
 
 
 def _of_parts(grams: Grams, parts: list[dict] | None, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -322,7 +372,7 @@ def score(
                     | {c: pa.array([x], pa.binary()) for c, x in zip(CODED, columns)}
                 )
 
-        joined = content.join(counted.withColumnRenamed("parts", "words"), "block")
+        joined = _joined(content, counted, "words", parts)
         return joined.mapInArrow(coded, "block long, keys array<string>, last long, " + ", ".join(f"{c} binary" for c in CODED))
 
     with recorded_paths() as spent:
@@ -344,14 +394,16 @@ def score(
         for m in range(2, upto + 1):
             context_count = key_counts[context]
             sent = np.flatnonzero((context_count > 0) & (own_count > 0))
-            grams = Grams(context[sent], keys, key_counts, tokens[sent], ids, block.train[sent], Shards(buckets, width[m - 1], total))
-            if m == upto and f"level{m}" not in row:
+            grams = Grams(context[sent], context_count[sent], tokens[sent], block.train[sent])
+            known = f"level{m}" in row
+            grams.deal(keys, ids, Shards(buckets, width[m - 1], total), known)
+            if not known:
                 break
             codes, sums, nodes = _of_parts(grams, row[f"level{m}"], width.get(m, 0))
-            code, own, own_count = np.zeros(len(tokens), np.uint16), np.ones(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
-            code[sent] = codes[grams.inverse]
-            p = restored(code) + strength * p / (context_count + strength)
+            p = strength * p / (context_count + strength)
+            p[sent] += restored(codes)[grams.inverse]
             if m < order:
+                own, own_count = np.ones(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
                 # The next context is this n-gram, one token earlier; place 0 is that of a first token, place 1 that of n-grams that are not there.
                 own[sent], own_count[sent] = grams.inverse + 2, sums[grams.inverse]
                 keys, key_counts = np.append([0, 0], nodes), np.append([totals[last], 0], sums)
@@ -364,12 +416,13 @@ def score(
 
         def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _each(batches):
-                yield from replay(row, m, width)[3].sent(row["block"])
+                grams = replay(row, m, width)[3]
+                yield from _sent(grams, grams.shard, row["block"])
 
         level = f"level{m}"
         _, answers, most = _answers(state.mapInArrow(grams_of, GRAM_ROWS), buckets, strength, f"lm-{level}", m < order)
         widths[m] = most + 1
-        return state.join(answers.withColumnRenamed("parts", level), "block", "left")
+        return _joined(state, answers, level, buckets)
 
     for m in range(2, order):
         with recorded_paths() as made:
